@@ -25,6 +25,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -276,8 +277,6 @@ def remove_spans(docs: DataFrame, bench: DataFrame, text: str = "text", window:
 
     Returns the columns of ``docs``. Documents without hits stay as they are.
     """
-    import pandas as pd
-
     names = docs.columns
     hit = match(docs, bench, names, text=text, window=window, **options)
 

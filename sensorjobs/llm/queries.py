@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sensorjobs.llm import decontaminate, quality_ledger, simhash_dedup
+from sensorjobs.llm import decontaminate, quality_ledger, simhash_dedup, source_mixing, vector_sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontaminate": decontaminate.query,
     "op3_quality_ledger": quality_ledger.query,
+    "op4_vector_sharding": vector_sharding.query,
     "op6_simhash_dedup": simhash_dedup.query,
+    "op7_source_mixing": source_mixing.query,
 }
 
 ORACLE_SQL: dict[str, str] = {
