@@ -111,3 +111,12 @@ def spare(df: DataFrame, name: str) -> str:
     while name.lower() in used:
         name = f"_{name}"
     return name
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """An equality join in which null equals null; the keys of the left side stay."""
+    other = right.withColumnsRenamed({k: f"{k}__r" for k in keys})
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"{k}__r"))
+    return left.join(other, on, how).drop(*[f"{k}__r" for k in keys])

@@ -6,16 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sensorjobs.llm import decontaminate, html_extract, line_dedup, quality_ledger, simhash_dedup, source_mixing, suffix_tree_lm, vector_sharding
+from sensorjobs.llm import decontaminate, html_extract, license_scan, line_dedup, quality_ledger, simhash_dedup, site_quality, source_mixing, suffix_tree_lm, vector_sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extract": html_extract.query,
     "op2_decontaminate": decontaminate.query,
     "op3_quality_ledger": quality_ledger.query,
     "op4_vector_sharding": vector_sharding.query,
+    "op5_license_scan": license_scan.query,
     "op6_simhash_dedup": simhash_dedup.query,
     "op7_source_mixing": source_mixing.query,
     "op8_suffix_tree_lm": suffix_tree_lm.query,
+    "op9_site_quality": site_quality.query,
     "op10_line_dedup": line_dedup.query,
 }
 

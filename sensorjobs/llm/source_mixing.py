@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sensorjobs.llm.common import count_words, materialize, split_words
+from sensorjobs.llm.common import count_words, materialize, null_safe_join, split_words
 
 #: Weights given to the sources in code point order, repeating.
 WEIGHTS = (3, 1, 2)
@@ -70,7 +70,7 @@ def draw_blocks(rows: DataFrame, n_shards: int = 16, passes: int = 2, seed: int
     """``__s``, ``__b``, ``source_size``, ``target`` and ``__d``: the block's draws (pass, words, whole, shard)."""
     blocks = rows.groupBy("__s", "__b").agg(F.sum("size").alias("words"))
     goal = targets(blocks.groupBy("__s").agg(F.sum("words").alias("source_size")), **shares)
-    blocks = _null_safe(blocks, goal)
+    blocks = null_safe_join(blocks, goal, ["__s"])
     units = blocks.withColumn("pass", F.explode(F.array(*[F.lit(p) for p in range(passes)])))
     quota = F.round("target").cast("long")
     here = F.greatest(F.lit(0), F.least(F.col("source_size"), quota - F.col("pass") * F.col("source_size")))
@@ -85,17 +85,7 @@ def draw_blocks(rows: DataFrame, n_shards: int = 16, passes: int = 2, seed: int
     drawn = drawn.groupBy("__s", "__b").agg(
         F.sort_array(F.collect_list(F.struct(F.col("pass"), F.col("take").alias("words"), (F.col("take") == F.col("words")).alias("whole"), F.pmod("node", F.lit(n_shards)).alias("shard")))).alias("__d")
     )
-    return _null_safe(blocks.drop("words"), drawn, ["__s", "__b"], "left")
-
-
-def _null_safe(left: DataFrame, right: DataFrame, keys: list[str] | None = None, how: str = "inner") -> DataFrame:
-    """An equality join in which null equals null; the keys of the left side stay."""
-    keys = keys or ["__s"]
-    other = right.withColumnsRenamed({k: f"{k}_r" for k in keys})
-    on = F.lit(True)
-    for k in keys:
-        on = on & F.col(k).eqNullSafe(F.col(f"{k}_r"))
-    return left.join(other, on, how).drop(*[f"{k}_r" for k in keys])
+    return null_safe_join(blocks.drop("words"), drawn, ["__s", "__b"], "left")
 
 
 def _draws(before: Column) -> Column:
@@ -108,7 +98,7 @@ def _draws(before: Column) -> Column:
 def mix(rows: DataFrame, id_column: str = "doc_id", **options) -> DataFrame:
     """From ``sized`` rows: every document with ``source_size``, ``target``, ``draws`` and ``taken``."""
     plan = materialize(draw_blocks(rows, **options), "mix-plan")
-    joined = _null_safe(rows, plan, ["__s", "__b"], "left")
+    joined = null_safe_join(rows, plan, ["__s", "__b"], "left")
     cut = F.coalesce(F.exists("__d", lambda d: ~d["whole"]), F.lit(False))
     whole = joined.filter(~cut).withColumn("draws", _draws(F.lit(0).cast("long")))
     order = Window.partitionBy("__s", "__b").orderBy("__r", f"`{id_column}`", "size").rowsBetween(Window.unboundedPreceding, -1)
