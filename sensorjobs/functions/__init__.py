@@ -1 +1 @@
-"""See README.md."""
+"""Column functions."""

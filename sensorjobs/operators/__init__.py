@@ -1 +1 @@
-"""See README.md."""
+"""Jobs from DataFrame to DataFrame."""

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorjobs.functions.aqi import aqi_pm10, aqi_pm25, overall_level
-from sensorjobs.functions.columns import key_time, skew_from_moments, surrogate_key
+from sensorjobs.functions.columns import key_time, surrogate_key
 
 HOUR = 3600
 
@@ -67,23 +67,23 @@ def _range(time: str, key: str, hours: int):
     return Window.partitionBy(key).orderBy(F.unix_timestamp(time)).rangeBetween(-hours * HOUR, 0)
 
 
-def _moments(value: Column, w) -> tuple[Column, Column, Column, Column]:
-    v = value.cast("double")
-    return F.avg(v).over(w), F.avg(v * v).over(w), F.avg(v * v * v).over(w), F.stddev_pop(v).over(w)
+def _skew(value: Column, w) -> Column:
+    """Population skewness over a window, from central moments (raw ones lose all digits on a nearly flat window); null if flat."""
+    return F.skewness(value.cast("double")).over(w)
 
 
 def rolling_6h(rows: DataFrame, time: str = "hour", key: str = "station_code") -> DataFrame:
     """Mean, maximum, deviation and skewness of PM2.5 over the last six hours."""
     w = _range(time, key, 5)
-    m1, m2, m3, std = _moments(F.col("pm2_5"), w)
-    return rows.withColumns({"pm2_5_avg_6h": m1, "pm2_5_max_6h": F.max("pm2_5").over(w), "pm2_5_std_6h": std, "pm2_5_skew_6h": skew_from_moments(m1, m2, m3, std)})
+    v = F.col("pm2_5")
+    return rows.withColumns({"pm2_5_avg_6h": F.avg(v).over(w), "pm2_5_max_6h": F.max(v).over(w), "pm2_5_std_6h": F.stddev_pop(v).over(w), "pm2_5_skew_6h": _skew(v, w)})
 
 
 def rolling_24h(rows: DataFrame, time: str = "hour", key: str = "station_code") -> DataFrame:
     """Maximum, deviation and skewness of the PM2.5 index over the last 24 hours."""
     w = _range(time, key, 23)
-    m1, m2, m3, std = _moments(F.col("aqi_pm2_5"), w)
-    return rows.withColumns({"aqi_pm2_5_max_24h": F.max("aqi_pm2_5").over(w), "aqi_pm2_5_std_24h": std, "aqi_pm2_5_skew_24h": skew_from_moments(m1, m2, m3, std)})
+    v = F.col("aqi_pm2_5")
+    return rows.withColumns({"aqi_pm2_5_max_24h": F.max(v).over(w), "aqi_pm2_5_std_24h": F.stddev_pop(v).over(w), "aqi_pm2_5_skew_24h": _skew(v, w)})
 
 
 def rolling_by_day(rows: DataFrame, time: str = "hour", key: str = "station_code", hours: int = 23) -> DataFrame:
@@ -111,11 +111,11 @@ def station_readings(rows: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def region_moments(rows: DataFrame, keys: tuple[str, str] = ("region_id", "hour")) -> DataFrame:
-    """Mean, maximum, deviation, second and third moments of PM2.5 and its index by region and hour; greatest level."""
+    """Mean, maximum, deviation, second and third moments and skewness of PM2.5 and its index by region and hour; greatest level."""
     out = []
     for c, name in (("pm2_5", "pm2_5"), ("aqi_pm2_5", "aqi")):
         v = F.col(c).cast("double")
-        out += [F.avg(v).alias(f"{name}_avg"), F.max(c).alias(f"{name}_max"), F.stddev_pop(v).alias(f"{name}_std"), F.avg(v * v).alias(f"{name}_m2"), F.avg(v * v * v).alias(f"{name}_m3")]
+        out += [F.avg(v).alias(f"{name}_avg"), F.max(c).alias(f"{name}_max"), F.stddev_pop(v).alias(f"{name}_std"), F.avg(v * v).alias(f"{name}_m2"), F.avg(v * v * v).alias(f"{name}_m3"), F.skewness(v).alias(f"{name}_skew")]
     return rows.groupBy(*keys).agg(*out, F.max("aqi_level").alias("level_region_max"))
 
 
@@ -123,8 +123,7 @@ def region_readings(rows: DataFrame, station_regions: DataFrame) -> DataFrame:
     """The region table: stations mapped to regions, moments, skewness, key. Never grouped by region alone."""
     mapped = rows.join(station_regions.select("station_code", surrogate_key(F.col("region_code")).alias("region_id")), "station_code")
     m = region_moments(mapped)
-    skew = lambda n: skew_from_moments(F.col(f"{n}_avg"), F.col(f"{n}_m2"), F.col(f"{n}_m3"), F.col(f"{n}_std"))
-    columns = [c.alias(f"{n}_region_{k}") for n in ("pm2_5", "aqi") for k, c in (("avg", F.col(f"{n}_avg")), ("max", F.col(f"{n}_max")), ("skew", skew(n)), ("std", F.col(f"{n}_std")))]
+    columns = [c.alias(f"{n}_region_{k}") for n in ("pm2_5", "aqi") for k, c in (("avg", F.col(f"{n}_avg")), ("max", F.col(f"{n}_max")), ("skew", F.col(f"{n}_skew")), ("std", F.col(f"{n}_std")))]
     return m.select(surrogate_key(F.col("region_id"), key_time(F.col("hour"))).alias("id"), "region_id", F.col("hour").alias("date_utc"), *columns, "level_region_max")
 
 

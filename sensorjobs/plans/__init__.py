@@ -1 +1 @@
-"""See README.md."""
+"""End-to-end jobs: forecasts and the registered queries."""

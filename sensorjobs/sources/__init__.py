@@ -1 +1 @@
-"""See README.md."""
+"""Reads, writes and upserts."""
