@@ -28,39 +28,77 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorjobs.llm.common import materialize, split_words
+from sensorjobs.llm.common import materialize
 
 #: Lines without a document id come after all others.
 LAST = (1 << 63) - 1
+#: More than the lines of a document.
+LINES = 1 << 31
 
 
-def lines_of(docs: DataFrame, id_column: str, text: str) -> DataFrame:
-    """One row a line with a word: ``at`` (document, line number), ``w`` (its words), ``n``, and two hashes of them."""
+def plain(low: Column) -> Column:
+    """The text with white space inside a line as one space (most texts have no other and are left as they are)."""
+    odd = F.lit(False)
+    for c in ("  ", "\t", "\x0b", "\x0c", "\r"):
+        odd = odd | F.contains(low, F.lit(c))
+    return F.when(odd, F.regexp_replace(low, "[ \\t\\x0B\\f\\r]+", " ")).otherwise(low)
+
+
+def raw_lines(docs: DataFrame, id_column: str, text: str) -> DataFrame:
+    """One row a line with a word: ``at`` and ``s``, its words joined by spaces.
+
+    ``at`` orders lines by document and line number; as one number it can be aggregated in place.
+    """
     doc = F.coalesce(F.col(f"`{id_column}`").cast("long"), F.lit(LAST))
-    split = docs.select(doc.alias("doc"), F.posexplode(F.split(F.coalesce(F.col(f"`{text}`"), F.lit("")), "\n")).alias("line", "t"))
-    words = split.select(F.struct("doc", "line").alias("at"), split_words(F.lower("t")).alias("w")).filter(F.size("w") > 0)
-    return words.withColumn("n", F.size("w")).withColumn("h1", F.xxhash64("w")).withColumn("h2", F.hash("w"))
+    low = docs.select(doc.alias("doc"), F.lower(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("low"))
+    split = low.select("doc", F.posexplode(F.split(plain(F.col("low")), "\n")).alias("line", "t"))
+    at = (F.col("doc").cast("decimal(20,0)") * F.lit(LINES).cast("decimal(10,0)") + F.col("line")).cast("decimal(34,0)")
+    return split.select(at.alias("at"), F.btrim("t", F.lit(" ")).alias("s")).filter(F.col("s") != "")
+
+
+def lines_of(raw: DataFrame) -> DataFrame:
+    """``raw_lines`` with ``n``, the number of words, and two hashes of them."""
+    n = F.octet_length("s") - F.octet_length(F.replace("s", F.lit(" "), F.lit(""))) + 1
+    return raw.select("at", "s", n.alias("n"), F.xxhash64("s").alias("h1"), F.hash("s").alias("h2"))
+
 
+def part_of(count: Column) -> Column:
+    """The first words of the line, or the last ones for a negative count."""
+    return F.call_function("substring_index", F.col("s"), F.lit(" "), count.cast("int"))
 
-def ends(lines: DataFrame, min_words: int, width: int = 8) -> Column:
-    """The parts one of which two lines within one edit share: class of length, side, hash of the part.
+
+def ends(min_words: int, width: int = 8) -> list[Column]:
+    """Hashes of the parts one of which two lines within one edit share: class of length, side, part.
 
     A line of n words belongs to the classes of n and n - 1, so lines of n and n + 1 words share one.
     A class's part length is under half of its shortest line: an edit touches one side only.
     """
+    here, below = F.floor(F.col("n") / width), F.floor((F.col("n") - 1) / width)
+    out = []
+    for c, used in ((here, F.lit(True)), (below, here != below)):
+        words = F.floor((F.greatest(c * width, F.lit(min_words)) - 1) / 2)
+        for side in (1, -1):
+            out.append(F.when(used & (F.col("n") >= min_words), F.xxhash64(c, F.lit(side), part_of(words * side))))
+    return out
 
-    def keys(c: Column) -> list[Column]:
-        part = F.floor((F.greatest(c * width, F.lit(min_words)) - 1) / 2).cast("int")
-        head, tail = F.slice("w", 1, part), F.slice("w", -part, part)
-        return [F.xxhash64(c, F.lit("head"), head), F.xxhash64(c, F.lit("tail"), tail)]
 
-    here, below = F.floor(F.col("n") / width), F.floor((F.col("n") - 1) / width)
-    return F.when(here == below, F.array(*keys(here))).otherwise(F.array(*keys(here), *keys(below)))
+def maybe_in(rows: DataFrame, wanted: DataFrame, column: str, buckets: int = 1024) -> DataFrame:
+    """The rows whose hash of ``column`` has its bit set in a bitmap of the wanted ones: all wanted, and few others.
+
+    The bitmap has ``buckets`` times 32768 bits whatever the data (4 MB here), so it can be sent to the tasks.
+    """
+    bit = F.pmod(F.xxhash64(column), F.lit(buckets * 32768))
+    bits = wanted.select(bit.alias("x")).select(F.bitmap_bucket_number("x").alias("__g"), F.bitmap_bit_position("x").alias("p"))
+    bitmap = bits.groupBy("__g").agg(F.bitmap_construct_agg("p").alias("__m"))
+    at = rows.withColumn("__x", bit).withColumn("__g", F.bitmap_bucket_number("__x")).withColumn("__p", F.bitmap_bit_position("__x"))
+    byte = F.conv(F.hex(F.expr("substring(__m, CAST(__p DIV 8 AS INT) + 1, 1)")), 16, 10).cast("int")
+    met = at.join(F.broadcast(bitmap), "__g").filter(F.getbit(byte, (F.col("__p") % 8).cast("int")) == 1)
+    return met.select(*rows.columns)
 
 
 def without(i: Column) -> Column:
-    """The words of the line but the i-th (from 1)."""
-    return F.concat(F.slice("w", 1, i - 1), F.slice("w", i + 1, F.greatest(F.col("n") - i, F.lit(0))))
+    """The words of the line but the i-th (from 1), joined by spaces."""
+    return F.concat_ws(" ", F.nullif(part_of(i - 1), F.lit("")), F.nullif(part_of(i - F.col("n")), F.lit("")))
 
 
 def within_one_edit(a: Column, b: Column) -> Column:
@@ -76,29 +114,41 @@ def within_one_edit(a: Column, b: Column) -> Column:
 
 def kept_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text", min_words: int = 5) -> DataFrame:
     """``doc`` and ``line`` of every line with words that stays."""
-    lines = lines_of(docs, id_column, text)
-    first = lines.select("at", "n", "h1", "h2", F.when(F.col("n") >= min_words, ends(lines, min_words)).alias("ends"))
-    unique = materialize(first.groupBy("h1", "h2", "n").agg(F.min("at").alias("at"), F.first("ends").alias("ends")), "lines")
-
-    parts = unique.filter(F.col("n") >= min_words).select("at", F.explode("ends").alias("end"))
-    shared = parts.groupBy("end").agg(F.min("at").alias("low"), F.max("at").alias("high")).filter("low < high").select("end")
-    partners = parts.join(shared, "end", "left_semi").select("at").distinct()
-    able = materialize(lines.join(partners, "at", "left_semi").dropDuplicates(["at", "h1", "h2"]), "lines-able")
+    raw = raw_lines(docs, id_column, text)
+    names = ["e0", "e1", "e2", "e3"]
+    first = lines_of(raw).select("at", "n", "h1", "h2", *[e.alias(k) for e, k in zip(ends(min_words), names, strict=True)])
+    unique = materialize(first.groupBy("h1", "h2", "n").agg(F.min("at").alias("at"), *[F.first(k).alias(k) for k in names]), "lines")
+
+    parts = unique.filter(F.col("n") >= min_words).select("at", F.explode(F.array_compact(F.array(*names))).alias("end"))
+    shared = parts.groupBy("end").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("end")
+    partners = materialize(parts.join(shared, "end", "left_semi").groupBy("at").agg(F.lit(1).alias("one")).select("at"), "lines-partners")
+    # Only lines with a possible partner are moved with their words. (An inner join: a semi join would
+    # be pushed below the bitmap.)
+    able = lines_of(maybe_in(raw, partners, "at").join(partners, "at")).dropDuplicates(["at", "h1", "h2"])
+    able = materialize(able.select("at", "s", "n"), "lines-able")
 
     i = F.explode(F.sequence(F.lit(1), F.col("n"))).alias("i")
-    out = able.select("at", "n", "w", i).select("at", "i", (F.col("n") - 1).alias("m"), F.xxhash64(without(F.col("i"))).alias("v"), F.hash(without(F.col("i"))).alias("v2"))
-    variants = materialize(out, "line-variants")
-    whole = able.select("at", F.col("n").alias("m"), F.col("h1").alias("v"), F.col("h2").alias("v2"))
-    key = ["v", "v2", "m"]
-    replaced = variants.groupBy(*key, "i").agg(F.min("at").alias("low"), F.max("at").alias("high")).filter("low < high").drop("high")
-    shorter = whole.groupBy(*key).agg(F.min("at").alias("low"))
-    longer = variants.groupBy(*key).agg(F.min("at").alias("low"))
-    found = variants.join(replaced, [*key, "i"]).select("at", "low").unionByName(variants.join(shorter, key).select("at", "low")).unionByName(whole.join(longer, key).select("at", "low"))
-    pairs = found.filter("low < at").groupBy("at").agg(F.collect_set("low").alias("lows")).select("at", F.explode("lows").alias("low"))
-    text_of = able.groupBy("at").agg(F.first("w").alias("w"))
-    checked = pairs.join(text_of, "at").join(text_of.select(F.col("at").alias("low"), F.col("w").alias("x")), "low")
-    gone = checked.filter(within_one_edit(F.col("w"), F.col("x"))).select("at").distinct()
-    return unique.join(gone, "at", "left_anti").select("at.doc", "at.line")
+    left_out = able.select("at", "n", "s", i).select("at", "i", (F.col("n") - 1).alias("m"), F.xxhash64(without(F.col("i"))).alias("v"))
+    whole = able.select("at", F.lit(0).alias("i"), F.col("n").alias("m"), F.xxhash64("s").alias("v"))
+    keys = materialize(left_out.unionByName(whole), "line-variants")
+    again = keys.groupBy("v", "m").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("v", "m")
+    again = materialize(again, "line-variants-met")
+    met = materialize(maybe_in(keys, again, "v").join(again, ["v", "m"]), "line-variants-able")
+
+    # i = 0: the whole line. Lines that leave out the same place are one replacement apart; a whole
+    # line is one deletion apart from those that give it. So each looks at the earliest of its kind.
+    earliest = met.groupBy("v", "m", "i").agg(F.min("at").alias("low"))
+    longer = earliest.filter("i > 0").groupBy("v", "m").agg(F.min("low").alias("low")).withColumn("i", F.lit(0))
+    shorter = earliest.filter("i = 0").drop("i")
+    found = met.join(earliest.filter("i > 0").unionByName(longer), ["v", "m", "i"]).select("at", "low")
+    found = found.unionByName(met.filter("i > 0").join(shorter, ["v", "m"]).select("at", "low"))
+    pairs = found.filter("low < at").distinct()
+    words = able.groupBy("at").agg(F.first("s").alias("s"))
+    checked = pairs.join(words, "at").join(words.select(F.col("at").alias("low"), F.col("s").alias("x")), "low")
+    gone = checked.filter(within_one_edit(F.split("s", " "), F.split("x", " "))).select("at").distinct()
+    line = F.pmod("at", F.lit(LINES).cast("decimal(10,0)"))
+    kept = unique.join(gone, "at", "left_anti").select("at", line.alias("line"))
+    return kept.select(((F.col("at") - F.col("line")) / F.lit(LINES).cast("decimal(10,0)")).cast("decimal(38,0)").cast("long").alias("doc"), F.col("line").cast("int").alias("line"))
 
 
 def marks(docs: DataFrame, id_column: str = "doc_id", text: str = "text", min_words: int = 5) -> DataFrame:
