@@ -162,9 +162,10 @@ def links(fps: DataFrame, limit: int = 4, block: int = 64) -> DataFrame:
     )
 
     def crowd(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        values, mine = group["fp"].to_numpy(np.int64), group["mine"].to_numpy()
+        # Unsigned: numpy counts the bits of the absolute value of a signed number.
+        values, mine = group["fp"].to_numpy(np.int64).view(np.uint64), group["mine"].to_numpy()
         i, j = key[2], key[3]
-        got = forest(values, None, limit) if i == j else forest(values[mine == i], values[mine == j], limit)
+        got = [(signed(a), signed(b)) for a, b in (forest(values, None, limit) if i == j else forest(values[mine == i], values[mine == j], limit))]
         return pd.DataFrame({"a": [min(e) for e in got], "b": [max(e) for e in got]}, dtype="int64")
 
     crowded = tasks.groupBy("slot", "part", "i", "j").applyInPandas(crowd, "a long, b long")
