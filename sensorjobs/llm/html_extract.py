@@ -153,6 +153,19 @@ LABELLED = (
     "<table><tr><td><a href=a>-Index</a></td><td><p>+The committee met on three evenings and heard all of the people who had asked to speak about the bridge and its costs.</p></td></tr></table><p><a href=n>-next page</a></p>",
     "<main><h1>+Report</h1><p>+Yes.</p><p>+See <a href=x>+the annex</a> for the full list of the places that were visited.</p><div class=share>-Share this with your friends</div></main><footer><a href=z>-Terms</a></footer>",
     "<div><h3>-Popular</h3><a href=1>-First</a> <a href=2>-Second</a> <a href=3>-Third</a></div><div><h1>+Snow</h1><p>+It fell for nine days and covered the fences, the low walls and at last the signposts at the crossing of the two roads.</p><p>+On the tenth day the sun came out and the children dug a tunnel from the school to the bakery and back to the square.</p></div>",
+    "<article><p>+Only this line.</p></article>",
+    "<div class=ad>-This week only every lamp, chair and table in our large store by the river is sold at half the price, and we bring it to your door.</div><article><p>+A word.</p></article><footer>-All texts and pictures on these pages belong to their authors and must not be copied, sold or printed without a letter from the publisher.</footer>",
+    "<div id=cookie-consent>-We and our partners keep small files on your machine to measure how the pages are read, and you may change your mind about this at any time.</div><main><p>+The bell rang.</p></main><section id=comments><p>-I have lived beside this bell for thirty years now and I can tell you that nobody who writes about it has ever slept in our street.</p></section>",
+    "<aside>-Our writers have walked these hills for many years and put all they know into a small book that you can order by mail from the office.</aside><div><p>+The path begins behind the church and climbs through beech woods to a spring, from which one sees the whole valley on a clear day.</p></div>",
+    "<form>-Tell us what you think about the new pages, and leave a number at which we can call you back in the evening or on a free day.</form><div><p>+Two ferries cross the sound each day in winter, and in summer there are six, of which the first and the last carry no cars at all.</p></div>",
+    "<nav>-Here you find all that the library has collected about the town, its bridges and its people, in the order in which it was found.</nav><article><h2>+Bridges</h2><p>+Nine stand.</p></article>",
+    "<article><h1>+The mill</h1><p>+The page ends here without any footer.</p></article>",
+    "<main><p>+One</p><p>+Two</p></main>",
+    "<article><p>+It rained.</p><p>+Then <a href=x>+the flood came</a></p></article>",
+    "<div>-Welcome to the site</div><article><p>+Short text.</p></article><div>-Terms of use</div><div>-Made with care in a small town</div>",
+    "<div>-Sections</div><div>-World</div><div>-Culture</div><article><p>+Fine.</p><p>+Rain.</p></article><div>-Printed on paper</div>",
+    "<div>-Skip to content</div><div>-Read this paper at home</div><main><p>+A note of four</p></main><div>-Call us</div>",
+    "<div>-Today</div><div><p>+The council voted late in the evening, after a long debate on the price of water and the state of the pipes under the old town.</p></div><div>-Weather</div>",
     "<div class=newsletter>-Get our letter every week with all that is new</div><article><header>-By the staff, at noon</header><h1>+Tide tables</h1><p>+High water comes fifty minutes later every day.</p><div><p>+Add an hour in summer.</p></div></article><nav><a href=p>-Back</a></nav>",
 )
 
