@@ -19,11 +19,11 @@ def hourly_avg(spark: SparkSession, d: str) -> DataFrame:
     return base.hourly(spark, d).select("station_code", "variable_code", stamp("hour").alias("hour"), r("value_avg").alias("value_avg"))
 
 
-@query("region_moments", f"WITH {READ}{REG} SELECT region_id, {ts('hr')} AS hour, {rd('pavg')} AS pm2_5_avg, {rd('pmax')} AS pm2_5_max, {rd('pstd')} AS pm2_5_std, {rd('pm2', 3)} AS pm2_5_m2, {rd('pm3', 1)} AS pm2_5_m3, {rd('aavg')} AS aqi_avg, amax AS aqi_max, lmax AS level_region_max FROM rg")
+@query("region_moments", f"WITH {READ}{REG} SELECT region_id, {ts('hr')} AS hour, {rd('pavg')} AS pm2_5_avg, {rd('pmax')} AS pm2_5_max, {rd('pstd')} AS pm2_5_std, {rd('pm2', 8)} AS pm2_5_m2, {rd('pm3', 0)} AS pm2_5_m3, {rd('aavg')} AS aqi_avg, amax AS aqi_max, lmax AS level_region_max FROM rg")
 def region_moments(spark: SparkSession, d: str) -> DataFrame:
     rows = base.calibrated(spark, d).join(base.stations(spark, d).select(F.col("code").alias("station_code"), fn.surrogate_key(F.col("region_code")).alias("region_id")), "station_code")
     out = gold.region_moments(rows)
-    return out.select("region_id", stamp("hour").alias("hour"), *[r(c, k).alias(c) for c, k in (("pm2_5_avg", 6), ("pm2_5_max", 6), ("pm2_5_std", 6), ("pm2_5_m2", 3), ("pm2_5_m3", 1), ("aqi_avg", 6))], "aqi_max", "level_region_max")
+    return out.select("region_id", stamp("hour").alias("hour"), *[r(c, k).alias(c) for c, k in (("pm2_5_avg", 6), ("pm2_5_max", 6), ("pm2_5_std", 6), ("pm2_5_m2", 8), ("pm2_5_m3", 0), ("aqi_avg", 6))], "aqi_max", "level_region_max")
 
 
 @query("skew_from_moments", f"SELECT event_type, user_id, {rd('CASE WHEN stddev_pop(value) = 0 THEN NULL ELSE (avg(pow(value, 3)) - 3 * avg(value) * avg(pow(value, 2)) + 2 * pow(avg(value), 3)) / pow(stddev_pop(value), 3) END', 4)} AS skew FROM events GROUP BY ALL HAVING stddev_pop(value) > 1")
