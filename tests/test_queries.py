@@ -5,7 +5,7 @@ from __future__ import annotations
 import compare
 import pytest
 
-from sensorjobs.plans import base, core, ingest, marts  # noqa: F401
+from sensorjobs.plans import base, core, ingest, marts, pipelines  # noqa: F401
 
 
 @pytest.fixture(scope="module")
