@@ -47,19 +47,26 @@ FURNITURE_ROLES = frozenset("navigation banner contentinfo complementary search
 FURNITURE_WORDS = frozenset(
     "ad ads adv advert advertisement advertising sponsor sponsored promo promotion banner sidebar comment comments reply replies respond disqus nav navbar navigation menu breadcrumb breadcrumbs footer header masthead topbar cookie cookies consent gdpr notice alert popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended widget toolbar pagination pager search form hidden copyright disclaimer outbrain taboola".split()
 )
+LAYOUT_WORDS = frozenset("with without has no hide show free".split())
 NAME_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 
 FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "in_main", "furniture", "heading")
 
 
+def is_furniture(name: str) -> bool:
+    """Whether a class or id name has a word of page furniture; 'with-sidebar' and its like tell of the page around."""
+    words = [w.lower() for w in NAME_WORDS.findall(name)]
+    return not LAYOUT_WORDS.intersection(words) and not FURNITURE_WORDS.isdisjoint(words)
+
+
 def encloses(name: str, attrs: str) -> tuple[bool, bool]:
     """Whether an element is the main part, and whether it is furniture."""
     main, odd = name in MAIN, name in FURNITURE_TAGS
     for m in NAMED.finditer(attrs) if attrs else ():
         key, value = m[1].lower(), (m[2] or "").strip("\"'")
         if key in ("class", "id"):
-            odd = odd or any(w.lower() in FURNITURE_WORDS for w in NAME_WORDS.findall(value))
+            odd = odd or any(is_furniture(n) for n in value.split())
         elif key == "role":
             main = main or value.lower() in ("main", "article")
             odd = odd or value.lower() in FURNITURE_ROLES

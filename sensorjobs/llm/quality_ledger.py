@@ -174,3 +174,27 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         base_failed.alias("base_failed"), "kept", "fail_mask",
     )
+
+
+def _oracle() -> str:
+    """The ledger and the current policy in DuckDB SQL, on whole texts."""
+    listed = ", ".join(f"'{w}'" for w in INSULTS)
+    gone = lambda chars: f"length(t) - length(regexp_replace(t, '{chars}', '', 'g'))"
+    bits = " + ".join(f"CASE WHEN {r.fails} THEN {1 << r.bit} ELSE 0 END" for r in RULES)
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT r, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM d),
+g AS (SELECT r, k, concat_ws(' ', w[k], w[k + 1], w[k + 2]) AS s FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS k FROM w WHERE len(w) > 2)),
+rp AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(k, k + 3)) AS p FROM (SELECT r, k, count(*) OVER (PARTITION BY r, s) AS c FROM g) WHERE c > 1) GROUP BY r),
+l AS (SELECT r, count(*) AS n, count(DISTINCT x) AS u FROM (SELECT r, unnest(string_split(t, chr(10))) AS x FROM d) WHERE regexp_matches(x, '[^\x20\x09-\x0D]') GROUP BY r),
+i AS (SELECT r, count(*) AS n FROM (SELECT r, unnest(regexp_extract_all(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS x FROM d) WHERE x IN ({listed}) GROUP BY r),
+m AS (SELECT d.doc_id, len(w.w)::BIGINT AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars, ({gone('[#*$%&|<>]')})::BIGINT AS n_symbols,
+  coalesce(l.n - l.u, 0)::BIGINT AS n_dup_lines, coalesce(rp.n, 0)::BIGINT AS n_repeat_words, coalesce(l.n, 0) AS n_lines, {gone('[A-Z]')} AS n_upper, {gone('[a-z]')} AS n_lower,
+  (length(t) - length(replace(t, '!!', ''))) // 2 AS n_bangs, coalesce(i.n, 0) AS n_insults
+  FROM d JOIN w USING (r) LEFT JOIN l USING (r) LEFT JOIN rp USING (r) LEFT JOIN i USING (r)),
+f AS (SELECT *, ({bits})::BIGINT AS fail_mask FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail_mask & {BASE} <> 0 AS base_failed, fail_mask & {POLICIES[CURRENT]} = 0 AS kept, fail_mask FROM f
+"""
+
+
+ORACLE = _oracle()

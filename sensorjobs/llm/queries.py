@@ -23,5 +23,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op2_decontaminate": decontaminate.ORACLE,
+    "op3_quality_ledger": quality_ledger.ORACLE,
     "op10_line_dedup": line_dedup.ORACLE,
 }

@@ -55,6 +55,8 @@ PAGES = [
     ("<article><p>Yes.</p><div class='promo-box'>Buy it now</div><ul><li>a</li><li>b</li></ul></article><div id='comments'><p>I was here and liked it a lot</p></div>", "Yes. a b"),
     ("<article><p>cut off <b>here</b> and a tag <a href=", "cut off here and a tag"),
     ("<header>Site</header><article><aside>Side note of some words</aside><p>Body</p></article><form>Mail <input><button>Send</button></form>", "Body"),
+    ("<div class='layout with-sidebar no-ads'><main class='has-menu'><p>Main words</p></main><div class='sidebar-left'>Links of the week</div></div>", "Main words"),
+    ("<article><p>first<br>second</p><table><tr><td>cell</td><td>next</td></tr></table><div class='postComments'>nice</div></article>", "first second cell next"),
     ("", ""), (None, ""), ("<p></p>", ""), ("<!-- never closed <p>text", ""),
     ("<article><style>p{}</style><p style='display: none'>hidden</p><p>shown &lt;b&gt; &#233;</p></article>", "shown <b> é"),
 ]
