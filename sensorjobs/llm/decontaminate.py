@@ -278,14 +278,18 @@ def remove_spans(docs: DataFrame, bench: DataFrame, text: str = "text", window:
     Returns the columns of ``docs``. Documents without hits stay as they are.
     """
     names = docs.columns
-    hit = match(docs, bench, names, text=text, window=window, **options)
+    # Under names of their own, so that no column of the documents meets one of the operator.
+    own = [f"c{i}__" for i in range(len(names))]
+    words = own[names.index(text)]
+    hit = match(docs.toDF(*own), bench, own, text=words, window=window, **options)
 
     @F.pandas_udf("string")
     def cut_all(texts: pd.Series, spans: pd.Series) -> pd.Series:
         return pd.Series([cut(t, list(s)) for t, s in zip(texts, spans, strict=True)], dtype="object")
 
     few = hit.filter(F.col("n_hit") <= most_coverage * F.col("n_words"))
-    return few.withColumn(text, F.when(F.col("n_hit") > 0, cut_all(F.col(f"`{text}`"), F.col("spans"))).otherwise(F.col(f"`{text}`"))).select(*[f"`{c}`" for c in names])
+    left = few.withColumn(words, F.when(F.col("n_hit") > 0, cut_all(F.col(words), F.col("spans"))).otherwise(F.col(words)))
+    return left.select(*[F.col(o).alias(n) for o, n in zip(own, names, strict=True)])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

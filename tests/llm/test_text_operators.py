@@ -126,6 +126,7 @@ def test_decontaminate_odd_rows(spark, odd, none):
     assert decontaminate.match(odd, bench.filter("false"), ["doc_id"]).filter("n_hit > 0").count() == 0
     left = decontaminate.remove_spans(odd, bench)
     assert left.columns == odd.columns and left.filter("doc_id in (4, 5)").count() == 0 and left.count() == len(ODD) - 3
+    assert {r.n_words for r in left.collect()} == {r[3] for r in ODD if r[0] not in (4, 5)}
 
 
 def test_cut():
