@@ -54,7 +54,7 @@ def bbox_text(lat: Column, lon: Column, km: float = 5.0) -> Column:
 
 
 def display_name(name: Column, properties: Column) -> Column:
-    """The name, prefixed by the network that the JSON properties name."""
+    """The name, prefixed by the network that the JSON properties name (the networks' names are fixed values of the data)."""
     source = F.lower(F.coalesce(F.get_json_object(properties, "$.source"), F.lit("")))
     return F.when(source == "fiuna", F.concat(F.lit("FIUNA: "), name)).when(source == "airelibre", F.concat(F.lit("AireLibre: "), name)).otherwise(name)
 

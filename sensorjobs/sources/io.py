@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+#: The feature columns in the order models expect.
 FEATURE_COLUMNS = (
     "pm1", "pm2_5", "pm10", "pm2_5_avg_6h", "pm2_5_max_6h", "pm2_5_skew_6h", "pm2_5_std_6h",
     "aqi_pm2_5", "aqi_pm10", "aqi_level", "aqi_pm2_5_max_24h", "aqi_pm2_5_skew_24h", "aqi_pm2_5_std_24h",
