@@ -90,17 +90,23 @@ def stage_weather_source(raw: DataFrame, station_code: str, source: str = "Meteo
 
 
 def unpivot_measurements(wide: DataFrame, source: Source) -> DataFrame:
-    """One row a variable that has a value; text and number are both kept. No shuffle."""
+    """One row a variable that has a value; text and number are both kept. No shuffle.
+
+    Columns that are all doubles are exploded as numbers: their text is then made only where it is used.
+    """
     none = lambda kind: F.lit(None).cast(kind)
-    cells = F.array(*[F.struct(F.lit(v).alias("variable_code"), F.col(c).cast("string").alias("value_raw")) for v, c in source.variables.items()])
+    doubles = all(wide.schema[c].dataType.typeName() == "double" for c in source.variables.values() if c in wide.columns)
+    kind = "double" if doubles else "string"
+    cells = F.array(*[F.struct(F.lit(v).alias("variable_code"), F.col(c).cast(kind).alias("value")) for v, c in source.variables.items()])
     long = wide.select(
         F.col(source.row_id).alias("source_row_id"), F.col(source.extracted_at).alias("extracted_at"), F.col(source.station_code).alias("station_code"),
         F.lit(source.name).alias("data_source_name"), F.col(source.measured_at).alias("measured_at_parsed"),
         (F.col(source.cursor_id).cast("bigint") if source.cursor_id else none("bigint")).alias("cursor_id"),
-        (F.col(source.is_valid) if source.is_valid else none("boolean")).alias("is_measured_at_valid"),
-        F.explode(F.filter(cells, lambda x: x["value_raw"].isNotNull())).alias("x"),
+        (F.col(source.is_valid) if source.is_valid else none("boolean")).alias("is_measured_at_valid"), F.explode(cells).alias("x"),
     )
-    return long.select("*", "x.variable_code", "x.value_raw", F.expr("try_cast(x.value_raw AS double)").alias("value_parsed")).drop("x").filter(F.col("value_parsed").isNotNull())
+    number = F.col("x.value") if doubles else F.expr("try_cast(x.value AS double)")
+    out = long.select("*", "x.variable_code", F.col("x.value").cast("string").alias("value_raw"), number.alias("value_parsed")).drop("x")
+    return out.filter(F.col("value_parsed").isNotNull())
 
 
 def long_union(staged: Mapping[str, DataFrame], registry: Sequence[Source]) -> DataFrame:
@@ -122,8 +128,8 @@ def variable_subset_filter(long: DataFrame, codes: Sequence[str] = MART_VARIABLE
 
 
 def pivot_wide(long: DataFrame, keys: Sequence[str], codes: Sequence[str], value: str = "value_parsed") -> DataFrame:
-    """One column a variable (given, so no pass over the data to find them), greatest value of each key."""
-    return long.groupBy(*keys).pivot("variable_code", list(codes)).agg(F.max(value))
+    """One column a variable (given, so no pass over the data to find them), greatest value of each key. One grouping."""
+    return long.groupBy(*keys).agg(*[F.max(F.when(F.col("variable_code") == c, F.col(value))).alias(c) for c in codes])
 
 
 def pivot_hourly(hourly: DataFrame, names: Mapping[str, str], keys: Sequence[str] = ("station_code", "hour"), value: str = "value_avg") -> DataFrame:
