@@ -1,0 +1,179 @@
+"""Near-copies by the similarity of their five-word shingles, for the pipeline.
+
+Two documents are linked if the Jaccard similarity of their sets of shingles is at least 0.8. Candidates
+share a band of ``ROWS`` MinHash values; every candidate is verified on the whole sets before it
+is linked. Of ``BANDS`` bands a pair of similarity 0.8 shares none with a probability of 1.3e-7
+(``(1 - 0.8 ** 5) ** 40``), a more similar one with less.
+
+* Equal shingle sets collapse before anything is joined, so copies cost one row.
+* A band value shared by few documents is joined in the JVM; each pair is verified once.
+* A value shared by many is cut into blocks; each pair of blocks is a task of its own that returns a
+  spanning forest of its links, so a crowd gives links in proportion to its size.
+
+Defined results
+---------------
+* texts of fewer words than a shingle: the whole sequence is the only shingle; null, empty and blank
+  texts have the empty sequence, so they are copies of each other;
+* repeated rows: one stays; null ids: the row stays, its id takes no part in the choice;
+* empty table: empty result; all columns of the input are kept.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from sensorjobs.llm.common import map_texts, materialize, small_batches
+from sensorjobs.llm.line_dedup import maybe_in
+from sensorjobs.llm.simhash_dedup import components, signed
+
+WIDTH = 5
+LEAST = 0.8
+ROWS = 5
+BANDS = 40
+
+_random = np.random.default_rng(42)
+#: Odd factors and offsets of the MinHash functions (fixed by the seed).
+FACTORS = (_random.integers(0, 1 << 31, ROWS * BANDS, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
+OFFSETS = _random.integers(0, 1 << 32, ROWS * BANDS, dtype=np.uint32)
+
+
+def shingles_of(text: bytes | None, width: int = WIDTH, seed: int = 42) -> np.ndarray:
+    """The sorted distinct hashes of a text's shingles."""
+    words = (text or b"").lower().split()
+    xxh64 = xxhash.xxh64_intdigest
+    joined = b" ".join(words)
+    if len(words) <= width:
+        return np.array([xxh64(joined, seed)], np.uint64)
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+    starts = np.concatenate(([0], ends[:-1] + 1))
+    spans = zip(starts[: len(words) - width + 1].tolist(), ends[width - 1 :].tolist(), strict=True)
+    return np.unique(np.array([xxh64(joined[a:b], seed) for a, b in spans], np.uint64))
+
+
+def bands_of(shingles: np.ndarray) -> list[int]:
+    """A hash of each band of MinHash values."""
+    h = (shingles >> np.uint64(32)).astype(np.uint32)
+    least = np.full(ROWS * BANDS, 0xFFFFFFFF, np.uint32)
+    for k in range(0, len(h), 4096):
+        least = np.minimum(least, (FACTORS[:, None] * h[None, k : k + 4096] + OFFSETS[:, None]).min(axis=1))
+    return [signed(xxhash.xxh64_intdigest(x.tobytes(), b)) for b, x in enumerate(least.reshape(BANDS, ROWS))]
+
+
+def similar(common: np.ndarray | int, a: np.ndarray | int, b: int, least: float = LEAST) -> np.ndarray | bool:
+    """Whether sets of ``a`` and ``b`` members of which ``common`` are shared are similar enough."""
+    return common >= least * (a + b - common) - 1e-9
+
+
+def forest(sets: list[np.ndarray], side: np.ndarray | None, least: float = LEAST) -> list[tuple[int, int]]:
+    """Edges (positions in ``sets``) that connect what links connect, only links across ``side`` if it is given.
+
+    Each member that is reached is compared with all that are not, so an edge is emitted once for each.
+    """
+    edges: list[tuple[int, int]] = []
+    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    kinds, code = np.unique(np.concatenate(sets), return_inverse=True)
+    of = np.split(code, np.cumsum(sizes)[:-1])
+    hit = np.zeros(len(kinds), bool)
+    open_ = np.ones(len(sets), bool)
+    for start in range(len(sets)):
+        if not open_[start]:
+            continue
+        open_[start] = False
+        queue = [start]
+        while queue and open_.any():
+            at = queue.pop()
+            stay = open_[owner]
+            owner, code = owner[stay], code[stay]
+            hit[of[at]] = True
+            common = np.bincount(owner[hit[code]], minlength=len(sets))
+            hit[of[at]] = False
+            near = open_ & similar(common, sizes, sizes[at], least)
+            if side is not None:
+                near &= side != side[at]
+            found = np.flatnonzero(near).tolist()
+            edges += [(at, x) for x in found]
+            queue += found
+            open_ &= ~near
+    return edges
+
+
+def signatures(docs: DataFrame, id_column: str, text: str) -> DataFrame:
+    """``doc_id``, ``text``, ``fp`` (a hash of the set of shingles), ``size`` (its members) and ``keys`` (its bands)."""
+
+    def run(texts: list[bytes | None]) -> dict[str, list]:
+        sets = [shingles_of(t) for t in texts]
+        return {"fp": [signed(xxhash.xxh64_intdigest(s.tobytes())) for s in sets], "size": list(map(len, sets)), "keys": list(map(bands_of, sets))}
+
+    rows = docs.select(F.col(f"`{id_column}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    return map_texts(rows, ["doc_id", "text"], "text", run, "fp long, size long, keys array<long>")
+
+
+def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (``a``, ``b``) whose texts are similar enough."""
+
+    def run(batches):
+        for batch in batches:
+            a, b, x, y = batch.columns
+            keep = []
+            for s, t in zip(x.cast(pa.binary()).to_pylist(), y.cast(pa.binary()).to_pylist(), strict=True):
+                s, t = shingles_of(s), shingles_of(t)
+                keep.append(bool(similar(len(np.intersect1d(s, t, assume_unique=True)), len(s), len(t))))
+            yield pa.RecordBatch.from_arrays([a, b], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    small_batches(pairs.sparkSession)
+    left, right = texts.select(F.col("fp").alias("a"), F.col("text").alias("x")), texts.select(F.col("fp").alias("b"), F.col("text").alias("y"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+
+
+def links(own: DataFrame, single: DataFrame, block: int = 16) -> DataFrame:
+    """Links (``a``, ``b``) between distinct fingerprints that connect all that are similar enough; each link is.
+
+    ``own`` has ``fp`` and ``text`` of every document, ``single`` one row of ``fp``, ``size`` and ``keys`` for each ``fp``.
+    """
+    keyed = single.select("fp", "size", F.explode("keys").alias("key"))
+    counted = keyed.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("key"))).filter("n > 1")
+    counted = materialize(counted, "near-keys")
+    few = counted.filter(F.col("n") <= block)
+    a, b = few.select("key", F.col("fp").alias("a"), F.col("size").alias("p")), few.select("key", F.col("fp").alias("b"), F.col("size").alias("q"))
+    # Sets of too different sizes cannot be similar enough.
+    close = F.least("p", "q") >= F.lit(LEAST) * F.greatest("p", "q") - F.lit(1e-9)
+    pairs = materialize(a.join(b, "key").filter((F.col("a") < F.col("b")) & close).select("a", "b").distinct(), "near-pairs")
+
+    many = counted.filter(F.col("n") > block)
+    wanted = materialize(pairs.select(F.col("a").alias("fp")).unionByName(pairs.select(F.col("b").alias("fp"))).unionByName(many.select("fp")).distinct(), "near-wanted")
+    # Rows are combined by fingerprint before the join, so copies do not meet in one task.
+    texts = maybe_in(own.select("fp", "text"), wanted, "fp").groupBy("fp").agg(F.first("text").alias("text"))
+    texts = materialize(texts.join(wanted, "fp", "left_semi"), "near-texts")
+
+    chunk = 64 * block
+    parts = F.ceil(F.col("n") / chunk).cast("int")
+    many = many.withColumn("parts", parts).withColumn("mine", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    tasks = many.select("key", "fp", "mine", other.alias("other")).select("key", "fp", "mine", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
+
+    def crowd(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        fps, mine = group["fp"].to_numpy(np.int64), group["mine"].to_numpy()
+        sets = [shingles_of(t.encode() if t else None) for t in group["text"]]
+        got = [(int(fps[x]), int(fps[y])) for x, y in forest(sets, None if key[1] == key[2] else mine)]
+        return pd.DataFrame({"a": [min(e) for e in got], "b": [max(e) for e in got]}, dtype="int64")
+
+    crowded = tasks.join(texts, "fp").groupBy("key", "i", "j").applyInPandas(crowd, "a long, b long")
+    return verified(pairs, texts).unionByName(crowded).distinct()
+
+
+def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text", block: int = 16) -> DataFrame:
+    """The document with the smallest id of each component of near-copies, with its own columns."""
+    own = materialize(signatures(docs, id_column, text), "near-docs")
+    single = own.groupBy("fp").agg(F.min("doc_id").alias("least_id"), F.first("size").alias("size"), F.first("keys").alias("keys"))
+    single = materialize(single, "near-single")
+    found = components(links(own, single, block)).withColumnRenamed("node", "fp")
+    rooted = single.filter("least_id IS NOT NULL").select("fp", "least_id").join(found, "fp", "left")
+    stay = rooted.groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("least_id").alias("__stay")).select("__stay")
+    known = docs.filter(F.col(f"`{id_column}`").isNotNull()).join(stay, F.col(f"`{id_column}`") == F.col("__stay"), "left_semi")
+    return known.dropDuplicates([id_column]).unionByName(docs.filter(F.col(f"`{id_column}`").isNull()))
