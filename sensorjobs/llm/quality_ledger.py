@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorjobs.llm.common import map_texts
+from sensorjobs.llm.common import map_texts, materialize
 
 #: Characters counted by ``n_symbols`` (fixed by the operator's contract).
 SYMBOLS = b"#*$%&|<>"
@@ -88,6 +88,28 @@ def measure(texts: list[bytes | None], insults: frozenset[bytes]) -> dict[str, l
     return out
 
 
+#: Labelled documents that the insults are learnt from at most.
+SAMPLE = 20_000
+
+
+def learned_insults(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, least_documents: int = 5, odds: float = 20.0, text: str = "text") -> tuple[str, ...]:
+    """Words that tell toxic documents from others, in any language, from at most ``sample`` labels in hash order.
+
+    The same test as the lexicon of ``site_quality.fit``, over the whole sample: nothing else is fitted on it.
+    """
+    usable = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").select("doc_id", "toxic").distinct()
+    few = usable.orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(sample)
+    # The sample is bounded, so it can be sent to the documents.
+    rows = materialize(docs.select("doc_id", F.col(f"`{text}`").alias("text")).join(F.broadcast(few), "doc_id"), "ledger-sample")
+    toxic, clean = F.col("toxic") == 1, F.col("toxic") != 1
+    words = F.array_distinct(F.split(F.lower(F.coalesce("text", F.lit(""))), "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"))
+    n_bad, n_fine = rows.agg(F.count_if(toxic), F.count_if(clean)).first()
+    by_word = rows.select("toxic", F.explode(words).alias("word")).filter("word <> ''").groupBy("word").agg(F.count_if(toxic).alias("bad"), F.count_if(clean).alias("fine"))
+    telling = by_word.filter((F.col("bad") >= least_documents) & ((F.col("bad") + 0.5) / (n_bad + 1) >= odds * (F.col("fine") + 0.5) / (n_fine + 1)))
+    # No more words than the bounded sample has.
+    return tuple(sorted(r["word"] for r in telling.select("word").toLocalIterator()))
+
+
 @dataclass(frozen=True)
 class Rule:
     """One rule: its bit, its name and the SQL condition under which a document fails it."""

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sensorjobs.llm import jaccard_dedup
+from sensorjobs.llm import jaccard_dedup, quality_ledger
 
 ODD_SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
@@ -71,3 +71,28 @@ def test_pipeline_drops_edited_copies(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter(F.col("doc_id").isin(1, 255, 709, 944, 643, 770, 582, 875, 3))
     got = corpus_pipeline.near_duplicates(spark, docs, "")
     assert sorted(r.doc_id for r in got.collect()) == [1, 3, 582, 643, 709]
+
+
+def test_insults_of_all_languages(spark):
+    """Learnt on three quarters of the labels, tried on the rest: toxic documents go in each language, others stay."""
+    d = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
+    unseen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 0
+    learned = quality_ledger.learned_insults(docs, labels.filter(~unseen))
+    ledger = quality_ledger.build_ledger(docs, ["doc_id", "lang"], insults=quality_ledger.INSULTS + learned)
+    abused = F.expr(next(r.fails for r in quality_ledger.RULES if r.name == "abuse"))
+    rows = ledger.withColumn("abused", abused).join(labels.filter(unseen), "doc_id").groupBy("lang", "toxic").agg(F.avg(F.col("abused").cast("int")).alias("share"), F.count("*").alias("n")).collect()
+    share = {(r.lang, r.toxic): r.share for r in rows}
+    assert {k[0] for k in share} == {"de", "en", "es", "fr"}
+    assert all(v >= 0.8 if toxic else v <= 0.03 for (_, toxic), v in share.items()), [tuple(r) for r in rows]
+    clean = [r for r in rows if not r.toxic]
+    assert sum(r.share * r.n for r in clean) <= 0.01 * sum(r.n for r in clean)
+    assert quality_ledger.learned_insults(docs, labels.limit(0)) == ()
+
+
+def test_stage_of_rules_knows_all_languages(spark):
+    """The stage itself drops toxic documents that are not English."""
+    d = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
+    kept = corpus_pipeline.quality_rules(spark, docs, d)
+    assert kept.join(labels.filter("toxic = 1"), "doc_id", "left_semi").count() <= 10
