@@ -88,23 +88,32 @@ def draw_blocks(rows: DataFrame, n_shards: int = 16, passes: int = 2, seed: int
     return null_safe_join(blocks.drop("words"), drawn, ["__s", "__b"], "left")
 
 
-def _draws(before: Column) -> Column:
-    """A document's draws: its words in each pass in which its block is drawn."""
-    words = lambda d: F.when(d["whole"], F.col("size")).otherwise(F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), d["words"] - before)))
+def _draws(before: Column, whole: bool = False) -> Column:
+    """A document's draws: its words in each pass in which its block is drawn.
+
+    The document in which a block's words end gives the words up to there; with ``whole``, all of
+    them or none, whichever is nearer.
+    """
+    some = lambda d: F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), d["words"] - before))
+    given = (lambda d: F.when(2 * some(d) >= F.col("size"), F.col("size")).otherwise(F.lit(0).cast("long"))) if whole else some
+    words = lambda d: F.when(d["whole"], F.col("size")).otherwise(given(d))
     every = F.transform("__d", lambda d: F.struct(d["pass"].alias("pass"), d["shard"].alias("shard"), words(d).alias("words")))
     return F.filter(F.coalesce(every, F.array().cast("array<struct<pass:int,shard:int,words:bigint>>")), lambda d: d["words"] > 0)
 
 
-def mix(rows: DataFrame, id_column: str = "doc_id", **options) -> DataFrame:
-    """From ``sized`` rows: every document with ``source_size``, ``target``, ``draws`` and ``taken``."""
+def mix(rows: DataFrame, id_column: str = "doc_id", whole: bool = False, **options) -> DataFrame:
+    """From ``sized`` rows: every document with ``source_size``, ``target``, ``draws`` and ``taken``.
+
+    With ``whole`` no document is cut: a source misses its quota by half a document at most.
+    """
     plan = materialize(draw_blocks(rows, **options), "mix-plan")
     joined = null_safe_join(rows, plan, ["__s", "__b"], "left")
     cut = F.coalesce(F.exists("__d", lambda d: ~d["whole"]), F.lit(False))
-    whole = joined.filter(~cut).withColumn("draws", _draws(F.lit(0).cast("long")))
+    uncut = joined.filter(~cut).withColumn("draws", _draws(F.lit(0).cast("long")))
     order = Window.partitionBy("__s", "__b").orderBy("__r", f"`{id_column}`", "size").rowsBetween(Window.unboundedPreceding, -1)
     part = joined.filter(cut).withColumn("__before", F.coalesce(F.sum("size").over(order), F.lit(0)))
-    part = part.withColumn("draws", _draws(F.col("__before"))).drop("__before")
-    out = whole.unionByName(part)
+    part = part.withColumn("draws", _draws(F.col("__before"), whole)).drop("__before")
+    out = uncut.unionByName(part)
     taken = F.aggregate("draws", F.lit(0).cast("long"), lambda acc, d: acc + d["words"])
     return out.withColumn("taken", taken).drop("__s", "__b", "__d")
 

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sensorjobs.llm import jaccard_dedup, quality_ledger
+from sensorjobs.llm import jaccard_dedup, quality_ledger, source_mixing
 
 ODD_SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
@@ -96,3 +96,14 @@ def test_stage_of_rules_knows_all_languages(spark):
     docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
     kept = corpus_pipeline.quality_rules(spark, docs, d)
     assert kept.join(labels.filter("toxic = 1"), "doc_id", "left_semi").count() <= 10
+
+
+def test_mixed_documents_are_whole(spark):
+    """The stage cuts no text; each source stays within half of its longest document of the quota."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    out = corpus_pipeline.mix_sources(spark, docs, "")
+    assert out.join(docs.select("doc_id", F.col("text").alias("was")), "doc_id").filter("text <> was").count() == 0
+    rows = source_mixing.mix(source_mixing.sized(docs), whole=True)
+    assert rows.filter(F.exists("draws", lambda x: x["words"] != F.col("size"))).count() == 0
+    per = rows.groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target"), F.max("size").alias("most")).collect()
+    assert all(abs(r.taken - r.target) <= r.most / 2 + 1 for r in per)
