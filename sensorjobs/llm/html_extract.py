@@ -1,200 +1,311 @@
 """Main text of web pages from flat text blocks and a trained decision tree.
 
 A page is cut at block tags into flat text blocks. Each block has its word count and link density,
-those of the blocks before and after it, and what encloses it (an article, an element that by name,
-class or role is furniture, a heading). A decision tree, trained here by Spark on the small labelled
-table below, keeps or drops each block. Blocks join in page order.
+those of the blocks before and after it, and what it stands in: the main part, an element that is
+furniture by its tag, one that is by its name, a heading, a paragraph (also for both neighbours, and as
+a share of the page's unlinked words). A decision tree, trained here by Spark on the small labelled
+table below, keeps or drops each block. Tags and names are features like the others: they decide only where the labelled pages say so.
+Blocks join in page order.
 
 Defined results
 ---------------
 * null or empty html: empty text; pages without text: empty text; whole pages are read;
 * broken markup: unclosed elements end with their parent, stray end tags are ignored, an unfinished
-  tag or comment at the end of the page is no text;
+  tag or comment at the end of the page is no text; quotes count only right after an equals sign;
+* hidden elements (``hidden``, ``display:none``) and what no browser shows as text are no text;
 * repeated rows each get their own result; empty table: empty result;
-* other columns are kept if named in ``keep``.
+* other columns are kept if named in ``keep``; those named like the operator's give way.
 """
 
 from __future__ import annotations
 
 import html as entities
+import random
 import re
+from collections import Counter
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorjobs.llm.common import map_texts
 
-#: A comment, raw-text element, declaration or tag. Quoted attribute values may hold ``>``.
+#: Attributes: a quoted value begins right after the equals sign; other quotes are plain characters.
+ATTRS = r"(?:[^>=]|=(?:\s*(?:\"[^\"]*\"|'[^']*'))?)*+"
+#: A comment, raw-text element, declaration or tag.
 MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|textarea|title|iframe|svg|math|object|select|button)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)"
+    rf"|<(?P<raw>script|style|textarea|title)\b{ATTRS}(?:>|\Z).*?(?:</(?P=raw)\s*>|\Z)"
+    rf"|<(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>{ATTRS})(?:>|\Z)"
     r"|<[!?][^>]*(?:>|\Z)|</[^>]*(?:>|\Z)",
     re.S | re.I,
 )
-NAMED = re.compile(r"\b(class|id|role|style|hidden|aria-hidden)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
+NAMED = re.compile(r"(?<![^\s\"'/])(class|id|role|style|hidden)(?![^\s=/])\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
 #: Elements whose start or end begins a new block.
 BLOCK = frozenset(
-    "address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split()
+    "address article aside blockquote body br button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead tr ul".split()
 )
-#: Elements that enclose others and are followed on a stack; the rest never matter for what encloses a block.
-NEST = frozenset("article aside blockquote details dialog div dl fieldset figure footer form header main menu nav ol section table ul li p span".split()) - {"p"}
+#: Elements that are followed on a stack, since a name or tag of theirs may matter for what they enclose.
+NEST = frozenset("article aside blockquote button details dialog div dl fieldset figure footer form header iframe li main math menu nav noscript object ol p section select span svg table td template th ul".split())
+#: Elements of which another of the same name cannot stand inside: its start ends the open one.
+SINGLE = frozenset("p li td th".split())
+UNSEEN = frozenset("button iframe math noscript object select svg template".split())
+PARAGRAPH = frozenset("blockquote caption dd dt figcaption li p pre td th".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 MAIN = frozenset(("article", "main"))
 FURNITURE_TAGS = frozenset("nav footer header aside form menu dialog fieldset".split())
 FURNITURE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
-#: Words of class and id names that mark page furniture.
+#: Words of class and id names that hint at page furniture.
 FURNITURE_WORDS = frozenset(
-    "ad ads adv advert advertisement advertising sponsor sponsored promo promotion banner sidebar comment comments reply replies respond disqus nav navbar navigation menu breadcrumb breadcrumbs footer header masthead topbar cookie cookies consent gdpr notice alert popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended widget toolbar pagination pager search form hidden copyright disclaimer outbrain taboola".split()
+    "ad ads adv advert advertisement advertising sponsor sponsored promo promotion banner sidebar comment comments reply replies respond disqus nav navbar navigation menu breadcrumb breadcrumbs footer header masthead topbar cookie cookies consent gdpr notice alert popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended widget toolbar pagination pager search form copyright disclaimer outbrain taboola".split()
 )
-LAYOUT_WORDS = frozenset("with without has no hide show free".split())
+#: Words that, at the end of a name, say that it holds content, and words that negate the one after them.
+CONTENT_WORDS = frozenset("article body content entry page post story text wrapper container layout".split())
+WITHOUT_WORDS = frozenset("with without has no hide show".split())
 NAME_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
-VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 
-FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "in_main", "furniture", "heading")
+FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "in_main", "tag", "name", "heading", "paragraph", "paragraph_before", "paragraph_after", "paragraph_share")
 
 
 def is_furniture(name: str) -> bool:
-    """Whether a class or id name has a word of page furniture; 'with-sidebar' and its like tell of the page around."""
+    """Whether a class or id name hints at furniture: by one of its words, unless the word is negated or the name ends with a word of content."""
     words = [w.lower() for w in NAME_WORDS.findall(name)]
-    return not LAYOUT_WORDS.intersection(words) and not FURNITURE_WORDS.isdisjoint(words)
-
-
-def encloses(name: str, attrs: str) -> tuple[bool, bool]:
-    """Whether an element is the main part, and whether it is furniture."""
-    main, odd = name in MAIN, name in FURNITURE_TAGS
-    for m in NAMED.finditer(attrs) if attrs else ():
-        key, value = m[1].lower(), (m[2] or "").strip("\"'")
-        if key in ("class", "id"):
-            odd = odd or any(is_furniture(n) for n in value.split())
-        elif key == "role":
-            main = main or value.lower() in ("main", "article")
-            odd = odd or value.lower() in FURNITURE_ROLES
-        elif key == "style":
-            odd = odd or "display:none" in value.replace(" ", "").lower()
-        else:
-            odd = odd or value.lower() != "false"
-    return main, odd
-
-
-def blocks_of(page: str) -> list[tuple[str, tuple[float, ...]]]:
-    """The page's text blocks with their features, in order."""
-    found: list[tuple[str, int, int, bool, bool, bool]] = []
-    parts: list[str] = []
-    anchored: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []
-    main = odd = heading = anchor = False
-
-    def close() -> None:
-        if parts:
-            text = " ".join(entities.unescape("".join(parts)).split())
+    if not words or words[-1] in CONTENT_WORDS:
+        return False
+    return any(w in FURNITURE_WORDS and (k == 0 or words[k - 1] not in WITHOUT_WORDS) for k, w in enumerate(words))
+
+
+class Page:
+    """Walks the markup of one page and gathers its blocks.
+
+    ``names`` are the elements with a hinting name that enclose the current position. One that also
+    encloses the main part (a ``main`` element, or the first heading with 50 words or more) is part of the layout.
+    """
+
+    def __init__(self, page: str) -> None:
+        self.blocks: list[tuple[str, int, int, bool, int, tuple[int, ...], bool, bool]] = []
+        self.parts: list[str] = []
+        self.anchored: list[str] = []
+        self.stack: list[tuple[str, tuple]] = []
+        self.open: Counter = Counter()
+        self.main = self.hidden = self.anchor = self.heading = self.paragraph = False
+        self.tag = 0
+        self.names: tuple[int, ...] = ()
+        self.hints = 0
+        self.layout: set[int] = set()
+        self.first_headings: set[int] = set()
+        at = 0
+        for m in MARKUP.finditer(page):
+            if m.start() > at:
+                self._text(page[at : m.start()])
+            at = m.end()
+            if m["name"]:
+                self._tag(m["name"].lower(), bool(m["end"]), m["attrs"] or "")
+            elif m["raw"] and m["raw"].lower() in ("title", "textarea"):
+                self._close()
+        if at < len(page):
+            self._text(page[at:])
+        self._close()
+        if self.first_headings:
+            words = Counter()
+            for b in self.blocks:
+                for k in b[5]:
+                    words[k] += b[1]
+            self.layout |= {k for k in self.first_headings if words[k] >= 50}
+
+    def _text(self, text: str) -> None:
+        if not self.hidden:
+            self.parts.append(text)
+            if self.anchor:
+                self.anchored.append(text)
+
+    def _close(self) -> None:
+        if self.parts:
+            text = " ".join(entities.unescape("".join(self.parts)).split())
             if text:
-                linked = len(entities.unescape(" ".join(anchored)).split())
-                found.append((text, len(text.split()), linked, main, odd, heading))
-            parts.clear()
-            anchored.clear()
-
-    at = 0
-    for m in MARKUP.finditer(page):
-        if m.start() > at:
-            parts.append(page[at : m.start()])
-            if anchor:
-                anchored.append(parts[-1])
-        at = m.end()
-        name = m["name"]
-        if name is None:
-            if m["raw"] and m["raw"].lower() in ("title", "textarea", "select", "button"):
-                close()
-            continue
-        name, ends = name.lower(), bool(m["end"])
+                linked = len(entities.unescape(" ".join(self.anchored)).split())
+                self.blocks.append((text, text.count(" ") + 1, linked, self.main, self.tag, self.names, self.heading, self.paragraph))
+            self.parts.clear()
+            self.anchored.clear()
+
+    def _state(self) -> tuple:
+        return self.main, self.tag, self.names, self.hidden, self.paragraph
+
+    def _restore(self, k: int) -> None:
+        """End the element at ``k`` of the stack and all inside it."""
+        self.main, self.tag, self.names, self.hidden, self.paragraph = self.stack[k][1]
+        for name, _ in self.stack[k:]:
+            self.open[name] -= 1
+        del self.stack[k:]
+
+    def _tag(self, name: str, ends: bool, attrs: str) -> None:
         if name == "a":
-            anchor = not ends
+            self.anchor = not ends
         if name in BLOCK:
-            close()
+            self._close()
             if name in HEADINGS:
-                heading = not ends
+                self.heading = not ends
+                if name == "h1" and not ends and not self.main:
+                    self.first_headings.update(self.names)
             elif name != "br":
-                heading = False
-        if name in NEST and not m["attrs"].endswith("/"):
-            if not ends:
-                own = encloses(name, m["attrs"])
-                if own != (False, False) or stack or name in MAIN:
-                    if own[1] and not odd:
-                        close()
-                    stack.append((name, main, odd))
-                    main, odd = main or own[0], odd or own[1]
+                self.heading = False
+            if not ends and name != "br" and self.stack and self.stack[-1][0] == "p":
+                self._restore(len(self.stack) - 1)
+        if name not in NEST:
+            return
+        if ends:
+            if self.open[name]:
+                k = len(self.stack) - 1
+                while self.stack[k][0] != name:
+                    k -= 1
+                if self.stack[k][1][1:4] != self._state()[1:4]:
+                    self._close()
+                self._restore(k)
+                if name != "span":
+                    self.anchor = False
+        elif not attrs.endswith("/"):
+            if name in SINGLE and self.stack and self.stack[-1][0] == name:
+                self._restore(len(self.stack) - 1)
+            self.stack.append((name, self._state()))
+            self.open[name] += 1
+            self._enter(name, attrs)
+
+    def _enter(self, name: str, attrs: str) -> None:
+        main, tag, hint, hidden = name in MAIN, name in FURNITURE_TAGS, False, name in UNSEEN
+        for m in NAMED.finditer(attrs) if attrs else ():
+            key, value = m[1].lower(), (m[2] or "").strip("\"'")
+            if key in ("class", "id"):
+                hint = hint or any(is_furniture(n) for n in value.split())
+            elif key == "role":
+                main = main or value.lower() in ("main", "article")
+                tag = tag or value.lower() in FURNITURE_ROLES
+            elif key == "style":
+                hidden = hidden or "display:none" in value.replace(" ", "").lower()
             else:
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == name:
-                        if stack[k][2] != odd:
-                            close()
-                        _, main, odd = stack[k]
-                        del stack[k:]
-                        anchor = False if name != "span" else anchor
-                        break
-        elif name == "p" and not ends and m["attrs"]:
-            own = encloses(name, m["attrs"])
-            if own[1] and not odd:
-                stack.append(("p", main, odd))
-                odd = True
-        elif name == "p" and ends and stack and stack[-1][0] == "p":
-            _, main, odd = stack.pop()
-    if at < len(page):
-        parts.append(page[at:])
-    close()
-    out = []
-    for k, (text, words, linked, is_main, is_odd, is_head) in enumerate(found):
-        before = found[k - 1] if k else ("", 0, 0)
-        after = found[k + 1] if k + 1 < len(found) else ("", 0, 0)
-        out.append((text, (float(words), linked / words, float(before[1]), before[2] / max(1, before[1]), float(after[1]), after[2] / max(1, after[1]), float(is_main), float(is_odd), float(is_head))))
-    return out
+                hidden = hidden or value.lower() not in ("false", "until-found")
+        if hint or hidden or tag:
+            self._close()
+        if main and name != "article":
+            self.layout.update(self.names)
+            self.tag = 0
+        self.main = self.main or main
+        if tag:
+            self.tag = 1 if self.main else 2
+        if hint:
+            self.names = (*self.names, self.hints)
+            self.hints += 1
+        self.hidden = self.hidden or hidden
+        if name != "span":
+            self.paragraph = name in PARAGRAPH
 
 
-#: The labelled table: pages whose blocks begin with + (main text) or - (furniture).
-LABELLED = (
-    "<header><a href=/>-Home</a></header><nav><ul><li><a href=a>-News</a><li><a href=b>-Sport</a></ul></nav><article><h1>+A quiet harbour</h1><p>+The boats came in before dawn and the nets were heavy with fish.</p><p>+Short.</p><div class=ad>-Buy two lamps and get the third one for free at our shop today.</div><p>+Nobody spoke until the last crate stood on the quay.</p></article><footer>-All rights reserved by the harbour paper and its owners.</footer>",
-    "<div id=menu><a href=a>-Start</a> <a href=b>-Shop</a></div><main><h2>+Bread at home</h2><p>+Mix flour and water, wait an hour, then fold the dough four times.</p><ul><li>+Flour</li><li>+Water</li><li>+A pinch of salt and patience</li></ul><aside>-You may also like our other recipes for soup and stew.</aside></main><div class=cookie-notice>-We use cookies to make this site work better for all visitors.</div>",
-    "<body><div><a href=x>-Login</a></div><div><p>+In those years the railway ended at the mill, and what went further went by cart over the hill road in every kind of weather.</p><p>+The mill burned down in the second winter and was never built again, though the walls stood for a generation.</p></div><div><a href=a>-One more story</a> <a href=b>-Another story</a></div><div>-Contact</div></body>",
-    "<article><p>+One line.</p><section class=comments><p>-I read this twice and still do not agree with the second half of it at all.</p><p>-Nice post</p></section></article><form>-Your name and message please</form>",
-    "<div class=sidebar><p>-Our team writes about gardens, houses and the people who live in them since many years.</p></div><article><p>+Roses want sun and a deep bed; most of them forgive a dry week.</p><blockquote>+Prune late.</blockquote></article><div role=contentinfo>-Imprint and privacy</div>",
-    "<table><tr><td><a href=a>-Index</a></td><td><p>+The committee met on three evenings and heard all of the people who had asked to speak about the bridge and its costs.</p></td></tr></table><p><a href=n>-next page</a></p>",
-    "<main><h1>+Report</h1><p>+Yes.</p><p>+See <a href=x>+the annex</a> for the full list of the places that were visited.</p><div class=share>-Share this with your friends</div></main><footer><a href=z>-Terms</a></footer>",
-    "<div><h3>-Popular</h3><a href=1>-First</a> <a href=2>-Second</a> <a href=3>-Third</a></div><div><h1>+Snow</h1><p>+It fell for nine days and covered the fences, the low walls and at last the signposts at the crossing of the two roads.</p><p>+On the tenth day the sun came out and the children dug a tunnel from the school to the bakery and back to the square.</p></div>",
-    "<article><p>+Only this line.</p></article>",
-    "<div class=ad>-This week only every lamp, chair and table in our large store by the river is sold at half the price, and we bring it to your door.</div><article><p>+A word.</p></article><footer>-All texts and pictures on these pages belong to their authors and must not be copied, sold or printed without a letter from the publisher.</footer>",
-    "<div id=cookie-consent>-We and our partners keep small files on your machine to measure how the pages are read, and you may change your mind about this at any time.</div><main><p>+The bell rang.</p></main><section id=comments><p>-I have lived beside this bell for thirty years now and I can tell you that nobody who writes about it has ever slept in our street.</p></section>",
-    "<aside>-Our writers have walked these hills for many years and put all they know into a small book that you can order by mail from the office.</aside><div><p>+The path begins behind the church and climbs through beech woods to a spring, from which one sees the whole valley on a clear day.</p></div>",
-    "<form>-Tell us what you think about the new pages, and leave a number at which we can call you back in the evening or on a free day.</form><div><p>+Two ferries cross the sound each day in winter, and in summer there are six, of which the first and the last carry no cars at all.</p></div>",
-    "<nav>-Here you find all that the library has collected about the town, its bridges and its people, in the order in which it was found.</nav><article><h2>+Bridges</h2><p>+Nine stand.</p></article>",
-    "<article><h1>+The mill</h1><p>+The page ends here without any footer.</p></article>",
-    "<main><p>+One</p><p>+Two</p></main>",
-    "<article><p>+It rained.</p><p>+Then <a href=x>+the flood came</a></p></article>",
-    "<div>-Welcome to the site</div><article><p>+Short text.</p></article><div>-Terms of use</div><div>-Made with care in a small town</div>",
-    "<div>-Sections</div><div>-World</div><div>-Culture</div><article><p>+Fine.</p><p>+Rain.</p></article><div>-Printed on paper</div>",
-    "<div>-Skip to content</div><div>-Read this paper at home</div><main><p>+A note of four</p></main><div>-Call us</div>",
-    "<div>-Today</div><div><p>+The council voted late in the evening, after a long debate on the price of water and the state of the pipes under the old town.</p></div><div>-Weather</div>",
-    "<div class=newsletter>-Get our letter every week with all that is new</div><article><header>-By the staff, at noon</header><h1>+Tide tables</h1><p>+High water comes fifty minutes later every day.</p><div><p>+Add an hour in summer.</p></div></article><nav><a href=p>-Back</a></nav>",
-)
-
-
-def labelled_blocks() -> list[tuple[float, ...]]:
-    """Feature rows with their label (1: main text) from the labelled pages; the marks are taken out before counting."""
-    rows = []
-    for page in LABELLED:
-        marks = [b[0][0] for b in blocks_of(page)]
-        clean = blocks_of(re.sub(r"(?<=>)[+-](?=[A-Z a-z])", "", page))
-        rows += [(*features, 1.0 if mark == "+" else 0.0) for mark, (_, features) in zip(marks, clean, strict=True)]
-    return rows
+def blocks_of(page: str) -> list[tuple[str, tuple[float, ...]]]:
+    """The page's text blocks with their features, in order."""
+    walked = Page(page)
+    found = walked.blocks
+    none = ("", 0, 0, False, 0, (), False, False)
+    told = Counter()
+    for b in found:
+        if not b[6] and 2 * b[2] <= b[1]:
+            told[b[7]] += b[1]
+    share = told[True] / max(1, told.total())
+    out = []
+    for k, b in enumerate(found):
+        before, after = found[k - 1] if k else none, found[k + 1] if k + 1 < len(found) else none
+        named = any(n not in walked.layout for n in b[5])
+        near = [x for o in (before, after) for x in (float(o[1]), o[2] / max(1, o[1]))]
+        out.append((b[0], (float(b[1]), b[2] / b[1], *near, float(b[3]), float(b[4]), float(named), float(b[6]), float(b[7]), float(before[7]), float(after[7]), share)))
+    return out
 
 
-def train(spark: SparkSession, depth: int = 4) -> tuple:
+#: Marks at the first word of a labelled block.
+GOOD, BAD = "\ue000", "\ue001"
+#: Names of furniture in the labelled pages.
+LABELLED_NAMES = ("ad", "promo-box", "sidebar", "comments", "site-footer", "cookieNotice", "newsletter", "share", "related-links", "nav", "topbar", "widget")
+
+
+def labelled_page(rng: random.Random) -> str:
+    """A page of which every block begins with its label. Only counts, tags and names matter, so all words are the same."""
+    def words(mark: str, low: int, high: int) -> str:
+        return mark + " ".join("w" * rng.randint(low, high))
+
+    def linked(mark: str, low: int, high: int) -> str:
+        return f"<a href=x>{words(mark, low, high)}</a>"
+
+    def framed(inside: str, plain: bool) -> str:
+        """Furniture in an element that says so by its tag or name; or, if ``plain``, in one that may not."""
+        kind = rng.choice(("tag", "name", "name", "plain") if plain else ("tag", "name"))
+        if kind == "tag":
+            t = rng.choice(("nav", "footer", "aside", "header", "form"))
+            return f"<{t}>{inside}</{t}>"
+        return f"<div class='{rng.choice(LABELLED_NAMES)}'>{inside}</div>" if kind == "name" else f"<div>{inside}</div>"
+
+    def furniture() -> str:
+        kind = rng.randrange(5)
+        if kind == 0:
+            return framed("<ul>" + "".join(f"<li>{linked(BAD, 1, 4)}</li>" for _ in range(rng.randint(2, 8))) + "</ul>", True)
+        if kind == 1:
+            return framed(linked(BAD, 1, 3) + " | ".join(linked("", 1, 3) for _ in range(rng.randint(1, 6))), True)
+        if kind == 2:
+            return framed(words(BAD, 1, 6), True)
+        if kind == 3:
+            return framed(words(BAD, 3, 40), False)
+        return framed("".join(f"<p>{words(BAD, 2, 40)}</p>" for _ in range(rng.randint(1, 3))), False)
+
+    where = rng.choice(("article", "article", "main", "div", "div", "story"))
+    style = rng.choice(("p", "p", "p", "div"))
+    known = where in ("article", "main")
+
+    def paragraph(first: bool, last: bool) -> str:
+        low, high = rng.choice(((1, 7), (8, 30), (30, 120)))
+        if style == "div" and not known and (first or last):
+            low, high = 20, 120
+        text = words(GOOD, low, high)
+        if high > 7 and rng.random() < 0.2:
+            text += " " + linked("", 1, 3) + " w w w w"
+        if rng.random() < 0.1:
+            text += f"<br>{words(GOOD, 4, 30)}"
+        return f"<{style}>{text}</{style}>"
+
+    n = rng.randint(1, 8)
+    inside = [paragraph(k == 0, k == n - 1) for k in range(n)]
+    if not known and style == "p" and n == 1:
+        inside = [f"<p>{words(GOOD, 20, 120)}</p>"]
+    if rng.random() < 0.2:
+        inside.insert(rng.randrange(n) + 1, "<ul>" + "".join(f"<li>{words(GOOD, 1, 9)}</li>" for _ in range(rng.randint(2, 5))) + "</ul>")
+    if known:
+        if rng.random() < 0.3:
+            inside.insert(rng.randrange(len(inside) + 1), f"<div class='{rng.choice(LABELLED_NAMES)}'>{words(BAD, 2, 40)}</div>")
+        if rng.random() < 0.2 and style == "p" and n > 2:
+            inside.insert(rng.randrange(1, n), f"<div>{words(BAD, 3, 25)}</div>")
+        if rng.random() < 0.2:
+            inside.append(f"<section class=comments>{''.join(f'<article><p>{words(BAD, 1, 40)}</p></article>' for _ in range(rng.randint(1, 4)))}</section>")
+        if rng.random() < 0.2:
+            inside.append(f"<footer>{words(BAD, 2, 12)}</footer>")
+    if rng.random() < 0.3:
+        inside.insert(rng.randrange(len(inside)) + 1, f"<p>{words(BAD, 2, 3)}: {linked('', 4, 9)}, {linked('', 4, 9)}</p>")
+    if rng.random() < 0.7:
+        title = f"<h1>{words(GOOD, 1, 12)}</h1>"
+        inside.insert(0, f"<header>{title}</header>" if known and rng.random() < 0.3 else title)
+    open_, close = {"div": ("<div>", "</div>"), "story": ("<div class='story-body'>", "</div>")}.get(where, (f"<{where}>", f"</{where}>"))
+    page = "".join(furniture() for _ in range(rng.randint(0, 4))) + open_ + "".join(inside) + close + "".join(furniture() for _ in range(rng.randint(0, 4)))
+    return f"<div class='layout sidebar-{rng.choice(('left', 'right'))}'>{page}</div>" if where == "main" and rng.random() < 0.3 else page
+
+
+def labelled_blocks(pages: int = 400, seed: int = 1) -> list[tuple[float, ...]]:
+    """The labelled table: feature rows with their label (1: main text) of the blocks of ``pages`` labelled pages."""
+    rng = random.Random(seed)
+    found = [b for _ in range(pages) for b in blocks_of(labelled_page(rng))]
+    return [(*features, 1.0 if text[0] == GOOD else 0.0) for text, features in found]
+
+
+def train(spark: SparkSession, depth: int = 10) -> tuple:
     """The decision tree as nested tuples (feature, threshold, low, high); leaves are booleans."""
     from pyspark.ml.classification import DecisionTreeClassifier
     from pyspark.ml.feature import VectorAssembler
 
     table = spark.createDataFrame(labelled_blocks(), [*FEATURES, "label"]).coalesce(1)
     rows = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(table)
-    model = DecisionTreeClassifier(maxDepth=depth, minInstancesPerNode=2, seed=1).fit(rows)
+    model = DecisionTreeClassifier(maxDepth=depth, maxBins=64, minInstancesPerNode=2, minInfoGain=1e-4, seed=1).fit(rows)
 
     def walk(node) -> tuple | bool:
         if node.subtreeDepth() == 0:
