@@ -89,12 +89,58 @@ def test_mix(spark):
     assert again == {r.doc_id: r.taken for r in rows}
 
 
-def test_tree_keeps_quotas_and_balances_shards(docs):  # noqa: F811
-    plan = source_mixing.draw_blocks(source_mixing.sized(docs))
-    units = plan.select("__s", "__b", F.explode("__d").alias("d")).select("__s", "__b", "d.*").collect()
-    assert len({(u["__s"], u["__b"], u["pass"]) for u in units}) == len(units)
-    per = Counter(u.shard for u in units)
-    assert max(per.values()) - min(per.values()) <= 4 and len(per) == 16
+def deal(units, low, high):
+    """The splitting tree by recursion: units in random order to {shard: units}."""
+    n = high - low
+    if n == 1:
+        return {low: units}
+    half = n // 2
+    left = (len(units) * half * 2 + n) // (2 * n)
+    return deal(units[:left], low, low + half) | deal(units[left:], low + half, high)
+
+
+@pytest.mark.parametrize("n_shards", [1, 5, 16])
+def test_tree_against_recursion(spark, n_shards):
+    sizes = {"a": 700, "b": 150, None: 31, "c": 1}
+    units = spark.createDataFrame([(s, k) for s, n in sizes.items() for k in range(n)], "__s string, turn int")
+    got = source_mixing.split(units, n_shards).withColumn("o", F.xxhash64(F.lit(7), F.lit(2), "__s", "turn")).collect()
+    want = {}
+    for shard, part in deal(sorted(got, key=lambda r: r.o & (2**64 - 1)), 0, n_shards).items():
+        want |= {(r["__s"], r.turn): shard for r in part}
+    assert len(got) == 882 and all(want[r["__s"], r.turn] == r.shard for r in got)
+    quotas = {(r["__s"], r.shard): r.quota for r in source_mixing.quotas(units, n_shards).collect()}
+    assert quotas == dict(Counter((r["__s"], r.shard) for r in got))
+
+
+def test_quotas_vary_as_the_hypergeometric_law_says(spark):
+    """The source's units in the first of four shards over 24 seeds: 30 on average, with a variance of 15.8."""
+    units = spark.createDataFrame([("a" if k < 120 else "b", k) for k in range(400)], "__s string, turn int")
+    found = []
+    for seed in range(24):
+        rows = source_mixing.quotas(units, 4, seed).collect()
+        assert Counter({r.shard: 0 for r in rows}) + sum((Counter({r.shard: r.quota}) for r in rows), Counter()) == Counter({k: 100 for k in range(4)})
+        found.append(next(r.quota for r in rows if r["__s"] == "a" and r.shard == 0))
+    assert abs(np.mean(found) - 30) < 4 and 5 < np.var(found) < 40
+
+
+def test_shards_draw_their_quotas(docs):  # noqa: F811
+    """Other shards: other draws of each shard, the same quotas of the sources; every block is drawn once a pass."""
+    rows = source_mixing.materialize(source_mixing.sized(docs), "test-mix")
+    per_source = {}
+    for n in (3, 16):
+        units = source_mixing.plan(rows, n_shards=n)[1].select("__s", "__b", F.explode("__d").alias("d")).select("__s", "__b", "d.*").collect()
+        assert len({(u["__s"], u["__b"], u["pass"]) for u in units}) == len(units)
+        per = Counter(u.shard for u in units)
+        assert max(per.values()) - min(per.values()) <= 4 and len(per) == n
+        per_source[n] = (Counter(u["__s"] for u in units), {(u["__s"], u["__b"], u["pass"]): u.shard for u in units})
+    assert per_source[3][0] == per_source[16][0] and per_source[3][1].keys() == per_source[16][1].keys() and per_source[3][1] != per_source[16][1]
+
+
+def test_blocks_grow_with_the_source(spark):
+    docs_ = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("one two three").alias("text"), F.when(F.col("id") < 2900, "big").otherwise("small").alias("source"))
+    sources, _ = source_mixing.plan(source_mixing.sized(docs_), least_blocks=4, block_rows=10)
+    width = {r["__s"]: r.width for r in sources.collect()}
+    assert width == {"big": source_mixing.CELLS // 512, "small": source_mixing.CELLS // 16}
 
 
 def test_mixed_rows_have_the_words(docs):  # noqa: F811
