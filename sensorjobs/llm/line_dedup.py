@@ -1,11 +1,13 @@
 """Near-duplicate lines by a deletion-neighbourhood join, in DataFrame functions only.
 
 Lines are compared as words (lower case, split at white space). A line goes if an earlier line of
-the corpus (by document id, then line number) has the same words, or, for lines of at least
-``min_words`` words, is one word edit away (one word replaced, left out or put in: at five words a
-similarity of 0.8). Every variant of a line with one word left out is emitted as a hashed key; lines
-that share a variant meet, the edit distance is verified on their words, and the earliest stays.
+the corpus has the same words, or, for lines of at least ``min_words`` words, is one word edit away
+(one word replaced, left out or put in: at five words a similarity of 0.8). Every variant of a line
+with one word left out is emitted as a hashed key; lines that share a variant meet, the edit distance
+is verified on their words, and the earliest stays. Lines are ordered by document id (nulls last),
+the hash of the row's text, the row and the line number, so ids may be of any type and may repeat.
 
+* Rows are written with a number of their own first; every later step reads these numbers.
 * Equal lines collapse to their first place before anything is joined.
 * A line of n words would emit n variants, so lines without any possible partner are set aside
   first: one edit leaves the first or the last part of a line untouched, so a line must share one of
@@ -17,8 +19,9 @@ that share a variant meet, the edit distance is verified on their words, and the
 Defined results
 ---------------
 * null and empty texts have one line without words; lines without words always stay;
-* rows with the same document id count as one document: lines that tie in document and line number
-  stay or go together; null ids come last in the order;
+* repeated rows and rows with the same id or none are rows of their own: the earliest row keeps the line;
+* chains: a line goes for any earlier line within one edit, also for one that goes itself, so of a
+  chain of lines, each an edit from the one before, the first stays;
 * very long lines emit as many variants as they have words; empty table: empty result;
 * other columns are kept by ``dedup`` and ignored by the query.
 """
@@ -28,13 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorjobs.llm.common import materialize
-
-#: Lines without a document id come after all others.
-LAST = (1 << 63) - 1
-#: More than the lines of a document.
-LINES = 1 << 31
-
+from sensorjobs.llm.common import discard, materialize
 
 def plain(low: Column) -> Column:
     """The text with white space inside a line as one space (most texts have no other and are left as they are)."""
@@ -44,16 +41,21 @@ def plain(low: Column) -> Column:
     return F.when(odd, F.regexp_replace(low, "[ \\t\\x0B\\f\\r]+", " ")).otherwise(low)
 
 
-def raw_lines(docs: DataFrame, id_column: str, text: str) -> DataFrame:
-    """One row a line with a word: ``at`` and ``s``, its words joined by spaces.
+def numbered(docs: DataFrame) -> DataFrame:
+    """The documents written with ``__row``, a number of their own."""
+    return materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "lines-docs")
+
+
+def raw_lines(rows: DataFrame, id_column: str, text: str) -> DataFrame:
+    """One row a line with a word of ``numbered`` documents: ``at``, and ``s``, its words joined by spaces.
 
-    ``at`` orders lines by document and line number; as one number it can be aggregated in place.
+    ``at`` orders lines: (no id, id, hash of the row's text, row, line).
     """
-    doc = F.coalesce(F.col(f"`{id_column}`").cast("long"), F.lit(LAST))
-    low = docs.select(doc.alias("doc"), F.lower(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("low"))
-    split = low.select("doc", F.posexplode(F.split(plain(F.col("low")), "\n")).alias("line", "t"))
-    at = (F.col("doc").cast("decimal(20,0)") * F.lit(LINES).cast("decimal(10,0)") + F.col("line")).cast("decimal(34,0)")
-    return split.select(at.alias("at"), F.btrim("t", F.lit(" ")).alias("s")).filter(F.col("s") != "")
+    t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    of = F.col(f"`{id_column}`")
+    low = rows.select(of.isNull().alias("z"), of.alias("doc"), F.xxhash64(t).alias("hash"), F.col("__row").alias("row"), F.lower(t).alias("low"))
+    split = low.select("z", "doc", "hash", "row", F.posexplode(F.split(plain(F.col("low")), "\n")).alias("line", "t"))
+    return split.select(F.struct("z", "doc", "hash", "row", "line").alias("at"), F.btrim("t", F.lit(" ")).alias("s")).filter(F.col("s") != "")
 
 
 def lines_of(raw: DataFrame) -> DataFrame:
@@ -112,67 +114,75 @@ def within_one_edit(a: Column, b: Column) -> Column:
     return F.when(F.size(long) == F.size(short), replaced).when(F.size(long) == F.size(short) + 1, left_out).otherwise(F.lit(False))
 
 
-def kept_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text", min_words: int = 5) -> DataFrame:
-    """``doc`` and ``line`` of every line with words that stays."""
-    raw = raw_lines(docs, id_column, text)
+def kept_lines(rows: DataFrame, id_column: str = "doc_id", text: str = "text", min_words: int = 5) -> DataFrame:
+    """``row`` and ``line`` of every line with words that stays, of ``numbered`` documents."""
+    raw = raw_lines(rows, id_column, text)
     names = ["e0", "e1", "e2", "e3"]
     first = lines_of(raw).select("at", "n", "h1", "h2", *[e.alias(k) for e, k in zip(ends(min_words), names, strict=True)])
-    unique = materialize(first.groupBy("h1", "h2", "n").agg(F.min("at").alias("at"), *[F.first(k).alias(k) for k in names]), "lines")
+    unique = first.groupBy("h1", "h2", "n").agg(F.min("at").alias("at"), *[F.first(k).alias(k) for k in names])
+    unique = materialize(unique.select("h1", "h2", "n", "at", F.xxhash64("at.row", "at.line").alias("key"), *names), "lines")
 
-    parts = unique.filter(F.col("n") >= min_words).select("at", F.explode(F.array_compact(F.array(*names))).alias("end"))
+    parts = unique.filter(F.col("n") >= min_words).select("h1", "h2", "key", F.explode(F.array_compact(F.array(*names))).alias("end"))
     shared = parts.groupBy("end").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("end")
-    partners = materialize(parts.join(shared, "end", "left_semi").groupBy("at").agg(F.lit(1).alias("one")).select("at"), "lines-partners")
-    # Only lines with a possible partner are moved with their words. (An inner join: a semi join would
-    # be pushed below the bitmap.)
-    able = lines_of(maybe_in(raw, partners, "at").join(partners, "at")).dropDuplicates(["at", "h1", "h2"])
-    able = materialize(able.select("at", "s", "n"), "lines-able")
+    partners = parts.join(shared, "end", "left_semi").groupBy("key", "h1", "h2").agg(F.lit(1).alias("one")).select("key", "h1", "h2")
+    partners = materialize(partners, "lines-partners")
+    # Only lines with a possible partner are moved with their words, each from its first place (an inner
+    # join: a semi join would be pushed below the bitmap). Their order becomes one number.
+    own = lines_of(raw).withColumn("key", F.xxhash64("at.row", "at.line"))
+    able = maybe_in(own, partners, "key").join(partners, ["key", "h1", "h2"]).select("at", "s", "n", "h1", "h2").dropDuplicates(["h1", "h2"])
+    able = materialize(able.orderBy("at").select("s", "n", "h1", "h2", F.monotonically_increasing_id().alias("o")), "lines-able")
+    discard(partners)
 
     i = F.explode(F.sequence(F.lit(1), F.col("n"))).alias("i")
-    left_out = able.select("at", "n", "s", i).select("at", "i", (F.col("n") - 1).alias("m"), F.xxhash64(without(F.col("i"))).alias("v"))
-    whole = able.select("at", F.lit(0).alias("i"), F.col("n").alias("m"), F.xxhash64("s").alias("v"))
+    left_out = able.select("o", "n", "s", i).select("o", "i", (F.col("n") - 1).alias("m"), F.xxhash64(without(F.col("i"))).alias("v"))
+    whole = able.select("o", F.lit(0).alias("i"), F.col("n").alias("m"), F.xxhash64("s").alias("v"))
     keys = materialize(left_out.unionByName(whole), "line-variants")
     again = keys.groupBy("v", "m").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("v", "m")
     again = materialize(again, "line-variants-met")
     met = materialize(maybe_in(keys, again, "v").join(again, ["v", "m"]), "line-variants-able")
+    discard(keys)
+    discard(again)
 
     # i = 0: the whole line. Lines that leave out the same place are one replacement apart; a whole
     # line is one deletion apart from those that give it. So each looks at the earliest of its kind.
-    earliest = met.groupBy("v", "m", "i").agg(F.min("at").alias("low"))
+    earliest = met.groupBy("v", "m", "i").agg(F.min("o").alias("low"))
     longer = earliest.filter("i > 0").groupBy("v", "m").agg(F.min("low").alias("low")).withColumn("i", F.lit(0))
     shorter = earliest.filter("i = 0").drop("i")
-    found = met.join(earliest.filter("i > 0").unionByName(longer), ["v", "m", "i"]).select("at", "low")
-    found = found.unionByName(met.filter("i > 0").join(shorter, ["v", "m"]).select("at", "low"))
-    pairs = found.filter("low < at").distinct()
-    words = able.groupBy("at").agg(F.first("s").alias("s"))
-    checked = pairs.join(words, "at").join(words.select(F.col("at").alias("low"), F.col("s").alias("x")), "low")
-    gone = checked.filter(within_one_edit(F.split("s", " "), F.split("x", " "))).select("at").distinct()
-    line = F.pmod("at", F.lit(LINES).cast("decimal(10,0)"))
-    kept = unique.join(gone, "at", "left_anti").select("at", line.alias("line"))
-    return kept.select(((F.col("at") - F.col("line")) / F.lit(LINES).cast("decimal(10,0)")).cast("decimal(38,0)").cast("long").alias("doc"), F.col("line").cast("int").alias("line"))
+    found = met.join(earliest.filter("i > 0").unionByName(longer), ["v", "m", "i"]).select("o", "low")
+    found = found.unionByName(met.filter("i > 0").join(shorter, ["v", "m"]).select("o", "low"))
+    pairs = found.filter("low < o").distinct()
+    checked = pairs.join(able.select("o", "s", "h1", "h2"), "o").join(able.select(F.col("o").alias("low"), F.col("s").alias("x")), "low")
+    gone = checked.filter(within_one_edit(F.split("s", " "), F.split("x", " "))).select("h1", "h2").distinct()
+    return unique.join(gone, ["h1", "h2"], "left_anti").select("at.row", "at.line")
 
 
-def marks(docs: DataFrame, id_column: str = "doc_id", text: str = "text", min_words: int = 5) -> DataFrame:
-    """``doc`` and ``kept``: the sorted line numbers (from 0) with words that stay; documents without any are missing."""
-    return kept_lines(docs, id_column, text, min_words).groupBy("doc").agg(F.sort_array(F.collect_set("line")).alias("kept"))
+def marks(rows: DataFrame, id_column: str = "doc_id", text: str = "text", min_words: int = 5) -> DataFrame:
+    """``row`` and ``kept``: the sorted line numbers (from 0) with words that stay; rows without any are missing."""
+    return kept_lines(rows, id_column, text, min_words).groupBy("row").agg(F.sort_array(F.collect_set("line")).alias("kept"))
 
 
 def dedup(docs: DataFrame, id_column: str = "doc_id", text: str = "text", min_words: int = 5) -> DataFrame:
     """The documents without the lines that go; columns as in ``docs``."""
-    found = marks(docs, id_column, text, min_words).withColumnsRenamed({"doc": "__doc", "kept": "__kept"})
-    t = F.col(f"`{text}`")
-    rows = docs.join(found, F.coalesce(F.col(f"`{id_column}`").cast("long"), F.lit(LAST)) == F.col("__doc"), "left")
-    stay = F.filter(F.split(t, "\n"), lambda x, i: (F.btrim(x, F.lit(" \t\n\x0b\x0c\r")) == "") | F.array_contains(F.coalesce("__kept", F.array().cast("array<int>")), i))
-    return rows.withColumn(text, F.array_join(stay, "\n")).select(*[f"`{c}`" for c in docs.columns])
+    # Under names of their own, so that no column of the documents meets one of the operator.
+    own = [f"c{i}__" for i in range(len(docs.columns))]
+    at = {n.lower(): o for n, o in zip(docs.columns, own, strict=True)}
+    rows = numbered(docs.toDF(*own))
+    t = F.col(at[text.lower()])
+    found = marks(rows, at[id_column.lower()], at[text.lower()], min_words)
+    joined = rows.join(found, F.col("__row") == F.col("row"), "left")
+    stay = F.filter(F.split(t, "\n"), lambda x, i: (F.btrim(x, F.lit(" \t\n\x0b\x0c\r")) == "") | F.array_contains(F.coalesce("kept", F.array().cast("array<int>")), i))
+    out = joined.withColumn(at[text.lower()], F.array_join(stay, "\n"))
+    return out.select(*[F.col(o).alias(n) for n, o in zip(docs.columns, own, strict=True)])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op10: for every document its lines with words, how many go, and which stay."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    docs = numbered(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
     found = marks(docs)
     filled = F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: F.btrim(x, F.lit(" \t\n\x0b\x0c\r")) != "")
-    rows = docs.select("doc_id", F.size(filled).cast("long").alias("n_lines"))
+    rows = docs.select("doc_id", "__row", F.size(filled).cast("long").alias("n_lines"))
     kept = F.coalesce(F.size("kept"), F.lit(0)).cast("long")
-    return rows.join(found, F.coalesce("doc_id", F.lit(LAST)) == F.col("doc"), "left").select(
+    return rows.join(found, F.col("__row") == F.col("row"), "left").select(
         "doc_id", "n_lines", (F.col("n_lines") - kept).alias("n_removed"), F.coalesce(F.array_join("kept", ","), F.lit("")).alias("kept_lines")
     )
 

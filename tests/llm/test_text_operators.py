@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+from collections import Counter
 
 import compare
 import numpy as np
@@ -274,8 +275,7 @@ def distance_one(a, b):
     return any(long[:i] + long[i + 1 :] == short for i in range(len(long)))
 
 
-def test_lines_against_brute_force(spark):
-    rng = random.Random(3)
+def line_docs(rng):
     line = lambda: " ".join(rng.choice("abcdef") for _ in range(rng.choice([2, 4, 5, 6, 7, 8, 9, 15, 16, 17])))
     pool = [line() for _ in range(40)]
 
@@ -284,18 +284,36 @@ def test_lines_against_brute_force(spark):
         k = rng.randrange(len(w))
         return " ".join(rng.choice([w[:k] + w[k + 1 :], w[:k] + ["z"] + w[k + 1 :], w[:k] + ["z"] + w[k:]]))
 
-    texts = ["\n".join(rng.choice([rng.choice(pool), changed(), ""]) for _ in range(6)) for _ in range(60)]
-    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
-    rows = [((d, k), x.split()) for d, t in enumerate(texts) for k, x in enumerate(t.split("\n")) if x.split()]
-    want = {at for n, (at, w) in enumerate(rows) if not any(o == w or min(len(o), len(w)) >= 5 and distance_one(o, w) for _, o in rows[:n])}
-    assert {(r.doc, r.line) for r in line_dedup.kept_lines(df).collect()} == want
-    cleaned = {r.doc_id: r.text for r in line_dedup.dedup(df).collect()}
-    assert all(cleaned[d] == "\n".join(x for k, x in enumerate(t.split("\n")) if not x.split() or (d, k) in want) for d, t in enumerate(texts))
+    return ["\n".join(rng.choice([rng.choice(pool), changed(), ""]) for _ in range(6)) for _ in range(60)]
+
+
+@pytest.mark.parametrize("kind", ["unique", "repeated", "null", "string"])
+def test_lines_against_brute_force(spark, kind):
+    """Rows with ids of their own, shared by several rows, missing, or of text; repeated rows among them."""
+    rng = random.Random(3)
+    texts = line_docs(rng)
+    ids = {"unique": lambda k: k, "repeated": lambda k: k // 7, "null": lambda k: None if k % 3 else k, "string": lambda k: f"d{k % 9}"}[kind]
+    docs = [(ids(k), t) for k, t in enumerate(texts)] + [(ids(k), texts[k]) for k in (3, 3, 10)]
+    df = spark.createDataFrame(docs, f"doc_id {'string' if kind == 'string' else 'bigint'}, text string")
+    rows = line_dedup.numbered(df).withColumn("h", F.xxhash64("text")).collect()
+    rows.sort(key=lambda r: (r.doc_id is None, r.doc_id or type(r.doc_id or 0)(), r.h, r["__row"]))
+    lines = [((r["__row"], k), x.split()) for r in rows for k, x in enumerate(r.text.split("\n")) if x.split()]
+    want = {at for n, (at, w) in enumerate(lines) if not any(o == w or min(len(o), len(w)) >= 5 and distance_one(o, w) for _, o in lines[:n])}
+    numbered = spark.createDataFrame([(r.doc_id, r.text, r["__row"]) for r in rows], f"doc_id {'string' if kind == 'string' else 'bigint'}, text string, __row bigint")
+    assert {(r.row, r.line) for r in line_dedup.kept_lines(numbered).collect()} == want
+    cleaned = sorted((str(r.doc_id), r.text) for r in line_dedup.dedup(df).collect())
+    assert cleaned == sorted((str(r.doc_id), "\n".join(x for k, x in enumerate(r.text.split("\n")) if not x.split() or (r["__row"], k) in want)) for r in rows)
+
+
+def test_lines_of_rows_that_share_an_id(spark):
+    near = [(2, "aa bb cc dd ee ff xx"), (4, "aa bb cc dd ee ff gg"), (4, "hh ii jj kk ll"), (None, "hh ii jj kk ll"), (None, "only here\naa bb cc dd ee ff"), (None, "and one more")]
+    got = Counter((r.doc_id, r.text) for r in line_dedup.dedup(spark.createDataFrame(near, "doc_id int, text string")).collect())
+    assert got == Counter([(2, "aa bb cc dd ee ff xx"), (4, ""), (4, "hh ii jj kk ll"), (None, ""), (None, "only here"), (None, "and one more")])
 
 
 def test_lines_odd_rows(odd, none):
     got = [(r.doc_id, r.text) for r in line_dedup.dedup(odd).collect()]
-    assert len(got) == len(ODD) and (1, None) in got and (5, "") in got
+    assert len(got) == len(ODD) and (1, None) in got and (5, "") in got and got.count((4, "")) == 1
     assert line_dedup.dedup(none).count() == 0 and line_dedup.dedup(odd).columns == odd.columns
 
 
