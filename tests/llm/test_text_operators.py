@@ -151,6 +151,17 @@ def test_automaton_against_brute_force():
         assert (sum(b - a for a, b in spans), sorted(machine.ids[i] for i in found)) == brute_hits(doc, items, window)
 
 
+def test_scan_is_linear_in_repeated_words():
+    """A quadratic walk over 100,000 equal words would take minutes."""
+    import time
+
+    before = time.process_time()
+    machine = decontaminate.Automaton([("a", [b"w"] * 100_000), ("b", [b"w"] * 4), ("c", [b"w", b"x"] * 20_000)], 10)
+    assert machine.scan([b"w"] * 100_000) == ([[0, 100_000]], {0, 1})
+    assert machine.scan([b"w", b"x"] * 50_000) == ([[0, 100_000]], {2})
+    assert time.process_time() - before < 20
+
+
 def test_decontaminate_odd_rows(spark, odd, none):
     bench = spark.createDataFrame([("q", "Same text of FIVE words!"), (None, "x"), ("e", None), ("s", "")], "item_id string, text string")
     got = {r.doc_id: (r.n_words, r.n_hit, r.hit_items) for r in decontaminate.match(odd, bench, ["doc_id"]).collect()}
