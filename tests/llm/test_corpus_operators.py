@@ -158,6 +158,10 @@ def test_mix_odd_rows(odd, none):  # noqa: F811
 # --- op8 -------------------------------------------------------------------------------------------
 
 
+def tokens_of(text):
+    return [*text.encode().lower().split(), suffix_tree_lm.END]
+
+
 def test_scores(spark):
     d = "/root/testdata/sf0.01"
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{d}/documents.parquet").collect()}
@@ -165,10 +169,10 @@ def test_scores(spark):
     train = Counter()
     for k, t in texts.items():
         if zlib.crc32(str(k).encode()) % 10:
-            train.update(suffix_tree_lm.tokens_of(t.encode()))
+            train.update(tokens_of(t))
     n, v = sum(train.values()), len(train)
     for r in rows:
-        words = suffix_tree_lm.tokens_of(texts[r.doc_id].encode())
+        words = tokens_of(texts[r.doc_id])
         base = sum(math.log10((train[w] + 0.1) / (n + 0.1 * (v + 1))) for w in words)
         assert math.isclose(r.base_score, base, rel_tol=1e-9) and (r.n_tokens, r.n_known, r.train_tokens) == (len(words), sum(train[w] > 0 for w in words), n)
         assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 10 == 0)
@@ -176,35 +180,106 @@ def test_scores(spark):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
-def test_states_are_distributions(docs):  # noqa: F811
-    texts = docs.select("text")
-    counts = suffix_tree_lm.word_counts(texts).cache()
-    tree, total, distinct = suffix_tree_lm.learn(texts, counts)
-    assert [len(level.contexts) for level in tree.levels][0] > 0
-    m = len(tree.symbols)
-    everything = counts.toPandas().set_index("h")["c"]
-    rest = 1 - sum(10.0 ** tree.base_symbols)
-    assert math.isclose(rest, 1 - sum((everything[tree.symbols] + 0.1) / (total + 0.1 * (distinct + 1))), abs_tol=1e-9)
-    level = tree.levels[0]
-    for s in range(min(20, len(level.contexts))):
-        first = np.array([0, 2])
-        p = []
-        for w in range(m):
-            at = np.array([level.contexts[s], w])
-            p.append(10.0 ** tree.next_logp(at, first, tree.base_symbols[at])[1])
-        backed = 10.0 ** level.back[s] * rest
-        assert math.isclose(sum(p) + backed, 1, abs_tol=1e-6)
+class PlainTree:
+    """The model by definition, with dictionaries: counts of all contexts, states tested one by one."""
+
+    def __init__(self, texts, shape):
+        self.shape, self.counts, self.memo = shape, {}, {}
+        for words in texts:
+            for i, w in enumerate(words):
+                for k in range(min(i, 6) + 1):
+                    self.counts.setdefault(tuple(words[i - k : i]), Counter())[w] += 1
+        self.words = self.counts.get((), Counter())
+        self.total = sum(self.words.values())
+        self.scale = self.total + 0.1 * (len(self.words) + 1)
+
+    def frequent(self, word):
+        return self.words[word] >= self.shape.limit(self.total)
+
+    def tested(self, context):
+        """Whether the context is one of those that are tested."""
+        t = sum(self.counts.get(context, Counter()).values())
+        if not self.frequent(context[-1]):
+            return t >= self.shape.least_context and len(context) <= self.shape.reach and (len(context) == 1 or self.state(context[1:]) is not None)
+        if t < self.shape.limit(self.total) or len(context) > 6:
+            return False
+        return len(context) == 1 or (self.state(context[1:]) is not None and self.tested(context[:-1]))
+
+    def state(self, context):
+        """(probabilities of the stored next words, back-off weight) of a state, None for other contexts."""
+        if context not in self.memo:
+            self.memo[context] = self._state(context) if self.tested(context) else None
+        return self.memo[context]
+
+    def _state(self, context):
+        after = self.counts[context]
+        t = sum(after.values())
+        stored = {w: (n - self.shape.discount) / t for w, n in after.items() if n >= self.shape.least_entry}
+        parent = {w: self.p(context[1:], w) for w in stored}
+        tail, rest = 1 - sum(stored.values()), 1 - sum(parent.values())
+        if not stored or tail <= 1e-9 or rest <= 1e-9:
+            return None
+        back = tail / rest
+        gain = sum(after[w] * math.log10(stored[w] / parent[w]) for w in stored) + (t - sum(after[w] for w in stored)) * math.log10(back)
+        return (stored, back) if gain > self.shape.price * len(stored) else None
+
+    def p(self, context, word):
+        """The probability of a word after exactly this context's longest state."""
+        for k in range(len(context)):
+            state = self.state(context[k:]) if all(self.state(context[j:]) for j in range(k, len(context))) else None
+            if state:
+                return state[0].get(word, None) or state[1] * self.p(context[k + 1 :], word)
+        return (self.words[word] + 0.1) / self.scale
+
+
+@pytest.mark.parametrize("reach", [1, 3])
+def test_scores_against_plain_tree(spark, reach):
+    """Both kinds of contexts, small chunks and buckets, deep contexts, against the definition."""
+    rng = np.random.default_rng(5)
+    weight = 1 / np.arange(1, 31)
+    phrases = [" ".join(rng.choice([f"w{k}" for k in range(30)], rng.integers(2, 7), p=weight / weight.sum())) for _ in range(25)]
+    texts = [" ".join(rng.choice(phrases, rng.integers(0, 12))) for _ in range(260)] + ["never seen", "", None]
+    shape = suffix_tree_lm.Shape(reach=reach, frequent_share=0.0, least_frequent=110, least_context=4, entry_share=0.0, chunk_tokens=700, bucket_rows=500)
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, t string").repartition(3)
+    held = lambda k: zlib.crc32(str(k).encode()) % 10 == 0
+    words = [(t or "").split() + ["<end>"] for t in texts]
+    plain = PlainTree([w for k, w in enumerate(words) if not held(k)], shape)
+    kinds = {(plain.frequent(c[-1]), len(c)) for c in plain.counts if c and plain.state(c)}
+    assert {(True, 1), (True, 2), (False, 1)} <= kinds and ((False, 2) in kinds) == (reach == 3)
+    got = suffix_tree_lm.score(df, "k", "t", shape).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        w = words[r.doc_id]
+        want = sum(math.log10(plain.p(tuple(w[max(0, i - 6) : i]), x)) for i, x in enumerate(w))
+        assert abs(r.score - want) < 1e-4 * max(1, len(w)) and r.n_tokens == len(w), (r, want)
+    # Every state is a distribution: all words known, and what is left for the others.
+    for c in list(plain.counts)[:300]:
+        if c and plain.state(c):
+            assert math.isclose(sum(plain.p(c, w) for w in plain.words) + plain.p(c, "unseen"), 1, abs_tol=1e-9)
+
+
+def test_what_is_gathered_grows(spark):
+    """Documents that occur twice score above others, at two sizes of corpus: the states under rare words tell them apart."""
+    for n in (150, 600):
+        rng = np.random.default_rng(n)
+        vocabulary = [f"w{k}" for k in range(4000)]
+        weight = 1 / np.arange(20, 4020)
+        texts = [" ".join(rng.choice(vocabulary, 120, p=weight / weight.sum())) for _ in range(n)]
+        rows = [(k, t) for k, t in enumerate(texts)] + [(n + k, t) for k, t in enumerate(texts[: n // 4])]
+        got = suffix_tree_lm.score(spark.createDataFrame(rows, "doc_id int, text string")).collect()
+        gain = {r.doc_id: (r.score - r.base_score) / r.n_tokens for r in got if not r.held_out}
+        twice = [g for k, g in gain.items() if k % n < n // 4 and k % n in gain and k % n + n in gain]
+        once = [g for k, g in gain.items() if n // 4 <= k < n]
+        assert np.mean(twice) > np.mean(once) + 0.1 and np.mean([g > np.quantile(once, 0.95) for g in twice]) > 0.9, (np.mean(twice), np.mean(once))
 
 
 def test_scores_odd_rows(odd, none):  # noqa: F811
-    counts = suffix_tree_lm.word_counts(odd)
-    tree, n, v = suffix_tree_lm.learn(odd.select("text"), counts)
-    rows = suffix_tree_lm.score(odd, tree, counts, n, v).collect()
+    rows = suffix_tree_lm.score(odd).collect()
     assert len(rows) == len(ODD) and {r.n_tokens for r in rows if r.doc_id in (1, 2, 3)} == {1}
-    empty = suffix_tree_lm.word_counts(none)
-    tree, n, v = suffix_tree_lm.learn(none.select("text"), empty)
-    assert suffix_tree_lm.score(none, tree, empty, n, v).count() == 0
-    assert suffix_tree_lm.score(odd, tree, empty, n, v).filter("n_known > 0").count() == 0
+    assert sorted((r.doc_id or 0) for r in rows) == sorted((r[0] or 0) for r in ODD)
+    assert suffix_tree_lm.score(none).count() == 0
+    held = odd.filter(suffix_tree_lm.held_out(F.col("doc_id")))
+    assert suffix_tree_lm.score(held).filter("n_known > 0 OR train_tokens > 0").count() == 0
 
 
 # --- op9 -------------------------------------------------------------------------------------------
