@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 SPACE_CLASS = "[ \\t-\\r]+"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 
-#: Rows of one Arrow batch handed to a Python task; keeps a batch of long texts in memory.
-ARROW_ROWS = 2000
+#: Texts that a function sees at once.
+PART_ROWS = 2000
 
 _local: dict[str, str] = {}
 
@@ -24,11 +24,13 @@ _local: dict[str, str] = {}
 def shared_dir(spark: SparkSession) -> str:
     """The folder every node sees, named by ``spark.checkpoint.dir``.
 
-    Only where the setting is missing (unit tests, one machine) a temporary folder is made.
+    Only where the setting is missing on one machine a temporary folder is made.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if configured:
         return configured
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all nodes share")
     app = spark.sparkContext.applicationId
     if app not in _local:
         _local[app] = tempfile.mkdtemp(prefix="sensorjobs-")
@@ -55,31 +57,25 @@ def discard(df: DataFrame) -> None:
     where.getFileSystem(sc._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Bound the rows of an Arrow batch for this session unless it is bounded lower already."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key)) <= ARROW_ROWS:
-        spark.conf.set(key, str(ARROW_ROWS))
-
-
 def map_texts(df: DataFrame, keep: list[str], text: str, fn: Callable[[list[bytes | None]], dict[str, list]], added: str) -> DataFrame:
     """Run ``fn`` over batches of UTF-8 texts and append its columns (``added``, a DDL string) to ``keep``.
 
-    ``fn`` gets the texts as bytes (``None`` for null) and returns one list for each added column.
-    No shuffle; a batch has ``ARROW_ROWS`` rows at most.
+    ``fn`` gets the texts as bytes (``None`` for null) and returns one list for each added column. No
+    shuffle. Spark bounds the rows and bytes of a batch (``spark.sql.execution.arrow.maxBytesPerBatch``);
+    ``fn`` gets parts of at most ``PART_ROWS`` rows.
     """
-    small_batches(df.sparkSession)
     schema = df.sparkSession.createDataFrame([], added).schema
     names = [f.name for f in schema.fields]
     arrow = to_arrow(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(len(keep)).cast(pa.binary()).to_pylist()
-            got = fn(texts)
-            columns = [batch.column(i) for i in range(len(keep))]
-            columns += [pa.array(got[n], type=arrow.field(n).type) for n in names]
-            yield pa.RecordBatch.from_arrays(columns, [*keep, *names])
+        for whole in batches:
+            for at in range(0, whole.num_rows, PART_ROWS):
+                batch = whole.slice(at, PART_ROWS)
+                got = fn(batch.column(len(keep)).cast(pa.binary()).to_pylist())
+                columns = [batch.column(i) for i in range(len(keep))]
+                columns += [pa.array(got[n], type=arrow.field(n).type) for n in names]
+                yield pa.RecordBatch.from_arrays(columns, [*keep, *names])
 
     source = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").cast("string").alias("__text"))
     out = type(schema)([*source.select(*[f"`{c}`" for c in keep]).schema.fields, *schema.fields])
@@ -120,3 +116,32 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
     for k in keys:
         on = on & F.col(k).eqNullSafe(F.col(f"{k}__r"))
     return left.join(other, on, how).drop(*[f"{k}__r" for k in keys])
+
+
+def signed(v: int) -> int:
+    """A 64-bit pattern as Spark's signed long."""
+    return v - (1 << 64) if v >> 63 else v
+
+
+def maybe_in(rows: DataFrame, wanted: DataFrame, columns: list[str], buckets: int = 1024) -> DataFrame:
+    """The rows whose hash of ``columns`` has its bit set in a bitmap of the wanted ones: all wanted, and few others.
+
+    The bitmap has ``buckets`` times 32768 bits whatever the data (4 MB here), so it can be sent to the tasks.
+    """
+    bit = F.pmod(F.xxhash64(*columns), F.lit(buckets * 32768))
+    bits = wanted.select(bit.alias("x")).select(F.bitmap_bucket_number("x").alias("__g"), F.bitmap_bit_position("x").alias("p"))
+    bitmap = bits.groupBy("__g").agg(F.bitmap_construct_agg("p").alias("__m"))
+    at = rows.withColumn("__x", bit).withColumn("__g", F.bitmap_bucket_number("__x")).withColumn("__p", F.bitmap_bit_position("__x"))
+    byte = F.conv(F.hex(F.expr("substring(__m, CAST(__p DIV 8 AS INT) + 1, 1)")), 16, 10).cast("int")
+    met = at.join(F.broadcast(bitmap), "__g").filter(F.getbit(byte, (F.col("__p") % 8).cast("int")) == 1)
+    return met.select(*rows.columns)
+
+
+def shared_keys(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """The rows whose ``columns`` have the values of another row's too, with ``n``, how many have them.
+
+    Rows are counted in groups and joined back, so a value of very many rows is no window of one task;
+    only rows that may have company are moved.
+    """
+    again = materialize(rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "shared-keys")
+    return maybe_in(rows, again, columns).join(again, columns)

@@ -31,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorjobs.llm.common import discard, materialize
+from sensorjobs.llm.common import discard, materialize, maybe_in
 
 def plain(low: Column) -> Column:
     """The text with white space inside a line as one space (most texts have no other and are left as they are)."""
@@ -84,20 +84,6 @@ def ends(min_words: int, width: int = 8) -> list[Column]:
     return out
 
 
-def maybe_in(rows: DataFrame, wanted: DataFrame, column: str, buckets: int = 1024) -> DataFrame:
-    """The rows whose hash of ``column`` has its bit set in a bitmap of the wanted ones: all wanted, and few others.
-
-    The bitmap has ``buckets`` times 32768 bits whatever the data (4 MB here), so it can be sent to the tasks.
-    """
-    bit = F.pmod(F.xxhash64(column), F.lit(buckets * 32768))
-    bits = wanted.select(bit.alias("x")).select(F.bitmap_bucket_number("x").alias("__g"), F.bitmap_bit_position("x").alias("p"))
-    bitmap = bits.groupBy("__g").agg(F.bitmap_construct_agg("p").alias("__m"))
-    at = rows.withColumn("__x", bit).withColumn("__g", F.bitmap_bucket_number("__x")).withColumn("__p", F.bitmap_bit_position("__x"))
-    byte = F.conv(F.hex(F.expr("substring(__m, CAST(__p DIV 8 AS INT) + 1, 1)")), 16, 10).cast("int")
-    met = at.join(F.broadcast(bitmap), "__g").filter(F.getbit(byte, (F.col("__p") % 8).cast("int")) == 1)
-    return met.select(*rows.columns)
-
-
 def without(i: Column) -> Column:
     """The words of the line but the i-th (from 1), joined by spaces."""
     return F.concat_ws(" ", F.nullif(part_of(i - 1), F.lit("")), F.nullif(part_of(i - F.col("n")), F.lit("")))
@@ -129,7 +115,7 @@ def kept_lines(rows: DataFrame, id_column: str = "doc_id", text: str = "text", m
     # Only lines with a possible partner are moved with their words, each from its first place (an inner
     # join: a semi join would be pushed below the bitmap). Their order becomes one number.
     own = lines_of(raw).withColumn("key", F.xxhash64("at.row", "at.line"))
-    able = maybe_in(own, partners, "key").join(partners, ["key", "h1", "h2"]).select("at", "s", "n", "h1", "h2").dropDuplicates(["h1", "h2"])
+    able = maybe_in(own, partners, ["key"]).join(partners, ["key", "h1", "h2"]).select("at", "s", "n", "h1", "h2").dropDuplicates(["h1", "h2"])
     able = materialize(able.orderBy("at").select("s", "n", "h1", "h2", F.monotonically_increasing_id().alias("o")), "lines-able")
     discard(partners)
 
@@ -139,7 +125,7 @@ def kept_lines(rows: DataFrame, id_column: str = "doc_id", text: str = "text", m
     keys = materialize(left_out.unionByName(whole), "line-variants")
     again = keys.groupBy("v", "m").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("v", "m")
     again = materialize(again, "line-variants-met")
-    met = materialize(maybe_in(keys, again, "v").join(again, ["v", "m"]), "line-variants-able")
+    met = materialize(maybe_in(keys, again, ["v"]).join(again, ["v", "m"]), "line-variants-able")
     discard(keys)
     discard(again)
 

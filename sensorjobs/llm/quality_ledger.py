@@ -30,8 +30,7 @@ LOWER = b"abcdefghijklmnopqrstuvwxyz"
 PLAIN = bytes(
     c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256)
 )
-#: A short list of everyday English insults for the abuse rule; a parameter of ``build_ledger``.
-INSULTS = ("clown", "disgusting", "dumb", "fool", "garbage", "idiot", "idiots", "imbecile", "loser", "losers", "moron", "morons", "pathetic", "scum", "stupid", "trash", "vermin", "worthless")
+AZ, az = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long, n_upper long, n_lower long, n_bangs long, n_insults long"
 
@@ -102,7 +101,7 @@ def learned_insults(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, le
     # The sample is bounded, so it can be sent to the documents.
     rows = materialize(docs.select("doc_id", F.col(f"`{text}`").alias("text")).join(F.broadcast(few), "doc_id"), "ledger-sample")
     toxic, clean = F.col("toxic") == 1, F.col("toxic") != 1
-    words = F.array_distinct(F.split(F.lower(F.coalesce("text", F.lit(""))), "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"))
+    words = F.array_distinct(F.split(F.translate(F.coalesce("text", F.lit("")), AZ, az), "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"))
     n_bad, n_fine = rows.agg(F.count_if(toxic), F.count_if(clean)).first()
     by_word = rows.select("toxic", F.explode(words).alias("word")).filter("word <> ''").groupBy("word").agg(F.count_if(toxic).alias("bad"), F.count_if(clean).alias("fine"))
     telling = by_word.filter((F.col("bad") >= least_documents) & ((F.col("bad") + 0.5) / (n_bad + 1) >= odds * (F.col("fine") + 0.5) / (n_fine + 1)))
@@ -148,8 +147,11 @@ POLICIES = {
 CURRENT = "v2"
 
 
-def build_ledger(docs: DataFrame, keep: list[str] | None = None, text: str = "text", insults: tuple[str, ...] = INSULTS) -> DataFrame:
-    """``keep`` columns, the measurements and ``fail_mask`` (bit k set: rule k failed)."""
+def build_ledger(docs: DataFrame, keep: list[str] | None = None, text: str = "text", insults: tuple[str, ...] = ()) -> DataFrame:
+    """``keep`` columns, the measurements and ``fail_mask`` (bit k set: rule k failed).
+
+    ``insults`` are the words that the abuse rule counts (see ``learned_insults``); without any, no document fails it.
+    """
     keep = ["doc_id"] if keep is None else keep
     own = {c.split()[0] for c in MEASURES.split(", ")} | {"fail_mask"}
     keep = [c for c in keep if c.lower() not in own]
@@ -187,36 +189,54 @@ def ablation(ledger: DataFrame, version: str = CURRENT) -> DataFrame:
     )
 
 
+def ledger_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger of all documents under the current policy, with the insults that the labels give."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    insults = learned_insults(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return apply_policy(build_ledger(docs, insults=insults))
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op3: the ledger of all documents with the base verdict and the current policy's."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    judged = apply_policy(build_ledger(docs))
     base_failed = F.col("fail_mask").bitwiseAND(F.lit(BASE).cast("long")) != 0
-    return judged.select(
+    return ledger_of(spark, sf_dir).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         base_failed.alias("base_failed"), "kept", "fail_mask",
     )
 
 
-def _oracle() -> str:
-    """The ledger and the current policy in DuckDB SQL, on whole texts."""
-    listed = ", ".join(f"'{w}'" for w in INSULTS)
+def ablation_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of the current policy costs, from the ledger of all documents."""
+    return ablation(ledger_of(spark, sf_dir))
+
+
+def _ledger_sql() -> str:
+    """The ledger in DuckDB SQL, on whole texts, as the table ``f``; labels are below the sample's bound at the scale it runs at."""
+    words = rf"regexp_extract_all(translate(t, '{AZ}', '{az}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
     gone = lambda chars: f"length(t) - length(regexp_replace(t, '{chars}', '', 'g'))"
     bits = " + ".join(f"CASE WHEN {r.fails} THEN {1 << r.bit} ELSE 0 END" for r in RULES)
     return rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
-w AS (SELECT r, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM d),
+lab AS (SELECT DISTINCT doc_id, toxic FROM labels WHERE doc_id IS NOT NULL AND toxic IS NOT NULL),
+ld AS (SELECT toxic = 1 AS bad, t FROM d JOIN lab USING (doc_id)),
+ln AS (SELECT count(*) FILTER (bad) AS nb, count(*) FILTER (NOT bad) AS nf FROM ld),
+lw AS (SELECT word, count(*) FILTER (bad) AS b, count(*) FILTER (NOT bad) AS f FROM (SELECT bad, unnest(list_distinct({words})) AS word FROM ld) GROUP BY word),
+listed AS (SELECT word FROM lw, ln WHERE b >= 5 AND (b + 0.5::DOUBLE) / (nb + 1) >= 20.0::DOUBLE * (f + 0.5::DOUBLE) / (nf + 1)),
+w AS (SELECT r, regexp_extract_all(t, '[^ 	-]+') AS w FROM d),
 g AS (SELECT r, k, concat_ws(' ', w[k], w[k + 1], w[k + 2]) AS s FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS k FROM w WHERE len(w) > 2)),
 rp AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(k, k + 3)) AS p FROM (SELECT r, k, count(*) OVER (PARTITION BY r, s) AS c FROM g) WHERE c > 1) GROUP BY r),
-l AS (SELECT r, count(*) AS n, count(DISTINCT x) AS u FROM (SELECT r, unnest(string_split(t, chr(10))) AS x FROM d) WHERE regexp_matches(x, '[^\x20\x09-\x0D]') GROUP BY r),
-i AS (SELECT r, count(*) AS n FROM (SELECT r, unnest(regexp_extract_all(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS x FROM d) WHERE x IN ({listed}) GROUP BY r),
-m AS (SELECT d.doc_id, len(w.w)::BIGINT AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars, ({gone('[#*$%&|<>]')})::BIGINT AS n_symbols,
+l AS (SELECT r, count(*) AS n, count(DISTINCT x) AS u FROM (SELECT r, unnest(string_split(t, chr(10))) AS x FROM d) WHERE regexp_matches(x, '[^ 	-]') GROUP BY r),
+i AS (SELECT r, count(*) AS n FROM (SELECT r, unnest({words}) AS x FROM d) WHERE x IN (SELECT word FROM listed) GROUP BY r),
+m AS (SELECT d.doc_id, len(w.w)::BIGINT AS n_words, length(regexp_replace(t, '[ 	-]', '', 'g'))::BIGINT AS word_chars, ({gone('[#*$%&|<>]')})::BIGINT AS n_symbols,
   coalesce(l.n - l.u, 0)::BIGINT AS n_dup_lines, coalesce(rp.n, 0)::BIGINT AS n_repeat_words, coalesce(l.n, 0) AS n_lines, {gone('[A-Z]')} AS n_upper, {gone('[a-z]')} AS n_lower,
   (length(t) - length(replace(t, '!!', ''))) // 2 AS n_bangs, coalesce(i.n, 0) AS n_insults
   FROM d JOIN w USING (r) LEFT JOIN l USING (r) LEFT JOIN rp USING (r) LEFT JOIN i USING (r)),
 f AS (SELECT *, ({bits})::BIGINT AS fail_mask FROM m)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail_mask & {BASE} <> 0 AS base_failed, fail_mask & {POLICIES[CURRENT]} = 0 AS kept, fail_mask FROM f
 """
 
 
-ORACLE = _oracle()
+ORACLE = _ledger_sql() + f"SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail_mask & {BASE} <> 0 AS base_failed, fail_mask & {POLICIES[CURRENT]} = 0 AS kept, fail_mask FROM f"
+ABLATION_ORACLE = _ledger_sql() + " UNION ALL ".join(
+    f"SELECT {r.bit}::INTEGER AS bit, '{r.name}' AS rule, count(*) FILTER (fail_mask & {1 << r.bit} <> 0)::BIGINT AS n_failed, count(*) FILTER (fail_mask & {POLICIES[CURRENT]} = {1 << r.bit})::BIGINT AS n_failed_alone FROM f"
+    for r in RULES if POLICIES[CURRENT] >> r.bit & 1
+)

@@ -19,10 +19,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_tree_lm": suffix_tree_lm.query,
     "op9_site_quality": site_quality.query,
     "op10_line_dedup": line_dedup.query,
+    "quality_ablation": quality_ledger.ablation_query,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_decontaminate": decontaminate.ORACLE,
     "op3_quality_ledger": quality_ledger.ORACLE,
     "op10_line_dedup": line_dedup.ORACLE,
+    "quality_ablation": quality_ledger.ABLATION_ORACLE,
 }

@@ -18,7 +18,8 @@ Defined results
 ---------------
 * null, empty and blank texts have no words: fingerprint zero, linked like any other;
 * texts of fewer words than a shingle: the whole sequence is the only shingle;
-* repeated rows and equal texts: same fingerprint, same component, one output row each;
+* repeated rows and equal texts: same fingerprint, same component, one output row each; ``keep_one`` keeps
+  one row of a component, also of repeated rows and of rows without an id;
 * null ids: the row is returned; the id takes no part in the choice of a component's smallest id
   (a component whose ids are all null has a null component_id);
 * empty table: empty result; other columns are ignored unless named in ``keep``.
@@ -34,7 +35,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorjobs.llm.common import discard, map_texts, materialize, spare
+from sensorjobs.llm import shingle_sketch
+from sensorjobs.llm.common import discard, map_texts, materialize, shared_keys, signed, spare
 
 BITS = 64
 
@@ -79,11 +81,6 @@ def segments(limit: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(edges, edges[1:], strict=False)]
 
 
-def signed(v: int) -> int:
-    """A 64-bit pattern as Spark's signed long."""
-    return v - (1 << 64) if v >> 63 else v
-
-
 def variants(fps: DataFrame, limit: int) -> DataFrame:
     """One row for each one-bit-left-out segment: ``slot`` (which segment and bit), ``part`` (the other bits), ``fp``."""
     rows = []
@@ -142,12 +139,7 @@ def links(fps: DataFrame, limit: int = 4, block: int = 64) -> DataFrame:
 
     Every pair within the limit is connected by the links; each link is within the limit.
     """
-    keyed = variants(fps, limit)
-    from pyspark.sql import Window
-
-    by = Window.partitionBy("slot", "part")
-    counted = keyed.withColumn("n", F.count(F.lit(1)).over(by)).filter("n > 1")
-    counted = materialize(counted.select("slot", "part", "fp", "n"), "simhash-keys")
+    counted = materialize(shared_keys(variants(fps, limit), ["slot", "part"]), "simhash-keys")
     few = counted.filter(F.col("n") <= block).select("slot", "part", "fp")
     a, b = few.withColumnRenamed("fp", "a"), few.withColumnRenamed("fp", "b")
     pairs = a.join(b, ["slot", "part"]).filter((F.col("a") < F.col("b")) & linked_once(F.col("a"), F.col("b"), F.col("slot"), limit)).select("a", "b")
@@ -172,11 +164,11 @@ def links(fps: DataFrame, limit: int = 4, block: int = 64) -> DataFrame:
     return pairs.unionByName(crowded).distinct()
 
 
-def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(``node``, ``root``) for every node of ``edges`` (``a``, ``b``, a < b): root is the component's smallest node.
 
     Alternating large-star and small-star rounds: every round keeps all connections and moves edges
-    to smaller nodes until each node hangs on its root. A node's smallest neighbour is a grouped
+    to smaller nodes until each node hangs on its root and a round changes nothing. A node's smallest neighbour is a grouped
     minimum (combined before the shuffle) joined back, so a node with very many edges can be split.
     """
 
@@ -185,7 +177,7 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
 
     edges = materialize(edges.select("a", "b"), "components")
     before = None
-    for _ in range(most_rounds):
+    while True:
         both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
         least = smallest(both).select("u", F.least("u", "m").alias("m"))
         large = both.filter("v > u").join(least, "u").select(F.col("m").alias("a"), F.col("v").alias("b")).filter("a < b").distinct()
@@ -200,7 +192,6 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         if now == before:
             return edges.select(F.col("b").alias("node"), F.col("a").alias("root"))
         before = now
-    raise RuntimeError(f"components did not settle in {most_rounds} rounds")
 
 
 def assign(docs: DataFrame, keep: list[str], id_column: str = "doc_id", text: str = "text", limit: int = 4, width: int = 4) -> DataFrame:
@@ -216,17 +207,34 @@ def assign(docs: DataFrame, keep: list[str], id_column: str = "doc_id", text: st
     return own.join(named.withColumnRenamed("fp", name), F.col("fp") == F.col(name), "left").drop(name)
 
 
-def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text", limit: int = 4, width: int = 4) -> DataFrame:
-    """The documents of which the id is the smallest of its component, with their own columns.
+def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text", limit: int = 4, width: int = 4, similarity: float | None = None, block: int = 16) -> DataFrame:
+    """One document of each component, with its own columns: the one of the smallest id (null ids come last),
+    then of the smallest hash of the text, then any of the rows that agree in both.
 
-    Rows that share the smallest id of a component (repeated rows) all stay if the id is null, and
-    one of them otherwise.
+    Documents link at ``limit`` bits or fewer of the fingerprints of shingles of ``width`` words. With ``similarity``
+    0.8 (and width 5) they link at that Jaccard similarity of their sets of shingles, verified on whole
+    texts: fingerprints are then those of ``shingle_sketch``, of symbols instead of bits.
     """
-    marks = assign(docs.select(F.col(f"`{id_column}`").alias("doc_id"), F.col(f"`{text}`").alias("text")), ["doc_id"], limit=limit, width=width)
-    stay = marks.filter("doc_id = component_id").select(F.col("doc_id").alias("__stay")).distinct()
-    known = docs.filter(F.col(f"`{id_column}`").isNotNull()).join(stay, F.col(f"`{id_column}`") == F.col("__stay"), "left_semi")
-    once = known.dropDuplicates([id_column])
-    return once.unionByName(docs.filter(F.col(f"`{id_column}`").isNull()))
+    own = [f"c{i}__" for i in range(len(docs.columns))]
+    at = {n.lower(): o for n, o in zip(docs.columns, own, strict=True)}
+    rows = docs.toDF(*own).withColumn("__row", F.monotonically_increasing_id())
+    t, of = at[text.lower()], F.col(at[id_column.lower()])
+    if similarity is None:
+        rows = materialize(fingerprints(rows, rows.columns, t, width), "near-docs")
+        found = lambda single: links(single.select("fp"), limit)
+        more: list[str] = []
+    elif (similarity, width) == (shingle_sketch.LEAST, shingle_sketch.WIDTH):
+        rows = materialize(shingle_sketch.signatures(rows, rows.columns, t), "near-docs")
+        found = lambda single: shingle_sketch.links(rows.select("fp", F.col(t).alias("text")), single, block)
+        more = ["size", "keys"]
+    else:
+        raise ValueError("the sketch is made for a similarity of 0.8 of shingles of five words")
+    place = F.struct(of.isNull().alias("none"), of.alias("id"), F.xxhash64(F.coalesce(F.col(t), F.lit(""))).alias("hash"), F.col("__row").alias("row"))
+    single = materialize(rows.groupBy("fp").agg(F.min(place).alias("least"), *[F.first(c).alias(c) for c in more]), "near-single")
+    roots = components(found(single)).withColumnRenamed("node", "fp")
+    stay = single.select("fp", "least").join(roots, "fp", "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("least").alias("least"))
+    kept = rows.join(stay.select(F.col("least.row").alias("__row")), "__row", "left_semi")
+    return kept.select(*[F.col(o).alias(n) for o, n in zip(own, docs.columns, strict=True)])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

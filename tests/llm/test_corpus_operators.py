@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from test_text_operators import ODD, docs, none, odd  # noqa: F401
 
 import corpus_pipeline
-from sensorjobs.llm import quality_ledger, simhash_dedup, site_quality, source_mixing, suffix_tree_lm, vector_sharding
+from sensorjobs.llm import quality_ledger, site_quality, source_mixing, suffix_tree_lm, vector_sharding
 
 # --- op4 -------------------------------------------------------------------------------------------
 
@@ -323,16 +323,11 @@ def test_pipeline_stages(spark, docs, sf_dir):  # noqa: F811
     stages = [f for _, f in corpus_pipeline.STAGES]
     kept = stages[0](spark, docs, sf_dir).cache()
     assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in quality_ledger.query(spark, sf_dir).filter("kept").collect()}
-    fps = {r.doc_id: simhash_dedup.fingerprint_of(r.text.encode()) for r in kept.collect()}
-    least, ids = {}, sorted(fps)
-    for i in ids:
-        near = {least[j] for j in least if bin(fps[i] ^ fps[j]).count("1") <= 4} | {i}
-        for j in list(least):
-            if least[j] in near:
-                least[j] = min(near)
-        least[i] = min(near)
+    from test_whole_job import brute_stay
+
+    want, _ = brute_stay([(r.doc_id, r.text) for r in kept.collect()])
     unique = stages[1](spark, kept, sf_dir).cache()
-    assert sorted(r.doc_id for r in unique.collect()) == sorted(set(least.values())) and unique.columns == docs.columns
+    assert sorted(r.doc_id for r in unique.collect()) == sorted(want) and unique.columns == docs.columns
     clean = stages[2](spark, unique, sf_dir).cache()
     bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     from sensorjobs.llm import decontaminate

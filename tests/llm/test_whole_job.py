@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import corpus_pipeline
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sensorjobs.llm import jaccard_dedup, quality_ledger, source_mixing
+from sensorjobs.llm import quality_ledger, shingle_sketch, simhash_dedup, source_mixing
 
 ODD_SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
@@ -52,18 +53,34 @@ def test_near_copies_against_brute_force(spark, block):
     rows = [*enumerate(texts, 1), (901, None), (902, " "), (903, "few words"), (904, "Few  words")]
     want, pairs = brute_stay(rows)
     assert pairs > 150
-    got = jaccard_dedup.keep_one(table(spark, [*rows, (None, texts[0])]), block=block)
-    assert {r.doc_id for r in got.collect()} == want | {None} and got.columns == table(spark, rows).columns
-    assert jaccard_dedup.keep_one(table(spark, rows).limit(0)).count() == 0
+    keep = lambda df: simhash_dedup.keep_one(df, width=5, similarity=0.8, block=block)
+    # Of the blank texts, the repeated row and the row without an id, one row of each component stays.
+    got = keep(table(spark, [*rows, rows[3], (None, texts[0]), (None, "only here"), (None, "only here")]))
+    assert Counter(r.doc_id for r in got.collect()) == Counter([*want, None]) and got.columns == table(spark, rows).columns
+    assert keep(table(spark, rows).limit(0)).count() == 0
 
 
-def test_forest_links_only_what_is_similar():
+def test_unlike_texts_in_a_crowd(spark):
+    """Members of a crowd that are not like its first are compared with all of it; no link is lost."""
+    rng = random.Random(9)
+    words = [f"w{k}" for k in range(300)]
+    texts = []
+    for k in range(60):  # a chain: each like the next ones only, all with the first 240 words
+        w = words[:240] + [f"c{k + j}" for j in range(60)]
+        texts.append(" ".join(w))
+    rows = list(enumerate(texts, 1))
+    rng.shuffle(rows)
+    want, pairs = brute_stay(rows)
+    got = simhash_dedup.keep_one(table(spark, rows), width=5, similarity=0.8, block=4)
+    assert pairs and {r.doc_id for r in got.collect()} == want
+
+
+def test_cross_links_are_all_that_is_similar():
     rng = np.random.default_rng(1)
     base = rng.integers(0, 1 << 40, 90).astype(np.uint64)
     sets = [np.unique(np.concatenate((base[k:], rng.integers(0, 1 << 40, k).astype(np.uint64)))) for k in (0, 5, 9, 14, 40, 44)]
     near = lambda a, b: 5 * len(np.intersect1d(a, b)) >= 4 * len(np.union1d(a, b))
-    edges = jaccard_dedup.forest(sets, None)
-    assert edges and all(near(sets[a], sets[b]) for a, b in edges)
+    assert sorted(shingle_sketch.cross_links(sets, sets[1:])) == [(i, j) for i, a in enumerate(sets) for j, b in enumerate(sets[1:]) if near(a, b)]
 
 
 def test_pipeline_drops_edited_copies(spark):
@@ -79,7 +96,7 @@ def test_insults_of_all_languages(spark):
     docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
     unseen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 0
     learned = quality_ledger.learned_insults(docs, labels.filter(~unseen))
-    ledger = quality_ledger.build_ledger(docs, ["doc_id", "lang"], insults=quality_ledger.INSULTS + learned)
+    ledger = quality_ledger.build_ledger(docs, ["doc_id", "lang"], insults=learned)
     abused = F.expr(next(r.fails for r in quality_ledger.RULES if r.name == "abuse"))
     rows = ledger.withColumn("abused", abused).join(labels.filter(unseen), "doc_id").groupBy("lang", "toxic").agg(F.avg(F.col("abused").cast("int")).alias("share"), F.count("*").alias("n")).collect()
     share = {(r.lang, r.toxic): r.share for r in rows}
@@ -107,3 +124,17 @@ def test_mixed_documents_are_whole(spark):
     assert rows.filter(F.exists("draws", lambda x: x["words"] != F.col("size"))).count() == 0
     per = rows.groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target"), F.max("size").alias("most")).collect()
     assert all(abs(r.taken - r.target) <= r.most / 2 + 1 for r in per)
+
+
+def test_pipeline_odd_rows(spark, tmp_path):
+    """Nulls in any column, blank and repeated rows, and columns that clash with the operators' names: no crash, the columns of documents only."""
+    good = " ".join(f"word{k}" for k in range(80))
+    rows = [(1, good, "en", "a", 5), (1, good, "en", "a", 5), (None, good + " more", None, None, None), (2, None, "en", "a", None), (3, "", None, "b", 0), (4, " \n ", "en", None, 3), (5, good[::-1], "en", "b", 1)]
+    docs = spark.createDataFrame(rows, ODD_SCHEMA).withColumns({c: F.lit("x") for c in ("shard", "slot", "size", "fp", "kept", "c0__", "__row", "N_WORDS")})
+    spark.createDataFrame([(1, "one two three four five six seven eight nine ten")], "item_id int, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(1, 1, 0), (None, None, None)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        docs = stage(spark, docs, str(tmp_path))
+        assert docs.columns[:5] == corpus_pipeline.COLUMNS and (k == 4 or len(docs.columns) == 5)
+    got = docs.collect()
+    assert {r.doc_id for r in got} <= {1, None, 5} and {r.text for r in got} <= {good, good + " more", good[::-1]}
