@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorjobs.functions.columns import bbox_text, surrogate_key
+from sensorjobs.sources.io import stored
 
 
 def dim_build(seed: DataFrame, key: Sequence[str], as_of: Column, id_column: str = "id") -> DataFrame:
@@ -132,29 +134,35 @@ def weather_station_list(stations: DataFrame, region_map: DataFrame) -> DataFram
     return rows.select("id", "code", "name", "latitude", "longitude", surrogate_key(F.col("region_code")).alias("region_id"))
 
 
-def nearest_station(points: DataFrame, stations: DataFrame, cell: float) -> DataFrame:
+def nearest_station(points: DataFrame, stations: DataFrame, cell: float, last_cell: float = 360.0, salts: int = 64) -> DataFrame:
     """The nearest station (squared degrees, ties by code) of every point, left.
 
     ``points``: id, lat, lon; ``stations``: code, slat, slon. A grid of ``cell`` degrees answers every
     point that has a station within one cell's width in its own or the eight neighbouring cells; for the
-    others the ring of cells doubles until all are answered. So no side has to be sent whole.
+    others the cells grow until all are answered. Each round is written, so plans stay small. Points that
+    no grid below ``last_cell`` answers meet all stations in ``salts`` parts, and the parts' nearest ones are compared.
     """
-    left, done = points, None
     d = (F.col("lat") - F.col("slat")) * (F.col("lat") - F.col("slat")) + (F.col("lon") - F.col("slon")) * (F.col("lon") - F.col("slon"))
-    while True:
+
+    def best_of(pairs: DataFrame) -> DataFrame:
+        best = pairs.filter(d.isNotNull()).groupBy("id").agg(F.min(F.struct(d.alias("d"), F.col("code").alias("code"))).alias("b"))
+        return best.select("id", F.col("b.code").alias("nearest_code"), F.col("b.d").alias("distance2"))
+
+    left, rounds = points, []
+    while cell < last_cell and not left.isEmpty():
         at = lambda c: F.floor(F.col(c) / cell)  # noqa: B023, E731
         ring = F.explode(F.array(*[F.struct((at("lat") + i).alias("x"), (at("lon") + j).alias("y")) for i in (-1, 0, 1) for j in (-1, 0, 1)]))
         near = left.withColumn("g", ring).join(stations.select("*", F.struct(at("slat").alias("x"), at("slon").alias("y")).alias("g")), "g")
-        best = near.groupBy("id").agg(F.min(F.struct(d.alias("d"), F.col("code").alias("code"))).alias("b"))
-        best = best.select("id", F.col("b.code").alias("nearest_code"), F.col("b.d").alias("distance2"))
-        if cell >= 360:
-            got = points.select("id") if done is None else left.select("id")
-            out = got.join(best, "id", "left")
-            return out if done is None else done.unionByName(out)
-        sure = best.filter(F.col("distance2") <= cell * cell)
-        done = sure if done is None else done.unionByName(sure)
-        left = left.join(sure.select("id"), "id", "left_anti")
+        rounds.append(stored(best_of(near).filter(F.col("distance2") <= cell * cell), "nearest"))
+        left = stored(left.join(rounds[-1].select("id"), "id", "left_anti"), "nearest-left")
         cell *= 8
+    if not left.isEmpty():
+        parts = stations.withColumn("g", F.pmod(F.xxhash64("code"), F.lit(salts)))
+        found = best_of(left.withColumn("g", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))).join(parts, "g"))
+        rounds.append(left.select("id").join(found, "id", "left"))
+    if not rounds:
+        return points.select("id", F.lit(None).cast("string").alias("nearest_code"), F.lit(None).cast("double").alias("distance2"))
+    return reduce(DataFrame.unionByName, rounds)
 
 
 def anti_join_missing(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

@@ -101,8 +101,8 @@ def rolling_by_day(rows: DataFrame, time: str = "hour", key: str = "station_code
 
 
 def station_readings(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """The station table: id map, both rolling groups and the row's key (one sort serves both frames)."""
-    out = rolling_24h(rolling_6h(rows)).join(ids.select(F.col("code").alias("station_code"), F.col("project_station_id").alias("station_id")), "station_code")
+    """The station table: id map, both rolling groups and the row's key (one sort by station and day serves both frames)."""
+    out = rolling_by_day(rows).join(ids.select(F.col("code").alias("station_code"), F.col("project_station_id").alias("station_id")), "station_code")
     return out.select(
         surrogate_key(F.col("station_id"), key_time(F.col("hour"))).alias("id"), "station_id", F.lit(None).cast("bigint").alias("airnow_id"), F.col("hour").alias("date_localtime"),
         "pm_calibrated", "pm1", "pm2_5", "pm10", "pm2_5_avg_6h", "pm2_5_max_6h", "pm2_5_skew_6h", "pm2_5_std_6h",

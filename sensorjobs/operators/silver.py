@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 #: Minutes between two messages of a cursor source (a fixed value of the devices).
 STEP_MINUTES = 5
+#: Cursors of a block, about four months of one station at that interval.
+BLOCK = 36_000
 
 
 def _ordered(tie: Sequence[str]) -> list[Column]:
@@ -80,10 +82,17 @@ def carry_anchor(new_rows: DataFrame, state: DataFrame) -> DataFrame:
     return impute_timestamps(run.drop("__s", "anchor_ts", "anchor_cursor"))
 
 
-def repair(rows: DataFrame) -> DataFrame:
-    """Time repair of all sources: by cursor where there is one, else passed through."""
+def repair(rows: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Time repair of all sources: by cursor where there is one, else passed through. Work spreads over blocks of cursors."""
     with_cursor = F.col("cursor_id").isNotNull()
-    return impute_timestamps(running_last_valid(rows.filter(with_cursor))).unionByName(passthrough_timestamps(rows.filter(~with_cursor)))
+    return impute_timestamps(running_last_valid_blocks(rows.filter(with_cursor), block)).unionByName(passthrough_timestamps(rows.filter(~with_cursor)))
+
+
+def block_ends(rows: DataFrame, block: int = BLOCK) -> DataFrame:
+    """The state that runs on new and late rows need: both maxima over the valid rows of each station and block of cursors."""
+    valid = F.col("is_measured_at_valid")
+    cut = rows.filter(F.col("cursor_id").isNotNull()).withColumn("block", F.floor(F.col("cursor_id") / block))
+    return cut.groupBy("station_code", "block").agg(F.max(F.when(valid, F.col("measured_at_parsed"))).alias("ts"), F.max(F.when(valid, F.col("cursor_id"))).alias("cursor"))
 
 
 def validate_values(rows: DataFrame, rules: DataFrame, time: str = "measured_at_silver") -> DataFrame:

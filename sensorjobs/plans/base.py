@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +11,7 @@ from sensorjobs import views
 from sensorjobs.functions.columns import surrogate_key
 from sensorjobs.operators import gold, silver
 from sensorjobs.operators.staging import pivot_hourly
+from sensorjobs.sources.io import scratch, stored  # noqa: F401  (for the queries)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -41,12 +40,6 @@ def stamp(c: Column | str) -> Column:
     return F.date_format(c, "yyyy-MM-dd HH:mm:ss")
 
 
-def scratch(spark: SparkSession, tag: str) -> str:
-    """A new path in the folder that the cluster shares (a temporary one where none is configured)."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.gettempdir()
-    return f"{base.rstrip('/')}/sensorjobs-{tag}-{uuid.uuid4().hex}"
-
-
 # --- shared steps in Spark -------------------------------------------------------------------------
 
 
@@ -115,12 +108,16 @@ def weather(spark: SparkSession, d: str) -> DataFrame:
 
 
 def feature_rows(spark: SparkSession, d: str) -> DataFrame:
-    ids = station_ids(spark, d).join(stations(spark, d).select("code", surrogate_key(F.col("region_code")).alias("region_id")), "code")
-    return gold.features(readings(spark, d), ids.select(F.col("project_station_id").alias("station_id"), "region_id"), region_table(spark, d), weather(spark, d))
+    own = stations(spark, d)
+    ids = station_ids(spark, d)
+    hours = stored(calibrated(spark, d), "hours")
+    regions = gold.region_readings(hours, own.select(F.col("code").alias("station_code"), "region_code"))
+    of = ids.join(own.select("code", surrogate_key(F.col("region_code")).alias("region_id")), "code").select(F.col("project_station_id").alias("station_id"), "region_id")
+    return gold.features(gold.station_readings(hours, ids), of, regions, weather(spark, d))
 
 
 #: The end of the forecast window: noon of a day all scales have data for.
-AS_OF = "2024-01-20 12:00:00"
+AS_OF = "2024-01-30 12:00:00"
 
 
 def as_of() -> Column:

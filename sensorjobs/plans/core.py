@@ -106,11 +106,12 @@ def dim_build_with_parent(spark: SparkSession, d: str) -> DataFrame:
 ORDER_KEYS = {"a": sk("CAST(o_orderkey AS VARCHAR)"), "b": sk("CAST(p_partkey AS VARCHAR)")}
 
 
-@query("bridge_build", f"WITH x AS (SELECT {ORDER_KEYS['a']} AS order_id, {ORDER_KEYS['b']} AS part_id FROM (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem) JOIN orders ON o_orderkey = l_orderkey AND o_orderkey % 2 = 0 JOIN part ON p_partkey = l_partkey) SELECT {sk('order_id || ' + chr(39) + '-' + chr(39) + ' || part_id')} AS id, order_id, part_id FROM x")
+@query("bridge_build", f"WITH x AS (SELECT {ORDER_KEYS['a']} AS order_id, {ORDER_KEYS['b']} AS part_id FROM (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem) JOIN orders ON o_orderkey = l_orderkey AND o_orderstatus <> 'P' JOIN part ON p_partkey = l_partkey) SELECT {sk('order_id || ' + chr(39) + '-' + chr(39) + ' || part_id')} AS id, order_id, part_id FROM x")
 def bridge_build(spark: SparkSession, d: str) -> DataFrame:
     key = lambda t, k: views.table(spark, d, t).select(k, fn.surrogate_key(F.col(k)).alias("id"))
     pairs = views.table(spark, d, "lineitem").select("l_orderkey", "l_partkey").distinct()
-    return dims.bridge_build(pairs, key("orders", "o_orderkey").filter("o_orderkey % 2 = 0"), "l_orderkey", "o_orderkey", key("part", "p_partkey"), "l_partkey", "p_partkey", ("order_id", "part_id"))
+    orders = views.table(spark, d, "orders").filter("o_orderstatus <> 'P'").select("o_orderkey", fn.surrogate_key(F.col("o_orderkey")).alias("id"))
+    return dims.bridge_build(pairs, orders, "l_orderkey", "o_orderkey", key("part", "p_partkey"), "l_partkey", "p_partkey", ("order_id", "part_id"))
 
 
 @query("stream_candidates", f"WITH {M} SELECT station_code, variable_code, {ts('max(ext)')} AS last_extracted_at, {KEY} AS station_variable_source, station_code || ' / ' || variable_code || ' / net' AS stream_name FROM m GROUP BY station_code, variable_code")
@@ -212,9 +213,11 @@ def display_name(spark: SparkSession, d: str) -> DataFrame:
 
 @query("star_join", f"WITH {FACT} SELECT event_id AS source_row_id, station_code, variable_code, 'net' AS data_source_name, v AS value_parsed FROM f")
 def star_join(spark: SparkSession, d: str) -> DataFrame:
-    keyed = silver.silver_fact(base.validated(spark, d), streams(spark, d))
+    known = named_dims(spark, d)
+    own = base.stored(dims.stream_dim(dims.stream_candidates(views.measurements(spark, d)), *known), "streams")
+    keyed = silver.silver_fact(base.validated(spark, d), own)
     fact = silver.dedupe_latest(keyed, ["stream_id", "timestamp"], ["ingested_at", "source_row_id"])
-    return gold.star_join(fact, streams(spark, d), *named_dims(spark, d)).select("source_row_id", "station_code", "variable_code", "data_source_name", "value_parsed")
+    return gold.star_join(fact, own, *known).select("source_row_id", "station_code", "variable_code", "data_source_name", "value_parsed")
 
 
 @query("feature_join", f"WITH {base.READ}{base.REG}{base.WE} SELECT station_id, {ts('rd.hr')} AS hour, {rd('pavg')} AS pm2_5_region_avg, {rd('we.wind_speed')} AS wind_speed FROM rd LEFT JOIN rg ON rg.region_id = {sk('rd.rc')} AND rg.hr = rd.hr LEFT JOIN we ON we.region_id = {sk('rd.rc')} AND we.hr = rd.hr")

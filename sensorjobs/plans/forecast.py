@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from datetime import datetime, timedelta
+from time import time as time_of_day
 from typing import Any
 
 import pandas as pd
@@ -11,6 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorjobs.functions.columns import surrogate_key
+from sensorjobs.operators.silver import dedupe_latest
+from sensorjobs.sources.io import stored, upsert_keep_columns
 
 MIN_POINTS = 18
 WINDOW_HOURS = 24
@@ -36,15 +40,15 @@ def complete_rows(rows: DataFrame, required: Sequence[str]) -> DataFrame:
 
 
 def min_points_gate(rows: DataFrame, required: Sequence[str], least: int = MIN_POINTS) -> DataFrame:
-    """Per station: rows, complete rows, and whether and why it is skipped."""
+    """Per station: rows, complete rows, whether it is skipped, and the reason's code and detail."""
     whole = F.lit(True)
     for c in required:
         whole = whole & F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
     n = rows.groupBy("station_id").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(whole).alias("n_complete"))
-    reason = F.when(F.col("n_rows") < least, F.concat(F.lit("min_points: "), F.col("n_rows").cast("string"))).when(
-        F.col("n_complete") < least, F.concat(F.lit("min_points_or_nulls: "), F.col("n_complete").cast("string"))
-    )
-    return n.withColumns({"status": F.when(reason.isNotNull(), F.lit("skipped")).otherwise(F.lit("ready")), "reason": reason})
+    few, fewer = F.col("n_rows") < least, F.col("n_complete") < least
+    code = F.when(few, F.lit("min_points")).when(fewer, F.lit("min_points_or_nulls"))
+    detail = F.when(few, F.concat(F.lit("Rows in window: "), F.col("n_rows").cast("string"))).when(fewer, F.concat(F.lit("Rows after null filter: "), F.col("n_complete").cast("string")))
+    return n.withColumns({"status": F.when(few | fewer, F.lit("skipped")).otherwise(F.lit("ready")), "reason_code": code, "reason_detail": detail})
 
 
 def feature_frame(rows: DataFrame, columns: Sequence[str], tie: str, station: str = "station_id", time: str = "date_utc") -> DataFrame:
@@ -56,8 +60,7 @@ def feature_frame(rows: DataFrame, columns: Sequence[str], tie: str, station: st
     if missing:
         raise ValueError(f"missing columns: {', '.join(missing)}")
     typed = rows.select(F.col(station).cast("bigint").alias("station_id"), F.expr(f"try_cast({time} AS timestamp)").alias("date_utc"), *[F.expr(f"try_cast({c} AS double)").alias(c) for c in columns], F.col(tie).alias("__tie"))
-    w = Window.partitionBy("station_id", "date_utc").orderBy(F.col("__tie").desc())
-    return typed.filter(F.col("date_utc").isNotNull()).withColumn("__n", F.row_number().over(w)).filter("__n = 1").drop("__n", "__tie")
+    return dedupe_latest(typed.filter(F.col("date_utc").isNotNull()), ["station_id", "date_utc"], ["__tie"]).drop("__tie")
 
 
 def hourly_reindex(frame: DataFrame, as_of: Column, time: str = "date_utc") -> DataFrame:
@@ -129,7 +132,7 @@ def drift(frame: pd.DataFrame, horizon: int, column: str = "aqi_pm2_5") -> list[
 
 
 def predict_window(frame: DataFrame, model: Model, horizons: Sequence[int] = HORIZONS, time: str = "date_utc") -> DataFrame:
-    """(``station_id``, ``horizon``, ``points``, ``error``): the model's points for every station's prepared window.
+    """(``station_id``, ``horizon``, ``points``, ``error``, ``seconds``): the model's points for every station's prepared window.
 
     One group is one station's window, bounded by its hours. A station's exception becomes its error.
     """
@@ -139,13 +142,15 @@ def predict_window(frame: DataFrame, model: Model, horizons: Sequence[int] = HOR
         last = rows[time].iloc[-1].to_pydatetime()
         out = []
         for h in horizons:
+            began, points, error = time_of_day(), None, None
             try:
-                out.append((key[0], h, normalize_points(model(rows, h), last, h), None))
+                points = normalize_points(model(rows, h), last, h)
             except Exception as e:  # a station never fails the run
-                out.append((key[0], h, None, f"{type(e).__name__}: {e}"[:500]))
-        return pd.DataFrame(out, columns=["station_id", "horizon", "points", "error"])
+                error = str(e)[:500]
+            out.append((key[0], h, points, error, time_of_day() - began))
+        return pd.DataFrame(out, columns=["station_id", "horizon", "points", "error", "seconds"])
 
-    return frame.groupBy("station_id").applyInPandas(run, f"station_id bigint, horizon int, points array<{POINT}>, error string")
+    return frame.groupBy("station_id").applyInPandas(run, f"station_id bigint, horizon int, points array<{POINT}>, error string, seconds double")
 
 
 def storage_points(points: Column) -> Column:
@@ -161,35 +166,84 @@ def aqi_input_points(rows: DataFrame, time: str = "date_utc", column: str = "aqi
     return rows.groupBy("station_id").agg(F.transform(listed, lambda x: F.struct(x["value"].alias("value"), x["timestamp"].alias("timestamp"))).alias("aqi_input"))
 
 
-def station_status(gate: DataFrame, predictions: DataFrame) -> DataFrame:
-    """One row a station: success, skipped or failed, and the reason."""
-    errors = predictions.groupBy("station_id").agg(F.max("error").alias("error"))
-    rows = gate.join(errors, "station_id", "left")
+#: Fixed value: the reason code of a station whose model raised an error.
+FAILED = "exception"
+
+
+@dataclass(frozen=True)
+class Run:
+    """What a run's header tells: its id and project, its parameters, the models' versions and paths, its start."""
+
+    run_id: str
+    project: str
+    as_of: Column
+    started_at: Column
+    window_hours: int = WINDOW_HOURS
+    min_points: int = MIN_POINTS
+    model_6h_version: str = "unversioned"
+    model_12h_version: str = "unversioned"
+    model_6h_path: str | None = None
+    model_12h_path: str | None = None
+    flow_run_id: str = "local"
+    deployment: str | None = None
+
+
+def station_status(gate: DataFrame, predictions: DataFrame, run: Run, at: Column) -> DataFrame:
+    """One row a station and run: success, skipped or failed; the reason's code and detail; whole seconds of the model calls."""
+    calls = predictions.groupBy("station_id").agg(F.max("error").alias("error"), F.floor(F.sum("seconds")).cast("int").alias("duration_s"))
+    failed = F.col("error").isNotNull()
+    rows = gate.join(calls, "station_id", "left")
     return rows.select(
-        "station_id",
-        F.when(F.col("status") == "skipped", F.lit("skipped")).when(F.col("error").isNotNull(), F.lit("failed")).otherwise(F.lit("success")).alias("status"),
-        F.coalesce("reason", F.substring("error", 1, 500)).alias("reason"),
+        surrogate_key(F.lit(run.project), F.lit(run.run_id), F.col("station_id")).alias("id"), F.lit(run.project).alias("project_code"), F.lit(run.run_id).alias("inference_run_id"), "station_id",
+        F.when(F.col("status") == "skipped", F.lit("skipped")).when(failed, F.lit("failed")).otherwise(F.lit("success")).alias("status"),
+        F.coalesce("reason_code", F.when(failed, F.lit(FAILED))).alias("reason_code"), F.coalesce("reason_detail", "error").alias("reason_detail"), "duration_s", at.alias("created_at"),
     )
 
 
-def run_summary(status: DataFrame, run_id: str, as_of: Column) -> DataFrame:
-    """The run's header: totals by status; partial if some but not all stations succeeded."""
+def run_summary(status: DataFrame, run: Run, ended_at: Column) -> DataFrame:
+    """The run's header with its totals by status. A failed station does not fail the run."""
     of = lambda s: F.count_if(F.col("status") == s)
     rows = status.agg(F.count(F.lit(1)).alias("stations_total"), of("success").alias("stations_success"), of("skipped").alias("stations_skipped"), of("failed").alias("stations_failed"))
-    state = F.when(F.col("stations_failed") == 0, F.lit("success")).when(F.col("stations_success") > 0, F.lit("partial")).otherwise(F.lit("failed"))
-    return rows.select(F.lit(run_id).alias("run_id"), as_of.alias("as_of"), "*", state.alias("status"))
+    text = lambda x: F.lit(x).cast("string")
+    return rows.select(
+        F.lit(run.run_id).alias("id"), text(run.flow_run_id).alias("flow_run_id"), text(run.deployment).alias("deployment"), run.as_of.alias("as_of"), F.lit(run.window_hours).alias("window_hours"), F.lit(run.min_points).alias("min_points"),
+        text(run.model_6h_version).alias("model_6h_version"), text(run.model_12h_version).alias("model_12h_version"), text(run.model_6h_path).alias("model_6h_path"), text(run.model_12h_path).alias("model_12h_path"),
+        run.started_at.alias("started_at"), ended_at.alias("ended_at"), F.floor(F.unix_timestamp(ended_at) - F.unix_timestamp(run.started_at)).cast("int").alias("duration_s"),
+        F.lit("success").alias("status"), "stations_total", "stations_success", "stations_skipped", "stations_failed", F.lit(None).cast("string").alias("error_summary"),
+    )
+
 
+def forecast_run(features: DataFrame, model: Model, run: Run, required: Sequence[str], at: Column) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Results (forecast_6h, forecast_12h, aqi_input), station status and run header, all as of the time ``at``.
 
-def forecast_run(features: DataFrame, as_of: Column, model: Model, run_id: str, required: Sequence[str], least: int = MIN_POINTS) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Results (forecast_6h, forecast_12h, aqi_input), station status and run header."""
-    rows = station_window(features, as_of)
-    gate = min_points_gate(rows, required, least)
+    The window and the predictions are written once; gates, results and status read them.
+    """
+    rows = stored(station_window(features, run.as_of, run.window_hours), "window")
+    gate = min_points_gate(rows, required, run.min_points)
     ready = rows.join(gate.filter("status = 'ready'").select("station_id"), "station_id", "left_semi")
     columns = [c for c in ready.columns if c not in ("station_id", "date_utc")]
-    prepared = gap_fill(hourly_reindex(complete_rows(ready, required), as_of), columns)
-    predicted = predict_window(prepared, model)
-    named = predicted.filter("error IS NULL").groupBy("station_id").agg(*[F.max(F.when(F.col("horizon") == h, F.to_json(storage_points(F.col("points"))))).alias(f"forecast_{h}h") for h in HORIZONS])
+    prepared = stored(gap_fill(hourly_reindex(complete_rows(ready, required), run.as_of), columns), "prepared")
+    predicted = stored(predict_window(prepared, model), "predicted")
+    failed = predicted.filter("error IS NOT NULL").select("station_id").distinct()
+    named = predicted.join(failed, "station_id", "left_anti").groupBy("station_id").agg(*[F.max(F.when(F.col("horizon") == h, F.to_json(storage_points(F.col("points"))))).alias(f"forecast_{h}h") for h in HORIZONS])
     inputs = aqi_input_points(prepared).withColumn("aqi_input", F.to_json("aqi_input"))
-    results = named.join(inputs, "station_id").select(surrogate_key(F.lit(run_id), F.col("station_id")).alias("id"), F.lit(run_id).alias("inference_run_id"), "station_id", *[f"forecast_{h}h" for h in HORIZONS], "aqi_input")
-    status = station_status(gate, predicted)
-    return results, status, run_summary(status, run_id, as_of)
+    results = named.join(inputs, "station_id").select(
+        surrogate_key(F.lit(run.run_id), F.col("station_id")).alias("id"), F.lit(run.run_id).alias("inference_run_id"), "station_id", *[f"forecast_{h}h" for h in HORIZONS], "aqi_input", at.alias("created_at")
+    )
+    status = stored(station_status(gate, predicted, run, at), "status")
+    return results, status, run_summary(status, run, at)
+
+
+def persist_results(target: DataFrame, results: DataFrame) -> DataFrame:
+    """The result table after a run: known (run, station) pairs keep id and creation time, their forecasts are replaced."""
+    return upsert_keep_columns(target, results, ["inference_run_id", "station_id"], [*[f"forecast_{h}h" for h in HORIZONS], "aqi_input"])
+
+
+def persist_status(target: DataFrame, status: DataFrame) -> DataFrame:
+    """The status table after a run: known (project, run, station) rows keep id and creation time."""
+    return upsert_keep_columns(target, status, ["project_code", "inference_run_id", "station_id"], ["status", "reason_code", "reason_detail", "duration_s"])
+
+
+def persist_run(target: DataFrame, header: DataFrame) -> DataFrame:
+    """The run table after a run has ended: its end, state and totals are set on the header written at its start."""
+    return upsert_keep_columns(target, header, ["id"], ["ended_at", "duration_s", "status", "stations_total", "stations_success", "stations_skipped", "stations_failed", "error_summary"])

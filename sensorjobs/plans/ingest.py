@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sensorjobs import views
 from sensorjobs.functions import columns as fn
-from sensorjobs.operators import staging
+from sensorjobs.operators import gold, staging
 from sensorjobs.plans import base
 from sensorjobs.plans.base import FACT, H, M, query, r, rd, scratch, stamp, ts
 from sensorjobs.sources import io
@@ -74,21 +74,22 @@ def lookback_read(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _orders(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Target and batch: finished orders are new, open ones only known, the others in both."""
     o = views.table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    return o.filter("o_orderkey % 3 <> 0"), o.filter("o_orderkey % 2 = 0").withColumn("o_totalprice", F.col("o_totalprice") * 2).withColumn("o_orderstatus", F.lit("N"))
+    return o.filter("o_orderstatus <> 'F'"), o.filter("o_orderstatus <> 'O'").withColumn("o_totalprice", F.col("o_totalprice") * 2).withColumn("o_orderstatus", F.lit("N"))
 
 
-@query("upsert_by_key", "SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 'N' ELSE o_orderstatus END AS o_orderstatus, CASE WHEN o_orderkey % 2 = 0 THEN 2 ELSE 1 END * o_totalprice AS o_totalprice FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 <> 0")
+@query("upsert_by_key", "SELECT o_orderkey, CASE WHEN o_orderstatus <> 'O' THEN 'N' ELSE o_orderstatus END AS o_orderstatus, CASE WHEN o_orderstatus <> 'O' THEN 2 ELSE 1 END * o_totalprice AS o_totalprice FROM orders")
 def upsert_by_key(spark: SparkSession, d: str) -> DataFrame:
     return io.upsert_by_key(*_orders(spark, d), ["o_orderkey"])
 
 
-@query("upsert_keep_columns", "SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'N' ELSE o_orderstatus END AS o_orderstatus, CASE WHEN o_orderkey % 2 = 0 THEN 2 ELSE 1 END * o_totalprice AS o_totalprice FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 <> 0")
+@query("upsert_keep_columns", "SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'N' ELSE o_orderstatus END AS o_orderstatus, CASE WHEN o_orderstatus <> 'O' THEN 2 ELSE 1 END * o_totalprice AS o_totalprice FROM orders")
 def upsert_keep_columns(spark: SparkSession, d: str) -> DataFrame:
     return io.upsert_keep_columns(*_orders(spark, d), ["o_orderkey"], ["o_totalprice"])
 
 
-@query("insert_missing", "SELECT o_orderkey, 'N' AS o_orderstatus, 2 * o_totalprice AS o_totalprice FROM orders WHERE o_orderkey % 6 = 0")
+@query("insert_missing", "SELECT o_orderkey, 'N' AS o_orderstatus, 2 * o_totalprice AS o_totalprice FROM orders WHERE o_orderstatus = 'F'")
 def insert_missing(spark: SparkSession, d: str) -> DataFrame:
     return io.insert_missing(*_orders(spark, d), "o_orderkey")
 
@@ -131,10 +132,11 @@ def write_json_results(spark: SparkSession, d: str) -> DataFrame:
 
 def raw_cursor(spark: SparkSession, d: str) -> DataFrame:
     """Events as the tagged tables of a cursor source; every eleventh message has an unreadable date."""
-    e = views.table(spark, d, "events")
+    path = scratch(spark, "raw")
+    views.table(spark, d, "events").withColumn("k", F.col("user_id") % 10).write.partitionBy("k").parquet(path)
     tables = {}
     for k in range(10):
-        own = e.filter(F.col("user_id") % 10 == k)
+        own = spark.read.parquet(path).filter(F.col("k") == k)
         value = lambda t: F.when(F.col("event_type") == t, F.col("value"))  # noqa: B023, E731
         tables[f"FIUNA_Estacion{k}"] = own.select(
             F.concat(F.lit("raw-"), F.col("event_id").cast("string")).alias("_airbyte_raw_id"), F.date_trunc("day", "ts").alias("_airbyte_extracted_at"),
@@ -262,6 +264,9 @@ def pivot_wide(spark: SparkSession, d: str) -> DataFrame:
     return staging.pivot_wide(rows, ["station_code", "second"], list(views.TYPES.values()))
 
 
-@query("pivot_hourly", f"WITH {base.W} SELECT station_code, {ts('hr')} AS hour, {rd('pm1')} AS pm1, {rd('pm2_5')} AS pm2_5, {rd('pm10')} AS pm10, {rd('temperature_c')} AS temperature_c, {rd('humidity')} AS humidity, NULL::DOUBLE AS wind_dir FROM w")
+@query("pivot_hourly", f"WITH {M}, hs AS (SELECT station_code, variable_code, k % 2 AS source, date_trunc('hour', t) AS hr, avg(v) AS a FROM m GROUP BY ALL), w AS (SELECT station_code, hr, avg(a) FILTER (variable_code = 'pm1') AS pm1, avg(a) FILTER (variable_code = 'pm25') AS pm2_5, avg(a) FILTER (variable_code = 'pm10') AS pm10, avg(a) FILTER (variable_code = 'temperature_c') AS temperature_c, avg(a) FILTER (variable_code = 'hum') AS humidity FROM hs GROUP BY ALL) SELECT station_code, {ts('hr')} AS hour, {rd('pm1')} AS pm1, {rd('pm2_5')} AS pm2_5, {rd('pm10')} AS pm10, {rd('temperature_c')} AS temperature_c, {rd('humidity')} AS humidity, NULL::DOUBLE AS wind_dir FROM w")
 def pivot_hourly(spark: SparkSession, d: str) -> DataFrame:
-    return base.wide(spark, d).select("station_code", stamp("hour").alias("hour"), *[r(c).alias(c) for c in ("pm1", "pm2_5", "pm10", "temperature_c", "humidity")], F.col("wind_dir"))
+    """Two sources a station: each counts once in an hour, whatever its number of readings."""
+    rows = views.measurements(spark, d).withColumn("data_source_name", F.concat(F.lit("net-"), (F.col("k") % 2).cast("string")))
+    wide = staging.pivot_hourly(gold.hourly_avg(rows, "measured_at_parsed"), gold.HOURLY_NAMES)
+    return wide.select("station_code", stamp("hour").alias("hour"), *[r(c).alias(c) for c in ("pm1", "pm2_5", "pm10", "temperature_c", "humidity")], F.col("wind_dir"))

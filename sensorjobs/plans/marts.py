@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorjobs import views
@@ -11,6 +11,7 @@ from sensorjobs.functions import columns as fn
 from sensorjobs.functions.aqi import PM10_PIECES, PM25_PIECES
 from sensorjobs.operators import gold, quality
 from sensorjobs.plans import base, forecast
+from sensorjobs.sources.io import FEATURE_COLUMNS
 from sensorjobs.plans.base import AS_OF, C, FEAT, H, IDM, M, READ, REG, ROLL, S, ST, V, W, WE, aqi, level, query, r, rd, sk, stamp, ts
 
 
@@ -33,10 +34,10 @@ def skew_from_moments(spark: SparkSession, d: str) -> DataFrame:
     return m.select("event_type", "user_id", r(fn.skew_from_moments(F.col("a"), F.col("b"), F.col("c"), F.col("s")), 4).alias("skew"))
 
 
-@query("region_readings", f"WITH {READ}{REG} SELECT {sk('region_id || ' + chr(39) + '-' + chr(39) + ' || strftime(hr, ' + chr(39) + '%Y-%m-%d %H:%M:%S+00' + chr(39) + ')')} AS id, region_id, {ts('hr')} AS date_utc, {rd('pavg')} AS pm2_5_region_avg, {rd('pmax')} AS pm2_5_region_max, {rd('psk', 4)} AS pm2_5_region_skew, {rd('pstd')} AS pm2_5_region_std, {rd('aavg')} AS aqi_region_avg, {rd('ask', 4)} AS aqi_region_skew, {rd('astd')} AS aqi_region_std, lmax AS level_region_max FROM rg")
+@query("region_readings", f"WITH {READ}{REG} SELECT {sk('region_id || ' + chr(39) + '-' + chr(39) + ' || strftime(hr, ' + chr(39) + '%Y-%m-%d %H:%M:%S+00' + chr(39) + ')')} AS id, region_id, {ts('hr')} AS date_utc, {rd('pavg')} AS pm2_5_region_avg, {rd('pmax')} AS pm2_5_region_max, {rd('psk', 4)} AS pm2_5_region_skew, {rd('pstd')} AS pm2_5_region_std, {rd('aavg')} AS aqi_region_avg, amax::DOUBLE AS aqi_region_max, {rd('ask', 4)} AS aqi_region_skew, {rd('astd')} AS aqi_region_std, lmax AS level_region_max FROM rg")
 def region_readings(spark: SparkSession, d: str) -> DataFrame:
     out = base.region_table(spark, d)
-    numbers = [r(c, 4 if "skew" in c else 6).alias(c) for c in ("pm2_5_region_avg", "pm2_5_region_max", "pm2_5_region_skew", "pm2_5_region_std", "aqi_region_avg", "aqi_region_skew", "aqi_region_std")]
+    numbers = [r(c, 4 if "skew" in c else 6).alias(c) for c in ("pm2_5_region_avg", "pm2_5_region_max", "pm2_5_region_skew", "pm2_5_region_std", "aqi_region_avg", "aqi_region_max", "aqi_region_skew", "aqi_region_std")]
     return out.select("id", "region_id", stamp("date_utc").alias("date_utc"), *numbers, "level_region_max")
 
 
@@ -86,12 +87,19 @@ def station_readings(spark: SparkSession, d: str) -> DataFrame:
     return out.select("id", F.col("station_id").cast("bigint").alias("station_id"), "airnow_id", stamp("date_localtime").alias("date_localtime"), "pm_calibrated", *numbers, "aqi_pm2_5", "aqi_pm10", "aqi_level", "aqi_pm2_5_max_24h")
 
 
-@query("station_features", f"WITH {FEAT} SELECT station_id, {ts('hr')} AS date_utc, {rd('pm1')} AS pm1, {rd('pm2_5')} AS pm2_5, a25::DOUBLE AS aqi_pm2_5, lvl::DOUBLE AS aqi_level, {rd('sk6', 4)} AS pm2_5_skew_6h, {rd('psk', 4)} AS pm2_5_region_skew, amax::DOUBLE AS aqi_region_max, lmax::DOUBLE AS level_region_max, {rd('temperature')} AS temperature, {rd('whum')} AS humidity, {rd('pressure')} AS pressure, {rd('wcos')} AS wind_dir_cos FROM fe")
+#: The feature columns of the SQL table ``fe``, in their order, with the digits that both engines agree on.
+FE = dict(zip(FEATURE_COLUMNS, ("pm1", "pm2_5", "pm10", "avg6", "max6", "sk6", "s6", "a25", "a10", "lvl", "max24", "sk24", "s24", "pavg", "pmax", "psk", "pstd", "aavg", "amax", "ask", "astd", "lmax", "temperature", "whum", "pressure", "wind_speed", "wsin", "wcos"), strict=True))
+FEATURES = ", ".join(f"{rd(x, 4 if 'skew' in c else 6)} AS {c}" for c, x in FE.items())
+
+
+def feature_columns(rows: DataFrame) -> DataFrame:
+    """Every feature, rounded."""
+    return rows.select(F.col("station_id").cast("bigint").alias("station_id"), stamp("date_utc").alias("date_utc"), *[r(c, 4 if "skew" in c else 6).alias(c) for c in FEATURE_COLUMNS])
+
+
+@query("station_features", f"WITH {FEAT} SELECT station_id, {ts('hr')} AS date_utc, {FEATURES} FROM fe")
 def station_features(spark: SparkSession, d: str) -> DataFrame:
-    out = base.feature_rows(spark, d)
-    digits = {"pm2_5_skew_6h": 4, "pm2_5_region_skew": 4}
-    columns = ("pm1", "pm2_5", "aqi_pm2_5", "aqi_level", "pm2_5_skew_6h", "pm2_5_region_skew", "aqi_region_max", "level_region_max", "temperature", "humidity", "pressure", "wind_dir_cos")
-    return out.select(F.col("station_id").cast("bigint").alias("station_id"), stamp("date_utc").alias("date_utc"), *[r(c, digits.get(c, 6)).alias(c) for c in columns])
+    return feature_columns(base.feature_rows(spark, d))
 
 
 # --- indices ---------------------------------------------------------------------------------------
@@ -137,11 +145,11 @@ def calibrate_pm(spark: SparkSession, d: str) -> DataFrame:
 
 # --- forecasts -------------------------------------------------------------------------------------
 
+#: The product's gate. The tables have a reading of a station every few hours, so the queries' window is the month.
+LEAST, HOURS = forecast.MIN_POINTS, 720
 END = f"TIMESTAMP '{AS_OF}'"
-WIN = C + f", {ST}, {IDM}, fw AS (SELECT pid AS station_id, hr, pm2_5, a25::DOUBLE AS a25, lvl FROM c JOIN idm ON idm.code = c.station_code), wi AS (SELECT * FROM fw WHERE hr > {END} - INTERVAL 24 HOUR AND hr <= {END})"
-#: At the smallest scale a station has a reading every few hours; the gate of the queries is set for that.
-LEAST = 6
-GATE = f", ga AS (SELECT station_id, count(*) AS n_rows, count(pm2_5) AS n_complete FROM wi GROUP BY 1), ga2 AS (SELECT *, CASE WHEN n_rows < {LEAST} THEN 'min_points: ' || n_rows WHEN n_complete < {LEAST} THEN 'min_points_or_nulls: ' || n_complete END AS reason FROM ga)"
+WIN = C + f", {ST}, {IDM}, fw AS (SELECT pid AS station_id, hr, pm2_5, a25::DOUBLE AS a25, lvl FROM c JOIN idm ON idm.code = c.station_code), wi AS (SELECT * FROM fw WHERE hr > {END} - INTERVAL {HOURS} HOUR AND hr <= {END})"
+GATE = f", ga AS (SELECT station_id, count(*) AS n_rows, count(pm2_5) AS n_complete FROM wi GROUP BY 1), ga2 AS (SELECT *, CASE WHEN n_rows < {LEAST} THEN 'min_points' WHEN n_complete < {LEAST} THEN 'min_points_or_nulls' END AS reason, CASE WHEN n_rows < {LEAST} THEN 'Rows in window: ' || n_rows WHEN n_complete < {LEAST} THEN 'Rows after null filter: ' || n_complete END AS detail FROM ga)"
 GRID = GATE + f", re AS (SELECT wi.* FROM wi JOIN ga2 USING (station_id) WHERE reason IS NULL AND pm2_5 IS NOT NULL), gr AS (SELECT station_id, unnest(range(a, {END} + INTERVAL 1 HOUR, INTERVAL 1 HOUR)) AS hr FROM (SELECT station_id, min(hr) AS a FROM re GROUP BY 1)), rx AS (SELECT gr.station_id, gr.hr, re.pm2_5, re.a25 FROM gr LEFT JOIN re USING (station_id, hr)), gf AS (SELECT station_id, hr, coalesce(last_value(pm2_5 IGNORE NULLS) OVER p, first_value(pm2_5 IGNORE NULLS) OVER q) AS pm2_5, coalesce(last_value(a25 IGNORE NULLS) OVER p, first_value(a25 IGNORE NULLS) OVER q) AS a25 FROM rx WINDOW p AS (PARTITION BY station_id ORDER BY hr ROWS UNBOUNDED PRECEDING), q AS (PARTITION BY station_id ORDER BY hr ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))"
 
 
@@ -152,7 +160,7 @@ def small_features(spark: SparkSession, d: str) -> DataFrame:
 
 
 def window(spark: SparkSession, d: str) -> DataFrame:
-    return forecast.station_window(small_features(spark, d), base.as_of())
+    return base.stored(forecast.station_window(small_features(spark, d), base.as_of(), HOURS), "window")
 
 
 def prepared(spark: SparkSession, d: str) -> DataFrame:
@@ -168,7 +176,7 @@ def filled(spark: SparkSession, d: str) -> DataFrame:
 
 @query("candidate_stations", f"WITH {WIN} SELECT DISTINCT station_id FROM wi")
 def candidate_stations(spark: SparkSession, d: str) -> DataFrame:
-    return forecast.candidate_stations(small_features(spark, d), base.as_of())
+    return forecast.candidate_stations(small_features(spark, d), base.as_of(), HOURS)
 
 
 @query("station_window", f"WITH {WIN} SELECT station_id, {ts('hr')} AS date_utc, {rd('pm2_5')} AS pm2_5, a25 AS aqi_pm2_5 FROM wi")
@@ -181,7 +189,7 @@ def complete_rows(spark: SparkSession, d: str) -> DataFrame:
     return forecast.complete_rows(base.calibrated(spark, d), ["pm2_5", "pm10"]).select("station_code", stamp("hour").alias("hour"))
 
 
-@query("min_points_gate", f"WITH {WIN}{GATE} SELECT station_id, n_rows, n_complete, CASE WHEN reason IS NULL THEN 'ready' ELSE 'skipped' END AS status, reason FROM ga2")
+@query("min_points_gate", f"WITH {WIN}{GATE} SELECT station_id, n_rows, n_complete, CASE WHEN reason IS NULL THEN 'ready' ELSE 'skipped' END AS status, reason AS reason_code, detail AS reason_detail FROM ga2")
 def min_points_gate(spark: SparkSession, d: str) -> DataFrame:
     return forecast.min_points_gate(window(spark, d), ["pm2_5"], LEAST)
 
@@ -240,27 +248,79 @@ def failing(rows, horizon):
     return forecast.persistence(rows, horizon)
 
 
-def run(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    return forecast.forecast_run(small_features(spark, d).drop("aqi_level"), base.as_of(), failing, "run-1", ["pm2_5"], LEAST)
+def at(text: str) -> Column:
+    return F.lit(text).cast("timestamp")
+
 
+STARTED, ENDED = "2024-02-01 00:00:00", "2024-02-01 00:01:30"
 
-STATUS = f"{WIN}{GATE}, ss AS (SELECT station_id, CASE WHEN reason IS NOT NULL THEN 'skipped' WHEN station_id % 3 = 0 THEN 'failed' ELSE 'success' END AS status, coalesce(reason, CASE WHEN station_id % 3 = 0 THEN 'ValueError: no model' END) AS reason FROM ga2)"
 
+def run(spark: SparkSession, d: str, run_id: str = "run-1") -> tuple[DataFrame, DataFrame, DataFrame]:
+    header = forecast.Run(run_id, "main", base.as_of(), at(STARTED), HOURS, LEAST, "6h-v1", "12h-v2", deployment="hourly")
+    return forecast.forecast_run(small_features(spark, d).drop("aqi_level"), failing, header, ["pm2_5"], at(ENDED))
 
-@query("station_status", f"WITH {STATUS} SELECT * FROM ss")
+
+STATUS = f"{WIN}{GATE}, ss AS (SELECT station_id, CASE WHEN reason IS NOT NULL THEN 'skipped' WHEN station_id % 3 = 0 THEN 'failed' ELSE 'success' END AS status, coalesce(reason, CASE WHEN station_id % 3 = 0 THEN 'exception' END) AS reason_code, coalesce(detail, CASE WHEN station_id % 3 = 0 THEN 'no model' END) AS reason_detail FROM ga2)"
+STATUS_ID = sk("'main-run-1-' || station_id")
+STATUS_ROWS = f"SELECT {STATUS_ID} AS id, 'main' AS project_code, 'run-1' AS inference_run_id, station_id, status, reason_code, reason_detail, '{ENDED}' AS created_at FROM ss"
+
+
+@query("station_status", f"WITH {STATUS} {STATUS_ROWS}")
 def station_status(spark: SparkSession, d: str) -> DataFrame:
-    return run(spark, d)[1]
+    """All but the measured seconds, which no two runs share."""
+    return run(spark, d)[1].drop("duration_s").withColumn("created_at", stamp("created_at"))
+
+
+SUMMARY_ROW = f"'run-1' AS id, 'local' AS flow_run_id, 'hourly' AS deployment, '{AS_OF}' AS as_of, {HOURS} AS window_hours, {LEAST} AS min_points, '6h-v1' AS model_6h_version, '12h-v2' AS model_12h_version, NULL::VARCHAR AS model_6h_path, NULL::VARCHAR AS model_12h_path, '{STARTED}' AS started_at, '{ENDED}' AS ended_at, 90 AS duration_s, 'success' AS status"
+HEADER_SQL = f"WITH {STATUS} SELECT {SUMMARY_ROW}, count(*) AS stations_total, count_if(status = 'success')::BIGINT AS stations_success, count_if(status = 'skipped')::BIGINT AS stations_skipped, count_if(status = 'failed')::BIGINT AS stations_failed, NULL::VARCHAR AS error_summary FROM ss"
 
 
-@query("run_summary", f"WITH {STATUS}, x AS (SELECT count(*) AS n, count_if(status = 'success') AS a, count_if(status = 'skipped') AS b, count_if(status = 'failed') AS c FROM ss) SELECT 'run-1' AS run_id, '{AS_OF}' AS as_of, n AS stations_total, a::BIGINT AS stations_success, b::BIGINT AS stations_skipped, c::BIGINT AS stations_failed, CASE WHEN c = 0 THEN 'success' WHEN a > 0 THEN 'partial' ELSE 'failed' END AS status FROM x")
+def _header(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({c: stamp(c) for c in ("as_of", "started_at", "ended_at")})
+
+
+@query("run_summary", HEADER_SQL)
 def run_summary(spark: SparkSession, d: str) -> DataFrame:
-    return run(spark, d)[2].withColumn("as_of", stamp("as_of"))
+    return _header(run(spark, d)[2])
+
 
+POINTS = "'[' || string_agg('{{\"value\":' || a25::INTEGER || ',\"timestamp\":\"' || strftime({END} + i * INTERVAL 1 HOUR, '%Y-%m-%dT%H:%M:%S') || '\"}}', ',' ORDER BY i) {0} || ']'".replace("{END}", END)
+INPUTS = "inp AS (SELECT station_id, '[' || coalesce(string_agg('{\"value\":' || a25::INTEGER || ',\"timestamp\":\"' || strftime(hr, '%Y-%m-%dT%H:%M:%S') || '\"}', ',' ORDER BY hr) FILTER (a25 IS NOT NULL), '') || ']' AS aqi_input FROM gf GROUP BY 1)"
+RESULT_ROWS = f", la AS (SELECT station_id, a25 FROM gf WHERE hr = {END} AND station_id % 3 <> 0), fc AS (SELECT station_id, {POINTS.format('FILTER (i <= 6)')} AS forecast_6h, {POINTS.format('')} AS forecast_12h FROM la, range(1, 13) t(i) GROUP BY 1), {INPUTS}"
+RESULT_ID = sk("'run-1-' || station_id")
 
-@query("forecast_results", f"WITH {WIN}{GRID}, la AS (SELECT station_id, a25 FROM gf WHERE hr = {END} AND station_id % 3 <> 0) SELECT {sk(chr(39) + 'run-1-' + chr(39) + ' || station_id')} AS id, station_id, 6 AS n_6h, 12 AS n_12h, a25::INTEGER AS last_value FROM la")
+
+@query("forecast_results", f"WITH {WIN}{GRID}{RESULT_ROWS} SELECT {RESULT_ID} AS id, 'run-1' AS inference_run_id, station_id, forecast_6h, forecast_12h, aqi_input, '{ENDED}' AS created_at FROM fc JOIN inp USING (station_id)")
 def forecast_results(spark: SparkSession, d: str) -> DataFrame:
-    points = lambda c: F.from_json(c, "array<struct<value:int,timestamp:string>>")
-    return run(spark, d)[0].select("id", "station_id", F.size(points("forecast_6h")).alias("n_6h"), F.size(points("forecast_12h")).alias("n_12h"), F.element_at(points("forecast_12h"), -1)["value"].alias("last_value"))
+    return run(spark, d)[0].withColumn("created_at", stamp("created_at"))
+
+
+@query("persist_forecasts", f"WITH {WIN}{GRID}{RESULT_ROWS} SELECT CASE WHEN station_id % 2 = 0 THEN -station_id ELSE {RESULT_ID} END AS id, 'run-1' AS inference_run_id, station_id, forecast_6h, forecast_12h, aqi_input, CASE WHEN station_id % 2 = 0 THEN '{STARTED}' ELSE '{ENDED}' END AS created_at FROM fc JOIN inp USING (station_id) UNION ALL SELECT -station_id, 'run-0', station_id, NULL, NULL, NULL, '{STARTED}' FROM fc WHERE station_id % 2 = 0")
+def persist_forecasts(spark: SparkSession, d: str) -> DataFrame:
+    """The result table after a second run over rows of an earlier run, and of the same run for stations with an even id."""
+    results = base.stored(run(spark, d)[0], "results")
+    gone = {c: F.lit(None).cast("string") for c in ("forecast_6h", "forecast_12h", "aqi_input")}
+    old = results.filter("station_id % 2 = 0").withColumns({"id": -F.col("station_id"), "created_at": at(STARTED), **gone})
+    target = old.unionByName(old.withColumn("inference_run_id", F.lit("run-0")))
+    return forecast.persist_results(target, results).withColumn("created_at", stamp("created_at"))
+
+
+@query("persist_status", f"WITH {STATUS} SELECT * REPLACE (CASE WHEN station_id % 2 = 0 THEN -station_id ELSE id END AS id, CASE WHEN station_id % 2 = 0 THEN '{STARTED}' ELSE created_at END AS created_at) FROM ({STATUS_ROWS})")
+def persist_status(spark: SparkSession, d: str) -> DataFrame:
+    """The status table after a run that was already noted as running for stations with an even id."""
+    rows = base.stored(run(spark, d)[1], "status")
+    none = {c: F.lit(None).cast("string") for c in ("reason_code", "reason_detail")}
+    old = rows.filter("station_id % 2 = 0").withColumns({"id": -F.col("station_id"), "status": F.lit("running"), "created_at": at(STARTED), "duration_s": F.lit(None).cast("int"), **none})
+    return forecast.persist_status(old, rows).drop("duration_s").withColumn("created_at", stamp("created_at"))
+
+
+@query("persist_run", HEADER_SQL + " UNION ALL SELECT 'run-0', 'local', 'hourly', as_of, window_hours, min_points, '6h-v1', '12h-v2', NULL, NULL, started_at, NULL, NULL, 'running', NULL, NULL, NULL, NULL, NULL FROM (" + HEADER_SQL + ")")
+def persist_run(spark: SparkSession, d: str) -> DataFrame:
+    """The run table after a run that was written as running at its start, beside one that never ended."""
+    header = base.stored(run(spark, d)[2], "header")
+    open_ = {c: F.lit(None).cast(header.schema[c].dataType) for c in ("ended_at", "duration_s", "stations_total", "stations_success", "stations_skipped", "stations_failed")}
+    begun = header.withColumns({**open_, "status": F.lit("running")})
+    return _header(forecast.persist_run(begun.unionByName(begun.withColumn("id", F.lit("run-0"))), header))
 
 
 # --- quality ---------------------------------------------------------------------------------------
@@ -314,12 +374,12 @@ def run_results_summary(spark: SparkSession, d: str) -> DataFrame:
     return summaries(spark, d)
 
 
-@query("run_results_documents", "SELECT 'nation-' || n_regionkey AS run_id, count_if(n_nationkey % 2 = 0)::BIGINT AS models_passed, 0::BIGINT AS models_failed, 0::BIGINT AS tests_passed, count_if(n_nationkey % 2 = 1)::BIGINT AS tests_failed FROM nation GROUP BY 1")
+@query("run_results_documents", "SELECT 'nation-' || n_regionkey AS run_id, count_if(n_nationkey % 2 = 0)::BIGINT AS models_passed, 0::BIGINT AS models_failed, 0::BIGINT AS tests_passed, count_if(n_nationkey % 2 = 1)::BIGINT AS tests_failed, array_to_string((list('test.' || n_name || ': a message of two lines' ORDER BY n_name) FILTER (n_nationkey % 2 = 1))[1:5], '; ') AS error_summary FROM nation GROUP BY 1")
 def run_results_documents(spark: SparkSession, d: str) -> DataFrame:
     even = F.col("n_nationkey") % 2 == 0
     one = F.struct(F.concat(F.when(even, F.lit("model.")).otherwise(F.lit("test.")), "n_name").alias("unique_id"), F.when(even, F.lit("success")).otherwise(F.lit("error")).alias("status"), F.lit("a message\nof two lines").alias("message"))
-    runs = views.table(spark, d, "nation").groupBy(F.concat(F.lit("nation-"), F.col("n_regionkey").cast("string")).alias("run_id")).agg(F.to_json(F.struct(F.collect_list(one).alias("results"))).alias("document"))
-    return quality.run_results_summary(runs).drop("error_summary")
+    runs = views.table(spark, d, "nation").groupBy(F.concat(F.lit("nation-"), F.col("n_regionkey").cast("string")).alias("run_id")).agg(F.to_json(F.struct(F.array_sort(F.collect_list(one)).alias("results"))).alias("document"))
+    return quality.run_results_summary(runs)
 
 
 @query("quality_gate", f"WITH {SUMMARY} SELECT run_id, models_failed = 0 AS passed, CASE WHEN tests_failed > 0 THEN 'checks of ''silver'': ' || tests_failed || ' failed, ' || tests_passed || ' passed. ' || error_summary END AS alert FROM sm")

@@ -18,7 +18,9 @@ from sensorjobs.operators import dims, gold, silver, staging
 from sensorjobs.plans import base
 from sensorjobs.plans.base import query, r, rd, sk, stamp, ts
 from sensorjobs.plans.ingest import GEO, RAW, raw_cursor, raw_geo, raw_weather
-from sensorjobs.sources.io import upsert_by_key
+from sensorjobs.plans.marts import FEATURES, feature_columns
+from sensorjobs.sources import io
+from sensorjobs.sources.io import stored, upsert_by_key
 
 
 @dataclass(frozen=True)
@@ -30,28 +32,87 @@ class Dimensions:
     sources: DataFrame
 
 
-def repaired_long(staged: Mapping[str, DataFrame], registry: Sequence[staging.Source]) -> DataFrame:
-    """The long form of all sources with repaired times (``measured_at_silver``).
+def with_a_value(wide: DataFrame, source: staging.Source) -> DataFrame:
+    """Messages with any value: the others have no row in the long form and must not anchor."""
+    return wide.filter(reduce(lambda a, b: a | b, [F.expr(f"try_cast(`{c}` AS double)").isNotNull() for c in source.variables.values()]))
 
-    Times are repaired before the reshape: the sort then handles messages, not values. Messages without
-    any value are left out first, since they have no row in the long form and must not anchor.
-    """
-    parts = []
-    for s in registry:
-        wide = staged[s.name]
-        any_value = reduce(lambda a, b: a | b, [F.expr(f"try_cast(`{c}` AS double)").isNotNull() for c in s.variables.values()])
-        fixed = silver.repair(wide.filter(any_value))
-        parts.append(staging.unpivot_measurements(fixed, replace(s, measured_at="measured_at_silver")))
-    return reduce(DataFrame.unionByName, parts).withColumnRenamed("measured_at_parsed", "measured_at_silver")
 
+def long_of(fixed: DataFrame, source: staging.Source) -> DataFrame:
+    """The long form of repaired messages. Times are repaired before the reshape: the sort then handles messages, not values."""
+    return staging.unpivot_measurements(fixed, replace(source, measured_at="measured_at_silver")).withColumnRenamed("measured_at_parsed", "measured_at_silver")
 
-def build_silver(staged: Mapping[str, DataFrame], registry: Sequence[staging.Source], rules: DataFrame, known: Dimensions, target: DataFrame | None = None) -> DataFrame:
-    """The silver fact, one row a stream and time; merged into ``target`` if given."""
-    long = repaired_long(staged, registry)
+
+def facts_of(long: DataFrame, rules: DataFrame, known: Dimensions) -> DataFrame:
+    """Valid values of the long form by stream; ``long`` is a written table, it is read for the streams and for the values."""
     streams = dims.stream_dim(dims.stream_candidates(long), known.stations, known.variables, known.sources)
-    fact = silver.silver_fact(silver.validate_values(long, rules), streams)
-    fresh = silver.dedupe_latest(fact, ["stream_id", "timestamp"], ["ingested_at", "source_row_id"])
-    return fresh if target is None else upsert_by_key(target, fresh, ["stream_id", "timestamp"])
+    return silver.silver_fact(silver.validate_values(long, rules), streams)
+
+
+def build_silver(staged: Mapping[str, DataFrame], registry: Sequence[staging.Source], rules: DataFrame, known: Dimensions) -> DataFrame:
+    """The silver fact from all messages, one row a stream and time."""
+    parts = [long_of(silver.repair(with_a_value(staged[s.name], s)), s) for s in registry]
+    long = stored(reduce(DataFrame.unionByName, parts), "long")
+    return silver.dedupe_latest(facts_of(long, rules, known), FACT_KEY, FACT_ORDER)
+
+
+FACT_KEY, FACT_ORDER = ["stream_id", "timestamp"], ["ingested_at", "source_row_id"]
+
+
+@dataclass(frozen=True)
+class SilverState:
+    """What one incremental run leaves for the next, all as written tables.
+
+    ``messages``: the staged messages of each source; ``ends``: the maxima of each cursor block of its stations;
+    ``values``: every valid value, also those that another of the same time hides; ``fact``: one a stream and time.
+    """
+
+    messages: Mapping[str, DataFrame]
+    ends: Mapping[str, DataFrame]
+    values: DataFrame
+    fact: DataFrame
+
+
+def silver_step(staged: Mapping[str, DataFrame], registry: Sequence[staging.Source], rules: DataFrame, known: Dimensions, state: SilverState | None = None, block: int = silver.BLOCK) -> SilverState:
+    """One incremental run: after any number of runs the fact is what one full build of all messages gives.
+
+    New messages are those at or after the source's watermark (inclusive, so the newest ones are read again).
+    A message may come late: its station is repaired again from the first touched block of cursors on, with the
+    maxima of the blocks before as anchors. Times and values of the messages repaired again replace their old ones,
+    and only the touched streams and times are deduplicated. Source row ids are unique over all sources.
+    """
+    messages, ends, parts, touched_ids = {}, {}, [], []
+    for s in registry:
+        rows = with_a_value(staged[s.name], s)
+        new = rows if state is None else io.incremental_read(rows, state.messages[s.name])
+        new = stored(new, "silver-new")
+        messages[s.name] = new if state is None else stored(upsert_by_key(state.messages[s.name], new, ["source_row_id"]), "silver-messages")
+        if s.cursor_id is None:
+            fixed = silver.passthrough_timestamps(new)
+            ends[s.name] = None
+        else:
+            at_block = F.floor(F.col("cursor_id") / block)
+            fresh = silver.block_ends(messages[s.name].join(new.select("station_code").distinct(), "station_code", "left_semi"), block) if state is None else None
+            first = new.filter("cursor_id IS NOT NULL").groupBy("station_code").agg(F.min(at_block).alias("__from"))
+            again = messages[s.name].join(first, "station_code").filter(F.col("cursor_id").isNotNull() & (at_block >= F.col("__from")))
+            if state is not None:
+                fresh = silver.block_ends(again, block)
+            ends[s.name] = stored(fresh if state is None else upsert_by_key(state.ends[s.name], fresh, ["station_code", "block"]), "silver-ends")
+            before = ends[s.name].join(first, "station_code").filter(F.col("block") < F.col("__from"))
+            anchors = before.groupBy("station_code").agg(F.max("ts").alias("anchor_ts"), F.max("cursor").alias("anchor_cursor"))
+            fixed = silver.carry_anchor(again.drop("__from"), anchors).unionByName(silver.passthrough_timestamps(new.filter("cursor_id IS NULL")))
+        parts.append(long_of(fixed, s))
+        touched_ids.append(fixed.select("source_row_id"))
+    long = stored(reduce(DataFrame.unionByName, parts), "silver-long")
+    fresh = stored(facts_of(long, rules, known), "silver-values")
+    if state is None:
+        return SilverState(messages, ends, fresh, stored(silver.dedupe_latest(fresh, FACT_KEY, FACT_ORDER), "silver-fact"))
+    ids = stored(reduce(DataFrame.unionByName, touched_ids).distinct(), "silver-touched")
+    keys = state.values.join(ids, "source_row_id", "left_semi").select(*FACT_KEY).unionByName(fresh.select(*FACT_KEY)).distinct()
+    values = stored(state.values.join(ids, "source_row_id", "left_anti").unionByName(fresh), "silver-values")
+    keys = stored(keys, "silver-keys")
+    best = silver.dedupe_latest(values.join(keys, FACT_KEY, "left_semi"), FACT_KEY, FACT_ORDER)
+    fact = state.fact.join(keys, FACT_KEY, "left_anti").unionByName(best)
+    return SilverState(messages, ends, values, stored(fact, "silver-fact"))
 
 
 @dataclass(frozen=True)
@@ -70,9 +131,9 @@ def build_gold(fact: DataFrame, factors: DataFrame, ids: DataFrame, regions: Dat
     ``ids``: code, project_station_id; ``regions`` and ``weather_regions``: station_code, region_code of air-quality and weather stations.
     """
     hours = gold.hourly_avg(staging.variable_subset_filter(fact))
-    wide = staging.pivot_hourly(hours, gold.HOURLY_NAMES)
+    wide = stored(staging.pivot_hourly(hours, gold.HOURLY_NAMES), "gold-hours")
     air = wide.join(regions.select("station_code"), "station_code", "left_semi")
-    judged = gold.station_hourly_aqi(gold.calibrate_pm(air, factors))
+    judged = stored(gold.station_hourly_aqi(gold.calibrate_pm(air, factors)), "gold-judged")
     readings = gold.station_readings(judged, ids)
     area = gold.region_readings(judged, regions)
     mapped = wide.join(weather_regions.select("station_code", surrogate_key(F.col("region_code")).alias("region_id")), "station_code")
@@ -81,6 +142,29 @@ def build_gold(fact: DataFrame, factors: DataFrame, ids: DataFrame, regions: Dat
     return Marts(readings, area, weather, gold.features(readings, station_regions, area, weather))
 
 
+#: Keys and times of the marts.
+MART_KEYS = {"station_readings": (["station_id", "date_localtime"], "date_localtime"), "region_readings": (["region_id", "date_utc"], "date_utc"), "weather": (["region_id", "hour"], "hour"), "features": (["station_id", "date_utc"], "date_utc")}
+
+
+def gold_step(fact: DataFrame, factors: DataFrame, ids: DataFrame, regions: DataFrame, weather_regions: DataFrame, before: Marts | None = None, days: int = 2) -> Marts:
+    """One incremental run of the marts, as written tables.
+
+    The last ``days`` before the newest hour are built again, for late facts. The facts of 23 hours more are
+    read, for the windows that reach back; only hours of the slice are given out and merged.
+    """
+    newest = None if before is None else before.station_readings.agg(F.max("date_localtime")).first()[0]
+    if newest is None:
+        fresh = build_gold(fact, factors, ids, regions, weather_regions)
+        return Marts(*[stored(getattr(fresh, n), f"gold-{n}") for n in MART_KEYS])
+    mark = before.station_readings.select(F.col("date_localtime").alias("timestamp"))
+    fresh = build_gold(io.lookback_read(fact, mark, "timestamp", days, extra_hours=23), factors, ids, regions, weather_regions)
+    out = []
+    for n, (keys, time) in MART_KEYS.items():
+        own = getattr(fresh, n).filter(F.col(time) >= F.lit(newest) - F.expr(f"INTERVAL {days} DAYS"))
+        out.append(stored(upsert_by_key(getattr(before, n), stored(own, f"gold-slice-{n}"), keys), f"gold-{n}"))
+    return Marts(*out)
+
+
 def _own(names: Mapping[str, str]) -> dict[str, str]:
     return {v: v for v in names}
 
@@ -102,6 +186,11 @@ si AS (SELECT * FROM al WHERE st IS NOT NULL AND CASE vc WHEN 'hum' THEN v BETWE
 
 
 def staged(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """The staged sources, written once."""
+    return {k: stored(v, "staged") for k, v in _staged(spark, d).items()}
+
+
+def _staged(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     return {"cursor": staging.stage_cursor_source(raw_cursor(spark, d)), "geo": staging.stage_geo_source(raw_geo(spark, d)), "weather": staging.stage_weather_source(raw_weather(spark, d), "met_1")}
 
 
@@ -125,17 +214,40 @@ def silver_pipeline(spark: SparkSession, d: str) -> DataFrame:
     return _rows(build_silver(sources, REGISTRY, views.rules(spark), known_dims(spark, sources)))
 
 
-@query("silver_pipeline_merged", f"WITH {SILVER} {FACT_ROWS}")
-def silver_pipeline_merged(spark: SparkSession, d: str) -> DataFrame:
-    """The same fact, built from the target of half of the rows and a batch of all of them."""
+@query("silver_incremental", f"WITH {SILVER} {FACT_ROWS}")
+def silver_incremental(spark: SparkSession, d: str) -> DataFrame:
+    """The same fact from four runs on what had been extracted by then. Cursors do not come in the order of extraction,
+    so every run has late messages of earlier blocks; blocks are small here."""
     sources = staged(spark, d)
-    fact = build_silver(sources, REGISTRY, views.rules(spark), known_dims(spark, sources))
-    old = fact.filter(F.pmod(F.xxhash64("source_row_id"), F.lit(2)) == 0).withColumn("value_parsed", F.col("value_parsed") - 1)
-    return _rows(build_silver(sources, REGISTRY, views.rules(spark), known_dims(spark, sources), old))
+    known = known_dims(spark, sources)
+    state = None
+    for cut in ("2024-01-06", "2024-01-15", "2024-01-16", "2100-01-01"):
+        arrived = {n: rows.filter(F.col("extracted_at") < F.lit(cut).cast("timestamp")) for n, rows in sources.items()}
+        state = silver_step(arrived, REGISTRY, views.rules(spark), known, state, 200)
+    return _rows(state.fact)
 
 
-@query("gold_pipeline", f"WITH {base.READ} SELECT station_id, {ts('hr')} AS date_utc, {rd('pm2_5')} AS pm2_5, a25::DOUBLE AS aqi_pm2_5, lvl::DOUBLE AS aqi_level, {rd('avg6')} AS pm2_5_avg_6h, max24::DOUBLE AS aqi_pm2_5_max_24h FROM rd")
-def gold_pipeline(spark: SparkSession, d: str) -> DataFrame:
+W2 = ", w2 AS (SELECT " + base.sk("rc") + " AS region_id, hr, avg(temperature_c) AS temperature, avg(humidity) AS whum FROM w JOIN st ON st.code = w.station_code AND w.station_code = 'st_2' GROUP BY 1, 2)"
+GOLD = base.READ + base.REG + W2 + ", fe AS (SELECT rd.*, rg.pavg, rg.pmax, rg.psk, rg.pstd, rg.aavg, rg.amax, rg.ask, rg.astd, rg.lmax, w2.temperature, w2.whum, NULL::DOUBLE AS pressure, NULL::DOUBLE AS wind_speed, NULL::DOUBLE AS wsin, NULL::DOUBLE AS wcos FROM rd LEFT JOIN rg ON rg.region_id = " + sk("rd.rc") + " AND rg.hr = rd.hr LEFT JOIN w2 ON w2.region_id = " + sk("rd.rc") + " AND w2.hr = rd.hr)"
+GOLD_ROWS = f"WITH {GOLD} SELECT station_id, {ts('hr')} AS date_utc, {FEATURES} FROM fe"
+
+
+def gold_inputs(spark: SparkSession, d: str) -> tuple[DataFrame, ...]:
     own = base.stations(spark, d).select(F.col("code").alias("station_code"), "region_code")
-    marts = build_gold(base.facts(spark, d), views.factors(spark), base.station_ids(spark, d), own, own.filter("station_code = 'st_2'"))
-    return marts.features.select(F.col("station_id").cast("bigint").alias("station_id"), stamp("date_utc").alias("date_utc"), *[r(c).alias(c) for c in ("pm2_5", "aqi_pm2_5", "aqi_level", "pm2_5_avg_6h", "aqi_pm2_5_max_24h")])
+    return views.factors(spark), base.station_ids(spark, d), own, own.filter("station_code = 'st_2'")
+
+
+@query("gold_pipeline", GOLD_ROWS)
+def gold_pipeline(spark: SparkSession, d: str) -> DataFrame:
+    return feature_columns(build_gold(base.facts(spark, d), *gold_inputs(spark, d)).features)
+
+
+@query("gold_incremental", GOLD_ROWS)
+def gold_incremental(spark: SparkSession, d: str) -> DataFrame:
+    """The same features from three runs; a fifth of the facts comes a day late, within the look-back."""
+    facts = stored(base.facts(spark, d), "facts")
+    late = F.expr("timestamp + CASE WHEN source_row_id % 5 = 0 THEN INTERVAL 24 HOURS ELSE INTERVAL 0 HOURS END")
+    marts = None
+    for cut in ("2024-01-20 05:30:00", "2024-01-21 00:00:00", "2100-01-01 00:00:00"):
+        marts = gold_step(facts.filter(late < F.lit(cut).cast("timestamp")), *gold_inputs(spark, d), marts)
+    return feature_columns(marts.features)

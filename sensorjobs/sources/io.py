@@ -6,6 +6,8 @@ result touches. Nothing overwrites a path that is still being read.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,6 +24,23 @@ FEATURE_COLUMNS = (
 )
 
 
+def scratch(spark: SparkSession, tag: str) -> str:
+    """A new path in the folder that all nodes share (``spark.checkpoint.dir``); a temporary one only on one machine."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if base is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all nodes share")
+        base = tempfile.gettempdir()
+    return f"{base.rstrip('/')}/sensorjobs-{tag}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, tag: str) -> DataFrame:
+    """``df`` written to the shared folder and reread: what is used several times is computed once, and lineage is cut."""
+    path = scratch(df.sparkSession, tag)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read_raw_tables(spark: SparkSession, base: str, names: Sequence[str]) -> dict[str, DataFrame]:
     """Raw tables by name (names keep their case) from Parquet under ``base``."""
     return {name: spark.read.parquet(f"{base}/{name}.parquet") for name in names}
