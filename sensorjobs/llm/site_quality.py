@@ -6,7 +6,8 @@
 2. Site evidence: the evidence of all documents is summed by path (source and language) and host
    (source). Hosts shrink toward the global mean, paths toward their host, each by the ratio of the
    variance within to the variance between, estimated from the sums (method of moments).
-3. A document's log-odds are its own plus what its path adds over the global mean.
+3. A document's log-odds are its own plus what the other documents of its path and host add over the
+   global mean: its own evidence is left out of these sums, so a document alone on its site gets nothing added.
 
 Only sums are grouped, so a host of a third of all rows is combined before the shuffle. Tables of
 hosts and paths have one row a site and are joined, not collected.
@@ -103,7 +104,8 @@ def regression(rows: DataFrame, names: list[str]) -> dict[str, float]:
 
 
 def shrink(judged: DataFrame) -> DataFrame:
-    """(``host``, ``path``, ``site``, ``overall``): the posterior mean of every path and the global mean.
+    """One row a path: (``host``, ``path``, ``n``, ``s``, ``hn``, ``hs``), the counts and sums of the probabilities of
+    the path and its host, and with them ``overall``, the global mean, and both prior strengths.
 
     ``judged`` has ``host``, ``path`` and ``p``, the probability of each document.
     """
@@ -116,14 +118,20 @@ def shrink(judged: DataFrame) -> DataFrame:
     between = F.greatest(F.lit(1e-6), (F.col("B") - F.col("S") * F.col("S") / F.col("N") - (F.col("k") - 1) * F.col("within")) / F.greatest(F.col("N") - F.col("nn") / F.col("N"), F.lit(1.0)))
     whole = whole.filter("N > 0").withColumn("within", within).withColumn("strength", F.col("within") / between).select((F.col("S") / F.col("N")).alias("overall"), "within", "strength").first()
     overall, within, strength = map(F.lit, whole or (0.5, 1.0, 1.0))
-    hosts = hosts.withColumn("hm", (F.col("hs") + strength * overall) / (F.col("hn") + strength))
     paths = null_safe_join(paths, hosts, ["host"])
     spread = F.sum(F.col("s") * F.col("s") / F.col("n") - F.col("s") * F.col("hs") / F.col("hn"))
-    inner = paths.agg(spread.alias("PB"), F.sum("n").alias("N"), F.count(F.lit(1)).alias("pk"), F.countDistinct("host").alias("hk"))
+    inner = paths.agg(spread.alias("PB"), F.sum("n").alias("N"), F.count(F.lit(1)).alias("pk"), F.countDistinct(F.struct("host")).alias("hk"))
     inner = inner.filter("N > 0").select(within / F.greatest(F.lit(1e-6), (F.col("PB") - (F.col("pk") - F.col("hk")) * within) / F.col("N"))).first()
-    path_strength = F.lit(inner[0] if inner else 1.0)
-    mean = (F.col("s") + path_strength * F.col("hm")) / (F.col("n") + path_strength)
-    return paths.select("host", "path", mean.alias("site"), overall.alias("overall"))
+    return paths.select("host", "path", "n", "s", "hn", "hs", overall.alias("overall"), strength.alias("strength"), F.lit(inner[0] if inner else 1.0).alias("path_strength"))
+
+
+def others(p: Column) -> Column:
+    """The posterior mean of a document's path from all its other documents: hosts shrink toward the global mean, paths toward their host.
+
+    The document's own evidence is taken out of both sums, so that it counts once.
+    """
+    host = (F.col("hs") - p + F.col("strength") * F.col("overall")) / (F.col("hn") - 1 + F.col("strength"))
+    return (F.col("s") - p + F.col("path_strength") * host) / (F.col("n") - 1 + F.col("path_strength"))
 
 
 def classify(docs: DataFrame, evidence: Evidence, host: str = "source", path: str = "lang", id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -131,9 +139,10 @@ def classify(docs: DataFrame, evidence: Evidence, host: str = "source", path: st
     rows = docs.select(F.col(f"`{id_column}`").alias("doc_id"), F.col(f"`{host}`").alias("host"), F.col(f"`{path}`").alias("path"), F.col(f"`{text}`").alias("text"))
     judged = measured(rows, ["doc_id", "host", "path"], evidence.lexicon).select("doc_id", "host", "path", evidence.log_odds().alias("z"))
     judged = materialize(judged.withColumn("p", 1 / (1 + F.exp(-F.col("z")))), "site-judged")
-    joined = null_safe_join(judged, shrink(judged), ["host", "path"])
-    odds = lambda c: F.log(F.col(c) / (1 - F.col(c)))
-    z = F.col("z") + odds("site") - odds("overall")
+    limit = lambda c: F.least(F.lit(1 - 1e-6), F.greatest(F.lit(1e-6), c))
+    joined = null_safe_join(judged, shrink(judged), ["host", "path"]).withColumn("site", limit(others(F.col("p"))))
+    odds = lambda c: F.log(c / (1 - c))
+    z = F.col("z") + odds(F.col("site")) - odds(limit(F.col("overall")))
     return joined.select("doc_id", F.col("p").alias("document_p"), F.col("site").alias("site_p"), (1 / (1 + F.exp(-z))).alias("posterior"), (z >= 0).alias("kept"))
 
 

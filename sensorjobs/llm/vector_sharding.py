@@ -2,9 +2,9 @@
 
 Equal texts form a group. Groups that are small against a shard are bundled by the hash of their
 text (a group stays whole in its bundle); a group of more than ``1 / (4 * shards)`` of all bytes,
-tokens or rows is split into pieces by the hash of its rows. So the packer sees a number of items
-that depends on the number of shards and bundles only, never on the number of documents, and places
-them from the largest down where the dot product with the residual capacity is highest.
+tokens or rows is split into pieces by the hash of its rows. There are ``bundles`` bundles, or as many
+as hold ``bundle_rows`` rows each, so no task numbers more rows than that, and the packer sees one item for
+each. It places them from the largest down where the dot product with the residual capacity is highest.
 
 Slots need no window over a shard: items have fixed offsets, rows are numbered within their item.
 
@@ -31,7 +31,7 @@ def sized(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows with ``size``, ``text_crc32``, tokens ``__t`` and the hash of the text ``__g``."""
     t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     rows = docs.drop(*[c for c in docs.columns if c.lower() in OWN])
-    return rows.select("*", (F.octet_length(t) + 1).cast("long").alias("size"), F.crc32(t.cast("binary")).alias("text_crc32"), count_words(t).alias("__t"), F.xxhash64(t).alias("__g"))
+    return rows.select("*", (F.octet_length(t) + 1).cast("long").alias("size"), F.crc32(t.cast("binary")).alias("text_crc32"), count_words(t).alias("__t"), F.xxhash64(t).alias("__g"), F.monotonically_increasing_id().alias("__row"))
 
 
 def pack(loads: np.ndarray, shards: int) -> np.ndarray:
@@ -46,17 +46,18 @@ def pack(loads: np.ndarray, shards: int) -> np.ndarray:
     return place
 
 
-def shard(rows: DataFrame, shards: int = 16, bundles: int = 4096, spread: list[str] | None = None) -> DataFrame:
+def shard(rows: DataFrame, shards: int = 16, bundles: int = 4096, bundle_rows: int = 50_000, spread: list[str] | None = None) -> DataFrame:
     """From ``sized`` rows: ``shard``, ``slot``, ``law`` and ``grown_shard`` added.
 
-    ``spread`` names the columns whose hash deals the rows of a split group to its pieces.
+    ``spread`` names the columns whose hash, with the row's number, deals the rows of a split group to its pieces.
     """
     spark: SparkSession = rows.sparkSession
-    spread = spread or ["doc_id"]
+    spread = [*(spread or ["doc_id"]), "__row"]
     groups = rows.groupBy("__g", "text_crc32", "size").agg(F.count(F.lit(1)).alias("n"), F.max("__t").alias("t"))
     groups = groups.select("__g", "text_crc32", "size", F.col("n").alias("rows"), (F.col("n") * F.col("size")).alias("bytes"), (F.col("n") * F.col("t")).alias("tokens"))
     groups = materialize(groups, "shard-groups")
     whole = groups.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("bytes", "tokens", "rows")]).first()
+    bundles = max(bundles, -(-(whole["rows"]) // bundle_rows))
     share = F.greatest(*[F.col(c) / max(1, whole[c]) for c in ("bytes", "tokens", "rows")])
     # Fewer than 3 * 4 * shards groups can hold such a share.
     large = groups.filter((share > 1 / (4 * shards)) & (F.col("rows") > 1))
@@ -67,7 +68,7 @@ def shard(rows: DataFrame, shards: int = 16, bundles: int = 4096, spread: list[s
     piece = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in spread]), F.col("pieces"))
     item = F.when(F.col("pieces").isNotNull(), F.col("first") + piece).otherwise(F.pmod(F.xxhash64("__g", F.lit(3)), F.lit(bundles)))
     dealt = rows.join(F.broadcast(large), ["__g", "text_crc32", "size"], "left").withColumn("__i", item.cast("long")).drop("pieces", "first")
-    # At most bundles + 12 * shards * 16 * shards rows, whatever the input.
+    # At most bundles + 12 * shards * 16 * shards rows.
     loads = dealt.groupBy("__i").agg(F.sum("size").alias("bytes"), F.sum("__t").alias("tokens"), F.count(F.lit(1)).alias("rows")).orderBy("__i").collect()
     places = pack(np.array([[r["bytes"], r["tokens"], r["rows"]] for r in loads], float).reshape(-1, 3), shards)
     used = [0] * shards
@@ -78,7 +79,7 @@ def shard(rows: DataFrame, shards: int = 16, bundles: int = 4096, spread: list[s
     placed = spark.createDataFrame(table, "__i long, shard int, __o long")
     turn = Window.partitionBy("__i").orderBy(*[F.col(f"`{c}`") for c in spread], "__g", "text_crc32")
     out = dealt.withColumn("__n", F.row_number().over(turn)).join(F.broadcast(placed), "__i")
-    return out.withColumns({"slot": F.col("__o") + F.col("__n") - 1, "law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")}).drop("__i", "__o", "__n", "__t", "__g")
+    return out.withColumns({"slot": F.col("__o") + F.col("__n") - 1, "law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")}).drop("__i", "__o", "__n", "__t", "__g", "__row")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -345,11 +345,40 @@ def test_license_scan_finds_edited_copies(spark, odd, none):
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
     for most in (20_000, 3):
         got = {(r.doc_id, r.license) for r in license_scan.scan(df, templates, most_shingles=most).collect()}
-        assert {(i, name) for i, (name, _) in enumerate(license_scan.TEMPLATES)} <= got and not {d for d, _ in got} & {100, 101, 102, 103}
+        assert {(i, name) for i, (name, t) in enumerate(license_scan.TEMPLATES)} <= got and not {d for d, _ in got} & {100, 101, 102, 103}
     assert license_scan.scan(none, templates).count() == 0
     assert license_scan.scan(odd, templates.filter("false")).count() == 0 and license_scan.scan(odd, templates).count() == 0
 
 
+def test_license_scan_against_brute_force(spark):
+    """Templates with one to three words replaced among other words: every containment of 0.8 or more is found, and its value."""
+    rng = random.Random(12)
+    split = lambda t: re.findall(r"[^\W_]+", t.lower())
+    shingles = lambda w: [tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))]
+    rows = []
+    for k in range(240):
+        _, text = rng.choice(license_scan.TEMPLATES)
+        w = split(text)
+        for _ in range(rng.randrange(4)):
+            w[rng.randrange(len(w))] = f"changed{rng.randrange(99)}"
+        pad = lambda: [f"filler{rng.randrange(500)}" for _ in range(rng.randrange(60))]
+        rows.append((k, " ".join(pad() + w + pad())))
+    got = {(r.doc_id, r.license): r.containment for r in license_scan.scan(spark.createDataFrame(rows, "doc_id int, text string"), license_scan.template_table(spark)).collect()}
+    want = {}
+    for k, text in rows:
+        s = shingles(split(text))
+        for name, t in license_scan.TEMPLATES:
+            t = set(shingles(split(t)))
+            span = int(1.15 * 1.5 * (len(t) + 4)) + 8
+            if t & set(s):
+                best = max(len(t & set(s[i : i + span])) for i in range(max(1, len(s) - span + 1))) / len(t)
+                if best >= 0.8:
+                    want[k, name] = best
+    assert len(want) > 150 and {k for k in want if want[k] == 1} <= set(got)
+    assert len(set(want) & set(got)) >= 0.99 * len(want) and all(abs(got[k] - want[k]) < 1e-9 for k in set(want) & set(got) if want[k] == 1)
+    assert all(v >= 0.8 for v in got.values()) and len(set(got) - set(want)) <= 0.02 * len(want)
+
+
 def test_license_scan_against_plain_search(spark):
     data = "/root/testdata/sf0.01"
     norm = lambda t: " " + " ".join(re.findall(r"[^\W_]+", t.lower())) + " "
