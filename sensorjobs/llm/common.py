@@ -47,6 +47,18 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return out
 
 
+def bucketed(df: DataFrame, tag: str, column: str) -> DataFrame:
+    """Like ``materialize``, as a table in the shared folder bucketed by a column: later joins and groups on it do not move the rows.
+
+    It has as many buckets as shuffles have partitions. Its name stays in the session's catalog.
+    """
+    spark = df.sparkSession
+    name = f"{tag}-{uuid.uuid4().hex}".replace("-", "_")
+    path = f"{shared_dir(spark).rstrip('/')}/{name}"
+    df.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), column).option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
 def discard(df: DataFrame) -> None:
     """Delete what ``materialize`` wrote, once nothing reads it any more."""
     path = getattr(df, "_sensorjobs_path", None)

@@ -39,6 +39,37 @@ def test_shards(spark):
     assert rows == vector_sharding.query(spark, "/root/testdata/sf0.01").collect() or sorted(rows) == sorted(vector_sharding.query(spark, "/root/testdata/sf0.01").collect())
 
 
+def test_packing_against_plain_version():
+    """Largest need first, each to the shard with the highest dot product with what is left; the shards end near equal in all three."""
+    rng = np.random.default_rng(3)
+    for n, shards in ((1, 4), (50, 3), (800, 16)):
+        loads = np.stack([rng.integers(1, 10**6, n), rng.integers(0, 10**5, n), rng.integers(1, 900, n)], axis=1).astype(float)
+        total = [max(1, sum(x)) for x in zip(*loads.tolist())]
+        left = [[1.0] * 3 for _ in range(shards)]
+        want = [0] * n
+        need = [[x * shards / t for x, t in zip(row, total)] for row in loads.tolist()]
+        for i in sorted(range(n), key=lambda i: -max(need[i])):
+            score = [sum(a * b for a, b in zip(need[i], s)) for s in left]
+            want[i] = max(range(shards), key=lambda s: (round(score[s], 12), -s))
+            left[want[i]] = [a - b for a, b in zip(left[want[i]], need[i])]
+        got = vector_sharding.pack(loads, shards)
+        assert (got == np.array(want)).mean() > 0.98  # all but ties of rounding
+        if n > 500:
+            per = np.stack([np.bincount(got, loads[:, k], shards) for k in range(3)])
+            assert (per.max(axis=1) / per.mean(axis=1) < 1.03).all()
+
+
+def test_bundles_grow_with_rows(spark):
+    docs_ = spark.range(2000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+    rows = vector_sharding.shard(vector_sharding.sized(docs_), bundles=2, bundle_rows=10).collect()
+    check_shards(rows)
+    # A group of a third of all rows, none with an id.
+    same = docs_.withColumn("text", F.when(F.col("doc_id") % 3 == 0, F.lit("the same")).otherwise(F.col("text"))).withColumn("doc_id", F.when(F.col("doc_id") % 3 != 0, F.col("doc_id")))
+    rows = vector_sharding.shard(vector_sharding.sized(same)).collect()
+    check_shards(rows)
+    assert len({r.shard for r in rows if r.doc_id is None}) > 4
+
+
 def test_hot_group_is_split(spark):
     df = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, F.lit("hot text " * 20)).otherwise(F.concat(F.lit("t " * 70), F.col("id").cast("string"))).alias("text"))
     rows = vector_sharding.shard(vector_sharding.sized(df)).collect()
@@ -239,7 +270,7 @@ def test_scores_against_plain_tree(spark, reach):
     weight = 1 / np.arange(1, 31)
     phrases = [" ".join(rng.choice([f"w{k}" for k in range(30)], rng.integers(2, 7), p=weight / weight.sum())) for _ in range(25)]
     texts = [" ".join(rng.choice(phrases, rng.integers(0, 12))) for _ in range(260)] + ["never seen", "", None]
-    shape = suffix_tree_lm.Shape(reach=reach, frequent_share=0.0, least_frequent=110, least_context=4, entry_share=0.0, chunk_tokens=700, bucket_rows=500)
+    shape = suffix_tree_lm.Shape(reach=reach, frequent_share=0.0, least_frequent=110, least_context=4, entry_share=0.0, chunk_tokens=700, bucket_tokens=500)
     df = spark.createDataFrame(list(enumerate(texts)), "k int, t string").repartition(3)
     held = lambda k: zlib.crc32(str(k).encode()) % 10 == 0
     words = [(t or "").split() + ["<end>"] for t in texts]
@@ -298,12 +329,35 @@ def test_site_quality_on_unseen_rows(spark):
     assert sum(r.kept for r in bad) <= 0.05 * len(bad) and sum(r.kept for r in toxic) <= 0.2 * len(toxic)
 
 
-def test_sites_shrink(spark):
-    rows = [("big", "a", 0.9)] * 200 + [("big", "b", 0.1)] * 200 + [("tiny", "a", 0.1)] + [("other", None, 0.5)] * 50 + [(None, "a", 0.6)] * 50
-    df = spark.createDataFrame(rows, "host string, path string, p double")
-    got = {(r.host, r.path): r for r in site_quality.shrink(df).collect()}
-    assert len(got) == 5 and got["big", "a"].site > 0.8 and got["big", "b"].site < 0.2
-    assert got["tiny", "a"].site > 0.1  # one row moves little
+def plain_shrinkage(rows):
+    """Posterior site means by definition, each without the document's own evidence; ``rows``: (host, path, p)."""
+    n, overall = len(rows), sum(p for *_, p in rows) / len(rows)
+    hosts, paths = {}, {}
+    for h, q, p in rows:
+        hosts.setdefault(h, []).append(p)
+        paths.setdefault((h, q), []).append(p)
+    mean = lambda x: sum(x) / len(x)
+    within = max(1e-6, sum(sum((p - mean(x)) ** 2 for p in x) for x in hosts.values()) / max(1, n - len(hosts)))
+    between = max(1e-6, (sum(len(x) * (mean(x) - overall) ** 2 for x in hosts.values()) - (len(hosts) - 1) * within) / max(1.0, n - sum(len(x) ** 2 for x in hosts.values()) / n))
+    inner = max(1e-6, (sum(len(x) * (mean(x) - mean(hosts[k[0]])) ** 2 for k, x in paths.items()) - (len(paths) - len(hosts)) * within) / n)
+    strength, path_strength = within / between, within / inner
+    out = []
+    for h, q, p in rows:
+        host = (sum(hosts[h]) - p + strength * overall) / (len(hosts[h]) - 1 + strength)
+        out.append((sum(paths[h, q]) - p + path_strength * host) / (len(paths[h, q]) - 1 + path_strength))
+    return out
+
+
+def test_sites_shrink_by_definition(spark):
+    rng = np.random.default_rng(4)
+    rows = [(h, q, float(np.clip(rng.normal({"good": 0.8, "bad": 0.3, None: 0.5}[h] + 0.1 * (q == "en"), 0.15), 0.01, 0.99))) for h, n in (("good", 60), ("bad", 40), (None, 7)) for q in ("en", "de", None) for _ in range(n)]
+    rows += [("alone", "en", 0.02)]
+    judged = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], "k int, host string, path string, p double")
+    got = site_quality.null_safe_join(judged, site_quality.shrink(judged), ["host", "path"]).select("k", site_quality.others(F.col("p")).alias("site"), "overall").collect()
+    want = plain_shrinkage(rows)
+    assert len(got) == len(rows) and all(math.isclose(r.site, want[r.k], rel_tol=1e-9) for r in got)
+    # Nothing is known about a document's site but the document itself: the site says what the globe says.
+    assert math.isclose(next(r.site for r in got if r.k == len(rows) - 1), got[0].overall, rel_tol=1e-9)
 
 
 def test_site_quality_odd_rows(spark, odd, none):  # noqa: F811
