@@ -83,6 +83,23 @@ def test_cross_links_are_all_that_is_similar():
     assert sorted(shingle_sketch.cross_links(sets, sets[1:])) == [(i, j) for i, a in enumerate(sets) for j, b in enumerate(sets[1:]) if near(a, b)]
 
 
+def test_forest_connects_the_same(spark):
+    rng = random.Random(4)
+    for _ in range(50):
+        links = [(rng.randrange(20), rng.randrange(20)) for _ in range(30)]
+        together = rng.sample(range(20), 5)
+
+        def parts(edges, together=together):
+            root = {k: k for k in range(20)}
+            for a, b in [*zip(together, together[1:]), *edges]:
+                low, high = root[a], root[b]
+                root = {k: low if r == high else r for k, r in root.items()}
+            return {frozenset(k for k in root if root[k] == r) for r in root.values()}
+
+        few = shingle_sketch.forest(together, links)
+        assert parts(few) == parts(links) and set(few) <= set(links) and len(few) < 20
+
+
 def test_pipeline_drops_edited_copies(spark):
     """The stage's rule is similarity 0.8: here copies over 4 bits apart, which stayed before."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter(F.col("doc_id").isin(1, 255, 709, 944, 643, 770, 582, 875, 3))
