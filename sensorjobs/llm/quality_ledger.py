@@ -91,20 +91,23 @@ def measure(texts: list[bytes | None], insults: frozenset[bytes]) -> dict[str, l
 SAMPLE = 20_000
 
 
-def learned_insults(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, least_documents: int = 5, odds: float = 20.0, text: str = "text") -> tuple[str, ...]:
+def learned_insults(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, least_documents: int = 5, least_share: float = 0.01, odds: float = 20.0, text: str = "text") -> tuple[str, ...]:
     """Words that tell toxic documents from others, in any language, from at most ``sample`` labels in hash order.
 
-    The same test as the lexicon of ``site_quality.fit``, over the whole sample: nothing else is fitted on it.
+    Equal texts count once, and a word must stand in ``least_documents`` and ``least_share`` of the toxic ones,
+    so that the words of a few texts with many copies are no insults. Otherwise the same test as the
+    lexicon of ``site_quality.fit``, over the whole sample: nothing else is fitted on it.
     """
     usable = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").select("doc_id", "toxic").distinct()
     few = usable.orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(sample)
     # The sample is bounded, so it can be sent to the documents.
     rows = materialize(docs.select("doc_id", F.col(f"`{text}`").alias("text")).join(F.broadcast(few), "doc_id"), "ledger-sample")
+    rows = rows.select(F.coalesce("text", F.lit("")).alias("text"), (F.col("toxic") == 1).cast("int").alias("toxic")).distinct()
     toxic, clean = F.col("toxic") == 1, F.col("toxic") != 1
     words = F.array_distinct(F.split(F.translate(F.coalesce("text", F.lit("")), AZ, az), "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"))
     n_bad, n_fine = rows.agg(F.count_if(toxic), F.count_if(clean)).first()
     by_word = rows.select("toxic", F.explode(words).alias("word")).filter("word <> ''").groupBy("word").agg(F.count_if(toxic).alias("bad"), F.count_if(clean).alias("fine"))
-    telling = by_word.filter((F.col("bad") >= least_documents) & ((F.col("bad") + 0.5) / (n_bad + 1) >= odds * (F.col("fine") + 0.5) / (n_fine + 1)))
+    telling = by_word.filter((F.col("bad") >= least_documents) & (F.col("bad") >= least_share * n_bad) & ((F.col("bad") + 0.5) / (n_bad + 1) >= odds * (F.col("fine") + 0.5) / (n_fine + 1)))
     # No more words than the bounded sample has.
     return tuple(sorted(r["word"] for r in telling.select("word").toLocalIterator()))
 
@@ -218,16 +221,19 @@ def _ledger_sql() -> str:
     return rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
 lab AS (SELECT DISTINCT doc_id, toxic FROM labels WHERE doc_id IS NOT NULL AND toxic IS NOT NULL),
-ld AS (SELECT toxic = 1 AS bad, t FROM d JOIN lab USING (doc_id)),
+ld AS (SELECT DISTINCT toxic = 1 AS bad, t FROM d JOIN lab USING (doc_id)),
 ln AS (SELECT count(*) FILTER (bad) AS nb, count(*) FILTER (NOT bad) AS nf FROM ld),
 lw AS (SELECT word, count(*) FILTER (bad) AS b, count(*) FILTER (NOT bad) AS f FROM (SELECT bad, unnest(list_distinct({words})) AS word FROM ld) GROUP BY word),
-listed AS (SELECT word FROM lw, ln WHERE b >= 5 AND (b + 0.5::DOUBLE) / (nb + 1) >= 20.0::DOUBLE * (f + 0.5::DOUBLE) / (nf + 1)),
-w AS (SELECT r, regexp_extract_all(t, '[^ 	-]+') AS w FROM d),
+listed AS (SELECT word FROM lw, ln WHERE b >= 5 AND b >= 0.01::DOUBLE * nb AND (b + 0.5::DOUBLE) / (nb + 1) >= 20.0::DOUBLE * (f + 0.5::DOUBLE) / (nf + 1)),
+w AS (SELECT r, regexp_extract_all(t, '[^ 	-
+]+') AS w FROM d),
 g AS (SELECT r, k, concat_ws(' ', w[k], w[k + 1], w[k + 2]) AS s FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS k FROM w WHERE len(w) > 2)),
 rp AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(k, k + 3)) AS p FROM (SELECT r, k, count(*) OVER (PARTITION BY r, s) AS c FROM g) WHERE c > 1) GROUP BY r),
-l AS (SELECT r, count(*) AS n, count(DISTINCT x) AS u FROM (SELECT r, unnest(string_split(t, chr(10))) AS x FROM d) WHERE regexp_matches(x, '[^ 	-]') GROUP BY r),
+l AS (SELECT r, count(*) AS n, count(DISTINCT x) AS u FROM (SELECT r, unnest(string_split(t, chr(10))) AS x FROM d) WHERE regexp_matches(x, '[^ 	-
+]') GROUP BY r),
 i AS (SELECT r, count(*) AS n FROM (SELECT r, unnest({words}) AS x FROM d) WHERE x IN (SELECT word FROM listed) GROUP BY r),
-m AS (SELECT d.doc_id, len(w.w)::BIGINT AS n_words, length(regexp_replace(t, '[ 	-]', '', 'g'))::BIGINT AS word_chars, ({gone('[#*$%&|<>]')})::BIGINT AS n_symbols,
+m AS (SELECT d.doc_id, len(w.w)::BIGINT AS n_words, length(regexp_replace(t, '[ 	-
+]', '', 'g'))::BIGINT AS word_chars, ({gone('[#*$%&|<>]')})::BIGINT AS n_symbols,
   coalesce(l.n - l.u, 0)::BIGINT AS n_dup_lines, coalesce(rp.n, 0)::BIGINT AS n_repeat_words, coalesce(l.n, 0) AS n_lines, {gone('[A-Z]')} AS n_upper, {gone('[a-z]')} AS n_lower,
   (length(t) - length(replace(t, '!!', ''))) // 2 AS n_bangs, coalesce(i.n, 0) AS n_insults
   FROM d JOIN w USING (r) LEFT JOIN l USING (r) LEFT JOIN rp USING (r) LEFT JOIN i USING (r)),
