@@ -135,8 +135,8 @@ def signed(v: int) -> int:
     return v - (1 << 64) if v >> 63 else v
 
 
-def maybe_in(rows: DataFrame, wanted: DataFrame, columns: list[str], buckets: int = 1024) -> DataFrame:
-    """The rows whose hash of ``columns`` has its bit set in a bitmap of the wanted ones: all wanted, and few others.
+def with_bit(rows: DataFrame, wanted: DataFrame, columns: list[str], name: str, buckets: int = 1024) -> DataFrame:
+    """``rows`` with the boolean ``name``: whether the hash of ``columns`` has its bit set in a bitmap of the wanted ones (all wanted, and few others).
 
     The bitmap has ``buckets`` times 32768 bits whatever the data (4 MB here), so it can be sent to the tasks.
     """
@@ -145,8 +145,13 @@ def maybe_in(rows: DataFrame, wanted: DataFrame, columns: list[str], buckets: in
     bitmap = bits.groupBy("__g").agg(F.bitmap_construct_agg("p").alias("__m"))
     at = rows.withColumn("__x", bit).withColumn("__g", F.bitmap_bucket_number("__x")).withColumn("__p", F.bitmap_bit_position("__x"))
     byte = F.conv(F.hex(F.expr("substring(__m, CAST(__p DIV 8 AS INT) + 1, 1)")), 16, 10).cast("int")
-    met = at.join(F.broadcast(bitmap), "__g").filter(F.getbit(byte, (F.col("__p") % 8).cast("int")) == 1)
-    return met.select(*rows.columns)
+    met = at.join(F.broadcast(bitmap), "__g", "left")
+    return met.select(*rows.columns, F.coalesce(F.getbit(byte, (F.col("__p") % 8).cast("int")) == 1, F.lit(False)).alias(name))
+
+
+def maybe_in(rows: DataFrame, wanted: DataFrame, columns: list[str]) -> DataFrame:
+    """The rows that ``with_bit`` marks."""
+    return with_bit(rows, wanted, columns, "__bit").filter("__bit").drop("__bit")
 
 
 def shared_keys(rows: DataFrame, columns: list[str]) -> DataFrame:

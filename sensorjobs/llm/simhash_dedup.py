@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorjobs.llm import shingle_sketch
-from sensorjobs.llm.common import discard, map_texts, materialize, shared_keys, signed, spare
+from sensorjobs.llm.common import discard, map_texts, materialize, maybe_in, signed, spare, with_bit
 
 BITS = 64
 
@@ -139,12 +139,18 @@ def links(fps: DataFrame, limit: int = 4, block: int = 64) -> DataFrame:
 
     Every pair within the limit is connected by the links; each link is within the limit.
     """
-    counted = materialize(shared_keys(variants(fps, limit), ["slot", "part"]), "simhash-keys")
-    few = counted.filter(F.col("n") <= block).select("slot", "part", "fp")
+    keys = ["slot", "part"]
+    keyed = variants(fps, limit)
+    again = materialize(keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "simhash-again")
+    crowds = again.filter(F.col("n") > block)
+    # Only the rows of crowded variants meet their counts; the others go on as they are.
+    met = materialize(with_bit(maybe_in(keyed, again, keys), crowds, keys, "maybe"), "simhash-keys")
+    told = met.filter("maybe").join(crowds, keys, "left")
+    few = met.filter("NOT maybe").select(*keys, "fp").unionByName(told.filter("n IS NULL").select(*keys, "fp"))
     a, b = few.withColumnRenamed("fp", "a"), few.withColumnRenamed("fp", "b")
     pairs = a.join(b, ["slot", "part"]).filter((F.col("a") < F.col("b")) & linked_once(F.col("a"), F.col("b"), F.col("slot"), limit)).select("a", "b")
 
-    many = counted.filter(F.col("n") > block)
+    many = told.filter("n IS NOT NULL").select(*keys, "fp", "n")
     chunk = 16 * block
     parts = F.ceil(F.col("n") / chunk).cast("int")
     many = many.withColumn("parts", parts).withColumn("mine", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int"))
