@@ -9,7 +9,8 @@ agrees with the old table over the length of the longest token.
 A text is first split by the tokenizer's pattern; a piece that is a token itself gets that token. A piece
 starts at every space that stands before a character that is no white space, whatever lies around it: between two
 such places a text can be encoded alone. ``re_encode`` uses this: of an edited text it encodes only
-the stretch around the edit, and takes the other tokens from the stored encoding.
+the stretch around the edit, and takes the other tokens from the stored encoding. A pattern of one's own must
+share this: a space before a character that is no white space always starts a piece.
 
 Where the work is: one narrow pass over the texts, nothing is shuffled (``re_encode``: one join by key).
 The rank table is sent to the tasks; a file of more than ``MOST_RANKS`` tokens is refused. The memories of
@@ -44,6 +45,8 @@ from sensorjobs.llm.common import map_texts, spare
 MOST_RANKS = 500_000
 #: Characters of a text that are split at once.
 WINDOW = 1 << 20
+#: How a piece is split depends on it, on the character behind it, and on so many characters from its start (a contraction).
+LOOK = 3
 #: Entries of the memories of a worker process: pieces, and pairs of tokens.
 MOST_PIECES, MOST_PAIRS = 200_000, 500_000
 
@@ -202,16 +205,18 @@ class Coder:
         return Coder, (self.vocabulary.ranks, self.pattern)
 
     def pieces(self, text: str) -> Iterator[list[str]]:
-        """The pieces of a text, in lists. All pieces of a window but the last stay as they are, whatever follows."""
+        """The pieces of a text, in lists. Of a window, the last piece and those that start in its last characters are split again."""
         at, size = 0, WINDOW
         while at < len(text):
             end = min(at + size, len(text))
             found = self._split.findall(text, at, end)
             if end < len(text):
-                if len(found) < 2:
+                top = end
+                while found and (end == top or end > top - LOOK):
+                    end -= len(found.pop())
+                if not found:
                     size *= 2
                     continue
-                end -= len(found.pop())
             yield found
             at, size = end, WINDOW
 
