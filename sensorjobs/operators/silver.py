@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 STEP_MINUTES = 5
 #: Cursors of a block, about four months of one station at that interval.
 BLOCK = 36_000
+#: Blocks that are scanned together.
+GROUP = 256
 
 
 def _ordered(tie: Sequence[str]) -> list[Column]:
@@ -30,21 +32,39 @@ def running_last_valid(rows: DataFrame, tie: Sequence[str] = ("extracted_at", "s
     })
 
 
+def carried(ends: DataFrame, per: int = GROUP) -> DataFrame:
+    """What the blocks before each block of a station add: ``carried_ts`` and ``carried_cursor``, null for the first.
+
+    ``ends``: station_code, block, ts, cursor. Blocks are scanned in groups of ``per``; what earlier groups add comes from one row a
+    group. A station has few groups (at five minutes one covers decades), so no task holds all blocks of a station.
+    """
+    cut = ends.select("station_code", "block", "ts", "cursor", F.floor(F.col("block") / per).alias("g"))
+    totals = cut.groupBy("station_code", "g").agg(F.max("ts").alias("t"), F.max("cursor").alias("c"))
+    earlier = totals.select(F.col("station_code").alias("s"), F.col("g").alias("h"), "t", "c")
+    groups = totals.select("station_code", "g").join(earlier, (F.col("station_code") == F.col("s")) & (F.col("h") < F.col("g")))
+    groups = groups.groupBy("station_code", "g").agg(F.max("t").alias("t"), F.max("c").alias("c"))
+    before = Window.partitionBy("station_code", "g").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    inner = cut.select("station_code", "g", "block", F.max("ts").over(before).alias("ti"), F.max("cursor").over(before).alias("ci"))
+    both = inner.join(groups, ["station_code", "g"], "left")
+    return both.select("station_code", "block", F.greatest("ti", "t").alias("carried_ts"), F.greatest("ci", "c").alias("carried_cursor"))
+
+
+def last_valid_in_blocks(rows: DataFrame, tie: Sequence[str] = ("extracted_at", "source_row_id")) -> DataFrame:
+    """The running maxima of rows that have ``block`` and what is carried into it; those three columns go."""
+    valid = F.col("is_measured_at_valid")
+    w = Window.partitionBy("station_code", "block").orderBy(*_ordered(tie)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    own = rows.withColumns({"__t": F.max(F.when(valid, F.col("measured_at_parsed"))).over(w), "__c": F.max(F.when(valid, F.col("cursor_id"))).over(w)})
+    return own.withColumns({"last_valid_ts": F.greatest("__t", "carried_ts"), "last_valid_cursor": F.greatest("__c", "carried_cursor")}).drop("__t", "__c", "carried_ts", "carried_cursor", "block")
+
+
 def running_last_valid_blocks(rows: DataFrame, block: int, tie: Sequence[str] = ("extracted_at", "source_row_id")) -> DataFrame:
     """As ``running_last_valid`` for stations with very long histories.
 
     A station is cut into blocks of ``block`` cursors: maxima run within a block, and what earlier
     blocks add comes from one row a block. Work spreads over (station, block), not stations alone.
     """
-    valid = F.col("is_measured_at_valid")
-    cut = rows.withColumn("__b", F.floor(F.col("cursor_id") / block))
-    ends = cut.groupBy("station_code", "__b").agg(F.max(F.when(valid, F.col("measured_at_parsed"))).alias("t"), F.max(F.when(valid, F.col("cursor_id"))).alias("c"))
-    before = Window.partitionBy("station_code").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    carried = ends.select("station_code", "__b", F.max("t").over(before).alias("__t"), F.max("c").over(before).alias("__c"))
-    w = Window.partitionBy("station_code", "__b").orderBy(*_ordered(tie)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    inner = cut.withColumns({"__ti": F.max(F.when(valid, F.col("measured_at_parsed"))).over(w), "__ci": F.max(F.when(valid, F.col("cursor_id"))).over(w)})
-    out = inner.join(carried, ["station_code", "__b"])
-    return out.withColumns({"last_valid_ts": F.greatest("__ti", "__t"), "last_valid_cursor": F.greatest("__ci", "__c")}).drop("__b", "__t", "__c", "__ti", "__ci")
+    cut = rows.withColumn("block", F.floor(F.col("cursor_id") / block))
+    return last_valid_in_blocks(cut.join(carried(block_ends(rows, block)), ["station_code", "block"]), tie)
 
 
 def impute_timestamps(rows: DataFrame) -> DataFrame:
@@ -75,11 +95,15 @@ def anchors(rows: DataFrame) -> DataFrame:
     return rows.groupBy("station_code").agg(F.max(F.when(valid, F.col("measured_at_parsed"))).alias("anchor_ts"), F.max(F.when(valid, F.col("cursor_id"))).alias("anchor_cursor"))
 
 
-def carry_anchor(new_rows: DataFrame, state: DataFrame) -> DataFrame:
-    """Repair new rows (all later than the state's) from their own valid rows and the stations' carried maxima."""
-    run = running_last_valid(new_rows).join(state.withColumnRenamed("station_code", "__s"), F.col("station_code") == F.col("__s"), "left")
-    run = run.withColumns({"last_valid_ts": F.greatest("last_valid_ts", "anchor_ts"), "last_valid_cursor": F.greatest("last_valid_cursor", "anchor_cursor")})
-    return impute_timestamps(run.drop("__s", "anchor_ts", "anchor_cursor"))
+def carry_anchor(new_rows: DataFrame, state: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Repair new rows (all later than the state's) from their own valid rows and the stations' carried maxima.
+
+    In blocks of cursors, as ``repair``: an anchor is what is carried into all blocks of its station.
+    """
+    cut = new_rows.withColumn("block", F.floor(F.col("cursor_id") / block)).join(carried(block_ends(new_rows, block)), ["station_code", "block"])
+    run = cut.join(state.withColumnRenamed("station_code", "__s"), F.col("station_code") == F.col("__s"), "left")
+    run = run.withColumns({"carried_ts": F.greatest("carried_ts", "anchor_ts"), "carried_cursor": F.greatest("carried_cursor", "anchor_cursor")})
+    return impute_timestamps(last_valid_in_blocks(run.drop("__s", "anchor_ts", "anchor_cursor")))
 
 
 def repair(rows: DataFrame, block: int = BLOCK) -> DataFrame:

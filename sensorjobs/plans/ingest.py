@@ -100,7 +100,7 @@ def full_rebuild(spark: SparkSession, d: str) -> DataFrame:
     rows = base.hourly(spark, d).withColumn("day", F.to_date("hour"))
     io.full_rebuild(rows.withColumn("value_avg", F.lit(-1.0)).filter("variable_code = 'hum'"), path, ["day"])
     io.full_rebuild(rows, path, ["day"])
-    return spark.read.parquet(path).select("station_code", "variable_code", stamp("hour").alias("hour"), r("value_avg").alias("value_avg"))
+    return io.read_table(spark, path).select("station_code", "variable_code", stamp("hour").alias("hour"), r("value_avg").alias("value_avg"))
 
 
 @query("write_partitions", f"WITH {H} SELECT station_code, variable_code, {ts('hr')} AS hour, {rd('a')} + CASE WHEN hr >= TIMESTAMP '2024-01-20' THEN 1 ELSE 0 END AS value_avg FROM h")
@@ -108,8 +108,8 @@ def write_partitions(spark: SparkSession, d: str) -> DataFrame:
     path = scratch(spark, "partitions")
     rows = base.hourly(spark, d).select("station_code", "variable_code", "hour", r("value_avg").alias("value_avg"), F.to_date("hour").alias("day"))
     io.full_rebuild(rows, path, ["day"])
-    io.write_partitions(rows.filter("hour >= timestamp'2024-01-20'").withColumn("value_avg", F.col("value_avg") + 1), path, ["day"])
-    return spark.read.parquet(path).select("station_code", "variable_code", stamp("hour").alias("hour"), "value_avg")
+    io.write_partitions(rows.filter("hour >= timestamp'2024-01-20'").withColumn("value_avg", F.col("value_avg") + 1), path)
+    return io.read_table(spark, path).select("station_code", "variable_code", stamp("hour").alias("hour"), "value_avg")
 
 
 @query("payload_store", "SELECT 'supplier' AS data_source_name, s_suppkey AS source_row_id, CAST(to_json({'s_suppkey': s_suppkey, 's_name': s_name, 's_nationkey': s_nationkey, 'note': CASE WHEN s_suppkey % 2 = 0 THEN 'even' END}) AS VARCHAR) AS raw_payload FROM supplier")

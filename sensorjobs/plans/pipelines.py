@@ -5,9 +5,10 @@ Forecasts over the feature table are ``sensorjobs.plans.forecast.forecast_run``.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, replace
+from collections.abc import Callable, Collection, Mapping, Sequence
+from dataclasses import asdict, dataclass, replace
 from functools import reduce
+from typing import Self
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,8 +20,9 @@ from sensorjobs.plans import base
 from sensorjobs.plans.base import query, r, rd, sk, stamp, ts
 from sensorjobs.plans.ingest import GEO, RAW, raw_cursor, raw_geo, raw_weather
 from sensorjobs.plans.marts import FEATURES, feature_columns
-from sensorjobs.sources import io
+from sensorjobs.sources import io, versioned
 from sensorjobs.sources.io import stored, upsert_by_key
+from sensorjobs.sources.versioned import Version
 
 
 @dataclass(frozen=True)
@@ -59,60 +61,156 @@ FACT_KEY, FACT_ORDER = ["stream_id", "timestamp"], ["ingested_at", "source_row_i
 
 
 @dataclass(frozen=True)
-class SilverState:
-    """What one incremental run leaves for the next, all as written tables.
+class Stored:
+    """What one incremental run leaves for the next: watermarks and versions of tables, published together under a number.
 
-    ``messages``: the staged messages of each source; ``ends``: the maxima of each cursor block of its stations;
-    ``values``: every valid value, also those that another of the same time hides; ``fact``: one a stream and time.
+    It can be loaded in any later session (``load``); a run that fails publishes nothing, and the next one starts from here.
     """
 
-    messages: Mapping[str, DataFrame]
-    ends: Mapping[str, DataFrame]
-    values: DataFrame
-    fact: DataFrame
+    spark: SparkSession
+    folder: str
+    number: int
+    marks: Mapping[str, str]
+    tables: Mapping[str, Version]
+
+    @classmethod
+    def load(cls, spark: SparkSession, folder: str, number: int | None = None) -> Self | None:
+        """The state that was published last (or under a number); None if there is none."""
+        number = versioned.latest_number(spark, folder) if number is None else number
+        content = versioned.load(spark, folder, number)
+        return None if content is None else cls(spark, folder, number, content["marks"], {n: Version(**v) for n, v in content["tables"].items()})
+
+    @classmethod
+    def publish(cls, spark: SparkSession, folder: str, marks: Mapping[str, str], tables: Mapping[str, Version]) -> Self:
+        """Publish a run's state; batches that neither it nor the state before needs are deleted."""
+        number = versioned.publish(spark, folder, {"marks": dict(marks), "tables": {n: asdict(v) for n, v in tables.items()}})
+        before = cls.load(spark, folder, number - 1) if number > 1 else None
+        for n, v in tables.items():
+            versioned.drop_unused(spark, v.base, [v, *([before.tables[n]] if before else [])])
+        return cls(spark, folder, number, marks, tables)
+
+    def rows(self, name: str, only: Collection[str] | Callable[[str], bool] | None = None) -> DataFrame:
+        """A table of the state, or some of its partitions."""
+        return versioned.read(self.spark, self.tables[name], only)
+
+
+class SilverState(Stored):
+    """Tables of the silver job, each with the partition that its rows are found by.
+
+    ``messages-<source>`` by block of cursors: what may have to be repaired again. ``ends-<source>`` by block: the maxima of each station's block and
+    the days its repaired times lie in. ``values`` by day: every valid value, also those that another of the same
+    time hides. ``fact`` by day: one a stream and time.
+    """
+
+    @property
+    def fact(self) -> DataFrame:
+        return self.rows("fact").drop("day")
+
+
+VALUE_KEY = ["source_row_id", "stream_id"]
+
+
+@dataclass(frozen=True)
+class Repaired:
+    """What one source brings to a run: repaired messages, the days they may have had values in, its tables."""
+
+    fixed: DataFrame
+    days: set[str]
+    tables: Mapping[str, Version]
+
 
+def repair_touched(spark: SparkSession, source: str, new: DataFrame, state: SilverState | None, folder: str, block: int) -> Repaired:
+    """Repair the new messages of a cursor source, and again the older ones whose result may change.
 
-def silver_step(staged: Mapping[str, DataFrame], registry: Sequence[staging.Source], rules: DataFrame, known: Dimensions, state: SilverState | None = None, block: int = silver.BLOCK) -> SilverState:
+    These are the messages of the (station, block) pairs that have new messages, and of the later blocks into which other
+    maxima are carried than before; all others keep their times.
+    """
+    pair = ["station_code", "block"]
+    mine, edge = f"messages-{source}", f"ends-{source}"
+    cut = new.filter("cursor_id IS NOT NULL").withColumn("block", F.floor(F.col("cursor_id") / block))
+    fresh = stored(cut, "silver-cursor")
+    if state is None:
+        messages = versioned.write(fresh, f"{folder}/{mine}", ["block"])
+        ends = silver.block_ends(fresh, block)
+        affected = stored(ends.select(*pair).join(silver.carried(ends), pair), "silver-affected")
+        merged, days = ends, set()
+    else:
+        came = fresh.select(*pair).distinct()
+        messages = versioned.change(spark, state.tables[mine], fresh, ["source_row_id"], lambda old, new: upsert_by_key(old, new, ["source_row_id"])) if not fresh.isEmpty() else state.tables[mine]
+        touched = versioned.read(spark, messages, versioned.partitions_of(came, ["block"])).join(came, pair, "left_semi")
+        # One row a station and block: of the stations that have new messages.
+        old = state.rows(edge).join(came.select("station_code").distinct(), "station_code", "left_semi")
+        merged = stored(upsert_by_key(old.select(*pair, "ts", "cursor"), silver.block_ends(touched, block), pair), "silver-ends")
+        was = silver.carried(old).select(*pair, F.col("carried_ts").alias("t"), F.col("carried_cursor").alias("c"), F.lit(True).alias("known"))
+        now = silver.carried(merged).join(was, pair, "left").join(came.withColumn("came", F.lit(True)), pair, "left")
+        other = F.col("came").isNotNull() | F.col("known").isNull() | ~(F.col("carried_ts").eqNullSafe(F.col("t")) & F.col("carried_cursor").eqNullSafe(F.col("c")))
+        affected = stored(now.filter(other).select(*pair, "carried_ts", "carried_cursor"), "silver-affected")
+        spans = old.join(affected.select(*pair), pair, "left_semi").filter("first_day IS NOT NULL")
+        days = versioned.partitions_of(spans.select(F.explode(F.sequence("first_day", "last_day")).alias("day")), ["day"])
+    again = versioned.read(spark, messages, versioned.partitions_of(affected, ["block"])).join(affected, pair)
+    fixed = stored(silver.impute_timestamps(silver.last_valid_in_blocks(again)), "silver-fixed")
+    at = fixed.groupBy("station_code", F.floor(F.col("cursor_id") / block).alias("block")).agg(F.min(F.to_date("measured_at_silver")).alias("first_day"), F.max(F.to_date("measured_at_silver")).alias("last_day"))
+    rows = merged.select(*pair, "ts", "cursor").join(at, pair)
+    if state is None:
+        edges = versioned.write(rows, f"{folder}/{edge}", ["block"])
+    elif affected.isEmpty():
+        edges = state.tables[edge]
+    else:
+        rows = stored(rows, "silver-edges")
+        edges = versioned.change(spark, state.tables[edge], rows, pair, lambda old, new: upsert_by_key(old, new, pair))
+    io.discard(*[df for df in (fresh, affected, merged, rows) if hasattr(df, "_sensorjobs_path")])
+    return Repaired(fixed, days, {mine: messages, edge: edges})
+
+
+def silver_step(staged: Mapping[str, DataFrame], registry: Sequence[staging.Source], rules: DataFrame, known: Dimensions, state: SilverState | None = None, block: int = silver.BLOCK, folder: str | None = None) -> SilverState:
     """One incremental run: after any number of runs the fact is what one full build of all messages gives.
 
-    New messages are those at or after the source's watermark (inclusive, so the newest ones are read again).
-    A message may come late: its station is repaired again from the first touched block of cursors on, with the
-    maxima of the blocks before as anchors. Times and values of the messages repaired again replace their old ones,
-    and only the touched streams and times are deduplicated. Source row ids are unique over all sources.
+    New messages are those at or after the source's kept watermark (inclusive, so the newest ones are read again). A message may
+    come late: see ``repair_touched``. Values that are gone or new are found by comparing what the messages
+    repaired again gave before and give now; only days with such values are written, in ``values`` and in the fact.
+    A source row id names one raw row that never changes, and is unique over all sources.
     """
-    messages, ends, parts, touched_ids = {}, {}, [], []
+    spark = known.stations.sparkSession
+    folder = state.folder if state is not None else folder or io.scratch(spark, "silver")
+    marks, tables = dict(state.marks) if state is not None else {}, {}
+    parts, fixed, days, written = [], [], set(), []
     for s in registry:
-        rows = with_a_value(staged[s.name], s)
-        new = rows if state is None else io.incremental_read(rows, state.messages[s.name])
-        new = stored(new, "silver-new")
-        messages[s.name] = new if state is None else stored(upsert_by_key(state.messages[s.name], new, ["source_row_id"]), "silver-messages")
-        if s.cursor_id is None:
-            fixed = silver.passthrough_timestamps(new)
-            ends[s.name] = None
-        else:
-            at_block = F.floor(F.col("cursor_id") / block)
-            fresh = silver.block_ends(messages[s.name].join(new.select("station_code").distinct(), "station_code", "left_semi"), block) if state is None else None
-            first = new.filter("cursor_id IS NOT NULL").groupBy("station_code").agg(F.min(at_block).alias("__from"))
-            again = messages[s.name].join(first, "station_code").filter(F.col("cursor_id").isNotNull() & (at_block >= F.col("__from")))
-            if state is not None:
-                fresh = silver.block_ends(again, block)
-            ends[s.name] = stored(fresh if state is None else upsert_by_key(state.ends[s.name], fresh, ["station_code", "block"]), "silver-ends")
-            before = ends[s.name].join(first, "station_code").filter(F.col("block") < F.col("__from"))
-            anchors = before.groupBy("station_code").agg(F.max("ts").alias("anchor_ts"), F.max("cursor").alias("anchor_cursor"))
-            fixed = silver.carry_anchor(again.drop("__from"), anchors).unionByName(silver.passthrough_timestamps(new.filter("cursor_id IS NULL")))
-        parts.append(long_of(fixed, s))
-        touched_ids.append(fixed.select("source_row_id"))
+        new = stored(io.read_since(with_a_value(staged[s.name], s), marks.get(s.name)), "silver-new")
+        written.append(new)
+        if (mark := io.newest(new)) is not None:
+            marks[s.name] = mark
+        plain = new
+        if s.cursor_id is not None:
+            done = repair_touched(spark, s.name, new, state, folder, block)
+            tables |= done.tables
+            days |= done.days
+            written.append(done.fixed)
+            fixed.append(done.fixed.select("source_row_id"))
+            parts.append(long_of(done.fixed, s))
+            plain = new.filter("cursor_id IS NULL")
+        fixed.append(plain.select("source_row_id"))
+        parts.append(long_of(silver.passthrough_timestamps(plain), s))
     long = stored(reduce(DataFrame.unionByName, parts), "silver-long")
-    fresh = stored(facts_of(long, rules, known), "silver-values")
+    fresh = stored(facts_of(long, rules, known).withColumn("day", F.to_date("timestamp")), "silver-values")
+    written += [long, fresh]
     if state is None:
-        return SilverState(messages, ends, fresh, stored(silver.dedupe_latest(fresh, FACT_KEY, FACT_ORDER), "silver-fact"))
-    ids = stored(reduce(DataFrame.unionByName, touched_ids).distinct(), "silver-touched")
-    keys = state.values.join(ids, "source_row_id", "left_semi").select(*FACT_KEY).unionByName(fresh.select(*FACT_KEY)).distinct()
-    values = stored(state.values.join(ids, "source_row_id", "left_anti").unionByName(fresh), "silver-values")
-    keys = stored(keys, "silver-keys")
-    best = silver.dedupe_latest(values.join(keys, FACT_KEY, "left_semi"), FACT_KEY, FACT_ORDER)
-    fact = state.fact.join(keys, FACT_KEY, "left_anti").unionByName(best)
-    return SilverState(messages, ends, values, stored(fact, "silver-fact"))
+        tables["values"] = versioned.write(fresh, f"{folder}/values", ["day"])
+        tables["fact"] = versioned.write(silver.dedupe_latest(fresh, FACT_KEY, FACT_ORDER), f"{folder}/fact", ["day"])
+    else:
+        old = state.rows("values", days | versioned.partitions_of(fresh, ["day"])).join(reduce(DataFrame.unionByName, fixed).distinct(), "source_row_id", "left_semi")
+        gone, came = stored(old.exceptAll(fresh), "silver-gone"), stored(fresh.exceptAll(old), "silver-came")
+        both = gone.select(*FACT_KEY, "day").unionByName(came.select(*FACT_KEY, "day"))
+        touched, keys = versioned.partitions_of(both, ["day"]), both.select(*FACT_KEY).distinct()
+        written += [gone, came]
+        tables |= {n: state.tables[n] for n in ("values", "fact")}
+        if touched:
+            kept = state.rows("values", touched).join(gone.select(*VALUE_KEY, "timestamp"), [*VALUE_KEY, "timestamp"], "left_anti")
+            tables["values"] = versioned.rewrite(state.tables["values"], touched, kept.unionByName(came))
+            best = silver.dedupe_latest(versioned.read(spark, tables["values"], touched).join(keys, FACT_KEY, "left_semi"), FACT_KEY, FACT_ORDER)
+            tables["fact"] = versioned.rewrite(state.tables["fact"], touched, state.rows("fact", touched).join(keys, FACT_KEY, "left_anti").unionByName(best))
+    out = SilverState.publish(spark, folder, marks, tables)
+    io.discard(*written)
+    return out
 
 
 @dataclass(frozen=True)
@@ -142,27 +240,50 @@ def build_gold(fact: DataFrame, factors: DataFrame, ids: DataFrame, regions: Dat
     return Marts(readings, area, weather, gold.features(readings, station_regions, area, weather))
 
 
-#: Keys and times of the marts.
-MART_KEYS = {"station_readings": (["station_id", "date_localtime"], "date_localtime"), "region_readings": (["region_id", "date_utc"], "date_utc"), "weather": (["region_id", "hour"], "hour"), "features": (["station_id", "date_utc"], "date_utc")}
+#: Times of the marts.
+MART_TIMES = {"station_readings": "date_localtime", "region_readings": "date_utc", "weather": "hour", "features": "date_utc"}
 
 
-def gold_step(fact: DataFrame, factors: DataFrame, ids: DataFrame, regions: DataFrame, weather_regions: DataFrame, before: Marts | None = None, days: int = 2) -> Marts:
-    """One incremental run of the marts, as written tables.
+class GoldState(Stored):
+    """The marts as stored tables, partitioned by day; the mark ``newest`` is the newest hour of the readings."""
+
+    @property
+    def marts(self) -> Marts:
+        return Marts(*[self.rows(n).drop("day") for n in MART_TIMES])
+
+
+def gold_step(fact: DataFrame, factors: DataFrame, ids: DataFrame, regions: DataFrame, weather_regions: DataFrame, state: GoldState | None = None, days: int = 2, folder: str | None = None) -> GoldState:
+    """One incremental run of the marts.
 
     The last ``days`` before the newest hour are built again, for late facts. The facts of 23 hours more are
-    read, for the windows that reach back; only hours of the slice are given out and merged.
+    read, for the windows that reach back (only these days' partitions, if the fact has the partition column ``day``); the
+    rows from the slice's start on are replaced. Only the slice's days are written.
     """
-    newest = None if before is None else before.station_readings.agg(F.max("date_localtime")).first()[0]
-    if newest is None:
-        fresh = build_gold(fact, factors, ids, regions, weather_regions)
-        return Marts(*[stored(getattr(fresh, n), f"gold-{n}") for n in MART_KEYS])
-    mark = before.station_readings.select(F.col("date_localtime").alias("timestamp"))
-    fresh = build_gold(io.lookback_read(fact, mark, "timestamp", days, extra_hours=23), factors, ids, regions, weather_regions)
-    out = []
-    for n, (keys, time) in MART_KEYS.items():
-        own = getattr(fresh, n).filter(F.col(time) >= F.lit(newest) - F.expr(f"INTERVAL {days} DAYS"))
-        out.append(stored(upsert_by_key(getattr(before, n), stored(own, f"gold-slice-{n}"), keys), f"gold-{n}"))
-    return Marts(*out)
+    spark = ids.sparkSession
+    folder = state.folder if state is not None else folder or io.scratch(spark, "gold")
+    newest = None if state is None else state.marks.get("newest")
+    start = None if newest is None else F.lit(newest).cast("timestamp") - F.expr(f"INTERVAL {days} DAYS")
+    recent = fact if start is None else io.read_since(fact, str(spark.range(1).select(F.date_format(start - F.expr("INTERVAL 23 HOURS"), io.MARK)).first()[0]), "timestamp", "day")
+    fresh = build_gold(recent, factors, ids, regions, weather_regions)
+    tables, first = {}, None if start is None else spark.range(1).select(F.to_date(start).cast("string")).first()[0]
+    for n, time in MART_TIMES.items():
+        own = getattr(fresh, n).withColumn("day", F.to_date(time))
+        if start is None:
+            tables[n] = versioned.write(own, f"{folder}/{n}", ["day"])
+            continue
+        before = state.tables[n]
+        own = stored(own.filter(F.col(time) >= start), "gold-slice")
+        again = {k for k in before.parts if k.split("=")[1] >= first}
+        kept = versioned.read(spark, before, again).filter(F.col(time) < start)
+        tables[n] = versioned.rewrite(before, again | versioned.partitions_of(own, ["day"]), kept.unionByName(own))
+        io.discard(own)
+    mark = io.newest(versioned.read(spark, tables["station_readings"], _last_days(tables["station_readings"], first)), "date_localtime")
+    return GoldState.publish(spark, folder, {"newest": mark} if mark is not None else {}, tables)
+
+
+def _last_days(version: Version, first: str | None) -> set[str]:
+    """The partitions from a day on."""
+    return {k for k in version.parts if first is None or k.split("=")[1] >= first}
 
 
 def _own(names: Mapping[str, str]) -> dict[str, str]:
@@ -186,8 +307,13 @@ si AS (SELECT * FROM al WHERE st IS NOT NULL AND CASE vc WHEN 'hum' THEN v BETWE
 
 
 def staged(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    """The staged sources, written once."""
-    return {k: stored(v, "staged") for k, v in _staged(spark, d).items()}
+    """The staged sources, written once by the day of extraction."""
+    out = {}
+    for k, v in _staged(spark, d).items():
+        path = io.scratch(spark, "staged")
+        v.withColumn("extracted_day", F.to_date("extracted_at")).write.partitionBy("extracted_day").parquet(path)
+        out[k] = spark.read.parquet(path)
+    return out
 
 
 def _staged(spark: SparkSession, d: str) -> dict[str, DataFrame]:
@@ -201,11 +327,11 @@ def known_dims(spark: SparkSession, sources: Mapping[str, DataFrame]) -> Dimensi
     return Dimensions(dims.dim_build(codes, ["code"], now), dims.dim_build(views.rules(spark).select(F.col("variable_code").alias("code")), ["code"], now), dims.dim_build(names, ["name"], now))
 
 
-FACT_ROWS = f"SELECT rid AS source_row_id, {sk('sc || ' + chr(39) + '_' + chr(39) + ' || vc || ' + chr(39) + '_' + chr(39) + ' || ds')} AS stream_id, {ts('st')} AS measured_at, {rd('v')} AS value_parsed FROM si"
+FACT_ROWS = f"SELECT rid AS source_row_id, {sk('sc || ' + chr(39) + '_' + chr(39) + ' || vc || ' + chr(39) + '_' + chr(39) + ' || ds')} AS stream_id, {ts('st')} AS measured_at, {rd('v')} AS value_parsed, {ts('ext')} AS ingested_at FROM si"
 
 
 def _rows(fact: DataFrame) -> DataFrame:
-    return fact.select("source_row_id", "stream_id", stamp("timestamp").alias("measured_at"), r("value_parsed").alias("value_parsed"))
+    return fact.select("source_row_id", "stream_id", stamp("timestamp").alias("measured_at"), r("value_parsed").alias("value_parsed"), stamp("ingested_at").alias("ingested_at"))
 
 
 @query("silver_pipeline", f"WITH {SILVER} {FACT_ROWS}")
@@ -247,7 +373,7 @@ def gold_incremental(spark: SparkSession, d: str) -> DataFrame:
     """The same features from three runs; a fifth of the facts comes a day late, within the look-back."""
     facts = stored(base.facts(spark, d), "facts")
     late = F.expr("timestamp + CASE WHEN source_row_id % 5 = 0 THEN INTERVAL 24 HOURS ELSE INTERVAL 0 HOURS END")
-    marts = None
+    state = None
     for cut in ("2024-01-20 05:30:00", "2024-01-21 00:00:00", "2100-01-01 00:00:00"):
-        marts = gold_step(facts.filter(late < F.lit(cut).cast("timestamp")), *gold_inputs(spark, d), marts)
-    return feature_columns(marts.features)
+        state = gold_step(facts.filter(late < F.lit(cut).cast("timestamp")), *gold_inputs(spark, d), state)
+    return feature_columns(state.marts.features)

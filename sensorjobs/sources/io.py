@@ -1,19 +1,22 @@
 """Reading and writing: raw tables, seeds, watermarks, keyed upserts.
 
-An upsert here is a function of two frames; ``write_partitions`` then replaces the partitions that the
-result touches. Nothing overwrites a path that is still being read.
+An upsert here is a function of two frames; ``merge_into`` applies it to the partitions of a stored table that a batch
+touches. Stored tables have versions (``sensorjobs.sources.versioned``): a change appears as a whole or not at all, and
+nothing overwrites a path that is still being read.
 """
 
 from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from sensorjobs.sources import versioned
+
 #: The feature columns in the order models expect.
 FEATURE_COLUMNS = (
     "pm1", "pm2_5", "pm10", "pm2_5_avg_6h", "pm2_5_max_6h", "pm2_5_skew_6h", "pm2_5_std_6h",
@@ -38,7 +41,17 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     """``df`` written to the shared folder and reread: what is used several times is computed once, and lineage is cut."""
     path = scratch(df.sparkSession, tag)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._sensorjobs_path = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete what ``stored`` wrote, once nothing reads it any more."""
+    for df in frames:
+        sc = df.sparkSession.sparkContext
+        where = sc._jvm.org.apache.hadoop.fs.Path(df._sensorjobs_path)
+        where.getFileSystem(sc._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def read_raw_tables(spark: SparkSession, base: str, names: Sequence[str]) -> dict[str, DataFrame]:
@@ -84,6 +97,27 @@ def incremental_read(source: DataFrame, target: DataFrame, column: str = "extrac
     return joined.filter(F.col("__mark").isNull() | (F.col(column) >= F.col("__mark"))).drop("__by", "__mark")
 
 
+#: A watermark as text, to the microsecond.
+MARK = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+
+
+def newest(df: DataFrame, column: str = "extracted_at") -> str | None:
+    """The newest ``column`` as a watermark that can be kept; None for an empty frame."""
+    return df.agg(F.date_format(F.max(column), MARK)).first()[0]
+
+
+def read_since(source: DataFrame, mark: str | None, column: str = "extracted_at", day: str = "extracted_day") -> DataFrame:
+    """Rows at or after a kept watermark (inclusive); all without one.
+
+    If the source has the partition column ``day`` (the day of ``column``), older partitions are not read.
+    """
+    if mark is None:
+        return source
+    since = F.lit(mark).cast("timestamp")
+    rows = source.filter(F.col(column) >= since)
+    return rows.filter(F.col(day) >= F.to_date(since)) if day in source.columns else rows
+
+
 def lookback_read(source: DataFrame, target: DataFrame, column: str, days: int = 2, extra_hours: int = 0) -> DataFrame:
     """Rows of the target's last ``days`` again (and ``extra_hours`` before, for windows that reach back)."""
     newest = target.agg(F.max(column)).first()[0]
@@ -118,13 +152,44 @@ def insert_missing(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
 
 
 def full_rebuild(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Replace a table by ``df``, without any watermark."""
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    """Replace a stored table by ``df``, without any watermark.
+
+    The new rows are written beside the old ones and become the table at once; the last version stays. A
+    job that fails leaves the old table as it was.
+    """
+    versioned.publish_table(df.sparkSession, versioned.write(df, path, partition_by))
+
+
+def read_table(spark: SparkSession, path: str, only: Callable[[str], bool] | None = None, number: int | None = None) -> DataFrame:
+    """A stored table as it is now (or under a number); with ``only``, the partitions whose folder name (``day=2024-01-01``) it takes."""
+    version = versioned.table(spark, path, number)
+    if version is None:
+        raise FileNotFoundError(f"no table at {path}")
+    return versioned.read(spark, version, only)
+
+
+def write_partitions(df: DataFrame, path: str) -> None:
+    """Replace only the partitions of a stored table that ``df`` has rows for."""
+    spark = df.sparkSession
+    version = versioned.table(spark, path)
+    versioned.publish_table(spark, versioned.rewrite(version, versioned.partitions_of(df, version.partition_by), df))
+
+
+def merge_into(path: str, batch: DataFrame, keys: Sequence[str], moving: bool = False, updated: Sequence[str] | None = None) -> None:
+    """Upsert a batch into a stored table; only the partitions that it touches are read and written.
+
+    Known rows are replaced, or only their ``updated`` columns if given. The partition is a function of the
+    key unless ``moving`` is set; then known rows are looked up in all partitions and leave their old one.
+    """
+    spark = batch.sparkSession
+    new = stored(batch, "merge")
+    version = versioned.table(spark, path)
 
+    def combine(old: DataFrame, came: DataFrame) -> DataFrame:
+        return upsert_by_key(old, came, keys) if updated is None else upsert_keep_columns(old, came, keys, updated)
 
-def write_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
-    """Replace only the partitions that ``df`` has rows for."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+    versioned.publish_table(spark, versioned.change(spark, version, new, keys, combine, moving))
+    discard(new)
 
 
 def payloads(raw: DataFrame, source_name: str, row_id: str, extracted_at: str) -> DataFrame:
