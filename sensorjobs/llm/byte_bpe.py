@@ -14,7 +14,7 @@ share this: a space before a character that is no white space always starts a pi
 
 Where the work is: one narrow pass over the texts, nothing is shuffled (``re_encode``: one join by key).
 The rank table is sent to the tasks; a file of more than ``MOST_RANKS`` tokens is refused. The memories of
-pieces and of token pairs are bounded and start anew when full. Texts are split in windows
+pieces and of token pairs are bounded. Texts are split in windows
 of ``WINDOW`` characters.
 
 Defined results
@@ -30,7 +30,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import chain
 
 import pandas as pd
@@ -47,8 +47,10 @@ MOST_RANKS = 500_000
 WINDOW = 1 << 20
 #: How a piece is split depends on it, on the character behind it, and on so many characters from its start (a contraction).
 LOOK = 3
-#: Entries of the memories of a worker process: pieces, and pairs of tokens.
-MOST_PIECES, MOST_PAIRS = 200_000, 500_000
+#: Entries of the memories of a worker process: pieces (in each of two halves, about 100 MB together), and pairs of tokens.
+MOST_PIECES, MOST_PAIRS = 250_000, 500_000
+#: Characters of the longest piece that is remembered.
+LONGEST_KEPT = 64
 
 DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 
@@ -65,7 +67,17 @@ class Vocabulary:
         self.ranks = ranks
         self.longest = max(map(len, ranks))
         self.bytes_of = {i: t for t, i in ranks.items()}
-        self._pairs: dict[tuple[int, int], bool] = {}
+        #: The tokens, read backwards, as a trie: (state, byte before) to state, and each state's token or -1.
+        self.step: dict[int, int] = {}
+        self.token_at = [-1]
+        for token, rank in ranks.items():
+            state = 0
+            for byte in reversed(token):
+                state = self.step.setdefault(state << 8 | byte, len(self.token_at))
+                if state == len(self.token_at):
+                    self.token_at.append(-1)
+            self.token_at[state] = rank
+        self.pairs: dict[tuple[int, int], bool] = {}
         self._edges: dict[int, tuple[list, list] | None] = {}
 
     def merges(self, piece: bytes) -> tuple[list[bytes], list, list]:
@@ -97,19 +109,16 @@ class Vocabulary:
             self._edges[token] = (left, right) if len(parts) == 1 else None
         return self._edges[token]
 
-    def side_by_side(self, left: int, right: int) -> bool:
-        """Whether the two tokens' bytes, merged together, stay these two tokens.
+    def side_by_side(self, pair: tuple[int, int]) -> bool:
+        """Whether the two tokens' bytes, merged together, stay these two tokens. With -1 on the left: whether the token's own bytes give it.
 
         They do unless a part at the right edge of the one and a part at the left edge of the other are both
         there when their own merge is due; of equal ranks the merge further left comes first.
         """
-        key = (left, right)
-        known = self._pairs.get(key)
-        if known is None:
-            if len(self._pairs) >= MOST_PAIRS:
-                self._pairs.clear()
-            known = self._pairs[key] = self._apart(left, right)
-        return known
+        if len(self.pairs) >= MOST_PAIRS:
+            self.pairs.clear()
+        fits = self.pairs[pair] = self.edges(pair[1]) is not None if pair[0] < 0 else self._apart(*pair)
+        return fits
 
     def _apart(self, left: int, right: int) -> bool:
         a, b = self.edges(left), self.edges(right)
@@ -127,44 +136,55 @@ class Prefixes:
     """The last token of every byte prefix of a piece; supports appends and edits."""
 
     def __init__(self, vocabulary: Vocabulary, piece: bytes = b"") -> None:
-        self.vocabulary, self.piece, self.last = vocabulary, b"", [-1]
+        self.vocabulary, self.piece = vocabulary, b""
+        self.last = [-1]
         self.append(piece)
 
-    def _last_at(self, piece: bytes, end: int) -> int:
-        v, last = self.vocabulary, self.last
-        for start in range(max(0, end - v.longest), end):
-            token = v.ranks.get(piece[start:end])
-            if token is None:
-                continue
-            before = last[start]
-            if v.edges(token) is not None if before < 0 else v.side_by_side(before, token):
-                return token
-        raise ValueError("no token ends here: the ranks are no byte-level vocabulary")
-
     def append(self, more: bytes) -> None:
         """Bytes at the end; what is there stays as it is."""
-        piece = self.piece + more
-        for end in range(len(self.piece) + 1, len(piece) + 1):
-            self.last.append(self._last_at(piece, end))
-        self.piece = piece
+        had = len(self.piece)
+        self.piece += more
+        self._fill(had + 1, len(self.piece) + 1)
+
+    def cut(self, size: int) -> None:
+        """Keep the first ``size`` bytes."""
+        self.piece = self.piece[:size]
+        del self.last[size + 1 :]
+
+    def _fill(self, first: int, behind: int) -> None:
+        """Add the last tokens of the prefixes of ``first`` and more bytes. Tokens that end there are met backwards, shortest first."""
+        v, last, piece = self.vocabulary, self.last, self.piece
+        step, token_at, known = v.step.get, v.token_at, v.pairs.get
+        for end in range(first, behind):
+            state = 0
+            for at in range(end - 1, -1, -1):
+                state = step(state << 8 | piece[at])
+                if state is None:
+                    raise ValueError("no token ends here: the ranks are no byte-level vocabulary")
+                token = token_at[state]
+                if token >= 0:
+                    pair = (last[at], token)
+                    fits = known(pair)
+                    if fits or (fits is None and v.side_by_side(pair)):
+                        last.append(token)
+                        break
+            else:
+                raise ValueError("no token ends here: the ranks are no byte-level vocabulary")
 
     def replace(self, start: int, end: int, new: bytes) -> int:
         """Bytes ``start`` to ``end`` become ``new``; returns how many prefixes were computed again."""
-        old, tail = self.last, self.piece[end:]
-        piece = self.piece[:start] + new + tail
+        old, had = self.last, len(self.piece)
+        self.piece = self.piece[:start] + new + self.piece[end:]
         self.last = old[: start + 1]
-        shift, same, done = len(piece) - len(self.piece), 0, 0
-        for at in range(start + 1, len(piece) + 1):
-            token = self._last_at(piece, at)
-            self.last.append(token)
-            done += 1
+        shift, same = len(self.piece) - had, 0
+        for at in range(start + 1, len(self.piece) + 1):
+            self._fill(at, at + 1)
             # Where the tables have agreed over the longest token's length within equal bytes, they agree for good.
-            same = same + 1 if at > start + len(new) and old[at - shift] == token else 0
+            same = same + 1 if at > start + len(new) and old[at - shift] == self.last[at] else 0
             if same >= self.vocabulary.longest:
                 self.last += old[at - shift + 1 :]
-                break
-        self.piece = piece
-        return done
+                return at - start
+        return len(self.piece) - start
 
     def tokens(self) -> list[int]:
         """The piece's encoding, read backwards from its last token."""
@@ -176,22 +196,45 @@ class Prefixes:
 
 
 class _Memory(dict):
-    """Piece to its tokens; starts anew when full."""
+    """Piece to its tokens. When full, it becomes the old half, of which only what is asked for again is kept."""
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         super().__init__()
         self.vocabulary = vocabulary
+        self.old: dict[str, tuple[int, ...]] = {}
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
-        if len(self) >= MOST_PIECES:
-            self.clear()
-        raw = piece.encode()
-        whole = self.vocabulary.ranks.get(raw)
-        out = (whole,) if whole is not None else tuple(Prefixes(self.vocabulary, raw).tokens())
-        if len(raw) <= 64:
+        out = self.old.get(piece)
+        if out is None:
+            raw = piece.encode()
+            whole = self.vocabulary.ranks.get(raw)
+            out = (whole,) if whole is not None else tuple(Prefixes(self.vocabulary, raw).tokens())
+        return self._keep(piece, out)
+
+    def _keep(self, piece: str, out: tuple[int, ...]) -> tuple[int, ...]:
+        if len(piece) <= LONGEST_KEPT:
+            if len(self) >= MOST_PIECES:
+                self.old = dict(self)
+                self.clear()
             self[piece] = out
         return out
 
+    def learn(self, pieces: Iterable[str]) -> None:
+        """Encode what is not known yet, in byte order: one table serves all, of each piece only what its forerunner lacks is filled in."""
+        fresh = [p for p in set(pieces) if p not in self and p not in self.old and len(p) <= LONGEST_KEPT]
+        table, ranks = Prefixes(self.vocabulary), self.vocabulary.ranks
+        for raw, piece in sorted((p.encode(), p) for p in fresh):
+            whole = ranks.get(raw)
+            if whole is None:
+                had, common = table.piece, 0
+                for a, b in zip(had, raw, strict=False):
+                    if a != b:
+                        break
+                    common += 1
+                table.cut(common)
+                table.append(raw[common:])
+            self._keep(piece, (whole,) if whole is not None else tuple(table.tokens()))
+
 
 class Coder:
     """Encodes and decodes texts by a rank table and a splitting pattern."""
@@ -224,6 +267,23 @@ class Coder:
         take = self._memory.__getitem__
         return [t for found in self.pieces(text) for t in chain.from_iterable(map(take, found))]
 
+    def encode_all(self, texts: Iterable[str]) -> Iterator[list[int]]:
+        """The encodings of many texts; what is new in a group of texts is encoded in order, so that pieces share their prefixes' tables."""
+        group: list[str] = []
+        for text in texts:
+            group.append(text)
+            if len(text) > WINDOW or sum(map(len, group)) >= WINDOW:
+                yield from self._group(group)
+                group = []
+        yield from self._group(group)
+
+    def _group(self, texts: list[str]) -> Iterator[list[int]]:
+        split = [[] if len(t) > WINDOW else [p for found in self.pieces(t) for p in found] for t in texts]
+        self._memory.learn(chain.from_iterable(split))
+        take = self._memory.__getitem__
+        for text, found in zip(texts, split, strict=True):
+            yield self.encode(text) if len(text) > WINDOW else list(chain.from_iterable(map(take, found)))
+
     def decode(self, ids: list[int]) -> bytes:
         try:
             return b"".join(map(self.vocabulary.bytes_of.__getitem__, ids))
@@ -320,7 +380,7 @@ def encode(docs: DataFrame, keep: list[str], text: str = "text", path: str | Non
     shared = docs.sparkSession.sparkContext.broadcast(coder(path, pattern))
 
     def run(texts: list[bytes | None]) -> dict[str, list]:
-        return {"ids": [shared.value.encode((t or b"").decode()) for t in texts]}
+        return {"ids": list(shared.value.encode_all((t or b"").decode() for t in texts))}
 
     return map_texts(docs, [c for c in keep if c.lower() != "ids"], text, run, "ids array<int>")
 
@@ -373,8 +433,7 @@ def digests(docs: DataFrame, keep: list[str], text: str = "text", path: str | No
         if not names:
             names.update({i: str(i) for i in machine.vocabulary.bytes_of})
         got: dict[str, list] = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
-        for t in texts:
-            ids = machine.encode((t or b"").decode())
+        for ids in machine.encode_all((t or b"").decode() for t in texts):
             got["n_tokens"].append(len(ids))
             got["ids_sha256"].append(hashlib.sha256(" ".join(map(names.__getitem__, ids)).encode()).hexdigest())
             got["decoded_sha256"].append(hashlib.sha256(machine.decode(ids)).hexdigest())
