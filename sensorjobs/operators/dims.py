@@ -134,35 +134,78 @@ def weather_station_list(stations: DataFrame, region_map: DataFrame) -> DataFram
     return rows.select("id", "code", "name", "latitude", "longitude", surrogate_key(F.col("region_code")).alias("region_id"))
 
 
-def nearest_station(points: DataFrame, stations: DataFrame, cell: float, last_cell: float = 360.0, salts: int = 64) -> DataFrame:
+#: Stations of a cell that is not split; bits of a cell number; bits that one round descends.
+CELL_STATIONS, CELL_BITS, CELL_STEP = 16, 30, 2
+
+
+def _position(column: str, low: float, width: float) -> Column:
+    """The finest cell number of a coordinate."""
+    most = (1 << CELL_BITS) - 1
+    return F.greatest(F.lit(0), F.least(F.lit(most), F.floor((F.col(column) - low) / width * (most + 1)))).cast("bigint")
+
+
+def quad_cells(stations: DataFrame, step: int = CELL_STEP) -> DataFrame:
+    """The cells of a quad tree over placed stations (``sx``, ``sy``: finest cell numbers), every ``step`` levels.
+
+    (``level``, ``x``, ``y``): how many stations a cell holds, and the box around them.
+    """
+    levels = F.explode(F.array(*[F.struct(F.lit(b).alias("level"), F.expr(f"sx >> {CELL_BITS - b}").alias("x"), F.expr(f"sy >> {CELL_BITS - b}").alias("y")) for b in range(0, CELL_BITS + 1, step)]))
+    edges = [F.min("slat").alias("lat0"), F.max("slat").alias("lat1"), F.min("slon").alias("lon0"), F.max("slon").alias("lon1")]
+    return stations.select("slat", "slon", levels.alias("c")).groupBy("c.level", "c.x", "c.y").agg(F.count(F.lit(1)).alias("n"), *edges)
+
+
+def nearest_station(points: DataFrame, stations: DataFrame, most: int = CELL_STATIONS) -> DataFrame:
     """The nearest station (squared degrees, ties by code) of every point, left.
 
-    ``points``: id, lat, lon; ``stations``: code, slat, slon. A grid of ``cell`` degrees answers every
-    point that has a station within one cell's width in its own or the eight neighbouring cells; for the
-    others the cells grow until all are answered. Each round is written, so plans stay small. Points that
-    no grid below ``last_cell`` answers meet all stations in ``salts`` parts, and the parts' nearest ones are compared.
+    ``points``: id (unique), lat, lon; ``stations``: code, slat, slon. Branch and bound over a quad tree of the stations: a point
+    goes down from the root; of the cells it holds, those that lie farther away than some cell's farthest corner are left out.
+    Cells of at most ``most`` stations are not split, so a point meets a few times ``most`` stations
+    however unevenly they lie. Each round is written and the plans stay small. Cells are joined by their place; the few cells
+    of the upper levels are sent to all tasks.
     """
-    d = (F.col("lat") - F.col("slat")) * (F.col("lat") - F.col("slat")) + (F.col("lon") - F.col("slon")) * (F.col("lon") - F.col("slon"))
-
-    def best_of(pairs: DataFrame) -> DataFrame:
-        best = pairs.filter(d.isNotNull()).groupBy("id").agg(F.min(F.struct(d.alias("d"), F.col("code").alias("code"))).alias("b"))
-        return best.select("id", F.col("b.code").alias("nearest_code"), F.col("b.d").alias("distance2"))
-
-    left, rounds = points, []
-    while cell < last_cell and not left.isEmpty():
-        at = lambda c: F.floor(F.col(c) / cell)  # noqa: B023, E731
-        ring = F.explode(F.array(*[F.struct((at("lat") + i).alias("x"), (at("lon") + j).alias("y")) for i in (-1, 0, 1) for j in (-1, 0, 1)]))
-        near = left.withColumn("g", ring).join(stations.select("*", F.struct(at("slat").alias("x"), at("slon").alias("y")).alias("g")), "g")
-        rounds.append(stored(best_of(near).filter(F.col("distance2") <= cell * cell), "nearest"))
-        left = stored(left.join(rounds[-1].select("id"), "id", "left_anti"), "nearest-left")
-        cell *= 8
-    if not left.isEmpty():
-        parts = stations.withColumn("g", F.pmod(F.xxhash64("code"), F.lit(salts)))
-        found = best_of(left.withColumn("g", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))).join(parts, "g"))
-        rounds.append(left.select("id").join(found, "id", "left"))
-    if not rounds:
+    square = lambda c: c * c
+    known = stations.filter("slat IS NOT NULL AND slon IS NOT NULL AND NOT isnan(slat) AND NOT isnan(slon)").groupBy("slat", "slon").agg(F.min("code").alias("code"))
+    low = known.agg(F.min("slat"), F.min("slon"), F.max("slat"), F.max("slon")).first()
+    placed = points.filter("lat IS NOT NULL AND lon IS NOT NULL AND NOT isnan(lat) AND NOT isnan(lon)")
+    if low[0] is None:
         return points.select("id", F.lit(None).cast("string").alias("nearest_code"), F.lit(None).cast("double").alias("distance2"))
-    return reduce(DataFrame.unionByName, rounds)
+    width = max(low[2] - low[0], low[3] - low[1]) or 1.0
+    where = stored(known.withColumns({"sx": _position("slat", low[0], width), "sy": _position("slon", low[1], width)}), "nearest-stations")
+    cells = stored(quad_cells(where), "nearest-cells")
+
+    def outside(c: str, a: str, b: str) -> Column:
+        return F.greatest(F.col(a) - F.col(c), F.col(c) - F.col(b), F.lit(0.0))
+
+    def farthest(c: str, a: str, b: str) -> Column:
+        return F.greatest(F.abs(F.col(a) - F.col(c)), F.abs(F.col(b) - F.col(c)))
+
+    near, far = (square(f("lat", "lat0", "lat1")) + square(f("lon", "lon0", "lon1")) for f in (outside, farthest))
+    held, ends = placed.select("id", "lat", "lon", F.lit(0).cast("bigint").alias("x"), F.lit(0).cast("bigint").alias("y"), F.lit(float("inf")).alias("reach")), []
+    for level in range(0, CELL_BITS + 1, CELL_STEP):
+        own = cells.filter(F.col("level") == level).drop("level")
+        if level:
+            parents = own.select("*", F.expr(f"x >> {CELL_STEP}").alias("px"), F.expr(f"y >> {CELL_STEP}").alias("py"))
+        else:
+            parents = own.select("*", F.col("x").alias("px"), F.col("y").alias("py"))
+        # At most 4^6 cells.
+        side = F.broadcast(parents) if level <= 6 else parents
+        met = held.withColumnsRenamed({"x": "px", "y": "py"}).join(side, ["px", "py"]).withColumns({"near": near, "far": far})
+        met = met.withColumn("reach", F.least("reach", F.min("far").over(Window.partitionBy("id")))).filter("near <= reach")
+        met = stored(met.select("id", "lat", "lon", "x", "y", "n", "near", "reach"), "nearest-round")
+        split = (F.col("n") > most) & F.lit(level + CELL_STEP <= CELL_BITS)
+        ends.append(met.filter(~split).select("*", F.lit(level).alias("level")))
+        held = met.filter(split).select("id", "lat", "lon", "x", "y", "reach")
+        if held.isEmpty():
+            break
+    last = reduce(DataFrame.unionByName, ends)
+    last = last.withColumn("reach", F.min("reach").over(Window.partitionBy("id"))).filter("near <= reach")
+    used = sorted({level for level in range(0, len(ends) * CELL_STEP, CELL_STEP)})
+    at = F.explode(F.array(*[F.struct(F.lit(b).alias("level"), F.expr(f"sx >> {CELL_BITS - b}").alias("x"), F.expr(f"sy >> {CELL_BITS - b}").alias("y")) for b in used]))
+    leaves = cells.filter((F.col("n") <= most) | (F.col("level") == used[-1])).select("level", "x", "y")
+    inside = where.select("code", "slat", "slon", at.alias("c")).select("code", "slat", "slon", "c.*").join(leaves, ["level", "x", "y"], "left_semi")
+    d = square(F.col("lat") - F.col("slat")) + square(F.col("lon") - F.col("slon"))
+    best = last.join(inside, ["level", "x", "y"]).groupBy("id").agg(F.min(F.struct(d.alias("d"), "code")).alias("b"))
+    return points.select("id").join(best, "id", "left").select("id", F.col("b.code").alias("nearest_code"), F.col("b.d").alias("distance2"))
 
 
 def anti_join_missing(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

@@ -43,11 +43,24 @@ def disjoint_factors(factors: DataFrame) -> DataFrame:
     return held.groupBy("station_code", "a", "b").agg(F.max_by("factor", F.struct("s", "factor")).alias("factor")).select("station_code", F.col("a").alias("starts"), F.col("b").alias("ends"), "factor")
 
 
+def factors_by_day(factors: DataFrame, days: DataFrame) -> DataFrame:
+    """``disjoint_factors`` with a row for each ``day`` that an interval touches, between the first and last of ``days`` (one row)."""
+    cut = disjoint_factors(factors).crossJoin(days)
+    first, last = F.greatest(F.to_date("starts"), F.col("first_day")), F.least(F.to_date("ends"), F.col("last_day"))
+    return cut.filter(first <= last).select("station_code", "starts", "ends", "factor", F.explode(F.sequence(first, last)).alias("day"))
+
+
 def calibration_asof(rows: DataFrame, factors: DataFrame, time: str = "hour") -> DataFrame:
-    """``factor`` of the interval that holds at the row's time, latest start first; null without one."""
-    cut = disjoint_factors(factors).withColumnRenamed("station_code", "__s")
-    on = (F.col("station_code") == F.col("__s")) & (F.col("starts") <= F.col(time)) & (F.col(time) < F.col("ends"))
-    return rows.join(cut, on, "left").drop("__s", "starts", "ends")
+    """``factor`` of the interval that holds at the row's time, latest start first; null without one.
+
+    The join is on station and day: a station with much data is spread over its days, and a row meets only the
+    intervals of its day.
+    """
+    day = F.to_date(time)
+    days = rows.agg(F.min(day).alias("first_day"), F.max(day).alias("last_day"))
+    cut = factors_by_day(factors, days).withColumnsRenamed({"station_code": "__s", "day": "__d"})
+    on = (F.col("station_code") == F.col("__s")) & (day == F.col("__d")) & (F.col("starts") <= F.col(time)) & (F.col(time) < F.col("ends"))
+    return rows.join(cut, on, "left").drop("__s", "__d", "starts", "ends")
 
 
 def calibrate_pm(rows: DataFrame, factors: DataFrame, columns: tuple[str, ...] = ("pm1", "pm2_5", "pm10"), time: str = "hour") -> DataFrame:

@@ -234,7 +234,7 @@ def calibration_asof(spark: SparkSession, d: str) -> DataFrame:
 def nearest_station(spark: SparkSession, d: str) -> DataFrame:
     p = views.table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.round(F.col("embedding")[0].cast("double"), 6).alias("lat"), F.round(F.col("embedding")[1].cast("double"), 6).alias("lon"), "label")
     s = p.filter("label < 3").select(F.concat(F.lit("v"), F.col("id").cast("string")).alias("code"), F.col("lat").alias("slat"), F.col("lon").alias("slon"))
-    out = dims.nearest_station(p.filter("label >= 3").select("id", "lat", "lon"), s, 0.05)
+    out = dims.nearest_station(p.filter("label >= 3").select("id", "lat", "lon"), s)
     return out.select("id", "nearest_code", r("distance2").alias("distance2"))
 
 

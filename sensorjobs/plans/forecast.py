@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
+from functools import partial
 from time import time as time_of_day
 from typing import Any
 
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from sensorjobs.functions.columns import surrogate_key
 from sensorjobs.operators.silver import dedupe_latest
+from sensorjobs.plans.scoring import Model, Saved, Scorer, drift, persistence, windows  # noqa: F401  (models for tests and baselines)
 from sensorjobs.sources.io import stored, upsert_keep_columns
 
 MIN_POINTS = 18
@@ -21,8 +23,6 @@ WINDOW_HOURS = 24
 HORIZONS = (6, 12)
 POINT = "struct<ts:timestamp,yhat:double,yhat_lower:double,yhat_upper:double>"
 
-Model = Callable[[pd.DataFrame, int], Any]
-
 
 def station_window(features: DataFrame, as_of: Column, hours: int = WINDOW_HOURS, time: str = "date_utc") -> DataFrame:
     """Rows in (as_of - hours, as_of], of all stations at once."""
@@ -88,7 +88,7 @@ def _number(x: Any) -> float | None:
 def normalize_points(raw: Any, last: datetime, horizon: int) -> list[dict[str, Any]]:
     """What a model returned, as points (ts, yhat, yhat_lower, yhat_upper).
 
-    A series or frame brings its times; a list counts hours from the last one; a dict may hold points
+    A series (also one that a forecasting library wraps and gives by ``pd_series()``) or frame brings its times; a list counts hours from the last one; a dict may hold points
     or one value; a scalar stands at the horizon. Unreadable values are null.
     """
 
@@ -102,6 +102,8 @@ def normalize_points(raw: Any, last: datetime, horizon: int) -> list[dict[str, A
         given = next((item[k] for k in ("ts", "date_utc", "timestamp") if item.get(k) is not None), ts)
         return point(given, item.get("yhat"), item.get("yhat_lower"), item.get("yhat_upper"))
 
+    if callable(getattr(raw, "pd_series", None)):
+        raw = raw.pd_series()
     match raw:
         case pd.Series():
             return [point(t, round(v, 0)) for t, v in raw.items()]
@@ -119,38 +121,34 @@ def normalize_points(raw: Any, last: datetime, horizon: int) -> list[dict[str, A
             return [point(last + timedelta(hours=horizon), raw)]
 
 
-def persistence(frame: pd.DataFrame, horizon: int, column: str = "aqi_pm2_5") -> list[float]:
-    """A model for tests and baselines: the last value for every hour."""
-    return [float(frame[column].iloc[-1])] * horizon
+#: Seconds that a model has for one station and horizon, and how often a station is tried.
+DEADLINE, ATTEMPTS = 60.0, 2
 
 
-def drift(frame: pd.DataFrame, horizon: int, column: str = "aqi_pm2_5") -> list[float]:
-    """A model for tests and baselines: the line through the window's first and last value."""
-    y = frame[column].astype(float)
-    slope = (y.iloc[-1] - y.iloc[0]) / max(1, len(y) - 1)
-    return [float(y.iloc[-1] + slope * (k + 1)) for k in range(horizon)]
+def _points(raw: Any, frame: pd.DataFrame, horizon: int, time: str) -> list[dict[str, Any]]:
+    return normalize_points(raw, frame[time].iloc[-1].to_pydatetime(), horizon)
 
 
-def predict_window(frame: DataFrame, model: Model, horizons: Sequence[int] = HORIZONS, time: str = "date_utc") -> DataFrame:
+def predict_window(frame: DataFrame, model: Model | Saved, horizons: Sequence[int] = HORIZONS, time: str = "date_utc", deadline: float = DEADLINE, attempts: int = ATTEMPTS) -> DataFrame:
     """(``station_id``, ``horizon``, ``points``, ``error``, ``seconds``): the model's points for every station's prepared window.
 
-    One group is one station's window, bounded by its hours. A station's exception becomes its error.
+    Stations are dealt to tasks and come sorted; a task holds one station's window, which its hours bound, and asks a model that is
+    made once for the task. A station's exception, a call over the deadline, or a model that ends its process becomes the
+    station's error; the others go on.
     """
 
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(time).reset_index(drop=True)
-        last = rows[time].iloc[-1].to_pydatetime()
-        out = []
-        for h in horizons:
-            began, points, error = time_of_day(), None, None
-            try:
-                points = normalize_points(model(rows, h), last, h)
-            except Exception as e:  # a station never fails the run
-                error = str(e)[:500]
-            out.append((key[0], h, points, error, time_of_day() - began))
-        return pd.DataFrame(out, columns=["station_id", "horizon", "points", "error", "seconds"])
+    def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        with Scorer(model, partial(_points, time=time), deadline, attempts) as scorer:
+            for rows in windows(batches, "station_id"):
+                out = []
+                for h in horizons:
+                    began = time_of_day()
+                    points, error = scorer.ask(rows, h)
+                    out.append((rows["station_id"].iloc[0], h, points, error, time_of_day() - began))
+                yield pd.DataFrame(out, columns=["station_id", "horizon", "points", "error", "seconds"])
 
-    return frame.groupBy("station_id").applyInPandas(run, f"station_id bigint, horizon int, points array<{POINT}>, error string, seconds double")
+    dealt = frame.repartition("station_id").sortWithinPartitions("station_id", time)
+    return dealt.mapInPandas(run, f"station_id bigint, horizon int, points array<{POINT}>, error string, seconds double")
 
 
 def storage_points(points: Column) -> Column:
@@ -213,7 +211,7 @@ def run_summary(status: DataFrame, run: Run, ended_at: Column) -> DataFrame:
     )
 
 
-def forecast_run(features: DataFrame, model: Model, run: Run, required: Sequence[str], at: Column) -> tuple[DataFrame, DataFrame, DataFrame]:
+def forecast_run(features: DataFrame, model: Model | Saved, run: Run, required: Sequence[str], at: Column) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Results (forecast_6h, forecast_12h, aqi_input), station status and run header, all as of the time ``at``.
 
     The window and the predictions are written once; gates, results and status read them.

@@ -176,8 +176,8 @@ def test_rolling_by_day_equals_plain(spark, sf_dir):
 def test_nearest_station_without_any(spark):
     p = spark.createDataFrame([(1, 0.0, 0.0), (2, 80.0, 170.0)], "id bigint, lat double, lon double")
     s = spark.createDataFrame([("a", 0.1, 0.1), ("b", -0.1, -0.1), ("c", 50.0, 100.0)], "code string, slat double, slon double")
-    assert {(r.id, r.nearest_code) for r in dims.nearest_station(p, s, 0.5).collect()} == {(1, "a"), (2, "c")}
-    assert {(r.id, r.nearest_code) for r in dims.nearest_station(p, s.filter("code = 'z'"), 0.5).collect()} == {(1, None), (2, None)}
+    assert {(r.id, r.nearest_code) for r in dims.nearest_station(p, s).collect()} == {(1, "a"), (2, "c")}
+    assert {(r.id, r.nearest_code) for r in dims.nearest_station(p, s.filter("code = 'z'")).collect()} == {(1, None), (2, None)}
 
 
 def test_aqi_rounds_half_even_on_exact_halves(spark):
