@@ -57,6 +57,54 @@ def check_all(*checks: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, checks)
 
 
+def check_table(df: DataFrame, not_null: Sequence[str] = (), accepted: Mapping[str, Sequence] | None = None, expressions: Mapping[str, Column] | None = None, unique: Sequence[Sequence[str]] = (), relationships: Mapping[str, tuple[DataFrame, str]] | None = None) -> DataFrame:
+    """All checks of a table in one scan and one shuffle: the rows that the functions above give one by one.
+
+    A row of the table becomes one row for each condition that it fails, and one for each key that is checked (``unique``: lists of
+    columns; ``relationships``: column to (parent, its column)); all are grouped by check and key, so they are summed before
+    they move and a frequent key is no large group. Keys are compared as text. Parents are read once for each relationship.
+    """
+    checks: list[tuple[str, str]] = []
+    cells: list[Column] = []
+    none = F.lit(None).cast("array<string>")
+
+    def cell(kind: str, subject: str, condition: Column, key: Column) -> None:
+        cells.append(F.when(condition, F.struct(F.lit(len(checks)).alias("at"), key.alias("key"), F.lit(1).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("parents"))))
+        checks.append((kind, subject))
+
+    def texts(columns: Sequence[str]) -> tuple[Column, Column]:
+        return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns]), F.array(*[F.col(c).cast("string") for c in columns])
+
+    for c in not_null:
+        cell("not_null", c, F.col(c).isNull(), none)
+    for c, values in (accepted or {}).items():
+        cell("accepted_values", c, F.col(c).isNotNull() & ~F.col(c).isin(*values), none)
+    for name, condition in (expressions or {}).items():
+        cell("expression", name, ~F.coalesce(condition, F.lit(False)), none)
+    for columns in unique:
+        cell("unique" if len(columns) == 1 else "unique_combination", ",".join(columns), *texts(columns))
+    parents = []
+    for c, (parent, parent_column) in (relationships or {}).items():
+        own = parent.select(F.lit(len(checks)).alias("at"), F.array(F.col(parent_column).cast("string")).alias("key"), F.lit(0).cast("bigint").alias("n"), F.lit(1).cast("bigint").alias("parents"))
+        parents.append(own.filter(F.col("key")[0].isNotNull()))
+        cell("relationship", c, *texts([c]))
+    rows = df.select(F.explode(F.filter(F.array(*cells), lambda x: x.isNotNull())).alias("x")).select("x.*")
+    groups = reduce(DataFrame.unionByName, parents, rows).groupBy("at", "key").agg(F.sum("n").alias("n"), F.sum("parents").alias("parents"))
+
+    def failures(at: int, kind: str) -> Column:
+        if kind.startswith("unique"):
+            bad = F.when(F.col("n") > 1, F.lit(1))
+        elif kind == "relationship":
+            bad = F.when(F.col("parents") == 0, F.col("n"))
+        else:
+            bad = F.col("n")
+        return F.coalesce(F.sum(F.when(F.col("at") == at, bad)), F.lit(0)).cast("bigint").alias(str(at))
+
+    totals = groups.agg(*[failures(k, kind) for k, (kind, _) in enumerate(checks)])
+    out = [F.struct(F.lit(kind).alias("check_kind"), F.lit(subject).alias("subject"), F.col(str(k)).alias("failures")) for k, (kind, subject) in enumerate(checks)]
+    return totals.select(F.explode(F.array(*out)).alias("x")).select("x.*")
+
+
 RESULT_SCHEMA = "struct<results:array<struct<unique_id:string,status:string,message:string>>>"
 
 

@@ -10,7 +10,7 @@ from sensorjobs.functions import columns as fn
 from sensorjobs.operators import gold, staging
 from sensorjobs.plans import base
 from sensorjobs.plans.base import FACT, H, M, query, r, rd, scratch, stamp, ts
-from sensorjobs.sources import io
+from sensorjobs.sources import io, versioned
 
 NAMES = ("region", "nation", "supplier", "customer", "part", "orders", "lineitem", "events")
 
@@ -112,6 +112,30 @@ def write_partitions(spark: SparkSession, d: str) -> DataFrame:
     return io.read_table(spark, path).select("station_code", "variable_code", stamp("hour").alias("hour"), "value_avg")
 
 
+@query("merge_into", "SELECT o_orderkey, date_trunc('month', o_orderdate)::DATE AS o_month, CASE WHEN o_orderdate >= TIMESTAMP '1997-06-01' AND o_orderdate < TIMESTAMP '1997-09-01' AND o_orderstatus <> 'O' THEN 2 ELSE 1 END * o_totalprice AS o_totalprice FROM orders")
+def merge_into(spark: SparkSession, d: str) -> DataFrame:
+    """Orders stored by month; a batch changes finished orders of a summer and adds those that were missing in it."""
+    path = scratch(spark, "merge")
+    rows = views.table(spark, d, "orders").withColumn("o_month", F.trunc("o_orderdate", "month"))
+    summer = (F.col("o_orderdate") >= F.lit("1997-06-01").cast("timestamp")) & (F.col("o_orderdate") < F.lit("1997-09-01").cast("timestamp"))
+    done = summer & (F.col("o_orderstatus") != "O")
+    columns = ["o_orderkey", "o_totalprice", "o_month"]
+    io.full_rebuild(rows.filter(~(done & (F.col("o_orderstatus") == "P"))).select(*columns), path, ["o_month"])
+    io.merge_into(path, rows.filter(done).withColumn("o_totalprice", F.col("o_totalprice") * 2).select(*columns), ["o_orderkey"])
+    return io.read_table(spark, path).select(*columns)
+
+
+@query("read_since", f"WITH {M}, w AS (SELECT max(ext) AS x FROM m WHERE ext < TIMESTAMP '2024-01-15') SELECT event_id AS source_row_id, station_code, {ts('ext')} AS extracted_at FROM m WHERE ext >= (SELECT coalesce(x, TIMESTAMP '1970-01-01') FROM w)")
+def read_since(spark: SparkSession, d: str) -> DataFrame:
+    """The watermark is published, loaded by another session, and prunes the days of extraction."""
+    path, state = scratch(spark, "raw"), scratch(spark, "marks")
+    rows = views.measurements(spark, d)
+    rows.withColumn("extracted_day", F.to_date("extracted_at")).write.partitionBy("extracted_day").parquet(path)
+    versioned.publish(spark, state, {"marks": {"net": io.newest(rows.filter(F.col("extracted_at") < F.lit("2024-01-15").cast("timestamp")))}})
+    mark = versioned.load(spark.newSession(), state)["marks"]["net"]
+    return io.read_since(spark.read.parquet(path), mark).select("source_row_id", "station_code", stamp("extracted_at").alias("extracted_at"))
+
+
 @query("payload_store", "SELECT 'supplier' AS data_source_name, s_suppkey AS source_row_id, CAST(to_json({'s_suppkey': s_suppkey, 's_name': s_name, 's_nationkey': s_nationkey, 'note': CASE WHEN s_suppkey % 2 = 0 THEN 'even' END}) AS VARCHAR) AS raw_payload FROM supplier")
 def payload_store(spark: SparkSession, d: str) -> DataFrame:
     raw = views.table(spark, d, "supplier").select("s_suppkey", "s_name", "s_nationkey", F.when(F.col("s_suppkey") % 2 == 0, F.lit("even")).alias("note"))
@@ -130,6 +154,11 @@ def write_json_results(spark: SparkSession, d: str) -> DataFrame:
 # --- staging ---------------------------------------------------------------------------------------
 
 
+def _values(names) -> list:
+    """All values of a staged source as rounded numbers."""
+    return [r(F.col(c).cast("double")).alias(c) for c in names]
+
+
 def raw_cursor(spark: SparkSession, d: str) -> DataFrame:
     """Events as the tagged tables of a cursor source; every eleventh message has an unreadable date."""
     path = scratch(spark, "raw")
@@ -155,10 +184,10 @@ def union_tagged(spark: SparkSession, d: str) -> DataFrame:
     return raw_cursor(spark, d).groupBy(F.col("_source_table").alias("source_table")).agg(F.count(F.lit(1)).alias("n"), F.sum("ID").alias("ids"))
 
 
-@query("stage_cursor_source", f"WITH {RAW} SELECT 'raw-' || event_id AS source_row_id, 'fiuna_' || right(station_code, 1) AS station_code, event_id AS cursor_id, CASE WHEN event_id % 11 = 0 THEN '31-02-2024' ELSE strftime(t, '%d-%m-%Y') END || ' ' || strftime(t, '%H:%M') AS measured_at_raw, {ts('tm')} AS measured_at_parsed, tm IS NOT NULL AS is_measured_at_valid, CASE WHEN variable_code = 'pm25' THEN {rd('v')} END AS pm25 FROM x")
+@query("stage_cursor_source", f"WITH {RAW} SELECT 'raw-' || event_id AS source_row_id, 'fiuna_' || right(station_code, 1) AS station_code, event_id AS cursor_id, CASE WHEN event_id % 11 = 0 THEN '31-02-2024' ELSE strftime(t, '%d-%m-%Y') END || ' ' || strftime(t, '%H:%M') AS measured_at_raw, {ts('tm')} AS measured_at_parsed, tm IS NOT NULL AS is_measured_at_valid, " + ", ".join(f"CASE WHEN variable_code = '{c}' THEN {rd('v')} END AS {c}" for c in staging.CURSOR_VARIABLES) + " FROM x")
 def stage_cursor_source(spark: SparkSession, d: str) -> DataFrame:
     out = staging.stage_cursor_source(raw_cursor(spark, d))
-    return out.select("source_row_id", "station_code", "cursor_id", "measured_at_raw", stamp("measured_at_parsed").alias("measured_at_parsed"), "is_measured_at_valid", r(F.col("pm25").cast("double")).alias("pm25"))
+    return out.select("source_row_id", "station_code", "cursor_id", "measured_at_raw", stamp("measured_at_parsed").alias("measured_at_parsed"), "is_measured_at_valid", *_values(staging.CURSOR_VARIABLES))
 
 
 def raw_geo(spark: SparkSession, d: str) -> DataFrame:
@@ -176,10 +205,10 @@ def raw_geo(spark: SparkSession, d: str) -> DataFrame:
 GEO = M + ", g AS (SELECT *, CASE WHEN event_id % 5 = 0 THEN NULL WHEN event_id % 5 = 1 THEN TIMESTAMP '2001-01-01' ELSE date_trunc('second', t) END AS tm, CASE WHEN event_id % 3 <> 0 THEN -25.0::DOUBLE + CAST(right(station_code, 1) AS INTEGER) END AS lat, CASE WHEN event_id % 2 <> 0 THEN 'roof' END AS des FROM m WHERE variable_code = 'pm10')"
 
 
-@query("stage_geo_source", f"WITH {GEO} SELECT 'geo-' || event_id AS source_row_id, 'airelibre_' || right(station_code, 1) AS station_code, {ts('tm')} AS measured_at_parsed, coalesce(tm >= TIMESTAMP '2018-01-01', false) AS is_measured_at_valid, {rd('v * 2')} AS pm25, lat AS latitude, des AS description, NULL::BIGINT AS cursor_id FROM g")
+@query("stage_geo_source", f"WITH {GEO} SELECT 'geo-' || event_id AS source_row_id, 'airelibre_' || right(station_code, 1) AS station_code, {ts('tm')} AS measured_at_parsed, coalesce(tm >= TIMESTAMP '2018-01-01', false) AS is_measured_at_valid, {rd('v')} AS pm1, {rd('v * 2')} AS pm25, NULL::DOUBLE AS pm10, lat AS latitude, -57.0::DOUBLE AS longitude, des AS description, NULL::BIGINT AS cursor_id FROM g")
 def stage_geo_source(spark: SparkSession, d: str) -> DataFrame:
     out = staging.stage_geo_source(raw_geo(spark, d))
-    return out.select("source_row_id", "station_code", stamp("measured_at_parsed").alias("measured_at_parsed"), "is_measured_at_valid", r(F.col("pm25").cast("double")).alias("pm25"), "latitude", "description", "cursor_id")
+    return out.select("source_row_id", "station_code", stamp("measured_at_parsed").alias("measured_at_parsed"), "is_measured_at_valid", *_values(staging.GEO_VARIABLES), "latitude", "longitude", "description", "cursor_id")
 
 
 def raw_weather(spark: SparkSession, d: str) -> DataFrame:
@@ -191,10 +220,10 @@ def raw_weather(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@query("stage_weather_source", f"WITH {M} SELECT 'met-' || event_id AS source_row_id, 'met_1' AS station_code, CASE WHEN event_id % 4 <> 0 THEN {ts('t')} END AS measured_at_parsed, CASE WHEN event_id % 4 <> 0 THEN t >= TIMESTAMP '2018-01-01' END AS is_measured_at_valid, {rd('v')} AS temperature_c FROM m WHERE variable_code = 'temperature_c'")
+@query("stage_weather_source", f"WITH {M} SELECT 'met-' || event_id AS source_row_id, 'met_1' AS station_code, CASE WHEN event_id % 4 <> 0 THEN {ts('t')} END AS measured_at_parsed, CASE WHEN event_id % 4 <> 0 THEN t >= TIMESTAMP '2018-01-01' END AS is_measured_at_valid, {rd('v')} AS temperature_c, CASE WHEN event_id % 3 = 0 THEN {rd('v / 5')} END AS hum, " + ", ".join(f"NULL::DOUBLE AS {c}" for c in list(staging.WEATHER_VARIABLES)[2:]) + " FROM m WHERE variable_code = 'temperature_c'")
 def stage_weather_source(spark: SparkSession, d: str) -> DataFrame:
     out = staging.stage_weather_source(raw_weather(spark, d), "met_1")
-    return out.select("source_row_id", "station_code", stamp("measured_at_parsed").alias("measured_at_parsed"), "is_measured_at_valid", r(F.col("temperature_c").cast("double")).alias("temperature_c"))
+    return out.select("source_row_id", "station_code", stamp("measured_at_parsed").alias("measured_at_parsed"), "is_measured_at_valid", *_values(staging.WEATHER_VARIABLES))
 
 
 @query("parse_local_timestamp", f"WITH {M} SELECT event_id, CASE WHEN event_id % 11 <> 0 THEN {ts(chr(100) + 'ate_trunc(' + chr(39) + 'minute' + chr(39) + ', t) + INTERVAL 3 HOUR')} END AS measured_at FROM m")

@@ -10,7 +10,7 @@ from sensorjobs.functions import aqi as index
 from sensorjobs.functions import columns as fn
 from sensorjobs.functions.aqi import PM10_PIECES, PM25_PIECES
 from sensorjobs.operators import gold, quality
-from sensorjobs.plans import base, forecast
+from sensorjobs.plans import base, forecast, scoring
 from sensorjobs.sources.io import FEATURE_COLUMNS
 from sensorjobs.plans.base import AS_OF, C, FEAT, H, IDM, M, READ, REG, ROLL, S, ST, V, W, WE, aqi, level, query, r, rd, sk, stamp, ts
 
@@ -220,6 +220,15 @@ def predict_window(spark: SparkSession, d: str) -> DataFrame:
     return out.select("station_id", "horizon", F.explode("points").alias("p")).select("station_id", "horizon", stamp("p.ts").alias("point_at"), "p.yhat")
 
 
+@query("predict_saved_model", f"WITH {WIN}{GRID}, la AS (SELECT station_id, a25 FROM gf WHERE hr = {END}) SELECT station_id, 6 AS horizon, {ts(END + ' + i * INTERVAL 1 HOUR')} AS point_at, {rd('1.5 + 0.5 * a25 + 0.25 * i')} AS yhat FROM la, range(1, 7) t(i)")
+def predict_saved_model(spark: SparkSession, d: str) -> DataFrame:
+    """A linear model, written and read again as text, made once for each process that scores."""
+    path = base.scratch(spark, "model")
+    scoring.save_model(spark, scoring.Saved("linear", {"weights": {"aqi_pm2_5": 0.5}, "intercept": 1.5, "by_hour": 0.25}, "v1"), path)
+    out = forecast.predict_window(filled(spark, d), scoring.read_model(spark, path), (6,))
+    return out.select("station_id", "horizon", F.explode("points").alias("p")).select("station_id", "horizon", stamp("p.ts").alias("point_at"), r("p.yhat").alias("yhat"))
+
+
 @query("normalize_points", f"WITH {WIN}{GRID}, la AS (SELECT station_id, a25 FROM gf WHERE hr = {END}) SELECT station_id, 6 AS horizon, {ts(END + ' + INTERVAL 6 HOUR')} AS point_at, a25 AS yhat, a25 - 1 AS yhat_lower FROM la WHERE station_id % 2 = 0 UNION ALL SELECT station_id, 6, {ts(END + ' + i * INTERVAL 1 HOUR')}, a25 + i, NULL FROM la, range(1, 4) t(i) WHERE station_id % 2 = 1")
 def normalize_points(spark: SparkSession, d: str) -> DataFrame:
     def model(rows, horizon):
@@ -346,6 +355,25 @@ def check_relationship(spark: SparkSession, d: str) -> DataFrame:
     return quality.check_relationship(views.table(spark, d, "lineitem"), "l_orderkey", views.table(spark, d, "orders").filter("o_orderstatus <> 'P'"), "o_orderkey")
 
 
+@query("check_table", """WITH o AS (SELECT *, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_custkey END AS cust FROM orders), c AS (SELECT c_custkey FROM customer WHERE c_nationkey < 20)
+SELECT 'not_null' AS check_kind, 'cust' AS subject, count_if(cust IS NULL)::BIGINT AS failures FROM o
+UNION ALL SELECT 'not_null', 'o_orderkey', count_if(o_orderkey IS NULL)::BIGINT FROM o
+UNION ALL SELECT 'accepted_values', 'o_orderstatus', count_if(o_orderstatus NOT IN ('O', 'P'))::BIGINT FROM o
+UNION ALL SELECT 'expression', 'price', count_if(NOT coalesce(o_totalprice > 1000, false))::BIGINT FROM o
+UNION ALL SELECT 'unique', 'o_orderkey', count(*) FROM (SELECT o_orderkey FROM o GROUP BY 1 HAVING count(*) > 1)
+UNION ALL SELECT 'unique', 'cust', count(*) FROM (SELECT cust FROM o WHERE cust IS NOT NULL GROUP BY 1 HAVING count(*) > 1)
+UNION ALL SELECT 'unique_combination', 'cust,o_orderstatus', count(*) FROM (SELECT cust, o_orderstatus FROM o WHERE cust IS NOT NULL GROUP BY ALL HAVING count(*) > 1)
+UNION ALL SELECT 'relationship', 'cust', count(*) FROM o WHERE cust IS NOT NULL AND cust NOT IN (SELECT c_custkey FROM c)""")
+def check_table(spark: SparkSession, d: str) -> DataFrame:
+    """Eight checks of one table in one scan of it."""
+    orders = views.table(spark, d, "orders").withColumn("cust", F.when(F.col("o_orderstatus") != "P", F.col("o_custkey")))
+    parents = views.table(spark, d, "customer").filter("c_nationkey < 20")
+    return quality.check_table(
+        orders, ["cust", "o_orderkey"], {"o_orderstatus": ["O", "P"]}, {"price": F.col("o_totalprice") > 1000},
+        [["o_orderkey"], ["cust"], ["cust", "o_orderstatus"]], {"cust": (parents, "c_custkey")},
+    )
+
+
 @query("check_accepted_values", "SELECT 'accepted_values' AS check_kind, 'event_type' AS subject, count_if(event_type NOT IN ('click', 'view'))::BIGINT AS failures FROM events")
 def check_accepted_values(spark: SparkSession, d: str) -> DataFrame:
     return quality.check_accepted_values(views.table(spark, d, "events"), {"event_type": ["click", "view"]})
