@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorjobs.llm.common import map_texts, materialize, null_safe_join
-from sensorjobs.llm.quality_ledger import MEASURES, measure
+from sensorjobs.llm.quality_ledger import AZ, MEASURES, az, measure
 
 #: Documents of the labelled sample at most.
 SAMPLE = 20_000
@@ -74,7 +74,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, least_document
     # The sample is bounded, so it can be sent to the documents.
     rows = materialize(docs.select("doc_id", "text").join(F.broadcast(few), "doc_id").withColumn("half", F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(2))), "site-sample")
     toxic, clean = F.col("toxic") == 1, F.col("toxic") != 1
-    words = F.array_distinct(F.split(F.lower(F.coalesce("text", F.lit(""))), "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"))
+    words = F.array_distinct(F.split(F.translate(F.coalesce("text", F.lit("")), AZ, az), "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"))
     learning = rows.filter("half = 0")
     n_bad, n_fine = learning.agg(F.count_if(toxic), F.count_if(clean)).first()
     by_word = learning.select("toxic", F.explode(words).alias("word")).filter("word <> ''").groupBy("word").agg(F.count_if(toxic).alias("bad"), F.count_if(clean).alias("fine"))

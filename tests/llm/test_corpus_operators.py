@@ -78,6 +78,22 @@ def test_hot_group_is_split(spark):
     assert max(counts.values()) < 1.15 * min(counts.values())
 
 
+def test_items_are_bounded_by_rows(spark):
+    """A text of 1.5 % of the rows, more than a bundle holds, is no item of its own; columns may be named like the operator's."""
+    texts = [(k, "same words" if k < 300 else f"text {k}", "x", 1) for k in range(20_000)]
+    df = spark.createDataFrame(texts, "doc_id long, text string, pieces string, first int")
+    dealt = vector_sharding.items(vector_sharding.sized(df), bundle_rows=50).groupBy("__i").count()
+    # 4096 bundles at least, so about five rows in each.
+    assert dealt.agg(F.max("count")).first()[0] <= 25
+    few = vector_sharding.items(vector_sharding.sized(df), bundles=1, bundle_rows=50).groupBy("__i").count()
+    assert few.agg(F.max("count")).first()[0] <= 100
+    rows = vector_sharding.shard(vector_sharding.sized(df), bundle_rows=50).collect()
+    by_shard = {s: sorted(r["slot"] for r in rows if r["shard"] == s) for s in range(16)}
+    assert all(slots == list(range(len(slots))) for slots in by_shard.values())
+    size = [sum(r["size"] for r in rows if r["shard"] == s) for s in range(16)]
+    assert max(size) - min(size) < 0.01 * sum(size)
+
+
 def test_shards_odd_rows(odd, none):  # noqa: F811
     rows = vector_sharding.shard(vector_sharding.sized(odd)).collect()
     assert len(rows) == len(ODD) and {r.size for r in rows if r.doc_id in (1, 2)} == {1}
@@ -348,6 +364,18 @@ def plain_shrinkage(rows):
     return out
 
 
+def test_words_with_capital_umlauts_are_learnt_and_met(spark):
+    rows = [(k, f"ein text mit ÄRSCHE und mehr {k}" if k % 2 else f"ein guter text über {k} dinge", "h", "de") for k in range(400)]
+    docs_ = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    labels = spark.createDataFrame([(k, 1, k % 2) for k in range(400)], "doc_id long, quality int, toxic int")
+    evidence = site_quality.fit(docs_, labels)
+    assert "Ärsche".encode() in evidence.lexicon
+    hits = site_quality.measured(docs_, ["doc_id"], evidence.lexicon).collect()
+    assert all((r["n_insults"] > 0) == bool(r["doc_id"] % 2) for r in hits)
+    got = {r["doc_id"]: r["document_p"] for r in site_quality.classify(docs_, evidence).collect()}
+    assert max(p for k, p in got.items() if k % 2) < min(p for k, p in got.items() if k % 2 == 0)
+
+
 def test_sites_shrink_by_definition(spark):
     rng = np.random.default_rng(4)
     rows = [(h, q, float(np.clip(rng.normal({"good": 0.8, "bad": 0.3, None: 0.5}[h] + 0.1 * (q == "en"), 0.15), 0.01, 0.99))) for h, n in (("good", 60), ("bad", 40), (None, 7)) for q in ("en", "de", None) for _ in range(n)]
