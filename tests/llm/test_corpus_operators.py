@@ -246,11 +246,11 @@ class PlainTree:
     def tested(self, context):
         """Whether the context is one of those that are tested."""
         t = sum(self.counts.get(context, Counter()).values())
-        if not self.frequent(context[-1]):
-            return t >= self.shape.least_context and len(context) <= self.shape.reach and (len(context) == 1 or self.state(context[1:]) is not None)
-        if t < self.shape.limit(self.total) or len(context) > 6:
+        # Contexts of up to ``reach`` words are tested from ``least_context`` tokens on, whatever their last word; longer ones if they are frequent.
+        often = t >= self.shape.limit(self.total) and self.frequent(context[-1])
+        if t < self.shape.least_context or len(context) > (6 if often else self.shape.reach):
             return False
-        return len(context) == 1 or (self.state(context[1:]) is not None and self.tested(context[:-1]))
+        return len(context) == 1 or self.state(context[1:]) is not None
 
     def state(self, context):
         """(probabilities of the stored next words, back-off weight) of a state, None for other contexts."""
@@ -293,6 +293,9 @@ def test_scores_against_plain_tree(spark, reach):
     plain = PlainTree([w for k, w in enumerate(words) if not held(k)], shape)
     kinds = {(plain.frequent(c[-1]), len(c)) for c in plain.counts if c and plain.state(c)}
     assert {(True, 1), (True, 2), (False, 1)} <= kinds and ((False, 2) in kinds) == (reach == 3)
+    # States under a frequent last word that are not frequent themselves.
+    below = [c for c in plain.counts if len(c) > 1 and plain.frequent(c[-1]) and sum(plain.counts[c].values()) < shape.limit(plain.total) and plain.state(c)]
+    assert bool(below) == (reach == 3)
     got = suffix_tree_lm.score(df, "k", "t", shape).collect()
     assert len(got) == len(texts)
     for r in got:
