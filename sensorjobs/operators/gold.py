@@ -54,7 +54,7 @@ def calibration_asof(rows: DataFrame, factors: DataFrame, time: str = "hour") ->
     """``factor`` of the interval that holds at the row's time, latest start first; null without one.
 
     The join is on station and day: a station with much data is spread over its days, and a row meets only the
-    intervals of its day.
+    intervals of its day. ``rows`` are also read for their first and last day, so they should be a written table.
     """
     day = F.to_date(time)
     days = rows.agg(F.min(day).alias("first_day"), F.max(day).alias("last_day"))
@@ -99,18 +99,59 @@ def rolling_24h(rows: DataFrame, time: str = "hour", key: str = "station_code")
     return rows.withColumns({"aqi_pm2_5_max_24h": F.max(v).over(w), "aqi_pm2_5_std_24h": F.stddev_pop(v).over(w), "aqi_pm2_5_skew_24h": _skew(v, w)})
 
 
-def rolling_by_day(rows: DataFrame, time: str = "hour", key: str = "station_code", hours: int = 23) -> DataFrame:
-    """Both rolling groups with a day as part of the partition, for few stations with long histories.
-
-    The last ``hours`` of every day are copied into the next one, so each day has what its windows reach
-    back to; the copies are dropped after. The result is that of the two functions above.
+def _moments(value: Column, w) -> Column:
+    """Of the values of a frame: count, sum, second and third central moments (times the count), least and greatest."""
+    v = value.cast("double")
+    n = F.count(v).over(w)
+    m2 = F.coalesce(F.var_pop(v).over(w) * n, F.lit(0.0))
+    m3 = F.coalesce(F.skewness(v).over(w) * F.pow(m2, F.lit(1.5)) / F.sqrt(F.nullif(n, F.lit(0))), F.lit(0.0))
+    return F.struct(n.alias("n"), F.coalesce(F.sum(v).over(w), F.lit(0.0)).alias("s"), m2.alias("m2"), m3.alias("m3"), F.min(value).over(w).alias("lo"), F.max(value).over(w).alias("hi"))
+
+
+def _merged(rows: DataFrame, a: str, b: str, out: str) -> DataFrame:
+    """``rows`` with the moments of two disjoint frames ``a`` and ``b`` (null: none) in one."""
+    of = lambda c, f: F.coalesce(F.col(f"{c}.{f}"), F.lit(0))
+    na, nb, some = of(a, "n"), of(b, "n"), F.nullif(of(a, "n") + of(b, "n"), F.lit(0))
+    mean = lambda c: F.col(f"{c}.s") / F.nullif(F.col(f"{c}.n"), F.lit(0))
+    rows = rows.withColumn("__d", F.coalesce(mean(b) - mean(a), F.lit(0.0)))
+    d, q = F.col("__d"), F.coalesce(na * nb / some, F.lit(0.0))
+    m2 = of(a, "m2") + of(b, "m2") + d * d * q
+    m3 = of(a, "m3") + of(b, "m3") + F.coalesce(d * d * d * q * (na - nb) / some + 3 * d * (na * of(b, "m2") - nb * of(a, "m2")) / some, F.lit(0.0))
+    both = F.struct((na + nb).alias("n"), (of(a, "s") + of(b, "s")).alias("s"), m2.alias("m2"), m3.alias("m3"), F.least(f"{a}.lo", f"{b}.lo").alias("lo"), F.greatest(f"{a}.hi", f"{b}.hi").alias("hi"))
+    return rows.withColumn(out, both).drop("__d")
+
+
+def _spread(c: str) -> tuple[Column, Column, Column, Column]:
+    """Mean, greatest, population deviation and skewness of moments; a flat frame has deviation 0 and no skewness."""
+    n = F.nullif(F.col(f"{c}.n"), F.lit(0))
+    flat = F.col(f"{c}.lo") == F.col(f"{c}.hi")
+    std = F.when(flat, F.lit(0.0)).when(~flat, F.sqrt(F.col(f"{c}.m2") / n))
+    skew = F.when(~flat, F.sqrt(n) * F.col(f"{c}.m3") / F.nullif(F.pow(f"{c}.m2", F.lit(1.5)), F.lit(0.0)))
+    return F.col(f"{c}.s") / n, F.col(f"{c}.hi"), std, skew
+
+
+def rolling_by_day(rows: DataFrame, time: str = "hour", key: str = "station_code") -> DataFrame:
+    """Both rolling groups with a day as part of the partition, for few stations with long histories. Rows stand at full hours.
+
+    A window is what it covers of its own day and the last hours of the day before. Each day leaves one row with the
+    moments from each of its hours to its end; the next day's rows take theirs from it, and the two parts are merged. No row
+    is copied. ``rows`` are read twice (the second time only the two values), so they should be a written table. The result is that
+    of the two functions above.
     """
-    day = F.to_date(time)
-    late = F.hour(time) >= 24 - hours
-    days = F.when(late, F.array(day, F.date_add(day, 1))).otherwise(F.array(day))
-    spread = rows.withColumn("__day", F.explode(days)).withColumn("__part", F.concat_ws("|", key, "__day"))
-    out = rolling_24h(rolling_6h(spread, time, "__part"), time, "__part")
-    return out.filter(F.col("__day") == day).drop("__day", "__part")
+    own = rows.withColumn("__day", F.to_date(time)).repartition(key, "__day")
+    line = Window.partitionBy(key, "__day").orderBy(F.unix_timestamp(time))
+    rest = line.rangeBetween(0, 24 * HOUR)
+    ends = own.select(key, "__day", F.hour(time).alias("h"), _moments(F.col("pm2_5"), rest).alias("a"), _moments(F.col("aqi_pm2_5"), rest).alias("b"))
+    ends = ends.groupBy(key, "__day").agg(F.sort_array(F.collect_list(F.struct("h", "a", "b"))).alias("__late"))
+    late = ends.select(F.col(key).alias("__key"), F.date_add("__day", 1).alias("__next"), "__late")
+    marked = own.withColumns({"__a": _moments(F.col("pm2_5"), line.rangeBetween(-5 * HOUR, 0)), "__b": _moments(F.col("aqi_pm2_5"), line.rangeBetween(-23 * HOUR, 0))})
+    both = marked.join(late, (F.col(key) == F.col("__key")) & (F.col("__day") == F.col("__next")), "left")
+    since = lambda hours: F.get(F.filter("__late", lambda x: x["h"] > F.hour(time) + (23 - hours)), F.lit(0))
+    both = both.withColumns({"__c": since(5)["a"], "__e": since(23)["b"]})
+    out = _merged(_merged(both, "__a", "__c", "__six"), "__b", "__e", "__all")
+    six, full = _spread("__six"), _spread("__all")
+    names = {f"pm2_5_{n}_6h": c for n, c in zip(("avg", "max", "std", "skew"), six, strict=True)} | {f"aqi_pm2_5_{n}_24h": c for n, c in zip(("max", "std", "skew"), full[1:], strict=True)}
+    return out.select(*rows.columns, *[c.alias(n) for n, c in names.items()])
 
 
 def station_readings(rows: DataFrame, ids: DataFrame) -> DataFrame:

@@ -79,7 +79,7 @@ def wide(spark: SparkSession, d: str) -> DataFrame:
 
 
 def calibrated(spark: SparkSession, d: str) -> DataFrame:
-    return gold.station_hourly_aqi(gold.calibrate_pm(wide(spark, d), views.factors(spark)))
+    return gold.station_hourly_aqi(gold.calibrate_pm(stored(wide(spark, d), "wide"), views.factors(spark)))
 
 
 def station_ids(spark: SparkSession, d: str) -> DataFrame:
@@ -89,7 +89,7 @@ def station_ids(spark: SparkSession, d: str) -> DataFrame:
 
 
 def readings(spark: SparkSession, d: str) -> DataFrame:
-    return gold.station_readings(calibrated(spark, d), station_ids(spark, d))
+    return gold.station_readings(stored(calibrated(spark, d), "hours"), station_ids(spark, d))
 
 
 def region_table(spark: SparkSession, d: str) -> DataFrame:

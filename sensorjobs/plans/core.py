@@ -227,7 +227,7 @@ def feature_join(spark: SparkSession, d: str) -> DataFrame:
 
 @query("calibration_asof", f"WITH {W}, {FA} SELECT station_code, {ts('hr')} AS hour, (SELECT arg_max(fac, s) FROM fa WHERE sc = w.station_code AND s <= w.hr AND (e IS NULL OR w.hr < e)) AS factor FROM w")
 def calibration_asof(spark: SparkSession, d: str) -> DataFrame:
-    return gold.calibration_asof(base.wide(spark, d), views.factors(spark)).select("station_code", stamp("hour").alias("hour"), "factor")
+    return gold.calibration_asof(base.stored(base.wide(spark, d), "wide"), views.factors(spark)).select("station_code", stamp("hour").alias("hour"), "factor")
 
 
 @query("nearest_station", f"WITH p AS (SELECT vec_id AS id, round(embedding[1]::DOUBLE, 6) AS lat, round(embedding[2]::DOUBLE, 6) AS lon, label FROM embeddings), s AS (SELECT 'v' || id AS code, lat AS slat, lon AS slon FROM p WHERE label < 3) SELECT p.id, arg_min(code, (power(lat - slat, 2), code)) AS nearest_code, {rd('min(power(lat - slat, 2) + power(lon - slon, 2))')} AS distance2 FROM p, s WHERE label >= 3 GROUP BY 1".replace("(power(lat - slat, 2), code)", "((lat - slat) * (lat - slat) + (lon - slon) * (lon - slon), code)"))

@@ -74,7 +74,7 @@ def rolling_24h(spark: SparkSession, d: str) -> DataFrame:
 
 @query("rolling_by_day", f"WITH {C}{ROLL} SELECT station_code, {ts('hr')} AS hour, {SIX}, {DAY} FROM rr")
 def rolling_by_day(spark: SparkSession, d: str) -> DataFrame:
-    return gold.rolling_by_day(base.calibrated(spark, d)).select("station_code", stamp("hour").alias("hour"), "aqi_pm2_5_max_24h", *[r(c, k).alias(c) for c, k in SIX_C + DAY_C])
+    return gold.rolling_by_day(base.stored(base.calibrated(spark, d), "hours")).select("station_code", stamp("hour").alias("hour"), "aqi_pm2_5_max_24h", *[r(c, k).alias(c) for c, k in SIX_C + DAY_C])
 
 
 KEY_TIME = "strftime(hr, '%Y-%m-%d %H:%M:%S+00')"
