@@ -3,8 +3,9 @@
 A page is cut at block tags into flat text blocks. Each block has its word count and link density,
 those of the blocks before and after it, and what it stands in: the main part, an element that is
 furniture by its tag, one that is by its name, a heading, a paragraph (also for both neighbours, and as
-a share of the page's unlinked words). A decision tree, trained here by Spark on the small labelled
-table below, keeps or drops each block. Tags and names are features like the others: they decide only where the labelled pages say so.
+a share of the page's unlinked words), whether it stands outside a main part that holds a third of these words, how many of its words are
+those of notices and offers, and whether it follows a heading of reader comments. A decision tree, trained here by Spark on
+the small labelled table below, keeps or drops each block. Tags and names are features like the others: they decide only where the labelled pages say so.
 Blocks join in page order.
 
 Defined results
@@ -61,9 +62,16 @@ FURNITURE_WORDS = frozenset(
 #: Words that, at the end of a name, say that it holds content, and words that negate the one after them.
 CONTENT_WORDS = frozenset("article body content entry page post story text wrapper container layout".split())
 WITHOUT_WORDS = frozenset("with without has no hide show".split())
+#: Words of notices, offers and calls to act, in lower case.
+CUE_WORDS = frozenset(
+    "accept advertisement agree angebot anmelden anzeige buy cart cookie cookies copyright discount follow gratis kaufen newsletter offer offre oferta price privacy publicidad publicité purchase register rights reserved sale share shop sign sponsored subscribe subscription suscríbete terms abonnieren abonnez".split()
+)
+WORD = re.compile(r"[^\W\d_]+")
+#: A heading of reader comments.
+COMMENTS = re.compile(r"\W*(?:\d+\s+|reader\s+|leave\s+a\s+|post\s+a\s+|user\s+)?(?:comments?|repl(?:y|ies)|responses?|kommentare?|commentaires?|comentarios?)\W*(?:\d+\W*)?", re.I)
 NAME_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
-FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "in_main", "tag", "name", "heading", "paragraph", "paragraph_before", "paragraph_after", "paragraph_share")
+FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "in_main", "tag", "name", "heading", "paragraph", "paragraph_before", "paragraph_after", "paragraph_share", "outside", "cues", "comments")
 
 
 def is_furniture(name: str) -> bool:
@@ -203,17 +211,22 @@ def blocks_of(page: str) -> list[tuple[str, tuple[float, ...]]]:
     walked = Page(page)
     found = walked.blocks
     none = ("", 0, 0, False, 0, (), False, False)
-    told = Counter()
+    told, inside = Counter(), 0
     for b in found:
         if not b[6] and 2 * b[2] <= b[1]:
             told[b[7]] += b[1]
+            inside += b[1] * b[3]
+    whole = inside > 0 and 3 * inside >= told.total()
     share = told[True] / max(1, told.total())
-    out = []
+    out, comments = [], False
     for k, b in enumerate(found):
+        if b[6]:
+            comments = COMMENTS.fullmatch(b[0]) is not None
+        cues = sum(w.lower() in CUE_WORDS for w in WORD.findall(b[0])) / b[1]
         before, after = found[k - 1] if k else none, found[k + 1] if k + 1 < len(found) else none
         named = any(n not in walked.layout for n in b[5])
         near = [x for o in (before, after) for x in (float(o[1]), o[2] / max(1, o[1]))]
-        out.append((b[0], (float(b[1]), b[2] / b[1], *near, float(b[3]), float(b[4]), float(named), float(b[6]), float(b[7]), float(before[7]), float(after[7]), share)))
+        out.append((b[0], (float(b[1]), b[2] / b[1], *near, float(b[3]), float(b[4]), float(named), float(b[6]), float(b[7]), float(before[7]), float(after[7]), share, float(whole and not b[3]), cues, float(comments))))
     return out
 
 
@@ -225,8 +238,12 @@ LABELLED_NAMES = ("ad", "promo-box", "sidebar", "comments", "site-footer", "cook
 
 def labelled_page(rng: random.Random) -> str:
     """A page of which every block begins with its label. Only counts, tags and names matter, so all words are the same."""
-    def words(mark: str, low: int, high: int) -> str:
-        return mark + " ".join("w" * rng.randint(low, high))
+    def words(mark: str, low: int, high: int, cues: float = 0.02) -> str:
+        return mark + " ".join("price" if rng.random() < cues else "w" for _ in range(rng.randint(low, high)))
+
+    def notice(low: int, high: int) -> str:
+        """A notice or offer: some of its words say so."""
+        return words(BAD, low, high, 0.3) + " buy"
 
     def linked(mark: str, low: int, high: int) -> str:
         return f"<a href=x>{words(mark, low, high)}</a>"
@@ -248,7 +265,7 @@ def labelled_page(rng: random.Random) -> str:
         if kind == 2:
             return framed(words(BAD, 1, 6), True)
         if kind == 3:
-            return framed(words(BAD, 3, 40), False)
+            return framed(words(BAD, 3, 40), False) if rng.random() < 0.6 else f"<div>{notice(3, 40)}</div>"
         return framed("".join(f"<p>{words(BAD, 2, 40)}</p>" for _ in range(rng.randint(1, 3))), False)
 
     where = rng.choice(("article", "article", "main", "div", "div", "story"))
@@ -266,6 +283,31 @@ def labelled_page(rng: random.Random) -> str:
             text += f"<br>{words(GOOD, 4, 30)}"
         return f"<{style}>{text}</{style}>"
 
+    def part() -> str:
+        """What articles hold besides paragraphs and plain lists."""
+        text, short = words(GOOD, 3, 40), words(GOOD, 1, 8)
+        kind = rng.randrange(10)
+        if kind == 0:
+            return f"<figure><img src=x><figcaption>{words(GOOD, 1, 25)}</figcaption></figure>"
+        if kind == 1:
+            return f"<figcaption>{words(GOOD, 1, 25)}</figcaption>"
+        if kind == 2:
+            return f"<pre>{text}</pre>" if rng.random() < 0.5 else f"<pre><code>{text}</code></pre>"
+        if kind == 3:
+            return f"<details><summary>{short}</summary><p>{text}</p></details>"
+        if kind == 4:
+            return f"<blockquote>{text}</blockquote>" if rng.random() < 0.5 else f"<blockquote><p>{text}</p></blockquote>"
+        if kind == 5:
+            return "<table>" + "".join(f"<tr><td>{words(GOOD, 1, 4)}</td><td>{words(GOOD, 1, 4)}</td></tr>" for _ in range(rng.randint(1, 4))) + "</table>"
+        if kind == 6:
+            tag = rng.choice(("h2", "h3"))
+            return f"<{tag}>{linked(GOOD, 1, 6) if rng.random() < 0.6 else short}</{tag}>"
+        if kind == 7:
+            items = [f"<li>{words(GOOD, 1, 12)}</li>" for _ in range(rng.randint(2, 5))]
+            items[rng.randrange(len(items))] = f"<li>{linked(GOOD, 1, 5)}</li>"
+            return f"<ul>{''.join(items)}</ul>"
+        return f"<div>{words(GOOD, 3, 60, 0.01)}</div>"
+
     n = rng.randint(1, 8)
     inside = [paragraph(k == 0, k == n - 1) for k in range(n)]
     if not known and style == "p" and n == 1:
@@ -275,10 +317,15 @@ def labelled_page(rng: random.Random) -> str:
     if known:
         if rng.random() < 0.3:
             inside.insert(rng.randrange(len(inside) + 1), f"<div class='{rng.choice(LABELLED_NAMES)}'>{words(BAD, 2, 40)}</div>")
-        if rng.random() < 0.2 and style == "p" and n > 2:
-            inside.insert(rng.randrange(1, n), f"<div>{words(BAD, 3, 25)}</div>")
+        if rng.random() < 0.25:
+            inside.insert(rng.randrange(len(inside) + 1), f"<div>{notice(3, 25)}</div>")
+        for _ in range(rng.choice((0, 0, 1, 1, 2))):
+            inside.insert(rng.randrange(len(inside) + 1), part())
         if rng.random() < 0.2:
             inside.append(f"<section class=comments>{''.join(f'<article><p>{words(BAD, 1, 40)}</p></article>' for _ in range(rng.randint(1, 4)))}</section>")
+        if rng.random() < 0.2:
+            tag = rng.choice(("p", "div"))
+            inside.append(f"<h3>{BAD}{rng.choice(('3 Comments', 'Comments', 'Leave a reply'))}</h3>" + "".join(f"<{tag}>{words(BAD, 1, 40)}</{tag}>" for _ in range(rng.randint(1, 4))))
         if rng.random() < 0.2:
             inside.append(f"<footer>{words(BAD, 2, 12)}</footer>")
     if rng.random() < 0.3:
@@ -287,11 +334,14 @@ def labelled_page(rng: random.Random) -> str:
         title = f"<h1>{words(GOOD, 1, 12)}</h1>"
         inside.insert(0, f"<header>{title}</header>" if known and rng.random() < 0.3 else title)
     open_, close = {"div": ("<div>", "</div>"), "story": ("<div class='story-body'>", "</div>")}.get(where, (f"<{where}>", f"</{where}>"))
+    # Where the page names its main part, what stands outside is furniture, whatever it looks like.
+    plain = lambda: rng.choice((f"<div>{words(BAD, 3, 40)}</div>", f"<p>{words(BAD, 2, 40)}</p>")) if known and rng.random() < 0.4 else ""
+    open_, close = plain() + open_, close + plain()
     page = "".join(furniture() for _ in range(rng.randint(0, 4))) + open_ + "".join(inside) + close + "".join(furniture() for _ in range(rng.randint(0, 4)))
     return f"<div class='layout sidebar-{rng.choice(('left', 'right'))}'>{page}</div>" if where == "main" and rng.random() < 0.3 else page
 
 
-def labelled_blocks(pages: int = 400, seed: int = 1) -> list[tuple[float, ...]]:
+def labelled_blocks(pages: int = 800, seed: int = 1) -> list[tuple[float, ...]]:
     """The labelled table: feature rows with their label (1: main text) of the blocks of ``pages`` labelled pages."""
     rng = random.Random(seed)
     found = [b for _ in range(pages) for b in blocks_of(labelled_page(rng))]

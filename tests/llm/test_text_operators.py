@@ -71,6 +71,19 @@ PAGES = [
     ("<article><p>One two three.</p><div class='ad-free-week'>Buy it now for less</div><p>Four five.</p><div class='comments-show'><p>I liked it</p></div></article>", "One two three. Four five."),
     # Furniture without a name.
     (f"<article><p>{LONG}</p><div>Buy the lamp today at half the price</div><p>{LONG}</p><p>Read more: <a href=x>The other story of the year</a>, <a href=y>And one more</a></p></article>", f"{LONG} {LONG}"),
+    # What articles hold besides paragraphs.
+    (f"<article><p>{LONG}</p><figcaption>{LONG}</figcaption><p>{LONG}</p></article>", f"{LONG} {LONG} {LONG}"),
+    (f"<article><p>{LONG}</p><figure><img src=x><figcaption>A boat at night</figcaption></figure><p>{LONG}</p></article>", f"{LONG} A boat at night {LONG}"),
+    (f"<article><p>{LONG}</p><pre>{LONG}</pre><p>{LONG}</p><pre><code>x = f(y) + 1</code></pre></article>", f"{LONG} {LONG} {LONG} x = f(y) + 1"),
+    (f"<article><p>{LONG}</p><div>The boat left at nine and we waved until dark.</div><p>{LONG}</p></article>", f"{LONG} The boat left at nine and we waved until dark. {LONG}"),
+    (f"<article><details><summary>More</summary><p>{LONG}</p></details></article>", f"More {LONG}"),
+    (f"<article><h2><a href=x>Chapter one</a></h2><p>{LONG}</p><h2><a href=y>Chapter two</a></h2><p>{LONG}</p></article>", f"Chapter one {LONG} Chapter two {LONG}"),
+    (f"<article><p>{LONG}</p><ul><li>the first of them</li><li><a href=x>the second</a></li><li>and a third</li></ul><p>{LONG}</p></article>", f"{LONG} the first of them the second and a third {LONG}"),
+    (f"<article><p>{LONG}</p><blockquote><p>{LONG}</p></blockquote><table><tr><td>one</td><td>2</td></tr></table></article>", f"{LONG} {LONG} one 2"),
+    # Plain notices and comments.
+    (f"<div>We use cookies on this site, please accept our terms</div><article><p>{LONG}</p></article><p>Copyright 2024 by the harbour, all rights reserved</p>", LONG),
+    (f"<article><p>{LONG}</p><p>{LONG}</p><h3>3 Comments</h3><p>I was there too and it was cold</p><div>{LONG}</div></article>", f"{LONG} {LONG}"),
+    (f"<main><h1>Snow</h1><p>{LONG}</p></main><h3>Comments</h3><p>I liked it a lot</p><div>So did I, and my dog</div>", f"Snow {LONG}"),
     # Broken markup.
     ("<article><p data-x=it's>First one.</p><p>Second one.</p><p>it's third.</p></article>", "First one. Second one. it's third."),
     ("<article><p>Kept.<button>Press<p>Also kept.</article>", "Kept."),
