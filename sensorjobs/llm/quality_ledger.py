@@ -192,17 +192,28 @@ def ablation(ledger: DataFrame, version: str = CURRENT) -> DataFrame:
     )
 
 
+def stored_ledger(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """The ledger of all documents with the insults that the labels give, written to the shared folder: what reads it reads no text."""
+    return materialize(build_ledger(docs, keep, insults=learned_insults(docs, labels)), "ledger")
+
+
 def ledger_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ledger of all documents under the current policy, with the insults that the labels give."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    insults = learned_insults(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return apply_policy(build_ledger(docs, insults=insults))
+    """The stored ledger of the documents of ``sf_dir``."""
+    return stored_ledger(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def policies(ledger: DataFrame) -> DataFrame:
+    """How many documents each version of the policy keeps, in one pass over the ledger."""
+    kept = lambda version: F.count_if(F.col("fail_mask").bitwiseAND(F.lit(POLICIES[version]).cast("long")) == 0)
+    one = ledger.agg(F.count(F.lit(1)).alias("n"), *[kept(v).alias(v) for v in POLICIES])
+    rows = F.array(*[F.struct(F.lit(v).alias("version"), F.lit(m).cast("long").alias("mask"), F.col(v).alias("n_kept"), (F.col("n") - F.col(v)).alias("n_rejected")) for v, m in POLICIES.items()])
+    return one.select(F.explode(rows).alias("x")).select("x.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op3: the ledger of all documents with the base verdict and the current policy's."""
     base_failed = F.col("fail_mask").bitwiseAND(F.lit(BASE).cast("long")) != 0
-    return ledger_of(spark, sf_dir).select(
+    return apply_policy(ledger_of(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         base_failed.alias("base_failed"), "kept", "fail_mask",
     )
@@ -213,6 +224,11 @@ def ablation_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ablation(ledger_of(spark, sf_dir))
 
 
+def policies_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each version of the policy keeps, from the ledger of all documents."""
+    return policies(ledger_of(spark, sf_dir))
+
+
 def _ledger_sql() -> str:
     """The ledger in DuckDB SQL, on whole texts, as the table ``f``; labels are below the sample's bound at the scale it runs at."""
     words = rf"regexp_extract_all(translate(t, '{AZ}', '{az}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -246,3 +262,6 @@ ABLATION_ORACLE = _ledger_sql() + " UNION ALL ".join(
     f"SELECT {r.bit}::INTEGER AS bit, '{r.name}' AS rule, count(*) FILTER (fail_mask & {1 << r.bit} <> 0)::BIGINT AS n_failed, count(*) FILTER (fail_mask & {POLICIES[CURRENT]} = {1 << r.bit})::BIGINT AS n_failed_alone FROM f"
     for r in RULES if POLICIES[CURRENT] >> r.bit & 1
 )
+POLICIES_ORACLE = _ledger_sql() + " UNION ALL ".join(
+    f"SELECT '{v}' AS version, {m}::BIGINT AS mask, count(*) FILTER (fail_mask & {m} = 0)::BIGINT AS n_kept, count(*) FILTER (fail_mask & {m} <> 0)::BIGINT AS n_rejected FROM f" for v, m in POLICIES.items()
+)

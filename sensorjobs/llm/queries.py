@@ -23,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op12_byte_bpe": byte_bpe.query,
     "op13_spelling_variants": spelling_variants.query,
     "quality_ablation": quality_ledger.ablation_query,
+    "quality_policies": quality_ledger.policies_query,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -31,4 +32,5 @@ ORACLE_SQL: dict[str, str] = {
     "op10_line_dedup": line_dedup.ORACLE,
     "op11_ranked_search": ranked_search.ORACLE,
     "quality_ablation": quality_ledger.ABLATION_ORACLE,
+    "quality_policies": quality_ledger.POLICIES_ORACLE,
 }

@@ -222,6 +222,17 @@ def test_policies_and_ablation(docs, odd, none):
     assert quality_ledger.build_ledger(none).count() == 0
 
 
+def test_policies_read_no_text(spark, sf_dir):
+    """One stored ledger serves every policy and the ablation."""
+    ledger = quality_ledger.ledger_of(spark, sf_dir)
+    for df in (quality_ledger.apply_policy(ledger, "v1"), quality_ledger.apply_policy(ledger, "v2"), quality_ledger.ablation(ledger), quality_ledger.policies(ledger)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "documents.parquet" not in plan and "MapInArrow" not in plan and "text" not in plan
+    got = {r["version"]: (r["n_kept"], r["n_rejected"]) for r in quality_ledger.policies(ledger).collect()}
+    n = ledger.count()
+    assert got == {v: (k := quality_ledger.apply_policy(ledger, v).filter("kept").count(), n - k) for v in quality_ledger.POLICIES}
+
+
 def test_clean_kept_and_junk_rejected(spark):
     data = "/root/testdata/sf0.01"
     judged = quality_ledger.query(spark, data).join(spark.read.parquet(f"{data}/labels.parquet"), "doc_id").filter("NOT base_failed")
