@@ -50,13 +50,17 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
 def bucketed(df: DataFrame, tag: str, column: str) -> DataFrame:
     """Like ``materialize``, as a table in the shared folder bucketed by a column: later joins and groups on it do not move the rows.
 
-    It has as many buckets as shuffles have partitions. Its name stays in the session's catalog.
+    It has as many buckets as shuffles have partitions. Its name leaves the catalog at once; the files stay, the returned frame knows them.
     """
     spark = df.sparkSession
     name = f"{tag}-{uuid.uuid4().hex}".replace("-", "_")
     path = f"{shared_dir(spark).rstrip('/')}/{name}"
     df.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), column).option("path", path).saveAsTable(name)
-    return spark.table(name)
+    out = spark.table(name)
+    out.schema  # resolved now, while the name is known
+    spark.sql(f"DROP TABLE {name}")
+    out._sensorjobs_path = path
+    return out
 
 
 def discard(df: DataFrame) -> None:

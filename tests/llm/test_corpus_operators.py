@@ -323,6 +323,17 @@ def test_what_is_gathered_grows(spark):
         assert np.mean(twice) > np.mean(once) + 0.1 and np.mean([g > np.quantile(once, 0.95) for g in twice]) > 0.9, (np.mean(twice), np.mean(once))
 
 
+def test_bucketed_tables_leave_the_catalog(spark):
+    from sensorjobs.llm.common import bucketed
+
+    before = {t.name for t in spark.catalog.listTables()}
+    df = bucketed(spark.range(1000).withColumn("k", F.col("id") % 7), "some-table", "k")
+    assert {t.name for t in spark.catalog.listTables()} == before
+    grouped = df.groupBy("k").count()
+    assert "Exchange" not in grouped._jdf.queryExecution().executedPlan().toString()
+    assert {r["k"]: r["count"] for r in grouped.collect()} == {k: len(range(k, 1000, 7)) for k in range(7)}
+
+
 def test_scores_odd_rows(odd, none):  # noqa: F811
     rows = suffix_tree_lm.score(odd).collect()
     assert len(rows) == len(ODD) and {r.n_tokens for r in rows if r.doc_id in (1, 2, 3)} == {1}
