@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorjobs import views
@@ -159,21 +159,33 @@ def _values(names) -> list:
     return [r(F.col(c).cast("double")).alias(c) for c in names]
 
 
+def _cursor_columns(events: DataFrame) -> list[Column]:
+    """Events as messages of a cursor source; every eleventh message has an unreadable date."""
+    value = lambda t: F.when(F.col("event_type") == t, F.col("value"))
+    return [
+        F.concat(F.lit("raw-"), F.col("event_id").cast("string")).alias("_airbyte_raw_id"), F.date_trunc("day", "ts").alias("_airbyte_extracted_at"),
+        F.col("event_id").alias("ID"), F.when(F.col("event_id") % 11 == 0, F.lit("31-02-2024")).otherwise(F.date_format("ts", "dd-MM-yyyy")).alias("FECHA"), F.date_format("ts", "HH:mm").alias("HORA"),
+        value("click").alias("MP1"), value("view").alias("MP2_5"), value("purchase").alias("MP10"), value("signup").alias("TEMPERATURA"), value("error").alias("HUMEDAD"),
+        F.lit(None).cast("double").alias("PRESION"), F.lit(None).cast("double").alias("BATERIA"),
+    ]
+
+
 def raw_cursor(spark: SparkSession, d: str) -> DataFrame:
-    """Events as the tagged tables of a cursor source; every eleventh message has an unreadable date."""
+    """All messages of the cursor source, with the name of their station's table."""
+    events = views.table(spark, d, "events")
+    name = F.concat(F.lit("FIUNA_Estacion"), (F.col("user_id") % 10).cast("string"))
+    return events.select(name.alias("_source_table"), *_cursor_columns(events))
+
+
+def cursor_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """The same messages as ten written tables, one a station."""
     path = scratch(spark, "raw")
     views.table(spark, d, "events").withColumn("k", F.col("user_id") % 10).write.partitionBy("k").parquet(path)
     tables = {}
     for k in range(10):
         own = spark.read.parquet(path).filter(F.col("k") == k)
-        value = lambda t: F.when(F.col("event_type") == t, F.col("value"))  # noqa: B023, E731
-        tables[f"FIUNA_Estacion{k}"] = own.select(
-            F.concat(F.lit("raw-"), F.col("event_id").cast("string")).alias("_airbyte_raw_id"), F.date_trunc("day", "ts").alias("_airbyte_extracted_at"),
-            F.col("event_id").alias("ID"), F.when(F.col("event_id") % 11 == 0, F.lit("31-02-2024")).otherwise(F.date_format("ts", "dd-MM-yyyy")).alias("FECHA"), F.date_format("ts", "HH:mm").alias("HORA"),
-            value("click").alias("MP1"), value("view").alias("MP2_5"), value("purchase").alias("MP10"), value("signup").alias("TEMPERATURA"), value("error").alias("HUMEDAD"),
-            F.lit(None).cast("double").alias("PRESION"), F.lit(None).cast("double").alias("BATERIA"),
-        )
-    return staging.union_tagged(tables)
+        tables[f"FIUNA_Estacion{k}"] = own.select(*_cursor_columns(own))
+    return tables
 
 
 RAW = M + ", x AS (SELECT *, CASE WHEN event_id % 11 <> 0 THEN date_trunc('minute', t) + INTERVAL 3 HOUR END AS at FROM m)".replace(" AS at ", " AS tm ")
@@ -181,7 +193,7 @@ RAW = M + ", x AS (SELECT *, CASE WHEN event_id % 11 <> 0 THEN date_trunc('minut
 
 @query("union_tagged", "SELECT 'FIUNA_Estacion' || (user_id % 10) AS source_table, count(*) AS n, sum(event_id)::BIGINT AS ids FROM events GROUP BY 1")
 def union_tagged(spark: SparkSession, d: str) -> DataFrame:
-    return raw_cursor(spark, d).groupBy(F.col("_source_table").alias("source_table")).agg(F.count(F.lit(1)).alias("n"), F.sum("ID").alias("ids"))
+    return staging.union_tagged(cursor_tables(spark, d)).groupBy(F.col("_source_table").alias("source_table")).agg(F.count(F.lit(1)).alias("n"), F.sum("ID").alias("ids"))
 
 
 @query("stage_cursor_source", f"WITH {RAW} SELECT 'raw-' || event_id AS source_row_id, 'fiuna_' || right(station_code, 1) AS station_code, event_id AS cursor_id, CASE WHEN event_id % 11 = 0 THEN '31-02-2024' ELSE strftime(t, '%d-%m-%Y') END || ' ' || strftime(t, '%H:%M') AS measured_at_raw, {ts('tm')} AS measured_at_parsed, tm IS NOT NULL AS is_measured_at_valid, " + ", ".join(f"CASE WHEN variable_code = '{c}' THEN {rd('v')} END AS {c}" for c in staging.CURSOR_VARIABLES) + " FROM x")

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Collection, Mapping, Sequence
 from dataclasses import asdict, dataclass, replace
+from datetime import datetime, timedelta
 from functools import reduce
 from typing import Self
 
@@ -262,30 +263,28 @@ def gold_step(fact: DataFrame, factors: DataFrame, ids: DataFrame, regions: Data
     spark = ids.sparkSession
     folder = state.folder if state is not None else folder or io.scratch(spark, "gold")
     newest = None if state is None else state.marks.get("newest")
-    start = None if newest is None else F.lit(newest).cast("timestamp") - F.expr(f"INTERVAL {days} DAYS")
-    recent = fact if start is None else io.read_since(fact, str(spark.range(1).select(F.date_format(start - F.expr("INTERVAL 23 HOURS"), io.MARK)).first()[0]), "timestamp", "day")
+    start = None if newest is None else datetime.fromisoformat(newest) - timedelta(days=days)
+    first = None if start is None else f"day={start.date()}"
+    recent = fact if start is None else io.read_since(fact, str(start - timedelta(hours=23)), "timestamp", "day")
     fresh = build_gold(recent, factors, ids, regions, weather_regions)
-    tables, first = {}, None if start is None else spark.range(1).select(F.to_date(start).cast("string")).first()[0]
+    tables = {}
     for n, time in MART_TIMES.items():
         own = getattr(fresh, n).withColumn("day", F.to_date(time))
         if start is None:
             tables[n] = versioned.write(own, f"{folder}/{n}", ["day"])
             continue
-        before = state.tables[n]
-        own = stored(own.filter(F.col(time) >= start), "gold-slice")
-        again = {k for k in before.parts if k.split("=")[1] >= first}
-        kept = versioned.read(spark, before, again).filter(F.col(time) < start)
-        tables[n] = versioned.rewrite(before, again | versioned.partitions_of(own, ["day"]), kept.unionByName(own))
+        since = F.lit(str(start)).cast("timestamp")
+        own = stored(own.filter(F.col(time) >= since), "gold-slice")
+        again = {k for k in state.tables[n].parts if k >= first}
+        kept = state.rows(n, again).filter(F.col(time) < since)
+        tables[n] = versioned.rewrite(state.tables[n], again | versioned.partitions_of(own, ["day"]), kept.unionByName(own))
         io.discard(own)
-    mark = io.newest(versioned.read(spark, tables["station_readings"], _last_days(tables["station_readings"], first)), "date_localtime")
+    # The newest hour lies in the last partition.
+    last = max(tables["station_readings"].parts, default=None)
+    mark = io.newest(versioned.read(spark, tables["station_readings"], {last}), "date_localtime")
     return GoldState.publish(spark, folder, {"newest": mark} if mark is not None else {}, tables)
 
 
-def _last_days(version: Version, first: str | None) -> set[str]:
-    """The partitions from a day on."""
-    return {k for k in version.parts if first is None or k.split("=")[1] >= first}
-
-
 def _own(names: Mapping[str, str]) -> dict[str, str]:
     return {v: v for v in names}
 

@@ -20,7 +20,6 @@ from dataclasses import asdict, dataclass, field
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 #: How Spark names the partition of a null.
@@ -171,7 +170,3 @@ def drop_unused(spark: SparkSession, base: str, live: Collection[Version]) -> No
         if str(s.getPath()).rsplit("/", 1)[1] not in named:
             files.delete(s.getPath(), True)
 
-
-def day_of(time: str):
-    """The day of a time, as a partition column."""
-    return F.to_date(time)

@@ -127,7 +127,7 @@ def test_carried_maxima_over_groups_of_blocks(spark):
         assert set(map(tuple, silver.carried(df, per).collect())) == want
 
 
-CUTS = ("2024-01-06", "2024-01-15", "2024-01-16", "2024-01-16", "2100-01-01")
+CUTS = ("2024-01-06", "2024-01-15", "2024-01-15", "2100-01-01")
 
 
 def test_silver_state_in_new_sessions(spark, sf_dir, tmp_path):
