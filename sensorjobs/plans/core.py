@@ -90,10 +90,10 @@ def surrogate_key(spark: SparkSession, d: str) -> DataFrame:
     return views.table(spark, d, "orders").select("o_orderkey", fn.surrogate_key(F.col("o_orderstatus"), cust).alias("id"))
 
 
-@query("dim_build", f"SELECT {sk('c_name')} AS id, c_name, c_mktsegment, '2024-02-01 00:00:00' AS created_at FROM customer")
+@query("dim_build", f"SELECT {sk('c_name')} AS id, c_name, c_mktsegment, '2024-02-01 00:00:00' AS created_at, '2024-02-01 00:00:00' AS updated_at FROM customer")
 def dim_build(spark: SparkSession, d: str) -> DataFrame:
     seed = views.table(spark, d, "customer").select("c_name", "c_mktsegment")
-    return dims.dim_build(seed, ["c_name"], F.lit("2024-02-01").cast("timestamp")).select("id", "c_name", "c_mktsegment", stamp("created_at").alias("created_at"))
+    return dims.dim_build(seed, ["c_name"], F.lit("2024-02-01").cast("timestamp")).select("id", "c_name", "c_mktsegment", stamp("created_at").alias("created_at"), stamp("updated_at").alias("updated_at"))
 
 
 @query("dim_build_with_parent", f"SELECT {sk('s_name')} AS id, s_name, {sk('n_name')} AS parent_id FROM supplier JOIN nation ON s_nationkey = n_nationkey AND n_nationkey < 20")
@@ -153,15 +153,18 @@ def dense_station_ids(spark: SparkSession, d: str) -> DataFrame:
     return base.station_ids(spark, d).withColumn("project_station_id", F.col("project_station_id").cast("bigint"))
 
 
-@query("regions_seed_or_generated", f"WITH {ST} SELECT 'seeded' AS mode, 'r' || r_regionkey AS region_code, r_name AS name FROM region UNION ALL SELECT 'generated', code, name FROM st")
+PLAIN_BOX = "concat_ws(',', CAST(CAST(round(lon - 5.0::DOUBLE / (111.0::DOUBLE * cos(radians(lat))), 6) AS DECIMAL(18,6)) AS VARCHAR), CAST(CAST(round(lat - 5.0::DOUBLE / 111.0, 6) AS DECIMAL(18,6)) AS VARCHAR), CAST(CAST(round(lon + 5.0::DOUBLE / (111.0::DOUBLE * cos(radians(lat))), 6) AS DECIMAL(18,6)) AS VARCHAR), CAST(CAST(round(lat + 5.0::DOUBLE / 111.0, 6) AS DECIMAL(18,6)) AS VARCHAR))"
+BOX = f"CASE WHEN i = 5 THEN NULL ELSE {PLAIN_BOX} END"
+
+
+@query("regions_seed_or_generated", f"WITH {ST} SELECT 'seeded' AS mode, 'r' || r_regionkey AS region_code, r_name AS name, '0,0,1,1' AS bbox FROM region UNION ALL SELECT 'generated', code, name, {PLAIN_BOX} FROM st")
 def regions_seed_or_generated(spark: SparkSession, d: str) -> DataFrame:
     seed = views.table(spark, d, "region").select(F.concat(F.lit("r"), F.col("r_regionkey").cast("string")).alias("region_code"), F.col("r_name").alias("name"), F.lit("0,0,1,1").alias("bbox"))
     st = base.stations(spark, d)
-    parts = [dims.regions_seed_or_generated(s, st).select(F.lit(m).alias("mode"), "region_code", "name") for m, s in (("seeded", seed), ("generated", seed.filter(F.lit(False))))]
+    parts = [dims.regions_seed_or_generated(s, st).select(F.lit(m).alias("mode"), "region_code", "name", "bbox") for m, s in (("seeded", seed), ("generated", seed.filter(F.lit(False))))]
     return parts[0].unionByName(parts[1])
 
 
-BOX = "CASE WHEN i = 5 THEN NULL ELSE concat_ws(',', CAST(CAST(round(lon - 5.0::DOUBLE / (111.0::DOUBLE * cos(radians(lat))), 6) AS DECIMAL(18,6)) AS VARCHAR), CAST(CAST(round(lat - 5.0::DOUBLE / 111.0, 6) AS DECIMAL(18,6)) AS VARCHAR), CAST(CAST(round(lon + 5.0::DOUBLE / (111.0::DOUBLE * cos(radians(lat))), 6) AS DECIMAL(18,6)) AS VARCHAR), CAST(CAST(round(lat + 5.0::DOUBLE / 111.0, 6) AS DECIMAL(18,6)) AS VARCHAR)) END"
 
 
 @query("bbox_text", f"WITH {ST} SELECT code, {BOX} AS bbox FROM st")
@@ -179,28 +182,28 @@ def station_region_map(spark: SparkSession, d: str) -> DataFrame:
     return region_map(spark, d)
 
 
-@query("region_flags", f"WITH {ST} SELECT {sk('r_name')} AS id, r_name AS region_code, coalesce(bool_or(src = 'Meteostat' AND i < 9), false) AS has_weather_data, coalesce(bool_or(pat AND src <> 'Meteostat' AND i > 12), false) AS has_pattern_data FROM region LEFT JOIN st ON rc = r_name GROUP BY r_name")
+@query("region_flags", f"WITH {ST} SELECT {sk('r_name')} AS id, r_name AS region_code, r_name AS name, '' AS bbox, coalesce(bool_or(src = 'Meteostat' AND i < 9), false) AS has_weather_data, coalesce(bool_or(pat AND src <> 'Meteostat' AND i > 12), false) AS has_pattern_data FROM region LEFT JOIN st ON rc = r_name GROUP BY r_name")
 def region_flags(spark: SparkSession, d: str) -> DataFrame:
     st = base.stations(spark, d).withColumn("i", F.substring("code", 4, 9).cast("int"))
     regions = views.table(spark, d, "region").select(F.col("r_name").alias("region_code"), F.col("r_name").alias("name"), F.lit("").alias("bbox"))
     air = staging.source_kind_filter(st, False).filter("i > 12").select("region_code", "is_pattern_station")
-    return dims.region_flags(regions, air, staging.source_kind_filter(st, True).filter("i < 9").select("region_code")).select("id", "region_code", "has_weather_data", "has_pattern_data")
+    return dims.region_flags(regions, air, staging.source_kind_filter(st, True).filter("i < 9").select("region_code")).select("id", "region_code", "name", "bbox", "has_weather_data", "has_pattern_data")
 
 
-@query("station_activity", f"WITH {W}, {ST}, {IDM}, la AS (SELECT station_code, max(hr) AS x FROM w GROUP BY 1) SELECT pid AS id, CASE src WHEN 'fiuna' THEN 'FIUNA: ' || name WHEN 'airelibre' THEN 'AireLibre: ' || name ELSE name END AS name, {sk('CASE WHEN st.code = ' + chr(39) + 'st_7' + chr(39) + ' THEN ' + chr(39) + 'default' + chr(39) + ' ELSE st.rc END')} AS region_id, status = 'active' AND coalesce(x >= TIMESTAMP '2024-01-31' - INTERVAL 7 DAY, false) AS is_station_on, pat AS is_pattern_station FROM st JOIN idm ON idm.id = st.id LEFT JOIN la ON la.station_code = st.code")
+@query("station_activity", f"WITH {W}, {ST}, {IDM}, la AS (SELECT station_code, max(hr) AS x FROM w GROUP BY 1) SELECT pid AS id, CASE src WHEN 'fiuna' THEN 'FIUNA: ' || name WHEN 'airelibre' THEN 'AireLibre: ' || name ELSE name END AS name, {rd('lat')} AS latitude, {rd('lon')} AS longitude, {sk('CASE WHEN st.code = ' + chr(39) + 'st_7' + chr(39) + ' THEN ' + chr(39) + 'default' + chr(39) + ' ELSE st.rc END')} AS region_id, status = 'active' AND coalesce(x >= TIMESTAMP '2024-01-31' - INTERVAL 7 DAY, false) AS is_station_on, pat AS is_pattern_station FROM st JOIN idm ON idm.id = st.id LEFT JOIN la ON la.station_code = st.code")
 def station_activity(spark: SparkSession, d: str) -> DataFrame:
     st = base.stations(spark, d).drop("region_code")
     latest = gold.latest_reading(base.wide(spark, d))
     out = dims.station_activity(st, base.station_ids(spark, d), region_map(spark, d), latest, F.lit("2024-01-31").cast("timestamp"), fn.display_name(F.col("name"), F.col("properties")))
-    return out.select(F.col("id").cast("bigint").alias("id"), "name", "region_id", "is_station_on", "is_pattern_station")
+    return out.select(F.col("id").cast("bigint").alias("id"), "name", r("latitude").alias("latitude"), r("longitude").alias("longitude"), "region_id", "is_station_on", "is_pattern_station")
 
 
-@query("weather_station_list", f"WITH {ST} SELECT id, code, name, {rd('lat')} AS latitude, {sk('rc')} AS region_id FROM st WHERE src = 'Meteostat'")
+@query("weather_station_list", f"WITH {ST} SELECT id, code, name, {rd('lat')} AS latitude, {rd('lon')} AS longitude, {sk('rc')} AS region_id FROM st WHERE src = 'Meteostat'")
 def weather_station_list(spark: SparkSession, d: str) -> DataFrame:
     st = base.stations(spark, d)
     mapped = st.select(F.col("code").alias("station_code"), "region_code")
     out = dims.weather_station_list(staging.source_kind_filter(st, True).drop("region_code"), mapped)
-    return out.select("id", "code", "name", r("latitude").alias("latitude"), "region_id")
+    return out.select("id", "code", "name", r("latitude").alias("latitude"), r("longitude").alias("longitude"), "region_id")
 
 
 @query("display_name", f"WITH {ST} SELECT code, CASE src WHEN 'fiuna' THEN 'FIUNA: ' || name WHEN 'airelibre' THEN 'AireLibre: ' || name ELSE name END AS name FROM st")

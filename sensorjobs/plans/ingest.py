@@ -9,6 +9,7 @@ from sensorjobs import views
 from sensorjobs.functions import columns as fn
 from sensorjobs.operators import gold, staging
 from sensorjobs.plans import base
+from sensorjobs.plans.marts import FEATURES, feature_columns
 from sensorjobs.plans.base import FACT, H, M, query, r, rd, scratch, stamp, ts
 from sensorjobs.sources import io, versioned
 
@@ -34,16 +35,15 @@ def read_seed(spark: SparkSession, d: str) -> DataFrame:
     return io.read_seed(spark, full, schema).withColumn("s_nationkey", F.col("s_nationkey").cast("bigint")).unionByName(end)
 
 
-FEATURES = base.FEAT + f" SELECT station_id, {ts('hr')} AS date_utc, {rd('pm2_5')} AS pm2_5, {rd('avg6')} AS pm2_5_avg_6h, a25::DOUBLE AS aqi_pm2_5, {rd('pavg')} AS pm2_5_region_avg, {rd('wsin')} AS wind_dir_sin FROM fe"
 
 
-@query("read_features_csv", "WITH " + FEATURES)
+@query("read_features_csv", f"WITH {base.FEAT} SELECT station_id, {ts('hr')} AS date_utc, {FEATURES} FROM fe")
 def read_features_csv(spark: SparkSession, d: str) -> DataFrame:
     path = scratch(spark, "features")
     rows = base.feature_rows(spark, d).withColumn("scenario", F.lit("all"))
     rows.select("station_id", "date_utc", "scenario", *io.FEATURE_COLUMNS).write.csv(path, header=True, timestampFormat="yyyy-MM-dd'T'HH:mm:ssXXX")
     got = io.read_features_csv(spark, path)
-    return got.select("station_id", stamp("date_utc").alias("date_utc"), *[r(c).alias(c) for c in ("pm2_5", "pm2_5_avg_6h", "aqi_pm2_5", "pm2_5_region_avg", "wind_dir_sin")])
+    return feature_columns(got)
 
 
 @query("table_or_seed", "SELECT n_nationkey, n_name FROM nation")
