@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -73,6 +74,12 @@ def discard(df: DataFrame) -> None:
     where.getFileSystem(sc._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of steps whose results are written and read again: else they stay until the driver happens to collect its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def map_texts(df: DataFrame, keep: list[str], text: str, fn: Callable[[list[bytes | None]], dict[str, list]], added: str) -> DataFrame:
     """Run ``fn`` over batches of UTF-8 texts and append its columns (``added``, a DDL string) to ``keep``.
 
