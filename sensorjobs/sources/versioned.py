@@ -4,7 +4,8 @@ A version of a table is a list of partition folders. A change writes the touched
 folder of its own (``data/batch=.../day=...``) and makes a new list in which only these differ; files are never
 changed. A version, or a set of versions that belong together, is made current by one small numbered file in
 ``current/``, which is renamed into place: readers see all of a change or nothing, and a job that fails before leaves
-the table as it was. ``drop_unused`` deletes the batches that no kept version names.
+the table as it was. ``drop_unused`` deletes the batches that no kept version names. The rename must be atomic and
+must not replace a file, as on HDFS and local disks.
 
 Partition columns hold dates, whole numbers or plain words; they are functions of the key, or ``moving`` has
 to be set. What the driver handles is one entry for each partition.
