@@ -11,7 +11,7 @@ from datetime import datetime, timedelta
 from functools import reduce
 from typing import Self
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorjobs import views
@@ -98,8 +98,8 @@ class Stored:
 class SilverState(Stored):
     """Tables of the silver job, each with the partition that its rows are found by.
 
-    ``messages-<source>`` by block of cursors: what may have to be repaired again. ``ends-<source>`` by block: the maxima of each station's block and
-    the days its repaired times lie in. ``values`` by day: every valid value, also those that another of the same
+    ``messages-<source>`` by part of the cursors (``part_of``): what may have to be repaired again. ``ends-<source>`` by part: the maxima of each
+    station's block and the days its repaired times lie in. ``values`` by day: every valid value, also those that another of the same
     time hides. ``fact`` by day: one a stream and time.
     """
 
@@ -120,6 +120,11 @@ class Repaired:
     tables: Mapping[str, Version]
 
 
+def part_of(block: int) -> Column:
+    """The partition of a block: ``silver.BLOCK`` cursors or one block, whichever is more, so that small blocks do not become as many folders."""
+    return F.floor(F.col("block") / max(1, silver.BLOCK // block)).alias("part")
+
+
 def repair_touched(spark: SparkSession, source: str, new: DataFrame, state: SilverState | None, folder: str, block: int) -> Repaired:
     """Repair the new messages of a cursor source, and again the older ones whose result may change.
 
@@ -128,17 +133,20 @@ def repair_touched(spark: SparkSession, source: str, new: DataFrame, state: Silv
     """
     pair = ["station_code", "block"]
     mine, edge = f"messages-{source}", f"ends-{source}"
-    cut = new.filter("cursor_id IS NOT NULL").withColumn("block", F.floor(F.col("cursor_id") / block))
+    part = part_of(block)
+    cut = new.filter("cursor_id IS NOT NULL").withColumn("block", F.floor(F.col("cursor_id") / block)).withColumn("part", part)
     fresh = stored(cut, "silver-cursor")
     if state is None:
-        messages = versioned.write(fresh, f"{folder}/{mine}", ["block"])
+        messages = versioned.write(fresh, f"{folder}/{mine}", ["part"])
         ends = silver.block_ends(fresh, block)
         affected = stored(ends.select(*pair).join(silver.carried(ends), pair), "silver-affected")
         merged, days = ends, set()
     else:
         came = fresh.select(*pair).distinct()
+        # States of earlier versions are partitioned by block.
+        by = list(state.tables[mine].partition_by)
         messages = versioned.change(spark, state.tables[mine], fresh, ["source_row_id"], lambda old, new: upsert_by_key(old, new, ["source_row_id"])) if not fresh.isEmpty() else state.tables[mine]
-        touched = versioned.read(spark, messages, versioned.partitions_of(came, ["block"])).join(came, pair, "left_semi")
+        touched = versioned.read(spark, messages, versioned.partitions_of(came.withColumn("part", part), by)).join(came, pair, "left_semi")
         # One row a station and block: of the stations that have new messages.
         old = state.rows(edge).join(came.select("station_code").distinct(), "station_code", "left_semi")
         merged = stored(upsert_by_key(old.select(*pair, "ts", "cursor"), silver.block_ends(touched, block), pair), "silver-ends")
@@ -148,12 +156,12 @@ def repair_touched(spark: SparkSession, source: str, new: DataFrame, state: Silv
         affected = stored(now.filter(other).select(*pair, "carried_ts", "carried_cursor"), "silver-affected")
         spans = old.join(affected.select(*pair), pair, "left_semi").filter("first_day IS NOT NULL")
         days = versioned.partitions_of(spans.select(F.explode(F.sequence("first_day", "last_day")).alias("day")), ["day"])
-    again = versioned.read(spark, messages, versioned.partitions_of(affected, ["block"])).join(affected, pair)
+    again = versioned.read(spark, messages, versioned.partitions_of(affected.withColumn("part", part), list(messages.partition_by))).drop("part").join(affected, pair)
     fixed = stored(silver.impute_timestamps(silver.last_valid_in_blocks(again)), "silver-fixed")
     at = fixed.groupBy("station_code", F.floor(F.col("cursor_id") / block).alias("block")).agg(F.min(F.to_date("measured_at_silver")).alias("first_day"), F.max(F.to_date("measured_at_silver")).alias("last_day"))
-    rows = merged.select(*pair, "ts", "cursor").join(at, pair)
+    rows = merged.select(*pair, "ts", "cursor").join(at, pair).withColumn("part", part)
     if state is None:
-        edges = versioned.write(rows, f"{folder}/{edge}", ["block"])
+        edges = versioned.write(rows, f"{folder}/{edge}", ["part"])
     elif affected.isEmpty():
         edges = state.tables[edge]
     else:

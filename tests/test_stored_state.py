@@ -155,6 +155,13 @@ def test_silver_state_in_new_sessions(spark, sf_dir, tmp_path):
     assert kept.number == len(CUTS) and pipelines.SilverState.load(spark, folder).marks == kept.marks
 
 
+def test_small_blocks_share_folders(spark, sf_dir):
+    sources = pipelines.staged(spark, sf_dir)
+    state = pipelines.silver_step({n: rows.filter("extracted_at < '2024-01-03'") for n, rows in sources.items()}, pipelines.REGISTRY, views.rules(spark), pipelines.known_dims(spark, sources), None, 2)
+    assert state.rows("ends-cursor").select("block").distinct().count() > 10
+    assert len(state.tables["messages-cursor"].parts) == len(state.tables["ends-cursor"].parts) == 1
+
+
 def test_a_failed_silver_run_leaves_the_state(spark, sf_dir, tmp_path):
     sources, folder = pipelines.staged(spark, sf_dir), str(tmp_path / "silver")
     known, rules = pipelines.known_dims(spark, sources), views.rules(spark)
