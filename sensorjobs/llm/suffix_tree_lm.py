@@ -2,9 +2,10 @@
 
 A context is a state if its next-word distribution diverges from that of its parent (the context
 without its first word): the gain in log-likelihood on the training tokens must exceed a price for each
-next word stored. Next words seen ``least_entry`` times or more are stored, their counts discounted; what
-is left backs off to the parent and is normalised, so every state is a probability distribution. Only
-retained states are extended, by one word to the left. A text is scored word by word from the longest
+next word stored. Next words seen ``least_entry`` times or more, and in ``entry_share`` of the context's tokens, are stored, their
+counts discounted; what is left backs off to the parent and is normalised, so every state is a probability distribution. Only
+retained states are extended, by one word to the left, up to ``reach`` words (frequent ones up to ``longest``; the query bounds all by ``reach``). Where a context is handled, in the tree or in a
+bucket (below), depends on the input's size; what it must pass and what it stores does not, nor, so bounded, how long it may be. A text is scored word by word from the longest
 suffix of its past that is a state.
 
 Where the data goes
@@ -14,8 +15,8 @@ Where the data goes
 * Word counts: each chunk asks with its distinct words and their counts, words meet in hash buckets
   (their number grows with the input), and answers go back to the chunks. So base scores are exact.
 * Frequent contexts (over ``frequent_share`` of all tokens, or over ``most_group``) are counted level by level, until
-  none passes the test, and sent to the tasks as one tree. They are fewer than ``1 / frequent_share`` a level (beyond
-  ``most_group / frequent_share`` tokens: than tokens over ``most_group``), their next words fewer than ``1 / entry_share``.
+  none passes the test or they have ``longest`` words, and sent to the tasks as one tree. They are fewer than ``1 / frequent_share`` a level (beyond
+  ``most_group / frequent_share`` tokens: than tokens over ``most_group``), each has at most ``1 / entry_share`` next words.
 * All other contexts are less frequent: a rare last word, or a state of the tree with another word before it. The tokens
   after such a context go, with up to ``reach`` words of their past, to the bucket of the shortest context of this kind,
   which holds the whole subtree of states under it, whatever its last word: these grow with the input without a
@@ -67,14 +68,24 @@ class Shape:
     frequent_share: float = 2e-4
     least_frequent: int = 1000
     most_group: int = 1_000_000
-    entry_share: float = 1e-6
+    entry_share: float = 2e-3
     chunk_tokens: int = 1_000_000
     bucket_tokens: int = 1_500_000
+    #: Most words of a frequent context (``reach`` at least), None for no bound. With ``reach`` no result depends on which contexts are frequent.
+    longest: int | None = None
+
+    def extends(self, depth: int) -> bool:
+        """Whether frequent contexts of so many words are extended."""
+        return self.longest is None or depth < max(self.reach, self.longest)
 
     def limit(self, total: int) -> float:
         """The count from which a word is frequent."""
         return max(self.least_frequent, min(self.frequent_share * total, self.most_group))
 
+    def least(self, tokens):
+        """How often a next word must follow a context of so many tokens to be stored."""
+        return np.maximum(self.least_entry, self.entry_share * tokens)
+
 
 def hash_of(word: bytes) -> int:
     """The signed 64-bit hash of a word."""
@@ -90,11 +101,11 @@ def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return ((x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)).astype(np.int64)
 
 
-def pack(*arrays: np.ndarray) -> bytes:
+def pack(*arrays: np.ndarray, level: int = 3) -> bytes:
     """Arrays as compressed bytes, byte by byte of all numbers (high bytes of small numbers are alike)."""
     head = json.dumps([(a.dtype.str, len(a)) for a in arrays]).encode()
     planes = [np.ascontiguousarray(np.ascontiguousarray(a).view(np.uint8).reshape(-1, a.itemsize).T).tobytes() for a in arrays]
-    return len(head).to_bytes(4, "little") + head + zstandard.compress(b"".join(planes), 3)
+    return len(head).to_bytes(4, "little") + head + zstandard.compress(b"".join(planes), level)
 
 
 def unpack(data: bytes) -> list[np.ndarray]:
@@ -351,19 +362,20 @@ def bit_of(level: int, key: np.ndarray) -> np.ndarray:
     return (mixed(np.full(len(key), level, np.int64), key).view(np.uint64) % np.uint64(ATTESTED_BITS)).astype(np.int64)
 
 
-def neighbours(chunks: DataFrame, tree: Tree, candidates: np.ndarray, least: float, least_context: int, limit: float) -> DataFrame:
+def neighbours(chunks: DataFrame, tree: Tree, candidates: np.ndarray, least: np.ndarray, limit: float, shape: Shape) -> DataFrame:
     """What stands around each candidate of the level after the tree's last, as written rows (``kind``, ``k``, ``n``, ``data``).
 
-    Kind 0: how often each next word follows, if ``least`` times or more (``k``: candidate * size + word). Kind 1: how many
+    Kind 0: how often each next word follows, if the candidate's ``least`` times or more (``k``: candidate * size + word). Kind 1: how many
     tokens the candidate has with each word before it, if ``limit`` or more. Kind 2: places in the bitmap of those with ``least_context`` or more,
-    by segment.
+    by segment. Candidates of ``longest`` words are not extended, so they have no kinds 1 and 2.
     """
-    sent = chunks.sparkSession.sparkContext.broadcast((tree, candidates))
-    width = 1 << 24
+    sent = chunks.sparkSession.sparkContext.broadcast((tree, candidates, least))
+    width, size, least_context = 1 << 24, tree.size, shape.least_context
     depth = len(tree.levels) + 1
+    extended = shape.extends(depth)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree_, wanted = sent.value
+        tree_, wanted, _ = sent.value
         for batch in batches:
             for data in batch.column(0):
                 c = Chunk(*unpack(data.as_py()))
@@ -375,7 +387,7 @@ def neighbours(chunks: DataFrame, tree: Tree, candidates: np.ndarray, least: flo
                 cand = find(wanted, state[ok] * tree_.size + words[depth - 1][ok])
                 ok, cand = ok[cand >= 0], cand[cand >= 0]
                 rows: list[tuple[int, int, bytes]] = []
-                for kind, word in ((0, at[ok]), (1, words[depth][ok])):
+                for kind, word in ((0, at[ok]), (1, words[depth][ok]))[: 1 + extended]:
                     k, n = np.unique(cand[word >= 0] * tree_.size + word[word >= 0], return_counts=True)
                     # Ranges of keys, each in one blob.
                     cuts = np.flatnonzero(np.diff(k // width)) + 1
@@ -387,7 +399,7 @@ def neighbours(chunks: DataFrame, tree: Tree, candidates: np.ndarray, least: flo
         k, at = np.unique(np.concatenate([np.cumsum(p[0], dtype=np.int64) for p in parts]), return_inverse=True)
         n = np.bincount(at, np.concatenate([p[1] for p in parts])).astype(np.int64)
         kind = key[0].as_py()
-        many = n >= (limit if kind else least)
+        many = n >= (limit if kind else sent.value[2][k // size])
         rows = [(kind, *x, None) for x in zip(k[many].tolist(), n[many].tolist(), strict=True)]
         if kind:
             bits = np.unique(bit_of(depth, k[n >= least_context]))
@@ -416,16 +428,16 @@ def attested(found: DataFrame, bitmap: np.ndarray) -> None:
 
 
 def frequent_tree(chunks: DataFrame, answers: DataFrame, total: int, distinct: int, shape: Shape) -> tuple[Tree, np.ndarray]:
-    """The tree of frequent contexts, grown until no context of a level passes; and the bitmap of attested contexts that are one word longer."""
-    known, counts = common_words(answers, max(shape.least_entry, shape.entry_share * total))
+    """The tree of frequent contexts, grown until no context of a level passes or may be extended; and the bitmap of attested contexts that are one word longer."""
+    known, counts = common_words(answers, shape.least(shape.limit(total)))
     tree, bitmap = Tree(known, np.log10((counts + ADD) / (total + ADD * (distinct + 1)))), np.zeros(ATTESTED_BITS // 8, np.uint8)
     limit = shape.limit(total)
     often = np.flatnonzero((counts >= limit) & (known != hash_of(END)))
     words, totals, candidates = [often], counts[often].astype(float), often
-    while len(candidates):
-        around = neighbours(chunks, tree, candidates, max(shape.least_entry, shape.entry_share * total), shape.least_context, limit)
+    while len(candidates) and shape.extends(len(tree.levels)):
+        around = neighbours(chunks, tree, candidates, shape.least(totals), limit, shape)
         attested(around, bitmap)
-        # At most 1 / entry_share rows, and 1 / frequent_share (or the tokens over most_group) of the other kind.
+        # At most 1 / entry_share rows a candidate; of the other kind 1 / frequent_share (or the tokens over most_group).
         got, left = (around.filter(F.col("kind") == kind).select("k", "n").toPandas().sort_values("k") for kind in (0, 1))
         discard(around)
         k, n = got["k"].to_numpy(np.int64), got["n"].to_numpy(np.int64).astype(float)
@@ -526,7 +538,7 @@ def records(chunks: DataFrame, answers: DataFrame, tree: Tree, bitmap: np.ndarra
             named = used[order][used[order] >= 0]
             seen, others = found[named][found[named] >= 0], named[found[named] < 0]
             new = number[new].reshape(shape.reach + 1, -1)
-            rows.append((b, pack(steps(seen), steps(short[others]), smallest(count[others]), *[smallest(x) for x in new], smallest(doc[k]), c.train[k].astype(np.uint8))))
+            rows.append((b, pack(steps(seen), steps(short[others]), smallest(count[others]), *[smallest(x) for x in new], smallest(doc[k]), c.train[k].astype(np.uint8), level=6)))
         n = len(rows)
         return pa.table({
             "bucket": pa.array([-1 - key[0].as_py(), *[b for b, _ in rows]], pa.int64()), "chunk": pa.array([key[0].as_py()] * (n + 1), pa.int64()),
@@ -558,7 +570,7 @@ def subtree(words: np.ndarray, before: list[np.ndarray], train: np.ndarray, lp:
         totals = np.bincount(state, train[at]).astype(float)
         pairs, first, pair = np.unique(state * size + word[at], return_index=True, return_inverse=True)
         n = np.bincount(pair, train[at], len(pairs))
-        stored = (n >= shape.least_entry) & (totals[pairs // size] >= shape.least_context)
+        stored = (n >= shape.least(totals[pairs // size])) & (totals[pairs // size] >= shape.least_context)
         where = np.full(len(pairs), -1)
         where[stored] = np.arange(stored.sum())
         keep, back, logp = tested(pairs[stored] // size, n[stored], lp[at][first[stored]], np.maximum(totals, 1), shape)
@@ -639,4 +651,4 @@ def score(docs: DataFrame, id_column: str = "doc_id", text: str = "text", shape:
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op8: base and suffix-tree scores of every document."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return score(docs)
+    return score(docs, shape=Shape(longest=Shape.reach))

@@ -308,6 +308,22 @@ def test_scores_against_plain_tree(spark, reach):
             assert math.isclose(sum(plain.p(c, w) for w in plain.words) + plain.p(c, "unseen"), 1, abs_tol=1e-9)
 
 
+def test_scores_do_not_depend_on_what_is_frequent(spark):
+    """The same texts with all, some and no contexts in the tree, among them contexts longer than ``reach`` and rare next words of frequent contexts."""
+    rng = np.random.default_rng(8)
+    phrases = [" ".join(f"w{k}" for k in rng.integers(0, 12, 6)) for _ in range(8)]
+    texts = [" ".join([*rng.choice(phrases, 6), "w0", f"r{k % 40}"]) for k in range(300)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = []
+    for frequent in (10, 600, 10**9):
+        shape = suffix_tree_lm.Shape(reach=2, longest=2, frequent_share=0.0, least_frequent=frequent, entry_share=0.02, chunk_tokens=3000)
+        got.append({r.doc_id: r.score for r in suffix_tree_lm.score(df, shape=shape).collect()})
+    base = {r.doc_id: r.base_score for r in suffix_tree_lm.score(df).collect()}
+    for other in got[1:]:
+        assert max(abs(got[0][k] - other[k]) for k in base) < 1e-3
+    assert sum(got[0].values()) > sum(base.values()) + 100
+
+
 def test_what_is_gathered_grows(spark):
     """Documents that occur twice score above others, at two sizes of corpus: the states under rare words tell them apart."""
     for n in (150, 600):
