@@ -31,8 +31,18 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def r(c: Column | str, digits: int = 6) -> Column:
-    """Rounded for comparison between engines, without a negative zero."""
-    return F.round(F.col(c) if isinstance(c, str) else c, digits) + F.lit(0.0)
+    """Rounded for comparison between engines, without a negative zero.
+
+    As the SQL does it: scaled, rounded half away from zero, scaled back. (``F.round`` rounds the decimal text of a number, which lies
+    on the other side of some ties: 272.425 times 100 is less than 27242.5.)
+    """
+    x = (F.col(c) if isinstance(c, str) else c).cast("double")
+    scale = F.lit(10.0**digits)
+    y = F.abs(x) * scale
+    whole = F.rint(y)
+    # ``rint`` rounds ties to even.
+    whole = F.when(y - whole == 0.5, whole + 1.0).otherwise(whole)
+    return F.when(F.isnan(x), x).otherwise(F.signum(x) * whole / scale) + F.lit(0.0)
 
 
 def stamp(c: Column | str) -> Column:
