@@ -99,6 +99,9 @@ def map_texts(df: DataFrame, keep: list[str], text: str, fn: Callable[[list[byte
                 columns = [batch.column(i) for i in range(len(keep))]
                 columns += [pa.array(got[n], type=arrow.field(n).type) for n in names]
                 yield pa.RecordBatch.from_arrays(columns, [*keep, *names])
+                del batch, got, columns
+        # The process stays for later steps: what this one held for its batches goes back.
+        pa.default_memory_pool().release_unused()
 
     source = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").cast("string").alias("__text"))
     out = type(schema)([*source.select(*[f"`{c}`" for c in keep]).schema.fields, *schema.fields])
