@@ -70,6 +70,25 @@ def skew_from_moments(m1: Column, m2: Column, m3: Column, std: Column) -> Column
     return (m3 - F.lit(3.0) * m1 * m2 + F.lit(2.0) * F.pow(m1, F.lit(3.0))) / F.nullif(cube, F.lit(0.0))
 
 
+def steady_avg(value: Column) -> Column:
+    """Mean of doubles in an aggregate, the same for any order of the rows: their rounded exact sum by their count.
+
+    Values are added as whole numbers of two parts, above and below 2**-20. If one of them has digits below 2**-62 or is past the range of
+    the parts (also NaN), or if a sum of parts overflows, the mean is the plain one.
+    """
+    v = value.cast("double")
+    scaled = v * F.lit(2.0**20)
+    upper = F.floor(scaled)
+    rest = (scaled - upper.cast("double")) * F.lit(2.0**42)
+    lower = F.floor(rest)
+    held = (F.abs(scaled) < 2.0**62) & (lower.cast("double") == rest)
+    high, low = F.try_sum(F.when(held, upper)), F.try_sum(F.when(held, lower))
+    # The carry leaves a lower part under 2**42, so that one addition rounds.
+    carry = F.shiftright(low, 42)
+    total = (F.try_add(high, carry).cast("double") + (low - F.shiftleft(carry, 42)).cast("double") / F.lit(2.0**42)) / F.lit(2.0**20)
+    return F.when(F.count(v) == F.count(F.when(held, v)), F.coalesce(total / F.count(v), F.avg(v))).otherwise(F.avg(v))
+
+
 def all_of(conditions: list[Column]) -> Column:
     """Conjunction; true for none."""
     return reduce(lambda a, b: a & b, conditions, F.lit(True))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorjobs.functions.aqi import aqi_pm10, aqi_pm25, overall_level
-from sensorjobs.functions.columns import key_time, surrogate_key
+from sensorjobs.functions.columns import key_time, steady_avg, surrogate_key
 
 HOUR = 3600
 
@@ -25,8 +25,8 @@ def star_join(fact: DataFrame, streams: DataFrame, stations: DataFrame, variable
 
 
 def hourly_avg(rows: DataFrame, time: str = "timestamp", value: str = "value_parsed") -> DataFrame:
-    """Mean of every station, variable, source and hour."""
-    return rows.groupBy("station_code", "variable_code", "data_source_name", F.date_trunc("hour", time).alias("hour")).agg(F.avg(value).alias("value_avg"))
+    """Mean of every station, variable, source and hour; it does not depend on the order of the rows."""
+    return rows.groupBy("station_code", "variable_code", "data_source_name", F.date_trunc("hour", time).alias("hour")).agg(steady_avg(F.col(value)).alias("value_avg"))
 
 
 def disjoint_factors(factors: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+import random
 from datetime import datetime, timedelta
 
 import pandas as pd
@@ -203,3 +205,28 @@ def test_rebuilt_library_needs_no_llm():
 
     code = "import sys; sys.modules['sensorjobs.llm'] = None; sys.modules['corpus_pipeline'] = None; import __spark_entry__ as e; assert len(e.queries()) > 90 and 'pipeline' not in e.queries()"
     assert subprocess.run([sys.executable, "-c", code], cwd=str(__import__("conftest").ROOT)).returncode == 0
+
+
+def hourly_means(spark, groups, slices):
+    """Hourly means of groups of values that stand in this order, in so many partitions."""
+    rows = [(str(k), "pm25", "net", T(2024, 1, 1, 0, 5), v) for k, values in enumerate(groups) for v in values]
+    df = spark.createDataFrame(spark.sparkContext.parallelize(rows, slices), "station_code string, variable_code string, data_source_name string, timestamp timestamp, value_parsed double")
+    got = {r["station_code"]: r["value_avg"] for r in gold.hourly_avg(df).collect()}
+    return [got[str(k)] for k in range(len(groups))]
+
+
+def test_hourly_means_in_any_order_of_rows(spark):
+    chance = random.Random(4)
+    groups = [[round(chance.uniform(-100, 2000) / chance.choice([1, 50]), 2) for _ in range(n)] for n in range(1, 120)]
+    want = [math.fsum(g) / len(g) for g in groups]
+    for slices in (1, 3, 7):
+        assert hourly_means(spark, groups, slices) == want
+        for g in groups:
+            chance.shuffle(g)
+
+
+def test_hourly_means_of_odd_values(spark):
+    inf, nan = math.inf, math.nan
+    groups = [[None, None], [None, 0.1, None], [1e300, 2e300], [1e-300, 3e-300], [2.0**42, 2.0**42, 2.0**42 - 1], [-0.25, -(2.0**-60)], [inf, 1.0], [nan, 1.0], [inf, -inf], [1e12, 1e-12], [-5e12] * 3]
+    want = [None, 0.1, 1.5e300, 2e-300, 2.0**42 - 1 / 3, -0.125, inf, nan, nan, (1e12 + 1e-12) / 2, -5e12]
+    assert repr(hourly_means(spark, groups, 2)) == repr(want)
