@@ -17,7 +17,8 @@ its count and at most ``MOST_BITS`` bits (32 MB), lets only variants that probab
 words that more than ``crowd`` words share are set aside and their words are paired
 by the words themselves: same length by the word with one place left open, else by the word with one letter left out. Words that share an open
 place are all near, so that way makes no more rows than there are near pairs. Roots are found by doubling
-the steps of the chains; a form has at least twice its word's count, so chains are short.
+the steps of the chains; a form has at least twice its word's count, so chains are short. Sides that grow with the vocabulary
+are joined by sorting (``sorted_join``), never sent whole through the driver.
 
 Defined results
 ---------------
@@ -226,6 +227,14 @@ def bitmap(keys: DataFrame, most_bits: int = MOST_BITS) -> np.ndarray:
     return out
 
 
+def sorted_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """A join of two sides that both grow with the vocabulary: each is shuffled and sorted, none is broadcast.
+
+    Spark takes the variants of words for as large as the words' compressed file, which may lie below its broadcast limit.
+    """
+    return left.join(right.hint("merge"), key, how)
+
+
 def neighbourhoods(words: DataFrame, reducer: Reducer, present: np.ndarray) -> DataFrame:
     """``key`` and ``word`` of all variants whose key the bitmap has (all that meet a reduced word, and few others)."""
     shared = words.sparkSession.sparkContext.broadcast(present)
@@ -264,14 +273,14 @@ def near_pairs(words: DataFrame, room: int = ROOM, crowd: int = CROWD) -> DataFr
     one_edit = (F.col("word") != F.col("near")) & (F.levenshtein("word", "near", 1) == 1)
     crowded = materialize(targets.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > crowd).select("key"), "spelling-crowded")
     if crowded.isEmpty():
-        pairs = variants.join(targets, "key").filter(one_edit).select("word", "near")
+        pairs = sorted_join(variants, targets, "key").filter(one_edit).select("word", "near")
     else:
-        pairs = variants.join(targets.join(crowded, "key", "left_anti"), "key").filter(one_edit).select("word", "near")
+        pairs = sorted_join(variants, targets.join(crowded, "key", "left_anti"), "key").filter(one_edit).select("word", "near")
         # Their keys say which way a pair would have met; a pair that meets both here and there is one pair below.
         rest = targets.join(crowded, "key", "left_semi").select("near").distinct()
         there, all_words = materialize(rest, "spelling-rest"), words.select("word")
         for mine, theirs in (("open", "open"), ("whole", "short"), ("short", "whole")):
-            met = _exact_keys(all_words, mine, "word").join(_exact_keys(there, theirs, "near"), "key")
+            met = sorted_join(_exact_keys(all_words, mine, "word"), _exact_keys(there, theirs, "near"), "key")
             pairs = pairs.unionByName(met.filter(one_edit).select("word", "near"))
     return pairs.distinct()
 
@@ -281,7 +290,7 @@ def roots(links: DataFrame) -> DataFrame:
     step = materialize(links.select("word", F.col("form").alias("root")), "spelling-roots")
     while True:
         ahead = step.select(F.col("word").alias("root"), F.col("root").alias("further"))
-        longer = materialize(step.join(ahead, "root", "left").select("word", F.coalesce("further", "root").alias("root"), F.col("further").isNotNull().alias("moved")), "spelling-roots")
+        longer = materialize(sorted_join(step, ahead, "root", "left").select("word", F.coalesce("further", "root").alias("root"), F.col("further").isNotNull().alias("moved")), "spelling-roots")
         discard(step)
         step = longer.select("word", "root")
         if longer.filter("moved").isEmpty():
@@ -292,16 +301,16 @@ def roots(links: DataFrame) -> DataFrame:
 def group(words: DataFrame, room: int = ROOM, crowd: int = CROWD) -> DataFrame:
     """``words`` (word, n; distinct) with form, root, n_near and form_n."""
     near = words.select(F.col("word").alias("near"), F.col("n").alias("near_n"))
-    pairs = near_pairs(words, room, crowd).join(near, "near")
+    pairs = sorted_join(near_pairs(words, room, crowd), near, "near")
     # The largest count first, then the smallest word: strings compare by code points.
     best = pairs.groupBy("word").agg(F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("minus"), "near")).alias("best"))
-    both = words.join(best, "word", "left").withColumn("form_n", -F.col("best.minus"))
+    both = sorted_join(words, best, "word", "left").withColumn("form_n", -F.col("best.minus"))
     chosen = F.col("form_n") >= 2 * F.col("n")
     forms = materialize(
         both.select("word", F.when(chosen, F.col("best.near")).alias("form"), "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"), F.when(chosen, F.col("form_n")).alias("form_n")),
         "spelling-forms",
     )
-    found = forms.join(roots(forms.filter("form IS NOT NULL")), "word", "left")
+    found = sorted_join(forms, roots(forms.filter("form IS NOT NULL")), "word", "left")
     return found.select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
 
 

@@ -289,6 +289,27 @@ def test_chains_end_at_their_roots(spark):
     assert set(got.values()) == {"aaaaa" + "b" * 11}
 
 
+@pytest.mark.parametrize("room,crowd", [(256, 1000), (1, 3)])
+def test_no_side_as_large_as_the_vocabulary_is_broadcast(spark, monkeypatch, room, crowd):
+    """Small files of words have many variants: whatever Spark takes their size for, they are not sent through the driver."""
+    plans = []
+
+    def noted(df, tag):
+        plans.append(df)
+        return materialize(df, tag)
+
+    materialize = spelling_variants.materialize
+    monkeypatch.setattr(spelling_variants, "materialize", noted)
+    frame = materialize(spark.createDataFrame(list(made_words(0).items()), "word string, n long"), "test-words")
+    plans.append(spelling_variants.group(frame, room, crowd))
+    lines = "\n".join(p._jdf.queryExecution().executedPlan().toString() for p in plans).split("\n")
+    sent = [k for k, line in enumerate(lines) if "BroadcastExchange" in line]
+    # Only the crowded keys of the reduced words may be sent: the scan of one column of theirs.
+    below = ["".join(lines[k + 1 : k + 6]) for k in sent]
+    assert "SortMergeJoin" in "".join(lines) and (crowd == 3 or not sent)
+    assert all("spelling-crowded" in b for b in below), below
+
+
 def test_words_of_odd_rows(spark):
     docs = odd_documents(spark)
     extra = docs.union(docs.limit(0)).unionByName(spark.createDataFrame([(5, "naïve naïve NAÏVE naÏve " + "z" * 20_000 + " " + "z" * 19_999, "", 0, "", "", True)] * 4, docs.schema))
