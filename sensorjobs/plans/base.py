@@ -108,7 +108,9 @@ def region_table(spark: SparkSession, d: str) -> DataFrame:
 
 def weather(spark: SparkSession, d: str) -> DataFrame:
     """Wind from the events' counter, by region and hour of the raw time."""
-    rows = views.measurements(spark, d).join(stations(spark, d).select(F.col("code").alias("station_code"), surrogate_key(F.col("region_code")).alias("region_id")), "station_code")
+    # Spark takes nations joined with regions for as large as the product of their files, and would send small events instead, station by station.
+    of = F.broadcast(stations(spark, d).select(F.col("code").alias("station_code"), surrogate_key(F.col("region_code")).alias("region_id")))
+    rows = views.measurements(spark, d).join(of, "station_code")
     value = lambda code: F.when(F.col("variable_code") == code, F.col("value_parsed"))
     rows = rows.select(
         "region_id", F.date_trunc("hour", "measured_at_parsed").alias("hour"), value("temperature_c").alias("temperature_c"), value("hum").alias("humidity"),

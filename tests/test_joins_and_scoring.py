@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sensorjobs.operators import dims, gold
-from sensorjobs.plans import forecast, scoring
+from sensorjobs.plans import base, forecast, scoring
 
 T = datetime
 
@@ -175,3 +175,12 @@ def test_wrapped_series():
 def test_windows_of_sorted_batches():
     frames = [pd.DataFrame({"k": k, "v": range(len(k))}) for k in ([1, 1], [1, 2], [2], [2, 3, 4])]
     assert [(f["k"].iloc[0], len(f)) for f in scoring.windows(frames, "k")] == [(1, 3), (2, 3), (3, 1), (4, 1)]
+
+
+def test_events_are_not_broadcast_to_find_their_region(spark, sf_dir):
+    """The stations are sent, whatever Spark takes their size for; the events stay in the order of their file."""
+    plan = base.weather(spark, sf_dir)._jdf.queryExecution().executedPlan().toString().split("\n")
+    at = next(k for k, line in enumerate(plan) if "BroadcastHashJoin" in line)
+    sent = next(k for k, line in enumerate(plan[at:], at) if "BroadcastExchange" in line)
+    scans = [line for line in plan if "FileScan" in line]
+    assert "BuildRight" in plan[at] and "event_type" in next(line for line in plan[at:sent] if "FileScan" in line) and sum("event_type" in line for line in scans) == 1
